@@ -1,8 +1,10 @@
 """Registered queries of the corpus operators."""
 
+from hostweave.llm.bpe import op4_bpe
 from hostweave.llm.simhash import op8_simhash
 
 QUERIES = {
+    "op4_bpe": op4_bpe,
     "op8_simhash": op8_simhash,
 }
 
