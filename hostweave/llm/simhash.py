@@ -106,7 +106,7 @@ def _probe_rows(fps: DataFrame, distance: int, tables: int) -> DataFrame:
     parts: list[Column] = []
     for i, (at, bits, radius) in enumerate(segments(distance, tables)):
         own = F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << bits) - 1)) + F.lit(i << 32)
-        parts.append(F.transform(F.array(*[F.lit(m) for m in ball(bits, radius)]), lambda m, own=own: F.struct(own.bitwiseXOR(m).alias("key"), (m == 0).alias("own"))))
+        parts.append(F.array(*[F.struct(own.bitwiseXOR(F.lit(m)).alias("key"), F.lit(m == 0).alias("own")) for m in ball(bits, radius)]))
     return fps.select("fp", F.explode(F.concat(*parts)).alias("p")).select("p.key", "fp", "p.own")
 
 
