@@ -1,11 +1,15 @@
 """Registered queries of the corpus operators."""
 
 from hostweave.llm.bpe import op4_bpe
+from hostweave.llm.langid import op6_langid
+from hostweave.llm.media import op9_media
 from hostweave.llm.simhash import op8_simhash
 
 QUERIES = {
     "op4_bpe": op4_bpe,
+    "op6_langid": op6_langid,
     "op8_simhash": op8_simhash,
+    "op9_media": op9_media,
 }
 
 #: None of these is expressible in the oracle's SQL (XXH64, learned models, codecs); tests
