@@ -3,9 +3,11 @@
 from hostweave.llm.bpe import op4_bpe
 from hostweave.llm.langid import op6_langid
 from hostweave.llm.media import op9_media
+from hostweave.llm.secrets import op3_secrets
 from hostweave.llm.simhash import op8_simhash
 
 QUERIES = {
+    "op3_secrets": op3_secrets,
     "op4_bpe": op4_bpe,
     "op6_langid": op6_langid,
     "op8_simhash": op8_simhash,
