@@ -4,12 +4,16 @@ from hostweave.llm.bpe import op4_bpe
 from hostweave.llm.langid import op6_langid
 from hostweave.llm.media import op9_media
 from hostweave.llm.secrets import op3_secrets
+from hostweave.llm.shards import op7_shards
 from hostweave.llm.simhash import op8_simhash
+from hostweave.llm.urls import op2_urls
 
 QUERIES = {
+    "op2_urls": op2_urls,
     "op3_secrets": op3_secrets,
     "op4_bpe": op4_bpe,
     "op6_langid": op6_langid,
+    "op7_shards": op7_shards,
     "op8_simhash": op8_simhash,
     "op9_media": op9_media,
 }
