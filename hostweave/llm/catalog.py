@@ -2,6 +2,7 @@
 
 from hostweave.llm.bpe import op4_bpe
 from hostweave.llm.langid import op6_langid
+from hostweave.llm.lm import op10_lm
 from hostweave.llm.media import op9_media
 from hostweave.llm.secrets import op3_secrets
 from hostweave.llm.shards import op7_shards
@@ -16,6 +17,7 @@ QUERIES = {
     "op7_shards": op7_shards,
     "op8_simhash": op8_simhash,
     "op9_media": op9_media,
+    "op10_lm": op10_lm,
 }
 
 #: None of these is expressible in the oracle's SQL (XXH64, learned models, codecs); tests
