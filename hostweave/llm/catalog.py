@@ -4,6 +4,7 @@ from hostweave.llm.bpe import op4_bpe
 from hostweave.llm.langid import op6_langid
 from hostweave.llm.lm import op10_lm
 from hostweave.llm.media import op9_media
+from hostweave.llm.packing import op5_packing
 from hostweave.llm.secrets import op3_secrets
 from hostweave.llm.shards import op7_shards
 from hostweave.llm.simhash import op8_simhash
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_urls": op2_urls,
     "op3_secrets": op3_secrets,
     "op4_bpe": op4_bpe,
+    "op5_packing": op5_packing,
     "op6_langid": op6_langid,
     "op7_shards": op7_shards,
     "op8_simhash": op8_simhash,

@@ -33,14 +33,9 @@ from hostweave.llm.common import cut, documents, map_batches, raw
 SMALL_GROUP = 64
 
 
-def simhash(text: bytes, width: int = 4, seed: int = 42) -> int:
-    """Unsigned 64-bit fingerprint of one UTF-8 text."""
-    words = text.lower().split()  # on bytes: ASCII case and ASCII white space only
-    if not words:
-        return 0
-    n = max(1, len(words) - width + 1)
-    digest, join = xxhash.xxh64_intdigest, b" ".join
-    hashes = np.fromiter((digest(join(words[i : i + width]), seed) for i in range(n)), dtype="<u8", count=n)
+def _majority(hashes: np.ndarray) -> int:
+    """Bit by bit: set in over half of the hashes."""
+    n = len(hashes)
     counts = np.zeros(64, dtype=np.int64)
     for at in range(0, n, 255 * 256):
         part = hashes[at : at + 255 * 256]
@@ -51,28 +46,48 @@ def simhash(text: bytes, width: int = 4, seed: int = 42) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def _signed(values: list[int]) -> pa.Array:
-    return pa.array(np.array(values, dtype=np.uint64).view(np.int64))
+def simhash(text: bytes, width: int = 4, seed: int = 42, words: int = 1) -> tuple[int, ...]:
+    """Fingerprint of one UTF-8 text: unsigned 64-bit words, the later ones from remixed hashes."""
+    tokens = text.lower().split()  # on bytes: ASCII case and ASCII white space only
+    if not tokens:
+        return (0,) * words
+    n = max(1, len(tokens) - width + 1)
+    digest, join = xxhash.xxh64_intdigest, b" ".join
+    hashes = np.fromiter((digest(join(tokens[i : i + width]), seed) for i in range(n)), dtype="<u8", count=n)
+    out = [_majority(hashes)]
+    for k in range(1, words):
+        mixed = hashes + np.uint64(0x9E3779B97F4A7C15 * k % 2**64)
+        mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        out.append(_majority(mixed ^ (mixed >> np.uint64(31))))
+    return tuple(out)
+
+
+def _columns(values: list[tuple[int, ...]], words: int) -> list[pa.Array]:
+    """The words of fingerprints as signed columns."""
+    table = np.array(values, dtype=np.uint64).reshape(-1, words).view(np.int64)
+    return [pa.array(np.ascontiguousarray(table[:, k])) for k in range(words)]
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, seed: int = 42) -> DataFrame:
     """``(doc_id, fp)`` with the fingerprint as a signed 64-bit integer."""
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.record_batch([batch.column(0), _signed([simhash(t, width, seed) for t in raw(batch, "text")])], ["doc_id", "fp"])
+        return pa.record_batch([batch.column(0), *_columns([simhash(t, width, seed) for t in raw(batch, "text")], 1)], ["doc_id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return map_batches(rows, one, "doc_id long, fp long")
 
 
-def with_fingerprints(docs: DataFrame, text_col: str = "text", width: int = 4, seed: int = 42, name: str = "_hw_fp") -> DataFrame:
-    """All rows and columns of ``docs`` and their fingerprints."""
+def with_fingerprints(docs: DataFrame, names: list[str], text_col: str = "text", width: int = 4, seed: int = 42) -> DataFrame:
+    """All rows and columns of ``docs`` and, as further columns, their fingerprints' words."""
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.append_column(name, _signed([simhash(t, width, seed) for t in raw(batch, text_col)]))
+        found = _columns([simhash(t, width, seed, len(names)) for t in raw(batch, text_col)], len(names))
+        return pa.record_batch([*batch.columns, *found], [*batch.schema.names, *names])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_batches(docs, one, f"{fields}, {name} long")
+    return map_batches(docs, one, ", ".join([fields, *(f"{n} long" for n in names)]))
 
 
 def segments(distance: int, tables: int) -> list[tuple[int, int, int]]:
@@ -102,12 +117,12 @@ def ball(bits: int, radius: int) -> list[int]:
 
 
 def _probe_rows(fps: DataFrame, distance: int, tables: int) -> DataFrame:
-    """One stored row and one row per ball member and table: ``(key, fp, own)``."""
+    """One stored row and one row per ball member and table: ``(key, *columns, own)``."""
     parts: list[Column] = []
     for i, (at, bits, radius) in enumerate(segments(distance, tables)):
         own = F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << bits) - 1)) + F.lit(i << 32)
         parts.append(F.array(*[F.struct(own.bitwiseXOR(F.lit(m)).alias("key"), F.lit(m == 0).alias("own")) for m in ball(bits, radius)]))
-    return fps.select("fp", F.explode(F.concat(*parts)).alias("p")).select("p.key", "fp", "p.own")
+    return fps.select("*", F.explode(F.concat(*parts)).alias("p")).select("p.key", *fps.columns, "p.own")
 
 
 class _Forest:
@@ -130,79 +145,98 @@ class _Forest:
         return True
 
 
-def _near(a: np.ndarray, b: np.ndarray, distance: int) -> np.ndarray:
-    return np.bitwise_count((a ^ b).view(np.uint64)) <= distance  # of a signed integer it would count the absolute value's bits
+def _near(a: np.ndarray, b: np.ndarray, limits: tuple[int, ...]) -> np.ndarray:
+    """Whether fingerprints (words by row) are within the limit of the first word and of all."""
+    bits = np.bitwise_count((a[..., 0] ^ b[..., 0]).view(np.uint64))  # of a signed integer it would count the absolute value's bits
+    near = bits <= limits[0]
+    if a.shape[-1] > 1 and near.any():
+        rest = np.bitwise_count((np.broadcast_to(a, b.shape)[near, 1:] ^ b[near, 1:]).view(np.uint64)).sum(axis=-1)
+        near[near] = bits[near] + rest <= limits[-1]
+    return near
 
 
-def _group_links(fp: np.ndarray, own: np.ndarray, distance: int) -> Iterator[tuple[int, int]]:
-    """A spanning forest of the links of one large table value, by frontier search.
+def _group_links(fp: np.ndarray, own: np.ndarray, limits: tuple[int, ...]) -> Iterator[tuple[int, int]]:
+    """A spanning forest (of places) of the links of one large table value, by frontier search.
 
     Each reached member is compared only with members not reached yet, so a dense group
     costs about one pass. Pairs of two probes need no link here: each has a table value
-    where it is stored.
+    where it is stored; so a search begins at stored members only.
     """
-    left = np.arange(len(fp))
-    while len(left):
-        frontier, left = [left[0]], left[1:]
+    left = np.r_[np.flatnonzero(own), np.flatnonzero(~own)]
+    stored = int(own.sum())
+    while stored and len(left):
+        frontier, left, stored = [left[0]], left[1:], stored - 1
         while frontier and len(left):
             at = frontier.pop()
-            hit = _near(fp[left], fp[at], distance)
-            if not own[at]:
-                hit &= own[left]
-            for other in (got := left[hit]):
-                yield int(fp[at]), int(fp[other])
-            left = left[~hit]
-            frontier.extend(got.tolist())
-
-
-def find_links(fps: DataFrame, distance: int = 4, tables: int = 3) -> DataFrame:
-    """Links ``(a, b)`` whose connected components are those of all true links."""
+            some = left if own[at] else left[:stored]
+            hit = _near(fp[at][None], fp[some], limits)
+            if hit.any():
+                got = some[hit]
+                for other in got:
+                    yield int(at), int(other)
+                stored -= int(own[got].sum())
+                left = np.r_[some[~hit], left[len(some) :]]
+                frontier.extend(got.tolist())
+
+
+def find_links(fps: DataFrame, distance: int = 4, tables: int = 3, total: int | None = None) -> DataFrame:
+    """Links ``(a, b)`` of nodes whose connected components are those of all true links.
+
+    ``fps`` has the first word ``fp``, which the tables are over, maybe further words
+    (columns ``fp2``, ...), and maybe a column ``node`` (else ``fp`` is the node). Linked
+    are nodes within ``distance`` on the first word and, of all words, within ``total``.
+    """
+    names = [c for c in fps.columns if c.startswith("fp")]
+    limits = (distance, distance if total is None else total)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest, rest = _Forest(), None
 
-        def links(key: np.ndarray, fp: np.ndarray, own: np.ndarray) -> pa.RecordBatch:
+        def links(key: np.ndarray, own: np.ndarray, node: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
             edge = np.flatnonzero(np.diff(key)) + 1
             start, end = np.r_[0, edge], np.r_[edge, len(key)]
             size = end - start
             held = np.add.reduceat(own.astype(np.int64), start)
-            a: list[int] = []
-            b: list[int] = []
             use = (held > 0) & (size > 1)
             small = use & (size <= SMALL_GROUP)
-            first, width = start[small], size[small]
-            rows = np.repeat(first, width) + np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width)
-            ends = np.repeat(first + width, width)
-            me, upto = rows[own[rows]], ends[own[rows]]
-            begin = np.repeat(first, width)[own[rows]]
-            many = upto - begin
-            i = np.repeat(me, many)
-            j = np.repeat(begin, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            ok = ((~own[j]) | (j > i)) & _near(fp[i], fp[j], distance) & (i != j)
-            pairs = [zip(fp[i[ok]].tolist(), fp[j[ok]].tolist(), strict=True)]
-            pairs += [_group_links(fp[s:e], own[s:e], distance) for s, e in zip(start[use & ~small], end[use & ~small], strict=True)]
+            rows = np.flatnonzero(np.repeat(small, size) & own)
+            begin, upto = np.repeat(start, size)[rows], np.repeat(end, size)[rows]
+            pairs: list[Iterator[tuple[int, int]]] = []
+            for some in np.array_split(np.arange(len(rows)), len(rows) * SMALL_GROUP // 1_000_000 + 1):
+                many = upto[some] - begin[some]
+                i = np.repeat(rows[some], many)
+                j = np.repeat(begin[some], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                ok = (~own[j]) | (j > i)
+                i, j = i[ok], j[ok]
+                ok = _near(fp[i], fp[j], limits)
+                pairs.append(zip(i[ok].tolist(), j[ok].tolist(), strict=True))
+            pairs += [((x + s, y + s) for x, y in _group_links(fp[s:e], own[s:e], limits)) for s, e in zip(start[use & ~small].tolist(), end[use & ~small].tolist(), strict=True)]
+            a: list[int] = []
+            b: list[int] = []
             for found in pairs:
                 for x, y in found:
+                    x, y = int(node[x]), int(node[y])
                     if x != y and forest.link(x, y):
                         a.append(x)
                         b.append(y)
             return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
         for batch in batches:
-            key, fp, own = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("key", "fp", "own"))
+            key, own, node = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("key", "own", "node"))
+            fp = np.stack([batch.column(n).to_numpy() for n in names], axis=1)
             if rest is not None:
-                key, fp, own = (np.concatenate(x) for x in zip(rest, (key, fp, own), strict=True))
+                key, own, node, fp = (np.concatenate(x) for x in zip(rest, (key, own, node, fp), strict=True))
             if not len(key):
                 continue
             last = np.searchsorted(key, key[-1])  # the last value may go on in the next batch
-            rest = (key[last:], fp[last:], own[last:])
+            rest = (key[last:], own[last:], node[last:], fp[last:])
             if last:
-                yield links(key[:last], fp[:last], own[:last])
+                yield links(key[:last], own[:last], node[:last], fp[:last])
         if rest is not None:
             yield links(*rest)
 
-    rows = _probe_rows(fps.select("fp"), distance, tables)
-    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
+    rows = fps.select(*names, "node" if "node" in fps.columns else F.col("fp").alias("node"))
+    return _probe_rows(rows, distance, tables).repartition("key").sortWithinPartitions("key").mapInArrow(run, "a long, b long")
 
 
 def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -240,6 +274,25 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, seed: int = 42, distance: int = 10, tables: int = 6, words: int = 3, total: int = 30) -> DataFrame:
+    """One row of each near-duplicate group, all columns as they are.
+
+    The row with the least id stays (null ids last; of rows with one id, the first in the
+    written table). Defaults aim at texts that share 0.8 of their five-word shingles,
+    whose fingerprints differ in 0.15 of the bits on average: three words (192 bits) may
+    differ in 30 bits, 10 of them in the word that the tables are over.
+    """
+    names = ["fp", *(f"fp{k}" for k in range(2, words + 1))]
+    held = [f"_hw_{n}" for n in names]
+    rows = cut(with_fingerprints(docs, held, text_col, width, seed).withColumn("_hw_row", F.monotonically_increasing_id()), "fingerprinted")
+    first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("_hw_row").alias("row")))
+    keys = rows.groupBy(*[F.col(h).alias(n) for h, n in zip(held, names, strict=True)]).agg(first.alias("first")).withColumn("node", F.xxhash64(*names))
+    keys = cut(keys, "fingerprints")
+    roots = components(find_links(keys.select(*names, "node"), distance, tables, total))
+    best = keys.select("node", "first").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
+    return rows.join(best.select(F.col("first.row").alias("_hw_row")), "_hw_row", "left_semi").select(*docs.columns)
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(documents(spark, sf_dir))
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
