@@ -24,7 +24,7 @@ columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -81,7 +81,7 @@ class Block:
 
     def __init__(self, docs: list[bytes], order: int) -> None:
         numbers: dict[bytes, int] = {END: 0, START: 1}
-        flat: list[int] = []
+        flat = array("I")
         self.length = np.zeros(len(docs), dtype=np.int64)
         for i, text in enumerate(docs):
             found = words(text)
@@ -89,8 +89,9 @@ class Block:
             for w in found:
                 flat.append(numbers.setdefault(w, len(numbers)))
             flat.append(0)
+        del docs
         table = np.fromiter(map(_hash, numbers), dtype=np.uint64, count=len(numbers))
-        ids = np.array(flat, dtype=np.int64)
+        ids = np.frombuffer(flat, dtype=np.uint32) if len(flat) else np.zeros(0, np.uint32)
         start = np.cumsum(self.length) - self.length
         first = np.zeros(len(ids), dtype=bool)
         first[start[self.length > 0]] = True
@@ -156,6 +157,7 @@ def answers(asked: DataFrame) -> DataFrame:
         counts = np.concatenate([unpack(x, "u4") for x in table.column("counts").to_pylist()])
         word = np.concatenate([unpack(x, "u1") for x in table.column("word").to_pylist()])
         distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
+        at = at.astype(np.int32)
         totals = np.bincount(at, weights=counts, minlength=len(distinct)).astype(np.uint64)
         words_here = np.zeros(len(distinct), dtype=bool)
         words_here[at[word > 0]] = True
@@ -209,7 +211,7 @@ class Automaton:
         return np.log10(base), np.log10(p)
 
 
-def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2, strength: float = 100.0, block_bytes: int = 8 << 20, range_bytes: int = 64 << 20) -> DataFrame:
+def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2, strength: float = 100.0, block_bytes: int = 4 << 20, range_bytes: int = 12 << 20) -> DataFrame:
     """``(doc_id, train, n_tokens, n_known, train_tokens, base_score, score)`` for every row.
 
     ``train`` marks the rows to learn from. Blocks and ranges are sized by bytes of text,
