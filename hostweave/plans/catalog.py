@@ -2,6 +2,267 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hostweave.functions import hashing, identity
+from hostweave.operators import contract, releases, split, training, vectors
+from hostweave.operators import graph as g
+from hostweave.plans import derived
+from hostweave.plans.oracles import ORACLES
+
 FLAGSHIP = "retention_ladder"
-QUERIES: dict = {}
-ORACLES: dict = {}
+SLICE, SEED, CAP, WORLD, BATCH = 64, 42, 1000, 4, 512
+
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
+
+
+def degree_vector(spark: SparkSession, d: str) -> DataFrame:
+    return derived.graph(spark, d, ordered=False).degrees()
+
+
+def degree_totals(spark: SparkSession, d: str) -> DataFrame:
+    return g.totals(degree_vector(spark, d))
+
+
+def retention_ladder(spark: SparkSession, d: str) -> DataFrame:
+    graph = derived.graph(spark, d, ordered=False)
+    return g.retention_ladder(graph.degrees(), graph.edges)
+
+
+def induced_edges(spark: SparkSession, d: str) -> DataFrame:
+    graph = derived.graph(spark, d, ordered=False)
+    return g.induced_edge_counts(graph.edges, graph.degrees())
+
+
+def degree_histogram(spark: SparkSession, d: str) -> DataFrame:
+    return g.degree_histogram(degree_vector(spark, d))
+
+
+def min_degree_slice_edges(spark: SparkSession, d: str) -> DataFrame:
+    return g.min_degree_slice(derived.graph(spark, d), SLICE)[0].edges
+
+
+def min_degree_slice_nodes(spark: SparkSession, d: str) -> DataFrame:
+    graph = derived.graph(spark, d, ordered=False)
+    named = g.HostGraph(graph.edges, graph.num_nodes, derived.node_names(spark, d))
+    return g.min_degree_slice(named, SLICE)[0].nodes.select("orig_id", "id", "name")
+
+
+def endpoint_integrity(spark: SparkSession, d: str) -> DataFrame:
+    ids = g.endpoints(derived.links(spark, d)).select(F.col("id").alias("orig_id"))
+    vertices = derived.table(spark, d, "customer").select(F.col("c_custkey").alias("id"))
+    return g.missing_nodes(ids, vertices)
+
+
+def unique_endpoints(spark: SparkSession, d: str) -> DataFrame:
+    return g.endpoints(derived.links(spark, d))
+
+
+def to_undirected(spark: SparkSession, d: str) -> DataFrame:
+    return derived.graph(spark, d, ordered=False).to_undirected().edges
+
+
+def undirected_degrees(spark: SparkSession, d: str) -> DataFrame:
+    return derived.graph(spark, d, ordered=False).to_undirected().degrees().select("id", "out_degree")
+
+
+def adjacency_lists(spark: SparkSession, d: str) -> DataFrame:
+    lists = derived.graph(spark, d).adjacency()
+    return lists.select("id", F.col("offset").cast("long").alias("offset"), F.array_join(F.transform("neighbors", lambda x: x.cast("string")), ",").alias("neighbors"))
+
+
+def neighbors_of(spark: SparkSession, d: str) -> DataFrame:
+    graph = derived.graph(spark, d)
+    out = graph.out_neighbors(7).select(F.lit("out").alias("direction"), "eid", "neighbor")
+    return out.unionByName(graph.in_neighbors(7).select(F.lit("in").alias("direction"), "eid", "neighbor"))
+
+
+def edge_mask_subgraph(spark: SparkSession, d: str) -> DataFrame:
+    return derived.graph(spark, d).where_edges((F.col("src") + F.col("dst")) % 3 == 0).edges
+
+
+def induced_prefix(spark: SparkSession, d: str) -> DataFrame:
+    return derived.graph(spark, d).prefix(1000).compacted()[0].edges
+
+
+def split_assignment(spark: SparkSession, d: str) -> DataFrame:
+    return split.assigned(derived.edges(spark, d), SEED).select("eid", "bucket", "split")
+
+
+def split_counts(spark: SparkSession, d: str) -> DataFrame:
+    return split_assignment(spark, d).groupBy("split", "bucket").agg(F.count("*").alias("n"))
+
+
+def split_eval_subsample(spark: SparkSession, d: str) -> DataFrame:
+    edges = derived.edges(spark, d)
+    return split.bounded(split.assigned(edges, SEED), edges.count(), SEED, CAP).where("split <> 'train'").select("eid", "split")
+
+
+def subsample_exact(spark: SparkSession, d: str) -> DataFrame:
+    return split.subsample(derived.edges(spark, d), CAP, SEED)
+
+
+def permutation_split(spark: SparkSession, d: str) -> DataFrame:
+    return split.permutation_split(derived.edges(spark, d), SEED).select("eid", "split")
+
+
+def train_stripes(spark: SparkSession, d: str) -> DataFrame:
+    parts = split.split_edges(derived.edges(spark, d), 0, SEED, CAP)
+    return split.worker_stripes(parts, WORLD).groupBy("rank").agg(F.count("*").alias("n"), F.min("eid").alias("first_eid"), F.max("eid").alias("last_eid"))
+
+
+def train_slices(spark: SparkSession, d: str) -> DataFrame:
+    parts = split.split_edges(derived.edges(spark, d), 0, SEED, CAP)
+    return split.worker_slices(parts, WORLD).groupBy("rank").agg(F.count("*").alias("n"), F.min("eid").alias("first_eid"), F.max("eid").alias("last_eid"))
+
+
+def minibatch_local_index(spark: SparkSession, d: str) -> DataFrame:
+    return split.minibatches(derived.edges(spark, d), BATCH, 1, SEED)
+
+
+def uniform_negatives(spark: SparkSession, d: str) -> DataFrame:
+    n = derived.num_nodes(spark, d)
+    return training.uniform_negatives(derived.edges(spark, d).where("eid < 500"), n, 5, SEED)
+
+
+def host_keys(spark: SparkSession, d: str) -> DataFrame:
+    return derived.reversed_hosts(spark, d).select("page_id", identity.host_key(F.col("name")).alias("host_key"))
+
+
+def domain_keys(spark: SparkSession, d: str) -> DataFrame:
+    hosts = host_keys(spark, d).select("host_key").distinct()
+    return hosts.select("host_key", identity.domain_key(F.col("host_key")).alias("domain_key"))
+
+
+def host_records(spark: SparkSession, d: str) -> DataFrame:
+    return releases.records(derived.node_names(spark, d), degree_vector(spark, d))
+
+
+def cohort_counts(spark: SparkSession, d: str) -> DataFrame:
+    return host_records(spark, d).groupBy("cohort", "confidence", "is_dangling").agg(F.count("*").alias("n"))
+
+
+def duplicate_keys(spark: SparkSession, d: str) -> DataFrame:
+    rows = host_keys(spark, d).withColumnRenamed("page_id", "local_node_id")
+    return releases.duplicate_keys(rows)
+
+
+def cross_release_index(spark: SparkSession, d: str) -> DataFrame:
+    index = releases.release_index(derived.releases(spark, d))
+    entries = F.array_sort(F.transform(F.map_entries("local_node_ids"), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string"))))
+    return index.select("host_key", "first_release", "last_seen_release", "state", F.array_join(entries, ",").alias("local_ids"))
+
+
+def state_counts(spark: SparkSession, d: str) -> DataFrame:
+    return releases.state_counts(releases.release_index(derived.releases(spark, d)))
+
+
+def keys_reappeared(spark: SparkSession, d: str) -> DataFrame:
+    return releases.keys_in_state(releases.release_index(derived.releases(spark, d)), "reappeared")
+
+
+def normalize_vectors(spark: SparkSession, d: str) -> DataFrame:
+    unit = derived.vectors(spark, d).select("id", vectors.normalized(F.col("embedding")).alias("v"))
+    at = lambda i: F.round(F.element_at("v", i).cast("double"), 4)
+    return unit.select("id", F.round(vectors.norm(F.col("v")), 4).alias("norm"), at(1).alias("x1"), at(64).alias("x64"))
+
+
+def input_norms(spark: SparkSession, d: str) -> DataFrame:
+    out = vectors.input_norms(derived.vectors(spark, d), 300, "id")
+    return out.select(*[F.round(c, 4).alias(c) for c in out.columns])
+
+
+def cosine_topk(spark: SparkSession, d: str) -> DataFrame:
+    out = vectors.cosine_topk(derived.table(spark, d, "embeddings").withColumnRenamed("vec_id", "id"), list(range(10)), 5)
+    return out.select("query_id", "rank", "neighbor_id", F.round("cosine", 4).alias("cosine"))
+
+
+def eval_ranks(spark: SparkSession, d: str) -> DataFrame:
+    emb = derived.table(spark, d, "embeddings").withColumnRenamed("vec_id", "id")
+    n = emb.count()
+    return vectors.ranked(derived.positives(spark, d, n), emb, n, 100, SEED)
+
+
+def eval_mrr(spark: SparkSession, d: str) -> DataFrame:
+    out = vectors.ranking_metrics(eval_ranks(spark, d))
+    return out.select(*[F.round(c, 6).alias(c) for c in out.columns])
+
+
+def shard_ranges(spark: SparkSession, d: str) -> DataFrame:
+    shard = F.floor(F.col("vec_id") / 200).cast("long")
+    return derived.table(spark, d, "embeddings").groupBy(shard.alias("shard")).agg(F.min("vec_id").alias("row_start"), (F.max("vec_id") + 1).alias("row_end"), F.count("*").alias("n_rows"))
+
+
+def size_table(spark: SparkSession, d: str) -> DataFrame:
+    return contract.size_table(spark, contract.HOST_NODES).drop("vector_gib", "total_uncompressed_gib")
+
+
+def schema_fields(spark: SparkSession, d: str) -> DataFrame:
+    rows = [(f.location, f.nbytes or 0) for f in contract.SCHEMA]
+    return spark.createDataFrame(rows, "location string, nbytes int").groupBy("location").agg(F.count("*").alias("n"), F.sum("nbytes").alias("bytes"))
+
+
+def lr_schedule(spark: SparkSession, d: str) -> DataFrame:
+    config = training.Config(epochs=10)
+    return spark.createDataFrame([(e, round(training.learning_rate(config, e), 9)) for e in range(1, 11)], "epoch int, lr double")
+
+
+def split_bucket_sql(spark: SparkSession, d: str) -> DataFrame:
+    identity.register(spark)
+    derived.edges(spark, d).createOrReplaceTempView("hw_edges")
+    return spark.sql("SELECT split_bucket(eid, 42) AS bucket, count(*) AS n FROM hw_edges GROUP BY 1")
+
+
+def hash_top_bits(spark: SparkSession, d: str) -> DataFrame:
+    rows = spark.range(13_070_000_000, 13_070_002_000).withColumnRenamed("id", "eid")
+    return rows.select("eid", hashing.top24(F.col("eid"), SEED).alias("top24"), hashing.split_bucket(F.col("eid"), SEED).alias("bucket"))
+
+
+def train_embeddings(spark: SparkSession, d: str) -> DataFrame:
+    """Trains on the derived graph's training split; the final table's shape and its history."""
+    from uuid import uuid4
+
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        import tempfile
+
+        folder = "file://" + tempfile.mkdtemp(prefix="hostweave-")
+    parts = split.split_edges(derived.edges(spark, d), derived.num_nodes(spark, d), SEED, CAP)
+    config = training.Config(dim=16, epochs=2, blocks=2, batch=1024, eval_neg=20)
+    table, history = training.train_embeddings(parts.part("train"), parts.num_nodes, config, f"{folder}/train-{uuid4().hex}", parts.part("val"))
+    rows = table.agg(F.count("*").alias("n_nodes"), F.max(F.size("embedding")).alias("dim"))
+    return rows.withColumn("loss_fell", F.lit(history[-1]["loss"] < history[0]["loss"]))
+
+
+def export_shards(spark: SparkSession, d: str) -> DataFrame:
+    """The shard encoding, without files: a row per shard and tier with its digest."""
+    import hashlib
+
+    import pyarrow as pa
+
+    from hostweave.sources.export import encode_shard, rows_of
+
+    emb = derived.vectors(spark, d).withColumnRenamed("id", "row_id")
+    names = emb.select("row_id", F.concat(F.lit("com.h"), F.col("row_id").cast("string")).alias("name"))
+
+    def digest(table: pa.Table) -> pa.Table:
+        table = table.sort_by("row_id")
+        files = [(kind, encode_shard(table, kind)) for kind in ("float32", "float16")]
+        return pa.table({"shard": [table.column("shard")[0].as_py()] * 2, "kind": [k for k, _ in files], "n_rows": [table.num_rows] * 2, "sha256": [hashlib.sha256(x).hexdigest() for _, x in files]})
+
+    rows = rows_of(emb, names).withColumn("shard", F.floor(F.col("row_id") / 200).cast("long"))
+    return rows.groupBy("shard").applyInArrow(digest, "shard long, kind string, n_rows long, sha256 string")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        degree_vector, degree_totals, retention_ladder, induced_edges, degree_histogram, min_degree_slice_edges, min_degree_slice_nodes,
+        endpoint_integrity, unique_endpoints, to_undirected, undirected_degrees, adjacency_lists, neighbors_of, edge_mask_subgraph,
+        induced_prefix, split_assignment, split_counts, split_eval_subsample, subsample_exact, permutation_split, train_stripes, train_slices,
+        minibatch_local_index, uniform_negatives, host_keys, domain_keys, host_records, cohort_counts, duplicate_keys, cross_release_index,
+        state_counts, keys_reappeared, normalize_vectors, input_norms, cosine_topk, eval_ranks, eval_mrr, shard_ranges, size_table,
+        schema_fields, lr_schedule, split_bucket_sql, hash_top_bits, train_embeddings, export_shards,
+    )
+}
