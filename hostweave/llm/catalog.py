@@ -5,12 +5,14 @@ from hostweave.llm.langid import op6_langid
 from hostweave.llm.lm import op10_lm
 from hostweave.llm.media import op9_media
 from hostweave.llm.packing import op5_packing
+from hostweave.llm.search import op1_search
 from hostweave.llm.secrets import op3_secrets
 from hostweave.llm.shards import op7_shards
 from hostweave.llm.simhash import op8_simhash
 from hostweave.llm.urls import op2_urls
 
 QUERIES = {
+    "op1_search": op1_search,
     "op2_urls": op2_urls,
     "op3_secrets": op3_secrets,
     "op4_bpe": op4_bpe,
