@@ -19,7 +19,7 @@ null has a null component_id); an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -93,11 +93,11 @@ def with_fingerprints(docs: DataFrame, names: list[str], text_col: str = "text",
 def segments(distance: int, tables: int) -> list[tuple[int, int, int]]:
     """``(offset, bits, radius)`` of each table, widest balls in the widest segments."""
     spare = distance - tables + 1
-    if tables < 1 or spare < 0:
-        raise ValueError("1 <= tables <= distance + 1 is needed")
+    if tables < 2 or spare < 0:
+        raise ValueError("2 <= tables <= distance + 1 is needed")  # a segment has 32 bits at most
     radii = [spare // tables + (i < spare % tables) for i in range(tables)]
     base = [64 // tables + (i < 64 % tables) for i in range(tables)]
-    if tables > 1 and radii[0] != radii[-1]:  # a ball costs lookups, so give its segment more bits
+    if radii[0] != radii[-1]:  # a ball costs lookups, so give its segment more bits
         base[-1] -= 1
         base[-2] += 1
     out, at = [], 0
@@ -201,7 +201,7 @@ def find_links(fps: DataFrame, distance: int = 4, tables: int = 3, total: int |
             small = use & (size <= SMALL_GROUP)
             rows = np.flatnonzero(np.repeat(small, size) & own)
             begin, upto = np.repeat(start, size)[rows], np.repeat(end, size)[rows]
-            pairs: list[Iterator[tuple[int, int]]] = []
+            pairs: list[Iterable[tuple[int, int]]] = []
             for some in np.array_split(np.arange(len(rows)), len(rows) * SMALL_GROUP // 1_000_000 + 1):
                 many = upto[some] - begin[some]
                 i = np.repeat(rows[some], many)
@@ -210,7 +210,7 @@ def find_links(fps: DataFrame, distance: int = 4, tables: int = 3, total: int |
                 i, j = i[ok], j[ok]
                 ok = _near(fp[i], fp[j], limits)
                 pairs.append(zip(i[ok].tolist(), j[ok].tolist(), strict=True))
-            pairs += [((x + s, y + s) for x, y in _group_links(fp[s:e], own[s:e], limits)) for s, e in zip(start[use & ~small].tolist(), end[use & ~small].tolist(), strict=True)]
+            pairs += [[(x + s, y + s) for x, y in _group_links(fp[s:e], own[s:e], limits)] for s, e in zip(start[use & ~small].tolist(), end[use & ~small].tolist(), strict=True)]
             a: list[int] = []
             b: list[int] = []
             for found in pairs:
