@@ -20,6 +20,7 @@ null has a null component_id); an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -274,13 +275,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, seed: int = 42, distance: int = 10, tables: int = 6, words: int = 3, total: int = 30) -> DataFrame:
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, seed: int = 42, distance: int = 10, tables: int = 6, words: int = 3, lookups: int = 2, total: int = 34) -> DataFrame:
     """One row of each near-duplicate group, all columns as they are.
 
     The row with the least id stays (null ids last; of rows with one id, the first in the
     written table). Defaults aim at texts that share 0.8 of their five-word shingles,
     whose fingerprints differ in 0.15 of the bits on average: three words (192 bits) may
-    differ in 30 bits, 10 of them in the word that the tables are over.
+    differ in 34 bits, and in one of the two words that have tables in 10.
     """
     names = ["fp", *(f"fp{k}" for k in range(2, words + 1))]
     held = [f"_hw_{n}" for n in names]
@@ -288,7 +289,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("_hw_row").alias("row")))
     keys = rows.groupBy(*[F.col(h).alias(n) for h, n in zip(held, names, strict=True)]).agg(first.alias("first")).withColumn("node", F.xxhash64(*names))
     keys = cut(keys, "fingerprints")
-    roots = components(find_links(keys.select(*names, "node"), distance, tables, total))
+    turned = [names[k:] + names[:k] for k in range(min(lookups, words))]
+    links = [find_links(keys.select(*[F.col(c).alias(n) for c, n in zip(t, names, strict=True)], "node"), distance, tables, total) for t in turned]
+    roots = components(reduce(DataFrame.unionByName, links))
     best = keys.select("node", "first").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     return rows.join(best.select(F.col("first.row").alias("_hw_row")), "_hw_row", "left_semi").select(*docs.columns)
 
