@@ -138,25 +138,23 @@ def retention_ladder(degree: DataFrame, edges: DataFrame | None = None, threshol
     All thresholds are conditional sums of one aggregation per input; the one-row results
     are then unfolded.
     """
-    n = F.count("*")
+    unfold = lambda one, keep, **cells: one.select(*keep, F.explode(F.array(*[F.struct(F.lit(t).alias("t"), *[F.coalesce(F.col(f"{p}{t}"), F.lit(0)).alias(c) for c, p in cells.items()]) for t in thresholds])).alias("r")).select(*keep, "r.*")
     kept = [F.sum((F.col("degree") >= t).cast("long")).alias(f"n{t}") for t in thresholds]
     ends = [F.sum(F.when(F.col("degree") >= t, F.col("degree")).otherwise(0)).alias(f"e{t}") for t in thresholds]
-    one = degree.agg(n.alias("n"), F.sum("degree").alias("all"), *kept, *ends)
+    flat = unfold(degree.agg(F.count("*").alias("n"), F.sum("degree").alias("all"), *kept, *ends), ["n", "all"], k="n", e="e")
     if edges is not None:
-        low = edge_min_degree(edges, degree)
-        one = one.crossJoin(low.agg(F.count("*").alias("m"), *[F.sum((F.col("low") >= t).cast("long")).alias(f"m{t}") for t in thresholds]))  # one row each
-    rows = [F.struct(F.lit(t).alias("t"), F.col(f"n{t}").alias("k"), F.col(f"e{t}").alias("e"), *([F.coalesce(f"m{t}", F.lit(0)).alias("i")] if edges is not None else [])) for t in thresholds]
-    flat = one.select("n", "all", *(["m"] if edges is not None else []), F.explode(F.array(*rows)).alias("r"))
-    frac = F.col("r.k") / F.greatest(F.col("n"), F.lit(1))
+        low = edge_min_degree(edges, degree).agg(F.count("*").alias("m"), *[F.sum((F.col("low") >= t).cast("long")).alias(f"m{t}") for t in thresholds])
+        flat = flat.join(unfold(low, ["m"], i="m"), "t")  # a row for each threshold on either side
+    frac = F.col("k") / F.greatest(F.col("n"), F.lit(1))
     out = [
-        F.col("r.t").alias("min_degree"),
-        F.col("r.k").alias("n_nodes"),
+        F.col("t").alias("min_degree"),
+        F.col("k").alias("n_nodes"),
         F.round(frac, 5).alias("frac_nodes"),
         F.round(1 - frac, 5).alias("frac_fallback"),
-        F.round(F.col("r.e") / F.greatest(F.col("all"), F.lit(1)), 5).alias("endpoint_incidence"),
+        F.round(F.col("e") / F.greatest(F.col("all"), F.lit(1)), 5).alias("endpoint_incidence"),
     ]
     if edges is not None:
-        out += [F.col("r.i").alias("induced_edges"), F.round(F.col("r.i") / F.greatest(F.col("m"), F.lit(1)), 5).alias("frac_edges")]
+        out += [F.col("i").alias("induced_edges"), F.round(F.col("i") / F.greatest(F.col("m"), F.lit(1)), 5).alias("frac_edges")]
     return flat.select(*out)
 
 
