@@ -125,11 +125,11 @@ def totals(degree: DataFrame) -> DataFrame:
 
 
 def edge_min_degree(edges: DataFrame, degree: DataFrame) -> DataFrame:
-    """``(eid, low)``: the lesser degree of each edge's ends."""
+    """``(low)``: the lesser degree of each edge's ends."""
     d = degree.select("id", "degree")
     a = d.select(F.col("id").alias("src"), F.col("degree").alias("ds"))
     b = d.select(F.col("id").alias("dst"), F.col("degree").alias("dd"))
-    return edges.join(a, "src").join(b, "dst").select("eid", F.least("ds", "dd").alias("low"))
+    return edges.join(a, "src").join(b, "dst").select(F.least("ds", "dd").alias("low"))
 
 
 def retention_ladder(degree: DataFrame, edges: DataFrame | None = None, thresholds: tuple[int, ...] = THRESHOLDS) -> DataFrame:
