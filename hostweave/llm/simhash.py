@@ -12,6 +12,9 @@ Exact copies collapse to one fingerprint before any lookup. Within a table value
 spanning forest of the verified links is emitted (never all pairs of a group), and the
 forests are merged by distributed star contraction.
 
+``deduplicated``, the pipeline's stage, finds candidates by min-hash keys instead and links
+only pairs whose shingle sets are similar enough, computed exactly.
+
 Defined results: null or wordless text has fingerprint zero, which links like any other;
 repeated rows get the same component; null ids are kept (a component whose ids are all
 null has a null component_id); an empty table gives an empty result.
@@ -20,7 +23,6 @@ null has a null component_id); an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +34,8 @@ from hostweave.llm.common import cut, documents, map_batches, raw
 
 #: A group of one table value with more members is linked by a frontier search.
 SMALL_GROUP = 64
+#: Texts of one group that are compared in one task (twice as many where a group is in parts).
+CHUNK = 4096
 
 
 def _majority(hashes: np.ndarray) -> int:
@@ -80,17 +84,6 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return map_batches(rows, one, "doc_id long, fp long")
 
 
-def with_fingerprints(docs: DataFrame, names: list[str], text_col: str = "text", width: int = 4, seed: int = 42) -> DataFrame:
-    """All rows and columns of ``docs`` and, as further columns, their fingerprints' words."""
-
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = _columns([simhash(t, width, seed, len(names)) for t in raw(batch, text_col)], len(names))
-        return pa.record_batch([*batch.columns, *found], [*batch.schema.names, *names])
-
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return map_batches(docs, one, ", ".join([fields, *(f"{n} long" for n in names)]))
-
-
 def segments(distance: int, tables: int) -> list[tuple[int, int, int]]:
     """``(offset, bits, radius)`` of each table, widest balls in the widest segments."""
     spare = distance - tables + 1
@@ -275,23 +268,154 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(labels, "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, seed: int = 42, distance: int = 10, tables: int = 6, words: int = 3, lookups: int = 2, total: int = 34) -> DataFrame:
+def shingles(text: bytes, width: int = 5, seed: int = 42) -> np.ndarray:
+    """The sorted 64-bit hashes of a text's different word shingles (a shorter text is one)."""
+    tokens = text.lower().split()
+    digest, join = xxhash.xxh64_intdigest, b" ".join
+    n = max(1, len(tokens) - width + 1) if tokens else 0
+    return np.unique(np.fromiter((digest(join(tokens[i : i + width]), seed) for i in range(n)), dtype="<u8", count=n))
+
+
+def band_keys(found: np.ndarray, bands: int, size: int, seed: int = 42) -> np.ndarray:
+    """One key a band, of ``size`` least values of the shingles under different hashes each."""
+    rng = np.random.default_rng(seed)
+    factor, offset = rng.integers(0, 2**64, (2, bands * size, 1), dtype=np.uint64)
+    factor |= np.uint64(1)
+    least = np.full(bands * size, 2**64 - 1, dtype=np.uint64)
+    for at in range(0, len(found), 4096):
+        mixed = found[at : at + 4096] * factor + offset
+        least = np.minimum(least, (mixed ^ (mixed >> np.uint64(32))).min(axis=1))
+    key = np.arange(bands, dtype=np.uint64)
+    for part in least.reshape(bands, size).T:
+        key = (key ^ part) * np.uint64(0x9E3779B97F4A7C15)
+        key ^= key >> np.uint64(29)
+    return key
+
+
+def similar_stars(sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
+    """``(first, member)`` of each component of the sets that share ``least`` or more (exact Jaccard).
+
+    Each reached set is compared with those not reached yet, so a dense group costs about
+    one pass and no more than one link a member is returned.
+    """
+    size = np.array([len(x) for x in sets])
+    number = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    own = np.split(number, np.cumsum(size)[:-1])
+    mark = np.zeros(int(number.max(initial=-1)) + 1, dtype=bool)
+    left = np.flatnonzero(size)
+    out = []
+    while len(left) > 1:
+        centre, left = int(left[0]), left[1:]
+        frontier = [centre]
+        flat, start = np.concatenate([own[i] for i in left]), np.cumsum(size[left]) - size[left]
+        while frontier and len(left):
+            at = frontier.pop()
+            mark[own[at]] = True
+            both = np.add.reduceat(mark[flat], start, dtype=np.int64)
+            mark[own[at]] = False
+            hit = both >= least * (size[left] + size[at] - both) - 1e-9
+            if hit.any():
+                frontier += left[hit].tolist()
+                out += [(centre, i) for i in left[hit].tolist()]
+                flat = flat[np.repeat(~hit, size[left])]
+                left = left[~hit]
+                start = np.cumsum(size[left]) - size[left]
+    return out
+
+
+def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.Table]]:
+    """Bounds of whole groups, and their rows, of batches that are sorted by the first column."""
+    rest: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = batch.column(0).to_numpy()
+        if rest and key[-1] == last:  # one group goes on through the whole batch
+            rest.append(batch)
+            continue
+        cut_at = int(np.searchsorted(key, key[-1]))
+        if rest or cut_at:
+            whole = pa.Table.from_batches([*rest, batch.slice(0, cut_at)])
+            yield np.flatnonzero(np.diff(whole.column(0).to_numpy(), prepend=~whole.column(0)[0].as_py(), append=~whole.column(0)[-1].as_py())), whole
+        rest, last = [batch.slice(cut_at)], key[-1]
+    if rest:
+        whole = pa.Table.from_batches(rest)
+        yield np.flatnonzero(np.diff(whole.column(0).to_numpy(), prepend=~whole.column(0)[0].as_py(), append=~whole.column(0)[-1].as_py())), whole
+
+
+def candidates(keys: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """``(group, node)`` of the groups of nodes to compare, from ``(node, bands)``.
+
+    Nodes with a band key in common are a group; a group that several bands make is
+    returned once. One of over ``chunk`` nodes is dealt into parts, and each two parts
+    are a group, so a task's memory is bounded and still every pair meets.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bound, table in _by_key(batches):
+            nodes = table.column(1).to_numpy()
+            group: list[np.ndarray] = []
+            member: list[np.ndarray] = []
+            for i, j in zip(bound[:-1].tolist(), bound[1:].tolist(), strict=True):
+                if j - i < 2:
+                    continue
+                some = np.sort(nodes[i:j])
+                name = xxhash.xxh64_intdigest(some.tobytes())
+                parts = -(-len(some) // chunk)
+                for x in range(parts):
+                    for y in range(x, parts) if parts == 1 else range(x + 1, parts):
+                        held = some if parts == 1 else np.r_[some[x::parts], some[y::parts]]
+                        group.append(np.full(len(held), xxhash.xxh64_intdigest(f"{x} {y}".encode(), name), dtype=np.uint64))
+                        member.append(held)
+            if group:
+                yield pa.record_batch([pa.array(np.concatenate(group).view(np.int64)), pa.array(np.concatenate(member))], ["group", "node"])
+
+    rows = keys.select(F.explode("bands").alias("key"), "node")
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "group long, node long").distinct()
+
+
+def verified(members: DataFrame, width: int, seed: int, least: float) -> DataFrame:
+    """Links ``(a, b)`` by exact similarity within each group of ``(group, node, text)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for bound, table in _by_key(batches):
+            nodes, data = table.column(1).to_numpy(), table.column(2)
+            links: list[tuple[int, int]] = []
+            for i, j in zip(bound[:-1].tolist(), bound[1:].tolist(), strict=True):
+                sets = [shingles(t, width, seed) for t in data.slice(i, j - i).cast(pa.binary()).to_pylist()]
+                links += [(int(nodes[i + x]), int(nodes[i + y])) for x, y in similar_stars(sets, least)]
+            a, b = zip(*links, strict=True) if links else ((), ())
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return members.select("group", "node", "text").repartition("group").sortWithinPartitions("group", "node").mapInArrow(run, "a long, b long")
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, seed: int = 42, least: float = 0.8, bands: int = 24, size: int = 5) -> DataFrame:
     """One row of each near-duplicate group, all columns as they are.
 
     The row with the least id stays (null ids last; of rows with one id, the first in the
-    written table). Defaults aim at texts that share 0.8 of their five-word shingles,
-    whose fingerprints differ in 0.15 of the bits on average: three words (192 bits) may
-    differ in 34 bits, and in one of the two words that have tables in 10.
+    written table). Two texts are linked when the sets of their ``width``-word shingles
+    share ``least`` or more, which is always computed from the texts. Compared are texts
+    that agree in one of ``bands`` min-hash keys: with the defaults a pair at 0.8 meets
+    with probability 0.9999, and one at 0.5 in about half of all cases. Texts without a
+    word are alike.
     """
-    names = ["fp", *(f"fp{k}" for k in range(2, words + 1))]
-    held = [f"_hw_{n}" for n in names]
-    rows = cut(with_fingerprints(docs, held, text_col, width, seed).withColumn("_hw_row", F.monotonically_increasing_id()), "fingerprinted")
-    first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("_hw_row").alias("row")))
-    keys = rows.groupBy(*[F.col(h).alias(n) for h, n in zip(held, names, strict=True)]).agg(first.alias("first")).withColumn("node", F.xxhash64(*names))
-    keys = cut(keys, "fingerprints")
-    turned = [names[k:] + names[:k] for k in range(min(lookups, words))]
-    links = [find_links(keys.select(*[F.col(c).alias(n) for c, n in zip(t, names, strict=True)], "node"), distance, tables, total) for t in turned]
-    roots = components(reduce(DataFrame.unionByName, links))
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sets = [shingles(t, width, seed) for t in raw(batch, "text")]
+        whole = np.array([divmod(xxhash.xxh3_128_intdigest(x.tobytes()), 2**64) for x in sets], dtype=np.uint64).reshape(-1, 2).view(np.int64)
+        found = [band_keys(x, bands, size, seed).view(np.int64) if len(x) else [] for x in sets]
+        return pa.record_batch([*batch.columns[:2], *(pa.array(np.ascontiguousarray(whole[:, k])) for k in (0, 1)), pa.array(found, pa.list_(pa.int64()))], ["id", "row", "fp", "fp2", "bands"])
+
+    rows = cut(docs.withColumn("_hw_row", F.monotonically_increasing_id()), "numbered")
+    hashed = map_batches(rows.select(F.col(id_col).alias("id"), F.col("_hw_row").alias("row"), F.col(text_col).alias("text")), one, f"id {docs.schema[id_col].dataType.simpleString()}, row long, fp long, fp2 long, bands array<long>")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
+    keys = cut(hashed.groupBy("fp", "fp2").agg(first.alias("first"), F.min("bands").alias("bands")).withColumn("node", F.col("first.row")), "shingled")
+    groups = cut(candidates(keys), "candidates")
+    texts_of = rows.select(F.col("_hw_row").alias("node"), F.col(text_col).alias("text"))
+    links = verified(groups.join(texts_of, "node"), width, seed, least)
+    roots = components(links)
     best = keys.select("node", "first").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
     return rows.join(best.select(F.col("first.row").alias("_hw_row")), "_hw_row", "left_semi").select(*docs.columns)
 

@@ -92,3 +92,47 @@ def test_deduplicated_keeps_one_of_each_group(spark):
     out = s.deduplicated(docs)
     assert out.columns == docs.columns
     assert sorted(r["doc_id"] for r in out.collect()) == [3, 4, 12, 13, 14, 15]
+
+
+def brute_pairs(texts, least):
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.split() for t in texts)]
+    return {(i, j) for j in range(len(sets)) for i in range(j) if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]) - 1e-9}
+
+
+def test_deduplicated_equals_brute_force_around_the_limit(spark):
+    rng = np.random.default_rng(8)
+    texts = []
+    for k in range(60):  # pairs at 0.6 to 0.95, by changed words far from each other
+        words = [f"w{x}" for x in rng.integers(0, 10**6, 300)]
+        other = list(words)
+        for at in range(3, 3 + 6 * (k % 12 + 1), 6):
+            other[at] = f"x{k}-{at}"
+        texts += [" ".join(words), " ".join(other)]
+    pairs = brute_pairs(texts, 0.8)
+    assert 25 <= len(pairs) <= 50 and len(brute_pairs(texts, 0.6)) > len(pairs)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in s.deduplicated(docs).collect()}
+    assert set(range(len(texts))) - kept == {j for _, j in pairs}
+
+
+@pytest.mark.parametrize("chunk", [7, 4096])
+def test_large_groups_link_as_all_pairs_do(spark, chunk):
+    rng = np.random.default_rng(9)
+    base = [f"w{x}" for x in range(120)]
+    texts = []
+    for k in range(40):
+        words = list(base)
+        for at in rng.choice(120, k % 4, replace=False):
+            words[at] = f"x{k}-{at}"
+        texts.append(" ".join(words))
+    pairs = brute_pairs(texts, 0.8)
+    root = list(range(40))
+    for _ in root:
+        for i, j in pairs:
+            root[i] = root[j] = min(root[i], root[j])
+    keys = spark.createDataFrame([(i, [1, 2]) for i in range(40)], "node long, bands array<long>")
+    groups = s.candidates(keys, chunk)
+    assert groups.groupBy("group").count().agg(F.max("count")).first()[0] <= (40 if chunk > 40 else 2 * chunk)
+    members = groups.join(spark.createDataFrame(list(enumerate(texts)), "node long, text string"), "node")
+    found = {r["node"]: r["root"] for r in s.components(s.verified(members, 5, 42, 0.8)).collect()}
+    assert [found.get(i, i) for i in range(40)] == root
