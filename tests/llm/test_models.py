@@ -200,3 +200,13 @@ def test_digest_columns(spark):
         assert (own["n_assign"], own["n_access"], own["n_hex"]) == tuple(sum(k == x for *_, k in spans) for x in secrets.KINDS[:3])
     held = {r["doc_id"]: r["held_out"] for r in QUERIES["op6_langid"](spark, SF).collect()}
     assert all(h == (zlib.crc32(str(i).encode()) % 4 == 2) for i, h in held.items())
+
+
+def test_language_sample_takes_different_texts(spark):
+    rows = [("aa", "the common text")] * 300 + [("aa", f"text number {i}") for i in range(60)] + [("bb", f"copy {i % 3}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    got = [tuple(r) for r in langid.sampled(docs, per_language=20).collect()]
+    assert len(set(got)) == len(got) and sum(x == "aa" for x, _ in got) == 20
+    assert sorted(t for x, t in got if x == "bb") == ["copy 0", "copy 1", "copy 2"]
+    whole = langid.sampled(docs, per_language=400).collect()
+    assert sorted(tuple(r) for r in whole) == sorted(set(rows))
