@@ -126,6 +126,11 @@ def uniform_negatives(spark: SparkSession, d: str) -> DataFrame:
     return training.uniform_negatives(derived.edges(spark, d).where("eid < 500"), n, 5, SEED)
 
 
+def uniform_negatives_all(spark: SparkSession, d: str) -> DataFrame:
+    """For every edge; the query above is held to SQL over the first 500."""
+    return training.uniform_negatives(derived.edges(spark, d), derived.num_nodes(spark, d), 5, SEED)
+
+
 def host_keys(spark: SparkSession, d: str) -> DataFrame:
     return derived.reversed_hosts(spark, d).select("page_id", identity.host_key(F.col("name")).alias("host_key"))
 
@@ -173,6 +178,12 @@ def input_norms(spark: SparkSession, d: str) -> DataFrame:
     return out.select(*[F.round(c, 4).alias(c) for c in out.columns])
 
 
+def input_norms_leading(spark: SparkSession, d: str) -> DataFrame:
+    """Over the reference's 4096 leading rows; the query above is held to SQL over 300."""
+    out = vectors.input_norms(derived.vectors(spark, d), id_col="id")
+    return out.select(*[F.round(c, 4).alias(c) for c in out.columns])
+
+
 def cosine_topk(spark: SparkSession, d: str) -> DataFrame:
     out = vectors.cosine_topk(derived.table(spark, d, "embeddings").withColumnRenamed("vec_id", "id"), list(range(10)), 5)
     return out.select("query_id", "rank", "neighbor_id", F.round("cosine", 4).alias("cosine"))
@@ -261,8 +272,8 @@ QUERIES = {
         degree_vector, degree_totals, retention_ladder, induced_edges, degree_histogram, min_degree_slice_edges, min_degree_slice_nodes,
         endpoint_integrity, unique_endpoints, to_undirected, undirected_degrees, adjacency_lists, neighbors_of, edge_mask_subgraph,
         induced_prefix, split_assignment, split_counts, split_eval_subsample, subsample_exact, permutation_split, train_stripes, train_slices,
-        minibatch_local_index, uniform_negatives, host_keys, domain_keys, host_records, cohort_counts, duplicate_keys, cross_release_index,
-        state_counts, keys_reappeared, normalize_vectors, input_norms, cosine_topk, eval_ranks, eval_mrr, shard_ranges, size_table,
+        minibatch_local_index, uniform_negatives, uniform_negatives_all, host_keys, domain_keys, host_records, cohort_counts, duplicate_keys, cross_release_index,
+        state_counts, keys_reappeared, normalize_vectors, input_norms, input_norms_leading, cosine_topk, eval_ranks, eval_mrr, shard_ranges, size_table,
         schema_fields, lr_schedule, split_bucket_sql, hash_top_bits, train_embeddings, export_shards,
     )
 }

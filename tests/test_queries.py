@@ -25,3 +25,18 @@ def test_entry_points(spark):
 
 def test_exported_shards(spark):
     assert catalog.export_shards(spark, SF).count() == 6
+
+
+def test_every_edge_has_its_negatives(spark):
+    n, edges = catalog.derived.num_nodes(spark, SF), catalog.derived.edges(spark, SF).count()
+    got = [tuple(r) for r in catalog.QUERIES["uniform_negatives_all"](spark, SF).select("eid", "k", "neg_id").collect()]
+    assert edges > 500 and len(got) == 5 * edges
+    assert set(got) == {(e, k, (e * 5 + k + 42) * 11400714819323198485 % 2**64 % n) for e in range(edges) for k in range(5)}
+
+
+def test_norms_of_all_leading_rows(spark):
+    rows = catalog.derived.vectors(spark, SF).where("id < 4096").collect()
+    norms = [sum(float(x) ** 2 for x in r["embedding"]) ** 0.5 for r in rows]
+    got = catalog.QUERIES["input_norms_leading"](spark, SF).first()
+    assert len(norms) > 300 and abs(got["norm_mean"] - sum(norms) / len(norms)) < 1e-4
+    assert abs(got["norm_min"] - min(norms)) < 1e-4 and abs(got["norm_max"] - max(norms)) < 1e-4
