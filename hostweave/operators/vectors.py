@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -28,24 +30,42 @@ def input_norms(vectors: DataFrame, rows: int = 4096, id_col: str = "row_id") ->
     return vectors.where(F.col(id_col) < rows).agg(F.min(n).alias("norm_min"), F.avg(n).alias("norm_mean"), F.max(n).alias("norm_max"))
 
 
-#: Queries of one nearest-neighbour call; they travel as literals in the plan.
-MAX_QUERIES = 1000
+#: Queries and vectors that one task of a nearest-neighbour search compares.
+QUERY_BLOCK, VECTOR_BLOCK = 512, 8192
 
 
-def cosine_topk(vectors: DataFrame, query_ids: list[int], k: int, id_col: str = "id") -> DataFrame:
+def cosine_topk(vectors: DataFrame, queries: DataFrame | list[int], k: int, id_col: str = "id", query_block: int = QUERY_BLOCK, vector_block: int = VECTOR_BLOCK) -> DataFrame:
     """``(query_id, rank, neighbor_id, cosine)``: the ``k`` nearest others of each query.
 
-    The checked, bounded set of query vectors goes to the scan as a literal; only each
-    task's best ``k`` per query are shuffled (the window's limit is applied before).
+    ``queries`` are rows with an id and an embedding, or a few ids of ``vectors``. Blocks
+    of queries meet blocks of vectors, both of bounded size, and only each task's best
+    ``k`` per query are shuffled. Rows without a vector neither ask nor are found.
     """
-    if len(query_ids) > MAX_QUERIES:
-        raise ValueError(f"at most {MAX_QUERIES} queries a call")
-    found = vectors.where(F.col(id_col).isin(query_ids)).select(id_col, normalized(F.col("embedding")).alias("v")).orderBy(id_col).collect()
-    if not found:
-        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, neighbor_id long, cosine double")
-    literal = F.array(*[F.struct(F.lit(r[0]).cast("long").alias("query_id"), F.array(*[F.lit(float(x)) for x in r["v"]]).alias("q")) for r in found])
-    unit = vectors.select(F.col(id_col).cast("long").alias("neighbor_id"), normalized(F.col("embedding")).alias("v"))
-    pairs = unit.select("neighbor_id", F.explode(F.transform(literal, lambda s: F.struct(s["query_id"].alias("query_id"), F.round(dot(s["q"], F.col("v")), 6).alias("cosine")))).alias("p")).select("p.query_id", "neighbor_id", "p.cosine").where("query_id <> neighbor_id")
+    if isinstance(queries, list):
+        queries = vectors.where(F.col(id_col).isin(queries))
+    rows = lambda df: df.where(F.col("embedding").isNotNull()).select(F.col(id_col).cast("long").alias("id"), normalized(F.col("embedding")).alias("v"))
+    asked, held = rows(queries), rows(vectors)
+    blocks, shards = -(-asked.count() // query_block) or 1, -(-held.count() // vector_block) or 1
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks))).withColumn("shard", every(shards))
+    held = held.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards))).withColumn("block", every(blocks))
+
+    def run(query: pa.Table, some: pa.Table) -> pa.Table:
+        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        if query.num_rows and some.num_rows:
+            stack = lambda t: np.stack(t.column("v").to_numpy()).astype(np.float64)
+            ids = some.column("id").to_numpy()
+            near = np.round(stack(query) @ stack(some).T, 6)
+            for i, row in zip(query.column("id").to_pylist(), near, strict=True):
+                use = np.flatnonzero(ids != i)
+                if len(use) > k:
+                    use = use[row[use] >= np.partition(row[use], -k)[-k]]  # with all ties of the last
+                use = use[np.lexsort((ids[use], -row[use]))[:k]]
+                out.append((np.full(len(use), i), ids[use], row[use]))
+        a, b, c = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        return pa.table({"query_id": pa.array(a, pa.int64()), "neighbor_id": pa.array(b, pa.int64()), "cosine": pa.array(c, pa.float64())})
+
+    pairs = asked.groupBy("block", "shard").cogroup(held.groupBy("block", "shard")).applyInArrow(run, "query_id long, neighbor_id long, cosine double")
     order = Window.partitionBy("query_id").orderBy(F.desc("cosine"), "neighbor_id")
     return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "neighbor_id", "cosine")
 

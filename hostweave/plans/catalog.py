@@ -189,6 +189,13 @@ def cosine_topk(spark: SparkSession, d: str) -> DataFrame:
     return out.select("query_id", "rank", "neighbor_id", F.round("cosine", 4).alias("cosine"))
 
 
+def cosine_topk_all(spark: SparkSession, d: str) -> DataFrame:
+    """For every row whose id 50 divides; the query above is held to SQL over ten ids."""
+    emb = derived.table(spark, d, "embeddings").withColumnRenamed("vec_id", "id")
+    out = vectors.cosine_topk(emb, emb.where("id % 50 = 0"), 5)
+    return out.select("query_id", "rank", "neighbor_id", F.round("cosine", 4).alias("cosine"))
+
+
 def eval_ranks(spark: SparkSession, d: str) -> DataFrame:
     emb = derived.table(spark, d, "embeddings").withColumnRenamed("vec_id", "id")
     n = emb.count()
@@ -273,7 +280,7 @@ QUERIES = {
         endpoint_integrity, unique_endpoints, to_undirected, undirected_degrees, adjacency_lists, neighbors_of, edge_mask_subgraph,
         induced_prefix, split_assignment, split_counts, split_eval_subsample, subsample_exact, permutation_split, train_stripes, train_slices,
         minibatch_local_index, uniform_negatives, uniform_negatives_all, host_keys, domain_keys, host_records, cohort_counts, duplicate_keys, cross_release_index,
-        state_counts, keys_reappeared, normalize_vectors, input_norms, input_norms_leading, cosine_topk, eval_ranks, eval_mrr, shard_ranges, size_table,
+        state_counts, keys_reappeared, normalize_vectors, input_norms, input_norms_leading, cosine_topk, cosine_topk_all, eval_ranks, eval_mrr, shard_ranges, size_table,
         schema_fields, lr_schedule, split_bucket_sql, hash_top_bits, train_embeddings, export_shards,
     )
 }

@@ -1,5 +1,7 @@
+import numpy as np
 import pytest
 
+from hostweave.operators import vectors
 from hostweave.plans import catalog
 from tests.oracle import compare, connect
 
@@ -40,3 +42,18 @@ def test_norms_of_all_leading_rows(spark):
     got = catalog.QUERIES["input_norms_leading"](spark, SF).first()
     assert len(norms) > 300 and abs(got["norm_mean"] - sum(norms) / len(norms)) < 1e-4
     assert abs(got["norm_min"] - min(norms)) < 1e-4 and abs(got["norm_max"] - max(norms)) < 1e-4
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_nearest_of_every_due_query(spark, small):
+    emb = catalog.derived.table(spark, SF, "embeddings").withColumnRenamed("vec_id", "id")
+    unit = {}
+    for r in emb.collect():
+        x = np.array(r["embedding"], dtype=np.float64)
+        unit[r["id"]] = (x / np.sqrt((x * x).sum())).astype(np.float32).astype(np.float64)
+    want = {}
+    for q in (i for i in unit if i % 50 == 0):
+        near = sorted((-round(float(unit[q] @ v), 6), i) for i, v in unit.items() if i != q)[:5]
+        want |= {(q, rank): i for rank, (_, i) in enumerate(near, 1)}
+    out = vectors.cosine_topk(emb, emb.where("id % 50 = 0"), 5, query_block=3, vector_block=100) if small else catalog.QUERIES["cosine_topk_all"](spark, SF)
+    assert {(r["query_id"], r["rank"]): r["neighbor_id"] for r in out.collect()} == want and len(want) > 5 * 5
