@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import hostweave
 from hostweave.operators import contract, graph, releases, split, training
-from hostweave.sources import export, shards, store
+from hostweave.sources import export, npy, shards, store
 
 Spec = str | Sequence[str]
 
@@ -20,16 +20,19 @@ def info() -> dict[str, str]:
     return {"hostweave": hostweave.__version__, "pyspark": pyspark.__version__, "python": platform.python_version()}
 
 
-def min_degree_slice(spark: SparkSession, vertices: Spec, edges: Spec, out: str, min_degree: int = 8, num_nodes: int = 0) -> dict:
+def min_degree_slice(spark: SparkSession, vertices: Spec, edges: Spec, out: str, min_degree: int = 8, num_nodes: int = 0, degree_cache: str | None = None) -> dict:
     """Shards to the stored subgraph of nodes of at least that degree; returns its metadata.
 
-    The id map is stored beside it (``idmap``: original and compact ids).
+    The id map is stored beside it (``idmap``: original and compact ids). ``degree_cache``
+    names a table of degrees: read where it exists, else written, so that slices at other
+    degrees don't count all edges again.
     """
     if min_degree < 1:
         raise ValueError("min_degree must be at least 1")
     n = num_nodes or shards.count_lines(spark, vertices)
     full = graph.HostGraph.from_edges(shards.read_edges(spark, edges), n, shards.read_vertices(spark, vertices))
-    part, ids = graph.min_degree_slice(full, min_degree)
+    degree = store.cached_table(spark, degree_cache, full.degrees) if degree_cache else None
+    part, ids = graph.min_degree_slice(full, min_degree, degree)
     ids.write.mode("overwrite").parquet(f"{out}/idmap")
     return store.save_graph(part, out, min_degree=min_degree, source_num_nodes=n, source_vertices=str(vertices), source_edges=str(edges))
 
@@ -50,7 +53,7 @@ def split_cache(spark: SparkSession, folder: str, out: str, seed: int = 42, eval
     return store.save_split(split.split_edges(found.edges, found.num_nodes, seed, eval_edges, max_edges), out)
 
 
-def release_manifest(spark: SparkSession, folder: str, out: str, release_id: str, source_crawls: list[str], reversed_host: bool = True) -> DataFrame:
+def release_manifest(spark: SparkSession, folder: str, out: str, release_id: str, source_crawls: list[str] | str, reversed_host: bool = True) -> DataFrame:
     """Host records of a stored graph, stored as a release manifest."""
     crawls = releases.check_crawls(source_crawls)
     found = store.load_graph(spark, folder)
@@ -67,7 +70,7 @@ def cross_release_index(spark: SparkSession, folders: list[str]) -> DataFrame:
     return releases.release_index([(head["release_id"], rows) for head, rows in found])
 
 
-def release_sizing(spark: SparkSession, host_nodes: int = contract.HOST_NODES, domain_nodes: int = contract.DOMAIN_NODES, dims: tuple[int, ...] = contract.DIMS, precisions: tuple[str, ...] = tuple(contract.PRECISION_BYTES)) -> dict[str, DataFrame]:
+def release_sizing(spark: SparkSession, host_nodes: int = contract.HOST_NODES, domain_nodes: int = contract.DOMAIN_NODES, dims: tuple[int, ...] = contract.DIMS, precisions: tuple[str, ...] = tuple(contract.PRECISIONS)) -> dict[str, DataFrame]:
     return {"host": contract.size_table(spark, host_nodes, dims, precisions), "domain": contract.size_table(spark, domain_nodes, dims, precisions)}
 
 
@@ -80,6 +83,16 @@ def train(spark: SparkSession, split_folder: str, out: str, config: training.Con
     return spark.read.parquet(f"{out}/table"), history
 
 
-def shard_export(vectors: DataFrame, names: DataFrame, out: str, release_id: str, source_crawls: list[str], model_space_version: str, **options) -> dict:
-    """Vectors ``(row_id, embedding)`` and names ``(row_id, name)`` as checksummed shards."""
+def shard_export(vectors: DataFrame | str, names: DataFrame | Spec, out: str, release_id: str, source_crawls: list[str] | str, model_space_version: str, **options) -> dict:
+    """Vectors ``(row_id, embedding)`` and names ``(row_id, name)`` as checksummed shards.
+
+    Vectors may also be the path of an ``.npy`` matrix and names that of a text file (or
+    several) with a name on each line; a row's number joins them.
+    """
+    spark = SparkSession.active()
+    if isinstance(vectors, str):
+        spark.dataSource.register(npy.NpySource)
+        vectors = spark.read.format("npy").option("path", vectors).load().withColumnRenamed("id", "row_id")
+    if not isinstance(names, DataFrame):
+        names = shards.read_vertices(spark, names, check=False).withColumnRenamed("id", "row_id")
     return export.export_shards(vectors, names, out, release_id, source_crawls, model_space_version, **options)

@@ -39,6 +39,16 @@ def hash_mod(eid: Column, seed: int, n: Column | int) -> Column:
     return (a2 * (F.lit(1 << 44) % n) + (a1 * (F.lit(1 << 22) % n)) % n + a0) % n
 
 
+def sql_mod(x: str, n: int) -> str:
+    """SQL for the hash of an expression modulo a small ``n``, by the same limbs."""
+    m = [MULTIPLIER & MASK, MULTIPLIER >> LIMB & MASK, MULTIPLIER >> 2 * LIMB]
+    p = [f"({x} & {MASK})", f"(shiftright({x}, {LIMB}) & {MASK})", f"shiftright({x}, {2 * LIMB})"]
+    r0 = f"({p[0]} * {m[0]})"
+    r1 = f"({p[0]} * {m[1]} + {p[1]} * {m[0]} + shiftright({r0}, {LIMB}))"
+    r2 = f"({p[0]} * {m[2]} + {p[1]} * {m[1]} + {p[2]} * {m[0]} + shiftright({r1}, {LIMB}))"
+    return f"((({r2} & {(1 << 20) - 1}) * {(1 << 44) % n} + ({r1} & {MASK}) * {(1 << 22) % n} + ({r0} & {MASK})) % {n})"
+
+
 def split_bucket(eid: Column, seed: int = 42) -> Column:
     """0 to 9: a pure function of the edge's ordinal and the seed."""
     return hash_mod(eid, seed, BUCKETS).cast("int")

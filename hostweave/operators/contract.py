@@ -1,109 +1,85 @@
-"""The release artifact's fields and its size model."""
+"""The release artifact's fields and its size model, both as DataFrames."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-
-HEADER, ROW_DEFAULT, ROW_SIDECAR = "header", "row_default", "row_sidecar"
-KEY, VECTOR, SCALAR, META = "key", "vector", "scalar", "meta"
-
-
-@dataclass(frozen=True)
-class Field:
-    name: str
-    dtype: str
-    location: str
-    kind: str
-    nbytes: int | None = None
-
-
-# The artifact's fields in order.
-SCHEMA = (
-    Field("release_id", "str", HEADER, META),
-    Field("source_crawls", "list[str]", HEADER, META),
-    Field("model_space_version", "str", HEADER, META),
-    Field("host_or_domain_key", "str", ROW_DEFAULT, KEY),
-    Field("release_local_node_id", "uint32", ROW_DEFAULT, SCALAR, 4),
-    Field("embedding", "float32", ROW_DEFAULT, VECTOR),
-    Field("confidence_bucket", "uint8", ROW_DEFAULT, SCALAR, 1),
-    Field("feature_availability", "uint8", ROW_DEFAULT, SCALAR, 1),
-    Field("in_degree", "uint32", ROW_DEFAULT, SCALAR, 4),
-    Field("out_degree", "uint32", ROW_DEFAULT, SCALAR, 4),
-    Field("is_dangling", "uint8", ROW_DEFAULT, SCALAR, 1),
-    Field("component_bucket", "uint8", ROW_DEFAULT, SCALAR, 1),
-    Field("pagerank", "float32", ROW_DEFAULT, SCALAR, 4),
-    Field("harmonic_centrality", "float32", ROW_DEFAULT, SCALAR, 4),
-    Field("reverse_pagerank", "float32", ROW_SIDECAR, SCALAR, 4),
-    Field("source_role_embedding", "float32", ROW_SIDECAR, VECTOR),
-    Field("target_role_embedding", "float32", ROW_SIDECAR, VECTOR),
-    Field("scc_id", "uint32", ROW_SIDECAR, SCALAR, 4),
+from pyspark.sql import functions as F
+
+# The artifact's fields in order, as name, type, place, role and bytes (0: not of a fixed width).
+FIELDS = (
+    ("release_id", "str", "header", "meta", 0),
+    ("source_crawls", "list[str]", "header", "meta", 0),
+    ("model_space_version", "str", "header", "meta", 0),
+    ("host_or_domain_key", "str", "row_default", "key", 0),
+    ("release_local_node_id", "uint32", "row_default", "scalar", 4),
+    ("embedding", "float32", "row_default", "vector", 0),
+    ("confidence_bucket", "uint8", "row_default", "scalar", 1),
+    ("feature_availability", "uint8", "row_default", "scalar", 1),
+    ("in_degree", "uint32", "row_default", "scalar", 4),
+    ("out_degree", "uint32", "row_default", "scalar", 4),
+    ("is_dangling", "uint8", "row_default", "scalar", 1),
+    ("component_bucket", "uint8", "row_default", "scalar", 1),
+    ("pagerank", "float32", "row_default", "scalar", 4),
+    ("harmonic_centrality", "float32", "row_default", "scalar", 4),
+    ("reverse_pagerank", "float32", "row_sidecar", "scalar", 4),
+    ("source_role_embedding", "float32", "row_sidecar", "vector", 0),
+    ("target_role_embedding", "float32", "row_sidecar", "vector", 0),
+    ("scc_id", "uint32", "row_sidecar", "scalar", 4),
 )
-
-# Bytes a value, compressed share of vectors and of metadata, planning figures.
-PRECISION_BYTES = {"fp32": 4, "fp16": 2, "int8": 1}
-VECTOR_COMPRESSION = {"fp32": 0.95, "fp16": 0.95, "int8": 0.70}
-METADATA_COMPRESSION = 0.45
+PLACES = ("header", "row_default", "row_sidecar")
+# By precision the bytes a value and the compressed share of vectors; the compressed share of the rest.
+PRECISIONS = {"fp32": (4, 0.95), "fp16": (2, 0.95), "int8": (1, 0.70)}
+REST_SHARE = 0.45
 AVG_KEY_BYTES = 24
 HOST_NODES, DOMAIN_NODES = 262_351_908, 135_000_000
 DIMS = (64, 128, 256)
-GIB = 1024**3
-
-
-def fields_at(location: str) -> tuple[Field, ...]:
-    if location not in (HEADER, ROW_DEFAULT, ROW_SIDECAR):
-        raise ValueError(f"unknown location {location!r}")
-    return tuple(f for f in SCHEMA if f.location == location)
-
-
-def header_fields() -> tuple[Field, ...]:
-    return fields_at(HEADER)
-
-
-def default_row_fields() -> tuple[Field, ...]:
-    return fields_at(ROW_DEFAULT)
-
-
-def sidecar_row_fields() -> tuple[Field, ...]:
-    return fields_at(ROW_SIDECAR)
-
-
-def fixed_bytes_per_row() -> int:
-    """Widths of the default rows' fixed-width fields."""
-    return sum(f.nbytes for f in default_row_fields() if f.kind == SCALAR and f.nbytes)
-
-
-def estimate_size(num_nodes: int, dim: int, precision: str = "fp32", avg_key_bytes: int = AVG_KEY_BYTES) -> dict:
-    """Uncompressed and estimated compressed bytes of one artifact."""
-    if precision not in PRECISION_BYTES:
-        raise ValueError(f"unknown precision {precision!r}; one of {sorted(PRECISION_BYTES)}")
-    if dim <= 0 or num_nodes <= 0:
-        raise ValueError(f"dim and num_nodes must be positive, not {dim} and {num_nodes}")
-    vectors = num_nodes * dim * PRECISION_BYTES[precision]
-    metadata = num_nodes * (avg_key_bytes + fixed_bytes_per_row())
-    return {
-        "num_nodes": num_nodes,
-        "dim": dim,
-        "precision": precision,
-        "vector_bytes": vectors,
-        "metadata_bytes": metadata,
-        "total_uncompressed": vectors + metadata,
-        "total_compressed": round(vectors * VECTOR_COMPRESSION[precision] + metadata * METADATA_COMPRESSION),
-        "vector_gib": vectors / GIB,
-        "total_uncompressed_gib": (vectors + metadata) / GIB,
-    }
-
-
-def size_table(spark: SparkSession, num_nodes: int, dims: tuple[int, ...] = DIMS, precisions: tuple[str, ...] = tuple(PRECISION_BYTES), avg_key_bytes: int = AVG_KEY_BYTES) -> DataFrame:
-    """A row for each dimension and precision."""
-    kinds = "num_nodes long, dim int, precision string, vector_bytes long, metadata_bytes long, total_uncompressed long, total_compressed long, vector_gib double, total_uncompressed_gib double"
-    rows = [tuple(estimate_size(num_nodes, d, p, avg_key_bytes).values()) for d in dims for p in precisions]
-    return spark.createDataFrame(rows, kinds)
+GIB = 1 << 30
+
+
+def fields(spark: SparkSession, *places: str) -> DataFrame:
+    """``(name, dtype, place, role, nbytes)`` of the fields at the places (all by default)."""
+    if odd := set(places) - set(PLACES):
+        raise ValueError(f"no such place: {sorted(odd)}")
+    every = spark.createDataFrame(FIELDS, "name string, dtype string, place string, role string, nbytes int")
+    return every.where(F.col("place").isin(*places)) if places else every
+
+
+def widths(spark: SparkSession) -> DataFrame:
+    """``(place, n, bytes)``: the fields of each place and their fixed widths together."""
+    return fields(spark).groupBy("place").agg(F.count("*").alias("n"), F.sum("nbytes").alias("bytes"))
+
+
+def size_table(spark: SparkSession, num_nodes: int, dims: Sequence[int] = DIMS, precisions: Sequence[str] = tuple(PRECISIONS), avg_key_bytes: int = AVG_KEY_BYTES) -> DataFrame:
+    """Plain and estimated compressed bytes of the artifact, a row for each dimension and precision.
+
+    The sizes are one expression over a planned grid. What can't be sized is an error
+    before anything runs.
+    """
+    wrong = [f"precision {p!r}" for p in precisions if p not in PRECISIONS] + [f"size {x}" for x in (num_nodes, *dims) if x < 1]
+    if wrong:
+        raise ValueError(f"can't size {', '.join(wrong)}; precisions are {', '.join(PRECISIONS)} and sizes positive")
+    kinds = F.array(*[F.struct(F.lit(p).alias("precision"), F.lit(PRECISIONS[p][0]).alias("width"), F.lit(PRECISIONS[p][1]).alias("share")) for p in precisions])
+    grid = spark.range(1).select(F.explode(F.array(*map(F.lit, dims))).alias("dim"), F.lit(num_nodes).cast("long").alias("num_nodes")).select("num_nodes", "dim", F.explode(kinds).alias("kind")).select("num_nodes", "dim", "kind.*")
+    fixed = sum(nbytes for _, _, place, _, nbytes in FIELDS if place == "row_default")
+    sized = grid.withColumns({"vector_bytes": F.col("num_nodes") * F.col("dim") * F.col("width"), "metadata_bytes": F.col("num_nodes") * F.lit(avg_key_bytes + fixed)})
+    return sized.select(
+        "num_nodes",
+        "dim",
+        "precision",
+        "vector_bytes",
+        "metadata_bytes",
+        (F.col("vector_bytes") + F.col("metadata_bytes")).alias("total_uncompressed"),
+        F.bround(F.col("vector_bytes") * F.col("share") + F.col("metadata_bytes") * F.lit(REST_SHARE)).cast("long").alias("total_compressed"),
+        (F.col("vector_bytes") / GIB).alias("vector_gib"),
+        ((F.col("vector_bytes") + F.col("metadata_bytes")) / GIB).alias("total_uncompressed_gib"),
+    )
 
 
 def format_table(table: DataFrame) -> str:
-    lines = [f"{'dim':>5} {'precision':>9} {'vectors GiB':>12} {'total GiB':>10} {'compressed GiB':>15}"]
-    for r in table.orderBy("dim", "precision").collect():
-        lines.append(f"{r['dim']:>5} {r['precision']:>9} {r['vector_gib']:>12.1f} {r['total_uncompressed_gib']:>10.1f} {r['total_compressed'] / GIB:>15.1f}")
-    return "\n".join(lines)
+    """The size table as text, a heading and a line a row."""
+    columns = {"dim": F.col("dim").cast("string"), "precision": F.col("precision"), "vectors GiB": F.format_number("vector_gib", 1), "total GiB": F.format_number("total_uncompressed_gib", 1), "compressed GiB": F.format_number(F.col("total_compressed") / GIB, 1)}
+    padded = [F.lpad(c, max(6, len(name)), " ") for name, c in columns.items()]
+    rows = table.orderBy("dim", "precision").select(F.concat_ws("  ", *padded).alias("line")).collect()  # a row for each size asked for
+    return "\n".join(["  ".join(f"{name:>6}" for name in columns), *(r["line"] for r in rows)])

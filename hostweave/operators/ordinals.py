@@ -6,26 +6,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from hostweave.sources.scratch import cut
+
+#: A row's place in its partition is in the lower bits of the scan's own numbers.
+PLACE = (1 << 33) - 1
+
 
 def with_ordinal(df: DataFrame, order: list[str], name: str = "ordinal", buckets: int | None = None) -> DataFrame:
-    """Adds 0, 1, 2, ... in the order of columns, of which the first is numeric.
+    """Adds 0, 1, 2, ... in the order of the columns, which together should tell rows apart.
 
-    Rows are cut into ranges at approximate quantiles of the first column (literals, so
-    that recomputed tasks agree); each range is numbered by itself and starts at the
-    count of the ranges before it. One value of the first column stays in one range.
+    Rows are exchanged once, in ranges over all order columns (so a hub is cut like any
+    other run of rows), sorted within their range, numbered as they are written to the
+    shared folder, and read from there. A range starts at the count of the ranges before
+    it; those counts, one row per range, are all that is added up in one place. The
+    written table also ends the lineage, so that what reads it doesn't sort again.
     """
     n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shares = [(i + 1) / n for i in range(n - 1)]
-    bounds = sorted(set(df.agg(F.percentile_approx(order[0], shares, 10_000)).first()[0] or [])) if shares else []
-    part = F.lit(0)
-    if bounds:
-        part = F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b < F.col(order[0])))
-    ranged = df.withColumn("_hw_part", part)
+    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    written = cut(ranged.withColumns({"_hw_part": F.spark_partition_id(), "_hw_place": F.monotonically_increasing_id().bitwiseAND(F.lit(PLACE))}), name)
     before = Window.orderBy("_hw_part").rowsBetween(Window.unboundedPreceding, -1)  # over one row per range
-    starts = ranged.groupBy("_hw_part").agg(F.count("*").alias("_hw_n")).select("_hw_part", F.coalesce(F.sum("_hw_n").over(before), F.lit(0)).alias("_hw_start"))
-    within = Window.partitionBy("_hw_part").orderBy(*order)
-    numbered = ranged.withColumn("_hw_row", F.row_number().over(within) - 1).join(starts, "_hw_part")
-    return numbered.withColumn(name, F.col("_hw_start") + F.col("_hw_row")).drop("_hw_part", "_hw_row", "_hw_start")
+    sizes = written.groupBy("_hw_part").agg(F.count("*").alias("_hw_n"))
+    starts = {r["_hw_part"]: r["_hw_start"] for r in sizes.select("_hw_part", F.coalesce(F.sum("_hw_n").over(before), F.lit(0)).alias("_hw_start")).collect()}
+    table = df.sparkSession.createDataFrame(list(starts.items()), "_hw_part int, _hw_start long")
+    return written.join(F.broadcast(table), "_hw_part").withColumn(name, F.col("_hw_start") + F.col("_hw_place")).drop("_hw_part", "_hw_place", "_hw_start")
 
 
 def stripe(ordinal: Column, world: int, rank: int) -> Column:

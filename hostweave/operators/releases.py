@@ -35,8 +35,9 @@ def records(nodes: DataFrame, degree: DataFrame, reverse: bool = True, check: bo
     return out
 
 
-def check_crawls(crawls: list[str]) -> list[str]:
-    """One to three crawl ids make a release."""
+def check_crawls(crawls: list[str] | str) -> list[str]:
+    """One to three crawl ids make a release; one text lists them with commas between."""
+    crawls = crawls.split(",") if isinstance(crawls, str) else crawls
     crawls = [c.strip() for c in crawls if c.strip()]
     if not 1 <= len(crawls) <= 3:
         raise ValueError(f"a release has 1 to 3 source crawls, not {len(crawls)}")

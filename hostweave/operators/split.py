@@ -74,8 +74,8 @@ def subsample(edges: DataFrame, cap: int, seed: int = 42) -> DataFrame:
 
 def permutation_split(edges: DataFrame, seed: int = 42) -> DataFrame:
     """First tenth by hash order: test; second: validation; the rest: training."""
-    n = edges.count()
     marked = with_ordinal(edges.withColumn("_hw_mark", hash_mod(F.col("eid"), seed, 1 << 39)), ["_hw_mark", "eid"], "place")
+    n = marked.count()
     tenth = n // 10
     name = F.when(F.col("place") < tenth, "test").when(F.col("place") < 2 * tenth, "val").otherwise("train")
     return marked.withColumn("split", name).drop("_hw_mark", "place")
@@ -86,9 +86,9 @@ def minibatches(edges: DataFrame, batch_size: int, epoch: int = 0, seed: int = 4
 
     ``local_src`` and ``local_dst`` are places among the batch's sorted, distinct ends.
     """
-    n = edges.count()
     order = hash_mod(F.col("eid"), seed + epoch, 1 << 39)
     placed = with_ordinal(edges.select("eid", "src", "dst", order.alias("mark")), ["mark", "eid"], "place")
+    n = placed.count()
     batched = placed.withColumn("batch", F.floor(F.col("place") / batch_size)).where(F.col("batch") < n // batch_size).drop("mark", "place")
     ends = batched.select("batch", F.explode(F.array("src", "dst")).alias("id")).distinct()
     local = ends.withColumn("local", F.row_number().over(Window.partitionBy("batch").orderBy("id")) - 1)

@@ -144,19 +144,19 @@ def _round(edges: DataFrame, state: DataFrame, pairs: list[tuple[int, int]], con
         ids = rows.column("id").to_numpy()
         stack = lambda n: np.stack(rows.column(n).to_numpy()).astype(np.float32) if len(ids) else np.zeros((0, config.dim), np.float32)
         table, m, v = stack("embedding"), stack("m"), stack("v")
-        loss, seen = 0.0, 0
+        loss, seen, taken = 0.0, 0, step
         if edge.num_rows and len(ids):
             edge = edge.sort_by([("src", "ascending"), ("dst", "ascending")])
             a, b = (np.searchsorted(ids, edge.column(c).to_numpy()) for c in ("src", "dst"))
-            _, loss, seen = train_block(a, b, table, m, v, step, lr, config, seed)
+            taken, loss, seen = train_block(a, b, table, m, v, step, lr, config, seed)
         kind = pa.list_(pa.float32())
         extra = np.zeros(len(ids))
         count = np.zeros(len(ids), dtype=np.int64)
         if len(ids):
             extra[0], count[0] = loss, seen
-        return pa.table({"id": ids, **{n: pa.array(list(x), kind) for n, x in (("embedding", table), ("m", m), ("v", v))}, "loss": extra, "n": count})
+        return pa.table({"id": ids, **{n: pa.array(list(x), kind) for n, x in (("embedding", table), ("m", m), ("v", v))}, "loss": extra, "n": count, "step": np.full(len(ids), taken, dtype=np.int64)})
 
-    return use.groupBy("bucket").cogroup(tagged.groupBy("bucket")).applyInArrow(run, STATE + ", loss double, n long")
+    return use.groupBy("bucket").cogroup(tagged.groupBy("bucket")).applyInArrow(run, STATE + ", loss double, n long, step long")
 
 
 def train_embeddings(edges: DataFrame, num_nodes: int, config: Config, folder: str, validation: DataFrame | None = None, stop: Callable[[], bool] | None = None) -> tuple[DataFrame, list[dict]]:
@@ -177,17 +177,19 @@ def train_embeddings(edges: DataFrame, num_nodes: int, config: Config, folder: s
         state = spark.read.parquet(f"{folder}/epoch-0")
     for epoch in range(len(history) + 1, config.epochs + 1):
         lr, loss, seen = learning_rate(config, epoch), 0.0, 0
+        step = history[-1]["step"] if history else 0
         for k, pairs in enumerate(rounds(config.blocks)):
-            out = _round(used, state, pairs, config, lr, config.seed + 1000 * epoch + k, 100 * (epoch - 1))
+            out = _round(used, state, pairs, config, lr, config.seed + 1000 * epoch + k, step)
             path = f"{folder}/epoch-{epoch}-round-{k}"
             out.write.mode("overwrite").parquet(path)
             done = spark.read.parquet(path)
-            got = done.agg(F.sum("loss"), F.sum("n")).first()
+            got = done.agg(F.sum("loss"), F.sum("n"), F.max("step")).first()
+            step = max(step, got[2] or 0)  # Adam's bias correction goes on from the steps that were taken
             loss, seen = loss + (got[0] or 0.0), seen + (got[1] or 0)
             state = done.select("id", "embedding", "m", "v")
         state.write.mode("overwrite").parquet(f"{folder}/epoch-{epoch}")
         state = spark.read.parquet(f"{folder}/epoch-{epoch}")
-        entry = {"epoch": epoch, "lr": lr, "loss": loss / max(seen, 1), "config": asdict(config)}
+        entry = {"epoch": epoch, "lr": lr, "loss": loss / max(seen, 1), "step": step, "config": asdict(config)}
         if validation is not None:
             entry |= eval_mrr(validation, state.select("id", "embedding"), num_nodes, config.eval_neg, config.seed + epoch).first().asDict()
         history.append(entry)

@@ -10,6 +10,7 @@ from hostweave.operators import contract, releases, split, training, vectors
 from hostweave.operators import graph as g
 from hostweave.plans import derived
 from hostweave.plans.oracles import ORACLES
+from hostweave.sources import export, scratch, store
 
 FLAGSHIP = "retention_ladder"
 SLICE, SEED, CAP, WORLD, BATCH = 64, 42, 1000, 4, 512
@@ -122,12 +123,6 @@ def minibatch_local_index(spark: SparkSession, d: str) -> DataFrame:
 
 
 def uniform_negatives(spark: SparkSession, d: str) -> DataFrame:
-    n = derived.num_nodes(spark, d)
-    return training.uniform_negatives(derived.edges(spark, d).where("eid < 500"), n, 5, SEED)
-
-
-def uniform_negatives_all(spark: SparkSession, d: str) -> DataFrame:
-    """For every edge; the query above is held to SQL over the first 500."""
     return training.uniform_negatives(derived.edges(spark, d), derived.num_nodes(spark, d), 5, SEED)
 
 
@@ -174,23 +169,12 @@ def normalize_vectors(spark: SparkSession, d: str) -> DataFrame:
 
 
 def input_norms(spark: SparkSession, d: str) -> DataFrame:
-    out = vectors.input_norms(derived.vectors(spark, d), 300, "id")
-    return out.select(*[F.round(c, 4).alias(c) for c in out.columns])
-
-
-def input_norms_leading(spark: SparkSession, d: str) -> DataFrame:
-    """Over the reference's 4096 leading rows; the query above is held to SQL over 300."""
     out = vectors.input_norms(derived.vectors(spark, d), id_col="id")
     return out.select(*[F.round(c, 4).alias(c) for c in out.columns])
 
 
 def cosine_topk(spark: SparkSession, d: str) -> DataFrame:
-    out = vectors.cosine_topk(derived.table(spark, d, "embeddings").withColumnRenamed("vec_id", "id"), list(range(10)), 5)
-    return out.select("query_id", "rank", "neighbor_id", F.round("cosine", 4).alias("cosine"))
-
-
-def cosine_topk_all(spark: SparkSession, d: str) -> DataFrame:
-    """For every row whose id 50 divides; the query above is held to SQL over ten ids."""
+    """The nearest of every row whose id 50 divides, among all rows."""
     emb = derived.table(spark, d, "embeddings").withColumnRenamed("vec_id", "id")
     out = vectors.cosine_topk(emb, emb.where("id % 50 = 0"), 5)
     return out.select("query_id", "rank", "neighbor_id", F.round("cosine", 4).alias("cosine"))
@@ -208,8 +192,7 @@ def eval_mrr(spark: SparkSession, d: str) -> DataFrame:
 
 
 def shard_ranges(spark: SparkSession, d: str) -> DataFrame:
-    shard = F.floor(F.col("vec_id") / 200).cast("long")
-    return derived.table(spark, d, "embeddings").groupBy(shard.alias("shard")).agg(F.min("vec_id").alias("row_start"), (F.max("vec_id") + 1).alias("row_end"), F.count("*").alias("n_rows"))
+    return export_shards(spark, d).where("kind = 'vectors'").select("shard", "row_start", "row_end", "n_rows")
 
 
 def size_table(spark: SparkSession, d: str) -> DataFrame:
@@ -217,8 +200,7 @@ def size_table(spark: SparkSession, d: str) -> DataFrame:
 
 
 def schema_fields(spark: SparkSession, d: str) -> DataFrame:
-    rows = [(f.location, f.nbytes or 0) for f in contract.SCHEMA]
-    return spark.createDataFrame(rows, "location string, nbytes int").groupBy("location").agg(F.count("*").alias("n"), F.sum("nbytes").alias("bytes"))
+    return contract.widths(spark).withColumnRenamed("place", "location")
 
 
 def lr_schedule(spark: SparkSession, d: str) -> DataFrame:
@@ -233,44 +215,46 @@ def split_bucket_sql(spark: SparkSession, d: str) -> DataFrame:
 
 
 def hash_top_bits(spark: SparkSession, d: str) -> DataFrame:
-    rows = spark.range(13_070_000_000, 13_070_002_000).withColumnRenamed("id", "eid")
+    """Every edge's hash at ordinals of web scale."""
+    rows = derived.edges(spark, d).select((F.col("eid") + 13_070_000_000).alias("eid"))
     return rows.select("eid", hashing.top24(F.col("eid"), SEED).alias("top24"), hashing.split_bucket(F.col("eid"), SEED).alias("bucket"))
 
 
 def train_embeddings(spark: SparkSession, d: str) -> DataFrame:
     """Trains on the derived graph's training split; the final table's shape and its history."""
-    from uuid import uuid4
-
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        import tempfile
-
-        folder = "file://" + tempfile.mkdtemp(prefix="hostweave-")
     parts = split.split_edges(derived.edges(spark, d), derived.num_nodes(spark, d), SEED, CAP)
     config = training.Config(dim=16, epochs=2, blocks=2, batch=1024, eval_neg=20)
-    table, history = training.train_embeddings(parts.part("train"), parts.num_nodes, config, f"{folder}/train-{uuid4().hex}", parts.part("val"))
+    table, history = training.train_embeddings(parts.part("train"), parts.num_nodes, config, scratch.new_path(spark, "train"), parts.part("val"))
     rows = table.agg(F.count("*").alias("n_nodes"), F.max(F.size("embedding")).alias("dim"))
     return rows.withColumn("loss_fell", F.lit(history[-1]["loss"] < history[0]["loss"]))
 
 
 def export_shards(spark: SparkSession, d: str) -> DataFrame:
-    """The shard encoding, without files: a row per shard and tier with its digest."""
-    import hashlib
-
-    import pyarrow as pa
-
-    from hostweave.sources.export import encode_shard, rows_of
-
+    """Exports all vectors in both tiers; a row per file, with what reading it again shows."""
     emb = derived.vectors(spark, d).withColumnRenamed("id", "row_id")
     names = emb.select("row_id", F.concat(F.lit("com.h"), F.col("row_id").cast("string")).alias("name"))
+    folder = scratch.new_path(spark, "export")
+    made = export.export_shards(emb, names, folder, "rel-1", "crawl-1", "space-1", rows_per_shard=200)
+    entries = spark.createDataFrame([tuple(e.values()) for e in made["shards"]], export.ENTRY)
+    files = spark.read.format("binaryFile").load([f"{folder}/{kind}" for kind in made["precisions"]])
+    stored = files.select(F.substring_index("path", "/", -2).alias("filename"), F.sha2("content", 256).alias("digest"), F.col("length").alias("size"))
+    told = entries.join(stored, "filename").select("kind", "shard", "filename", "row_start", "row_end", "n_rows", ((F.col("digest") == F.col("sha256")) & (F.col("size") == F.col("bytes"))).alias("intact"))
+    rows = spark.read.parquet(f"{folder}/vectors").groupBy(F.floor(F.col("row_id") / 200).alias("shard")).agg(F.min("host_key").alias("least_host"), F.count_distinct("domain_key").alias("domains"), F.round(F.sum(vectors.norm(F.col("embedding"))), 3).alias("norms"))
+    return told.join(rows, "shard")
+
+
+def graph_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """The derived graph as it is read from where it was stored."""
+    folder = scratch.new_path(spark, "graph")
+    store.save_graph(derived.graph(spark, d), folder)
+    return store.load_graph(spark, folder).edges
 
-    def digest(table: pa.Table) -> pa.Table:
-        table = table.sort_by("row_id")
-        files = [(kind, encode_shard(table, kind)) for kind in ("float32", "float16")]
-        return pa.table({"shard": [table.column("shard")[0].as_py()] * 2, "kind": [k for k, _ in files], "n_rows": [table.num_rows] * 2, "sha256": [hashlib.sha256(x).hexdigest() for _, x in files]})
 
-    rows = rows_of(emb, names).withColumn("shard", F.floor(F.col("row_id") / 200).cast("long"))
-    return rows.groupBy("shard").applyInArrow(digest, "shard long, kind string, n_rows long, sha256 string")
+def split_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Splits and training ordinals as they are read from where they were stored."""
+    folder = scratch.new_path(spark, "split")
+    store.save_split(split.split_edges(derived.edges(spark, d), derived.num_nodes(spark, d), SEED, CAP), folder)
+    return store.load_split(spark, folder).edges.select("eid", "split", "train_ordinal")
 
 
 QUERIES = {
@@ -279,8 +263,10 @@ QUERIES = {
         degree_vector, degree_totals, retention_ladder, induced_edges, degree_histogram, min_degree_slice_edges, min_degree_slice_nodes,
         endpoint_integrity, unique_endpoints, to_undirected, undirected_degrees, adjacency_lists, neighbors_of, edge_mask_subgraph,
         induced_prefix, split_assignment, split_counts, split_eval_subsample, subsample_exact, permutation_split, train_stripes, train_slices,
-        minibatch_local_index, uniform_negatives, uniform_negatives_all, host_keys, domain_keys, host_records, cohort_counts, duplicate_keys, cross_release_index,
-        state_counts, keys_reappeared, normalize_vectors, input_norms, input_norms_leading, cosine_topk, cosine_topk_all, eval_ranks, eval_mrr, shard_ranges, size_table,
-        schema_fields, lr_schedule, split_bucket_sql, hash_top_bits, train_embeddings, export_shards,
+        minibatch_local_index, uniform_negatives, host_keys, domain_keys, host_records, cohort_counts, duplicate_keys, cross_release_index,
+        state_counts, keys_reappeared, normalize_vectors, input_norms, cosine_topk, eval_ranks, eval_mrr, shard_ranges, size_table,
+        graph_round_trip, split_round_trip, schema_fields, lr_schedule, split_bucket_sql, hash_top_bits, train_embeddings, export_shards,
     )
 }
+#: Earlier names of queries over whole tables.
+QUERIES |= {"uniform_negatives_all": uniform_negatives, "input_norms_leading": input_norms, "cosine_topk_all": cosine_topk}

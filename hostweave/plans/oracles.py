@@ -65,10 +65,10 @@ ORACLES = {
     "permutation_split": f"WITH {_EDGES}, o AS (SELECT eid, row_number() OVER (ORDER BY {_ORDER}, eid) - 1 AS p, count(*) OVER () // 10 AS t FROM edges) SELECT eid, CASE WHEN p < t THEN 'test' WHEN p < 2 * t THEN 'val' ELSE 'train' END AS split FROM o",
     "train_stripes": f"WITH {_TRAIN} SELECT o % 4 AS rank, count(*) AS n, min(eid) AS first_eid, max(eid) AS last_eid FROM train GROUP BY 1",
     "train_slices": f"WITH {_TRAIN}, r AS (SELECT unnest(range(0, 4)) AS r) SELECT r AS rank, count(*) AS n, min(eid) AS first_eid, max(eid) AS last_eid FROM train JOIN r ON o >= n * r // 4 AND o < n * (r + 1) // 4 GROUP BY 1",
-    "minibatch_local_index": f"""WITH {_EDGES}, p AS (SELECT *, row_number() OVER (ORDER BY {_hash('eid', 43)} % {1 << 39}, eid) - 1 AS p, count(*) OVER () // 512 AS full_batches FROM edges), b AS (SELECT p // 512 AS batch, eid, src, dst FROM p WHERE p // 512 < full_batches),
- l AS (SELECT batch, id, row_number() OVER (PARTITION BY batch ORDER BY id) - 1 AS l FROM (SELECT batch, src AS id FROM b UNION SELECT batch, dst FROM b))
+    "minibatch_local_index": f"""WITH {_EDGES.replace('edges AS (', 'edges AS MATERIALIZED (', 1)}, m AS MATERIALIZED (SELECT *, ({_hash('eid', 43)} % {1 << 39})::BIGINT AS mark FROM edges), p AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY mark, eid) - 1 AS p FROM m), b AS MATERIALIZED (SELECT p // 512 AS batch, eid, src, dst FROM p WHERE p // 512 < (SELECT count(*) // 512 FROM m)),
+ l AS MATERIALIZED (SELECT batch, id, row_number() OVER (PARTITION BY batch ORDER BY id) - 1 AS l FROM (SELECT batch, src AS id FROM b UNION SELECT batch, dst FROM b))
  SELECT b.batch, eid, src, dst, x.l::INTEGER AS local_src, y.l::INTEGER AS local_dst FROM b JOIN l x ON b.batch = x.batch AND src = x.id JOIN l y ON b.batch = y.batch AND dst = y.id""",
-    "uniform_negatives": f"WITH k AS (SELECT unnest(range(0, 5)) AS k), e AS (SELECT unnest(range(0, 500)) AS eid) SELECT eid, k::INTEGER AS k, ({_hash('eid * 5 + k')} % ({_N}))::BIGINT AS neg_id FROM e, k",
+    "uniform_negatives": f"WITH k AS (SELECT unnest(range(0, 5)) AS k), e AS (SELECT unnest(range(0, (SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey))) AS eid) SELECT eid, k::INTEGER AS k, ({_hash('eid * 5 + k')} % ({_N}))::BIGINT AS neg_id FROM e, k",
     "host_keys": f"WITH {_HOSTS} SELECT page_id, host_key FROM hosts",
     "domain_keys": f"WITH {_HOSTS} SELECT DISTINCT host_key, array_to_string(list_slice(string_split(host_key, '.'), -2, -1), '.') AS domain_key FROM hosts",
     "host_records": f"WITH {_REC} SELECT * FROM rec",
@@ -78,14 +78,19 @@ ORACLES = {
     "state_counts": f"WITH {_REL} SELECT state, count(*) AS n FROM idx GROUP BY 1",
     "keys_reappeared": f"WITH {_REL} SELECT host_key FROM idx WHERE state = 'reappeared'",
     "normalize_vectors": f"WITH {_UNIT}, u AS (SELECT id, CASE WHEN n > 0 THEN list_transform(v, lambda x: (x / n)::FLOAT::DOUBLE) ELSE v END AS v FROM norms) SELECT id, round(sqrt(list_sum(list_transform(v, lambda x: x * x))), 4) AS norm, round(v[1], 4) AS x1, round(v[64], 4) AS x64 FROM u",
-    "input_norms": f"WITH {_UNIT} SELECT round(min(n), 4) AS norm_min, round(avg(n), 4) AS norm_mean, round(max(n), 4) AS norm_max FROM norms WHERE id < 300",
-    "cosine_topk": f"WITH {_E}, u AS (SELECT id, list_transform(v, lambda x: (x / sqrt(list_sum(list_transform(v, lambda y: y * y))))::FLOAT::DOUBLE) AS v FROM e), p AS (SELECT q.id AS query_id, d.id AS neighbor_id, round({_DOT.format(a='q.v', b='d.v')}, 6) AS c FROM u q, u d WHERE q.id < 10 AND q.id <> d.id), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY c DESC, neighbor_id) AS rank FROM p) SELECT query_id, rank::INTEGER AS rank, neighbor_id, round(c, 4) AS cosine FROM r WHERE rank <= 5",
+    "input_norms": f"WITH {_UNIT} SELECT round(min(n), 4) AS norm_min, round(avg(n), 4) AS norm_mean, round(max(n), 4) AS norm_max FROM norms WHERE id < 4096",
+    "cosine_topk": f"WITH {_E}, u AS (SELECT id, list_transform(v, lambda x: (x / sqrt(list_sum(list_transform(v, lambda y: y * y))))::FLOAT::DOUBLE) AS v FROM e), p AS (SELECT q.id AS query_id, d.id AS neighbor_id, round({_DOT.format(a='q.v', b='d.v')}, 6) AS c FROM u q, u d WHERE q.id % 50 = 0 AND q.id <> d.id), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY c DESC, neighbor_id) AS rank FROM p) SELECT query_id, rank::INTEGER AS rank, neighbor_id, round(c, 4) AS cosine FROM r WHERE rank <= 5",
     "eval_ranks": f"WITH {_RANKS} SELECT eid, rank FROM ranks",
     "eval_mrr": f"WITH {_RANKS} SELECT round(avg(1.0::DOUBLE / rank), 6) AS mrr, round(avg((rank <= 1)::INTEGER), 6) AS hits_1, round(avg((rank <= 10)::INTEGER), 6) AS hits_10 FROM ranks",
     "shard_ranges": "SELECT vec_id // 200 AS shard, min(vec_id) AS row_start, max(vec_id) + 1 AS row_end, count(*) AS n_rows FROM embeddings GROUP BY 1",
+    "export_shards": f"""WITH {_UNIT}, s AS (SELECT id // 200 AS shard, min(id) AS row_start, max(id) + 1 AS row_end, count(*) AS n_rows, min('h' || id || '.com') AS least_host, count(DISTINCT id) AS domains, round(sum((n > 0)::INTEGER::DOUBLE), 3) AS norms FROM norms GROUP BY 1), t AS (SELECT unnest(['vectors', 'vectors_fp16']) AS kind), m AS (SELECT max(shard) + 1 AS shards FROM s)
+ SELECT kind, shard, kind || '/emb-' || lpad(shard::VARCHAR, 5, '0') || '-of-' || lpad(shards::VARCHAR, 5, '0') || '.parquet' AS filename, row_start, row_end, n_rows, true AS intact, least_host, domains, norms FROM s, t, m""",
+    "graph_round_trip": f"WITH {_EDGES} SELECT eid, src, dst FROM edges",
+    "split_round_trip": f"WITH {_SPLIT}, k AS (SELECT eid, split FROM parts WHERE split = 'train' OR (split = 'test' AND ({_hash('eid', 49)} // 1099511627776)::DOUBLE / 16777216 < {_FRAC}) OR (split = 'val' AND ({_hash('eid', 53)} // 1099511627776)::DOUBLE / 16777216 < {_FRAC})) SELECT eid, split, CASE WHEN split = 'train' THEN row_number() OVER (PARTITION BY split ORDER BY eid) - 1 END AS train_ordinal FROM k",
     "size_table": "WITH d AS (SELECT unnest([64, 128, 256]) AS dim), p AS (SELECT unnest(['fp32', 'fp16', 'int8']) AS precision, unnest([4, 2, 1]) AS b, unnest([0.95, 0.95, 0.7]::DOUBLE[]) AS c), s AS (SELECT 262351908::BIGINT AS n, dim, precision, 262351908::BIGINT * dim * b AS v, 262351908::BIGINT * 48 AS m, c FROM d, p) SELECT n AS num_nodes, dim::INTEGER AS dim, precision, v AS vector_bytes, m AS metadata_bytes, v + m AS total_uncompressed, round(v * c + m * 0.45::DOUBLE)::BIGINT AS total_compressed FROM s",
     "schema_fields": "SELECT * FROM (VALUES ('header', 3::BIGINT, 0::BIGINT), ('row_default', 11, 24), ('row_sidecar', 4, 8)) x(location, n, bytes)",
     "lr_schedule": "SELECT e::INTEGER AS epoch, round(0.0001 + (0.01 - 0.0001)::DOUBLE * (1 + cos(pi() * (e - 1) / 10)) / 2, 9) AS lr FROM (SELECT unnest(range(1, 11)) AS e)",
     "split_bucket_sql": f"WITH {_SPLIT} SELECT bucket, count(*) AS n FROM parts GROUP BY 1",
-    "hash_top_bits": f"SELECT eid, ({_hash('eid')} // 1099511627776)::BIGINT AS top24, ({_hash('eid')} % 10)::INTEGER AS bucket FROM (SELECT unnest(range(13070000000, 13070002000)) AS eid)",
+    "hash_top_bits": f"SELECT eid, ({_hash('eid')} // 1099511627776)::BIGINT AS top24, ({_hash('eid')} % 10)::INTEGER AS bucket FROM (SELECT 13070000000 + unnest(range(0, (SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey))) AS eid)",
 }
+ORACLES |= {"uniform_negatives_all": ORACLES["uniform_negatives"], "input_norms_leading": ORACLES["input_norms"], "cosine_topk_all": ORACLES["cosine_topk"]}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import time
+from collections.abc import Callable
 from pathlib import Path
 from typing import Any
 
@@ -41,6 +42,14 @@ def read_document(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path, wholetext=True).first()[0])
 
 
+def cached_table(spark: SparkSession, path: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The table at the path; where there is none (or no whole one), it is made and written first."""
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done):
+        make().write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def save_graph(graph: HostGraph, folder: str, **provenance: Any) -> dict:
     """``edges``, ``nodes`` (where there are any) and ``meta.json``; edges stay in ordinal order within files."""
     spark = graph.edges.sparkSession

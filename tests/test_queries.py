@@ -26,7 +26,7 @@ def test_entry_points(spark):
 
 
 def test_exported_shards(spark):
-    assert catalog.export_shards(spark, SF).count() == 6
+    assert catalog.export_shards(spark, SF).where('intact').count() == 6
 
 
 def test_every_edge_has_its_negatives(spark):

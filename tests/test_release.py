@@ -91,13 +91,17 @@ def test_export(spark, tmp_path):
 
 
 def test_size_model(spark):
-    assert contract.fixed_bytes_per_row() == 24
-    assert 124 < contract.estimate_size(262_351_908, 128)["vector_gib"] < 126
+    assert {r["place"]: (r["n"], r["bytes"]) for r in contract.widths(spark).collect()} == {"header": (3, 0), "row_default": (11, 24), "row_sidecar": (4, 8)}
+    assert contract.fields(spark, "header").count() == 3 and contract.fields(spark).count() == 18
+    with pytest.raises(ValueError, match="place"):
+        contract.fields(spark, "footer")
+    one = contract.size_table(spark, 262_351_908, [128], ["fp32"]).first()
+    assert 124 < one["vector_gib"] < 126 and one["metadata_bytes"] == 262_351_908 * 48
     assert contract.size_table(spark, 1000).count() == 9
     assert len(contract.format_table(contract.size_table(spark, 1000)).splitlines()) == 10
-    for bad in ((1, 8, "bf16"), (1, 0, "fp32"), (0, 8, "fp32")):
+    for nodes, dim, precision in ((1, 8, "bf16"), (1, 0, "fp32"), (0, 8, "fp32")):
         with pytest.raises(ValueError):
-            contract.estimate_size(*bad)
+            contract.size_table(spark, nodes, [dim], [precision])
 
 
 def test_ranking(spark):
