@@ -10,38 +10,14 @@ Conventions of every operator in this subpackage
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from hostweave.sources.scratch import cut, shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``).
-
-    Only where the setting is absent (local tests) is a temporary folder made.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = getattr(spark, "_hw_shared", None)
-        if not found:
-            found = "file://" + tempfile.mkdtemp(prefix="hostweave-")
-            spark._hw_shared = found
-    return found.rstrip("/")
-
-
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and reread it: ends the lineage there.
-
-    The written table survives lost executors, is compressed and columnar, and is
-    computed once (an RDD checkpoint would run the plan twice).
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/hostweave/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["cut", "documents", "map_batches", "raw", "shared_dir", "texts"]
 
 
 def texts(batch: pa.RecordBatch, column: str) -> list[str]:

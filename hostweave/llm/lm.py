@@ -44,8 +44,74 @@ def words(text: bytes) -> list[bytes]:
     return text.lower().split()  # on bytes: ASCII case and ASCII white space only
 
 
+#: By byte: an odd random number of its own, and whether it is white space.
+_BYTES = np.random.default_rng(20240).integers(0, 2**64, 256, dtype=np.uint64) | np.uint64(1)
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: Bytes of text that are hashed at once.
+CHUNK = 1 << 16
+
+
+def _powers(n: int) -> np.ndarray:
+    return np.multiply.accumulate(np.r_[np.uint64(1), np.full(max(0, n - 1), 0xD6E8FEB86659FD93, dtype=np.uint64)])
+
+
+def spread(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The places of several runs, one after the other."""
+    return np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+
+
+def _hashed(texts: list[bytes], outer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    flat = np.frombuffer(b" " + b" ".join(texts).lower() + b" ", dtype=np.uint8)  # on bytes: ASCII case only
+    space = _SPACE[flat]
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    start, end = edge[::2], edge[1::2]
+    if outer.any():  # from the first to the last byte that isn't stripped
+        inside = np.flatnonzero(~(space | outer[flat]))
+        odd = np.flatnonzero(outer[flat[start]] | outer[flat[end - 1]])
+        a, b = np.searchsorted(inside, start[odd]), np.searchsorted(inside, end[odd])
+        some = b > a
+        start[odd[some]], end[odd[some]] = inside[a[some]], inside[b[some] - 1] + 1
+        start, end = np.delete(start, odd[~some]), np.delete(end, odd[~some])
+    size = end - start
+    at = spread(start, size)
+    place = at - np.repeat(start, size)
+    value = _BYTES[flat[at]] * _powers(int(size.max(initial=0)))[place]
+    found = np.add.reduceat(value, np.cumsum(size) - size) if len(size) else np.zeros(0, np.uint64)
+    found = (found ^ (found >> np.uint64(32))) * MIX
+    found ^= found >> np.uint64(29)
+    ends = np.cumsum(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts)) + 1)
+    return found, np.diff(np.searchsorted(start, ends), prepend=0)
+
+
+def hashed_words(texts: list[bytes], strip: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of some texts, one after the other, and each text's number of words.
+
+    Words are parted by ASCII white space and lower-cased in ASCII; with ``strip`` they lose these bytes at
+    their ends, and those with nothing left are no words. The hash is a polynomial of random
+    numbers for bytes, mixed; two given words of up to 32 bytes share one with a chance of
+    about ``2**-58``.
+    """
+    outer = np.zeros(256, dtype=bool)
+    outer[list(strip)] = True
+    hashes, counts, some, size = [], [], [], 0
+    for text in texts:
+        some.append(text)
+        size += len(text) + 1
+        if size >= CHUNK:
+            h, c = _hashed(some, outer)
+            hashes.append(h)
+            counts.append(c)
+            some, size = [], 0
+    if some:
+        h, c = _hashed(some, outer)
+        hashes.append(h)
+        counts.append(c)
+    join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
+    return join(hashes, np.uint64), join(counts, np.int64)
+
+
 def _hash(token: bytes) -> int:
-    return xxhash.xxh64_intdigest(token)
+    return int(hashed_words([token])[0][0])
 
 
 def extend(context: np.ndarray, token: np.ndarray) -> np.ndarray:

@@ -174,21 +174,40 @@ def brute_search(rows, queries, k):
     return out
 
 
-@pytest.mark.parametrize("shard_bytes", [20_000, 1 << 30])
-def test_search_equals_brute_force(spark, docs, shard_bytes):
-    rows = [(r["doc_id"], r["text"]) for r in docs.collect()] + [(1000, None), (1050, ""), (1001, "the of"), (1002, "the of")]
-    table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("rank", F.lit(1))
-    got = search.top_k(table, F.col("doc_id") % 50 == 0, 5, shard_bytes=shard_bytes).orderBy("query_id", "rank").collect()
+@pytest.mark.parametrize(("postings", "size"), [(4000, 20_000), (6_000_000, 8 << 20)])
+def test_search_equals_brute_force(spark, docs, postings, size):
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()] + [(1000, None), (1050, ""), (1001, "the of"), (1002, "the of"), (1100, "-- ... !"), (1150, "the of " * 40_000 + "end"), (1003, "end"), (1004, "the of")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("rank", F.lit(1)).repartition(3)
+    got = search.top_k(table, F.col("doc_id") % 50 == 0, 5, shard_postings=postings, part_bytes=size, slice_bytes=size, pack_rows=3).collect()
     want = brute_search(rows, [i for i, _ in rows if i % 50 == 0], 5)
-    found = collections.defaultdict(list)
+    found = collections.defaultdict(dict)
     for r in got:
-        found[r["query_id"]].append((round(r["score"], 6), r["doc_id"]))
+        found[r["query_id"]][r["rank"]] = (round(r["score"], 6), r["doc_id"])
     for q, best in want.items():
-        assert [s for s, _ in found[q]] == [s for s, _ in best]
-        assert sorted(found[q], key=lambda x: (-x[0], x[1])) == found[q]
+        assert [found[q][i + 1] for i in range(len(found[q]))] == best
     assert search.top_k(table.limit(0), F.lit(True)).count() == 0
 
 
+def test_queries_that_share_an_id(spark):
+    rows = [(50, "red fox"), (50, "blue whale"), (50, "red fox"), (1, "a red hen"), (2, "the whale"), (None, "red fox")]
+    got = search.top_k(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") == 50, 9).collect()
+    by = collections.defaultdict(list)
+    for r in sorted(got, key=lambda r: r["rank"]):
+        by[r["query_hash"]].append(r["doc_id"])
+    assert sorted(by.values()) == [[50, 2], [50, 50, 1]]
+
+
+def test_hashed_words_tell_words_apart():
+    rng = random.Random(5)
+    texts = [bytes(rng.choice(b"aB .,\t\n-\xc3\xa9") for _ in range(rng.randrange(200))) for _ in range(300)] + [b"", b"...", b"x" * 300_000]
+    for strip in (b"", search.STRIP):
+        hashes, counts = lm.hashed_words(texts, strip)
+        words = [[t for w in x.lower().split() if (t := w.strip(strip) if strip else w)] for x in texts]
+        assert counts.tolist() == [len(w) for w in words]
+        flat = [t for w in words for t in w]
+        assert len({(h, t) for h, t in zip(hashes.tolist(), flat, strict=True)}) == len(set(flat)) == len(set(hashes.tolist()))
+
+
 def test_digest_columns(spark):
     from hostweave.llm.catalog import QUERIES
 
