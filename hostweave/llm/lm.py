@@ -1,49 +1,52 @@
 """Language-model scoring with a weighted backoff automaton.
 
-The model is an interpolated n-gram model over words: a context ``h`` with count
-``c(h)`` gives ``P(w | h) = (c(h w) + m * P(w | h')) / (c(h) + m)``, where ``h'`` drops the
-oldest word; the shortest context has add-one unigrams. As an automaton, each seen
-n-gram is a state; a seen continuation is an arc that carries its log-probability, and a
-failure arc to the state of ``h'`` carries ``log10(m / (c(h) + m))``. One pass over a text
+The model is an n-gram model over words, smoothed by interpolation: a context ``h`` with
+count ``c(h)`` gives ``P(w | h) = (c(h w) + m * P(w | h')) / (c(h) + m)``, where ``h'`` drops
+the oldest word; the empty context has add-one unigrams.
+
+As an automaton: each seen context is a state; a seen continuation ``h w`` is an arc with
+its log-probability to the state of the longest seen suffix of ``h w``; each state has a
+failure arc to that of ``h'`` with the weight ``log10(m / (c(h) + m))``; the root has an arc
+for every word. Reading a word, the state in hand takes its arc, or else falls along
+failure arcs, adding their weights, until there is one. One pass from left to right
 carries the state and accumulates.
 
-No table of the whole model is ever held in one place. Texts are dealt into blocks; a
-block asks for the counts of just its own n-grams. A request is a sorted array of 64-bit
-n-gram hashes with the block's own training counts; requests are dealt by hash range,
-summed there over all blocks, and answered with total counts. So a task holds one
-block's n-grams or one range's, and what is moved grows with the corpus. Every distinct
-n-gram of a block is asked for once, however frequent.
+No table of the whole model is ever held in one place. Each task turns its texts, as they
+are scanned, into blocks of words by number, written once (texts are never shuffled). A
+block asks for the counts of just its own n-grams: a request is a sorted array of their
+64-bit hashes with the block's own training counts; requests are dealt by hash range,
+summed there over all blocks, and answered with total counts, from which each block
+builds its part of the automaton. So a task holds one block's n-grams or one range's, and
+what is moved grows with the corpus. Every distinct n-gram of a block is asked for once,
+however frequent. There is a row for each block and range, so their number grows faster
+than the corpus; their sizes are parameters.
 
 N-grams are told apart by 64-bit hashes; with ``k`` different ones the chance that any
-two are mixed up is below ``k * k / 2**65``.
+two are mixed up is about ``k * k / 2**59``.
 
-Defined results: null text is the empty text, one end token; repeated rows repeat; with
-no training text counts are zero and probabilities those of an empty model; extra
-columns are not read.
+Defined results: null text is the empty text, one end token; an id may be null; repeated
+rows repeat; very long texts are read whole (a block holds one text at least); the score
+has no ties to break; with no training text counts are zero and probabilities those of an empty
+model; an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
 
-from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hostweave.llm.common import cut, documents
+from hostweave.llm.common import cut, documents, raw
 
-#: The end token and, as a context only, what stands before a text's first word.
-END, START = b"\x00end", b"\x00start"
+#: Hashes of the end token and, as a context only, of what stands before a text's first word.
+END, START = np.uint64(0x1F3D5B79A2C4E680), np.uint64(0x0E2C4A68B7D59F31)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def words(text: bytes) -> list[bytes]:
-    return text.lower().split()  # on bytes: ASCII case and ASCII white space only
-
-
 #: By byte: an odd random number of its own, and whether it is white space.
 _BYTES = np.random.default_rng(20240).integers(0, 2**64, 256, dtype=np.uint64) | np.uint64(1)
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
@@ -110,10 +113,6 @@ def hashed_words(texts: list[bytes], strip: bytes = b"") -> tuple[np.ndarray, np
     return join(hashes, np.uint64), join(counts, np.int64)
 
 
-def _hash(token: bytes) -> int:
-    return int(hashed_words([token])[0][0])
-
-
 def extend(context: np.ndarray, token: np.ndarray) -> np.ndarray:
     """Hashes of n-grams from those of their contexts and last tokens."""
     x = context * MIX + token
@@ -142,172 +141,279 @@ def unpack_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(unpack(data, "u8"), dtype=np.uint64)
 
 
+def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all tokens, an end token after each text's words, and the texts' numbers of tokens."""
+    words, count = hashed_words(texts)
+    out = np.full(len(words) + len(texts), END, dtype=np.uint64)
+    out[np.arange(len(words)) + np.repeat(np.arange(len(texts)), count)] = words
+    return out, count + 1
+
+
+BLOCK = "block long, ids binary, known binary, train binary, length binary, words binary, at binary"
+
+
+def _block(name: int, ids: pa.Array, train: np.ndarray, texts: list[bytes]) -> pa.RecordBatch:
+    found, length = tokens(texts)
+    words, at = np.unique(found, return_inverse=True)
+    cells = (name, ids.fill_null(0).to_numpy().astype("i8").tobytes(), ids.is_valid().to_numpy(zero_copy_only=False).tobytes(), train.tobytes(), pack(length.astype("u4")), pack_sorted(words), pack(at.astype("u4")))
+    return pa.RecordBatch.from_pydict({f.split()[0]: [c] for f, c in zip(BLOCK.split(", "), cells, strict=True)})
+
+
+def blocks(rows: DataFrame, block_bytes: int, block_rows: int = 1 << 16) -> DataFrame:
+    """Blocks of ``(doc_id, text, train)`` by bytes and rows, written once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = task = count = 0
+
+        def block() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held).combine_chunks()
+            train = table.column("train").to_numpy().astype(bool)
+            return _block(task << 32 | count, pa.concat_arrays(table.column("doc_id").chunks), train, [x for h in held for x in raw(h, "text")])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            task = batch.column("task")[0].as_py()
+            length = np.cumsum([0 if t is None else t for t in batch.column("size").to_pylist()])
+            at = 0
+            while at < batch.num_rows:
+                room = max(1, block_rows - sum(h.num_rows for h in held))
+                before = length[at - 1] if at else 0
+                upto = min(int(np.searchsorted(length, before + block_bytes - size)) + 1, at + room, batch.num_rows)
+                held.append(batch.slice(at, upto - at))
+                size += int(length[upto - 1] - before)
+                if size >= block_bytes or sum(h.num_rows for h in held) >= block_rows:
+                    yield block()
+                    held, size, count = [], 0, count + 1
+                at = upto
+        if held:
+            yield block()
+
+    sized = rows.select("doc_id", "text", "train", F.octet_length("text").alias("size"), F.spark_partition_id().alias("task"))
+    return cut(sized.mapInArrow(run, BLOCK), "blocks")
+
+
 class Block:
-    """The texts of one block as arrays of n-gram hashes, order by order."""
-
-    def __init__(self, docs: list[bytes], order: int) -> None:
-        numbers: dict[bytes, int] = {END: 0, START: 1}
-        flat = array("I")
-        self.length = np.zeros(len(docs), dtype=np.int64)
-        for i, text in enumerate(docs):
-            found = words(text)
-            self.length[i] = len(found) + 1
-            for w in found:
-                flat.append(numbers.setdefault(w, len(numbers)))
-            flat.append(0)
-        del docs
-        table = np.fromiter(map(_hash, numbers), dtype=np.uint64, count=len(numbers))
-        ids = np.frombuffer(flat, dtype=np.uint32) if len(flat) else np.zeros(0, np.uint32)
-        start = np.cumsum(self.length) - self.length
-        first = np.zeros(len(ids), dtype=bool)
-        first[start[self.length > 0]] = True
-        place = np.arange(len(ids)) - np.repeat(start, self.length)
-        #: grams[k][i]: the hash of token i with k words before it (the start mark filling in once).
-        self.grams = [table[ids]]
-        self.has = [np.ones(len(ids), dtype=bool)]
+    """The n-grams that end at each token of a block's texts, order by order."""
+
+    def __init__(self, words: np.ndarray, at: np.ndarray, length: np.ndarray, order: int) -> None:
+        self.words, self.at, self.length = words, at.astype(np.int64), length
+        self.first = np.cumsum(length) - length
+        self.place = np.arange(len(at)) - np.repeat(self.first, length)
+        #: grams[k][i]: the hash of token i with k words before it (the start mark filling in once), where place >= k - 1.
+        self.grams = [words[self.at]]
         for k in range(1, order):
-            before = np.where(first, extend(np.full(1, table[1]), np.full(1, np.uint64(k)))[0], np.roll(self.grams[k - 1], 1))
+            before = np.where(self.place == 0, extend(np.full(1, START), np.full(1, np.uint64(k)))[0], np.roll(self.grams[k - 1], 1))
             self.grams.append(extend(before, self.grams[0]))
-            self.has.append(place >= k - 1)
+        self.has = [self.place >= k - 1 for k in range(order)]
+        self.keys: list[np.ndarray] = []
+        #: number[k][i]: the place of gram k at token i among the sorted keys[k]; -1 if there is none.
+        self.number: list[np.ndarray] = []
+        for gram, has in zip(self.grams, self.has, strict=True):
+            keys, number = np.unique(gram[has], return_inverse=True)
+            self.keys.append(keys)
+            self.number.append(np.full(len(at), -1, dtype=np.int64))
+            self.number[-1][has] = number
 
-    def contexts(self, k: int) -> np.ndarray:
-        """Hashes of the k words before each token, as n-grams of order k that end there."""
-        out = np.roll(self.grams[k - 1], 1)
-        return out
+    @classmethod
+    def of(cls, row: dict, order: int) -> Block:
+        return cls(unpack_sorted(row["words"]), unpack(row["at"], "u4"), unpack(row["length"], "u4").astype(np.int64), order)
 
+    @classmethod
+    def from_texts(cls, texts: list[bytes], order: int) -> Block:
+        found, length = tokens(texts)
+        words, at = np.unique(found, return_inverse=True)
+        return cls(words, at, length, order)
 
-def _keys(block: Block, train: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All distinct n-grams of a block, their training counts, and whether they are words."""
-    use = np.repeat(train, block.length)
-    keys = np.concatenate([g[h] for g, h in zip(block.grams, block.has, strict=True)])
-    weight = np.concatenate([use[h] for h in block.has])
-    is_word = np.concatenate([np.full(int(h.sum()), k == 0) for k, h in enumerate(block.has)])
-    distinct, at = np.unique(keys, return_inverse=True)
-    counts = np.bincount(at, weights=weight, minlength=len(distinct)).astype(np.uint32)
-    word = np.zeros(len(distinct), dtype=bool)
-    word[at[is_word]] = True
-    return distinct, counts, word
+    def counts(self, train: np.ndarray) -> list[np.ndarray]:
+        """How often each key occurs in training texts."""
+        use = np.repeat(train, self.length)
+        return [np.bincount(n[h & use], minlength=len(k)).astype(np.uint32) for k, n, h in zip(self.keys, self.number, self.has, strict=True)]
 
 
-def requests(blocks: DataFrame, order: int, ranges: int) -> DataFrame:
-    """``(range, block, keys, counts, word)`` from ``(block, text, train)``."""
+def small(values: np.ndarray) -> bytes:
+    """Counts or places, packed in the fewest bytes each that will do; the first byte tells."""
+    kind = next(k for k in ("u1", "u2", "u4", "u8") if k == "u8" or values.max(initial=0) < 1 << 8 * int(k[1]))
+    return kind[1].encode() + pack(values.astype(kind))
 
-    def run(table: pa.Table) -> pa.Table:
-        docs = [b"" if t is None else t for t in table.column("text").cast(pa.binary()).to_pylist()]
-        train = table.column("train").to_numpy()
-        keys, counts, word = _keys(Block(docs, order), train)
-        cuts = np.searchsorted((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32), np.arange(ranges + 1))
-        rows = [(r, a, b) for r, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)) if b > a]
-        return pa.table(
-            {
-                "range": pa.array([r for r, _, _ in rows], pa.int64()),
-                "block": pa.array([table.column("block")[0].as_py()] * len(rows), pa.int64()),
-                "keys": pa.array([pack_sorted(keys[a:b]) for _, a, b in rows], pa.binary()),
-                "counts": pa.array([pack(counts[a:b]) for _, a, b in rows], pa.binary()),
-                "word": pa.array([pack(word[a:b].astype(np.uint8)) for _, a, b in rows], pa.binary()),
-            }
-        )
 
-    return blocks.groupBy("block").applyInArrow(run, "range long, block long, keys binary, counts binary, word binary")
+def unsmall(data: bytes) -> np.ndarray:
+    return unpack(data[1:], "u" + data[:1].decode())
+
+
+def requests(found: DataFrame, order: int, ranges: int) -> DataFrame:
+    """``(range, block, order, keys, counts)`` of all n-grams of the blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                block = Block.of(row, order)
+                train = np.frombuffer(row["train"], dtype=bool)
+                rows: list[tuple] = []
+                for k, (keys, counts) in enumerate(zip(block.keys, block.counts(train), strict=True)):
+                    cuts = np.searchsorted((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32), np.arange(ranges + 1))
+                    rows += [(r, row["block"], k, pack_sorted(keys[a:b]), small(counts[a:b])) for r, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)) if b > a]
+                del block
+                yield pa.record_batch([pa.array([r[j] for r in rows], kind) for j, kind in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))], ["range", "block", "order", "keys", "counts"])
+
+    return found.select("block", "train", "length", "words", "at").mapInArrow(run, "range long, block long, order int, keys binary, counts binary")
 
 
 def answers(asked: DataFrame) -> DataFrame:
-    """``(block, range, totals, n, v)``: total counts in the order of the request's keys.
+    """``(block, range, order, totals, n, v)``: total counts in the order of the request's keys.
 
-    The row of a range with block -1 carries its share of the training tokens (``n``) and
-    of the distinct training words (``v``).
+    The row of a range and order with block -1 carries, for single words, the range's share of the
+    training tokens (``n``) and of the distinct training words (``v``).
     """
 
     def run(table: pa.Table) -> pa.Table:
         keys = [unpack_sorted(x) for x in table.column("keys").to_pylist()]
-        counts = np.concatenate([unpack(x, "u4") for x in table.column("counts").to_pylist()])
-        word = np.concatenate([unpack(x, "u1") for x in table.column("word").to_pylist()])
+        counts = np.concatenate([unsmall(x).astype(np.uint32) for x in table.column("counts").to_pylist()])
+        sizes = np.cumsum([len(k) for k in keys])[:-1]
         distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-        at = at.astype(np.int32)
         totals = np.bincount(at, weights=counts, minlength=len(distinct)).astype(np.uint64)
-        words_here = np.zeros(len(distinct), dtype=bool)
-        words_here[at[word > 0]] = True
-        parts = np.split(at, np.cumsum([len(k) for k in keys])[:-1])
-        held = totals[words_here]
-        zero = np.zeros(0, np.uint64)
-        r = table.column("range")[0].as_py()
+        packed = [small(totals[p]) for p in np.split(at, sizes)]
+        r, k, many = table.column("range")[0].as_py(), table.column("order")[0].as_py(), len(keys)
+        single = k == 0
         return pa.table(
             {
                 "block": pa.array([*table.column("block").to_pylist(), -1], pa.int64()),
-                "range": pa.array([r] * (len(keys) + 1), pa.int64()),
-                "totals": pa.array([*(pack(totals[p]) for p in parts), pack(zero)], pa.binary()),
-                "n": pa.array([0] * len(keys) + [int(held.sum())], pa.int64()),
-                "v": pa.array([0] * len(keys) + [int((held > 0).sum())], pa.int64()),
+                "range": pa.array([r] * (many + 1), pa.int64()),
+                "order": pa.array([k] * (many + 1), pa.int32()),
+                "totals": pa.array([*packed, None], pa.binary()),
+                "n": pa.array([0] * many + [int(totals.sum()) if single else 0], pa.int64()),
+                "v": pa.array([0] * many + [int((totals > 0).sum()) if single else 0], pa.int64()),
             }
         )
 
-    return asked.groupBy("range").applyInArrow(run, "block long, range long, totals binary, n long, v long")
+    return asked.groupBy("range", "order").applyInArrow(run, "block long, range long, order int, totals binary, n long, v long")
 
 
-class Automaton:
-    """The backoff automaton over one block's n-grams."""
+#: Tokens of a text that are read by one lane of a walk.
+LANE = 256
 
-    def __init__(self, keys: np.ndarray, totals: np.ndarray, n: int, v: int, strength: float) -> None:
-        self.keys, self.totals = keys, totals.astype(np.float64)
-        self.unseen = float(n + v + 1)
-        self.strength = strength
 
-    def count(self, grams: np.ndarray) -> np.ndarray:
-        return self.totals[np.searchsorted(self.keys, grams)]
+class Automaton:
+    """States, arcs and failure arcs over the words of one block.
 
-    def score(self, block: Block, ends: float) -> tuple[np.ndarray, np.ndarray]:
-        """``log10`` of each token's base and model probability, read from left to right.
+    State 0 is the root and 1 the start of a text. ``arc_keys`` (sorted) are ``state * width
+    + word``; the root's arcs are by word in ``root_weight`` and ``root_to``.
+    """
 
-        The state before a token is its longest context; the token's probability sums the
-        arcs at that state and, weighted by the failure arcs, at those it falls back to.
+    def __init__(self, block: Block, totals: list[np.ndarray], n: int, v: int, ends: float, strength: float) -> None:
+        order, number, place = len(block.grams), block.number, block.place
+        self.order, self.width = order, max(1, len(block.words))
+        c = [t.astype(np.float64) for t in totals]
+        unigram = (c[0] + 1) / (n + v + 1)
+        state = []  # of the keys of each order that can be contexts; -1: not seen in training
+        size = 2
+        for k in range(order - 1):
+            state.append(np.where(c[k] > 0, np.cumsum(c[k] > 0) - 1 + size, -1))
+            size += int((c[k] > 0).sum())
+        self.fail = np.zeros(size, dtype=np.int64)
+        self.fail_weight = np.zeros(size)
+        self.fail_weight[1] = np.log10(strength / (ends + strength))
+        self.root_weight, self.root_to = np.log10(unigram), np.maximum(state[0], 0) if order > 1 else np.zeros(len(unigram), np.int64)
+        p = unigram[number[0]]
+        keys, weights, to = [], [], []
+        for k in range(order):
+            if k:
+                context = np.where(place == 0, ends, np.roll(c[k - 1][number[k - 1]], 1)) if k == 1 else np.roll(c[k - 1][number[k - 1]], 1)
+                p = np.where(block.has[k], (c[k][number[k]] + strength * p) / (context + strength), p)
+            first = np.full(len(block.keys[k]), -1, dtype=np.int64)
+            at = np.flatnonzero(block.has[k])
+            first[number[k][at]] = at  # some place where the n-gram ends
+            first = first[c[k] > 0]
+            if k < order - 1:  # the n-gram is a state, whose failure arc drops its first word
+                own = state[k][c[k] > 0]
+                self.fail_weight[own] = np.log10(strength / (c[k][c[k] > 0] + strength))
+                if k:
+                    self.fail[own] = state[k - 1][number[k - 1][first]]
+            if k:  # and an arc from the state of what is before its last word
+                before = state[k - 1][number[k - 1][first - 1]]
+                if k == 1:
+                    before = np.where(place[first] == 0, 1, before)
+                keys.append(before * self.width + block.at[first])
+                weights.append(np.log10(p[first]))
+                to.append(state[min(k, order - 2)][number[min(k, order - 2)][first]])
+        turn = np.argsort(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
+        join = lambda x, kind: np.concatenate(x)[turn] if x else np.zeros(0, kind)
+        self.arc_keys, self.arc_weight, self.arc_to = join(keys, np.int64), join(weights, np.float64), join(to, np.int64)
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after one word each, and the log-probabilities added on the way."""
+        state, added = state.copy(), np.zeros(len(state))
+        todo = np.arange(len(state))
+        while len(todo):
+            root = state[todo] == 0
+            some = todo[root]
+            added[some] += self.root_weight[word[some]]
+            state[some] = self.root_to[word[some]]
+            todo = todo[~root]
+            key = state[todo] * self.width + word[todo]
+            at = np.minimum(np.searchsorted(self.arc_keys, key), max(0, len(self.arc_keys) - 1))
+            hit = self.arc_keys[at] == key if len(self.arc_keys) else np.zeros(len(todo), bool)
+            some = todo[hit]
+            added[some] += self.arc_weight[at[hit]]
+            state[some] = self.arc_to[at[hit]]
+            todo = todo[~hit]
+            added[todo] += self.fail_weight[state[todo]]
+            state[todo] = self.fail[state[todo]]
+        return state, added
+
+    def walk(self, word: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The log-probability of each text, its words in one pass from left to right.
+
+        Long texts are read in lanes side by side. A lane first reads the words before its
+        own, as many as a state can hold, without counting them: that puts it into the
+        state in which the lane before it ends.
         """
-        base = (self.count(block.grams[0]) + 1) / self.unseen
-        p = base
-        starts = np.cumsum(block.length) - block.length
-        place = np.arange(len(base)) - np.repeat(starts, block.length)
-        for k in range(1, len(block.grams)):
-            has = block.has[k]
-            arc = np.zeros(len(base))
-            arc[has] = self.count(block.grams[k][has])
-            state = np.zeros(len(base))
-            inside = place >= k
-            state[inside] = self.count(block.contexts(k)[inside])
-            state[place == k - 1] = ends if k == 1 else self.count(block.grams[k - 1][np.flatnonzero(place == k - 1) - 1])
-            p = np.where(has, (arc + self.strength * p) / (state + self.strength), p)
-        return np.log10(base), np.log10(p)
-
-
-def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 2, strength: float = 100.0, block_bytes: int = 4 << 20, range_bytes: int = 12 << 20) -> DataFrame:
+        lanes = -(-length // LANE)
+        text = np.repeat(np.arange(len(length)), lanes)
+        offset = spread(np.zeros(len(length), dtype=np.int64), lanes) * LANE
+        begin = (np.cumsum(length) - length)[text] + offset
+        upto = np.minimum(offset + LANE, length[text]) - offset
+        state = np.where(offset == 0, min(1, self.order - 1), 0)
+        for back in range(min(self.order - 1, LANE), 0, -1):
+            some = np.flatnonzero(offset > 0)
+            state[some] = self.step(state[some], word[begin[some] - back])[0]
+        total = np.zeros(len(begin))
+        turn = np.argsort(-upto, kind="stable")
+        begin, state, total, upto = begin[turn], state[turn], total, upto[turn]
+        for t in range(int(upto.max(initial=0))):
+            live = int(np.searchsorted(-upto, -t, side="left"))  # lanes that have more than t words
+            state[:live], added = self.step(state[:live], word[begin[:live] + t])
+            total[:live] += added
+        return np.bincount(text[turn], total, minlength=len(length))
+
+
+def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 3, strength: float = 100.0, block_bytes: int = 12 << 20, range_bytes: int = 48 << 20) -> DataFrame:
     """``(doc_id, train, n_tokens, n_known, train_tokens, base_score, score)`` for every row.
 
-    ``train`` marks the rows to learn from. Blocks and ranges are sized by bytes of text,
-    so their number follows the corpus and a task's memory doesn't.
+    ``train`` marks the rows to learn from. Blocks and ranges are sized by bytes of text
+    (blocks also by rows), so their number follows the corpus and a task's memory doesn't.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(train, F.lit(False)).alias("train"))
-    size, ends = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.coalesce(F.sum(F.col("train").cast("long")), F.lit(0))).first()
-    blocks, ranges = -(-size // block_bytes) + 1, -(-size // range_bytes) + 1
-    dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.octet_length("text"), F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))), F.lit(blocks)))
-    found = cut(answers(requests(dealt.select("block", "text", "train"), order, ranges)), "counts")
+    held = blocks(rows, block_bytes)
+    size, ends = rows.agg(F.coalesce(F.sum(F.octet_length("text") + 1), F.lit(0)), F.coalesce(F.sum(F.col("train").cast("long")), F.lit(0))).first()
+    found = cut(answers(requests(held, order, int(size // range_bytes) + 1)), "counts")
     n, v = found.where("block = -1").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
 
     def run(table: pa.Table, counts: pa.Table) -> pa.Table:
-        data = [b"" if t is None else t for t in table.column("text").cast(pa.binary()).to_pylist()]
-        block = Block(data, order)
-        keys = _keys(block, np.zeros(len(data), dtype=bool))[0]
-        turn = np.argsort(counts.column("range").to_numpy())
-        totals = counts.column("totals").to_pylist()
-        automaton = Automaton(keys, np.concatenate([unpack(totals[i], "u8") for i in turn] or [np.zeros(0, "u8")]), n, v, strength)
-        base, model = automaton.score(block, float(ends))
-        starts = np.cumsum(block.length) - block.length
-        known = automaton.count(block.grams[0]) > 0
-        sums = lambda x: np.add.reduceat(x, starts)
-        return pa.table({"doc_id": table.column("doc_id"), "train": table.column("train"), "n_tokens": block.length, "n_known": sums(known.astype(np.int64)), "train_tokens": np.full(len(data), n, np.int64), "base_score": sums(base), "score": sums(model)})
-
-    def joined(key: tuple, table: pa.Table, counts: pa.Table) -> pa.Table:
-        return run(table, counts)
+        row = table.to_pylist()[0]
+        block = Block.of(row, order)
+        parts = sorted(zip(counts.column("order").to_pylist(), counts.column("range").to_pylist(), counts.column("totals").to_pylist(), strict=True), key=lambda x: x[:2])
+        totals = [np.concatenate([unsmall(t).astype(np.uint64) for k, _, t in parts if k == j] or [np.zeros(0, np.uint64)]) for j in range(order)]
+        score = Automaton(block, totals, n, v, float(ends), strength).walk(block.at, block.length)
+        c = totals[0][block.number[0]]
+        sums = lambda x: np.add.reduceat(x, block.first)
+        ids = pa.array(np.frombuffer(row["ids"], "i8"), mask=~np.frombuffer(row["known"], dtype=bool))
+        learnt = np.frombuffer(row["train"], dtype=bool)
+        return pa.table({"doc_id": ids, "train": pa.array(learnt), "n_tokens": block.length, "n_known": sums((c > 0).astype(np.int64)), "train_tokens": np.full(len(learnt), n, np.int64), "base_score": sums(np.log10((c.astype(np.float64) + 1) / (n + v + 1))), "score": score})
 
     out = "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return dealt.groupBy("block").cogroup(found.where("block >= 0").select("block", "range", "totals").groupBy("block")).applyInArrow(joined, out)
+    return held.groupBy("block").cogroup(found.where("block >= 0").select("block", "range", "order", "totals").groupBy("block")).applyInArrow(run, out)
 
 
 def op10_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

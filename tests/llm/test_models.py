@@ -115,37 +115,75 @@ def test_gradients_of_the_network():
     assert loss() < before
 
 
-def brute_lm(rows, train, strength=100.0):
+def brute_lm(rows, train, order, strength):
     tokens = lambda t: [*((t or "").encode().lower().split()), "END"]
-    c, pairs, context = collections.Counter(), collections.Counter(), collections.Counter()
+    c, learnt = collections.Counter(), 0
     for i, t in rows:
         if train(i):
-            w = tokens(t)
-            c.update(w)
-            pairs.update(zip(["START", *w], w, strict=False))
-            context.update(["START", *w[:-1]])
-    n, v = sum(c.values()), len(c)
+            w = ["START", *tokens(t)]
+            learnt += 1
+            c.update(tuple(w[j - k : j + 1]) for j in range(1, len(w)) for k in range(order) if j - k >= 0)
+    n, v = sum(x for g, x in c.items() if len(g) == 1), sum(len(g) == 1 for g in c)
+    c["START",] = learnt
     out = []
     for i, t in rows:
-        w = tokens(t)
-        base = [(c[x] + 1) / (n + v + 1) for x in w]
-        model = [(pairs[u, x] + strength * b) / (context[u] + strength) for u, x, b in zip(["START", *w], w, base, strict=False)]
-        out.append((i, not train(i), len(w), sum(c[x] > 0 for x in w), n, sum(map(math.log10, base)), sum(map(math.log10, model))))
+        w = ["START", *tokens(t)]
+        base, model = [], []
+        for j in range(1, len(w)):
+            p = (c[w[j],] + 1) / (n + v + 1)
+            base.append(math.log10(p))
+            for k in range(1, order):
+                if j - k >= 0:
+                    p = (c[tuple(w[j - k : j + 1])] + strength * p) / (c[tuple(w[j - k : j])] + strength)
+            model.append(math.log10(p))
+        out.append((i, not train(i), len(w) - 1, sum(c[x,] > 0 for x in w[1:]), n, sum(base), sum(model)))
     return out
 
 
-@pytest.mark.parametrize("block", [200, 1 << 20])
-def test_lm_equals_brute_force(spark, block):
-    rows = [(i, t) for i, t in enumerate(["a b a c", "A B", None, "", "c c c c d", "q " * 3000, "a b a c", "é É e"])]
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("train", F.lit(7))
-    got = lm.scored(docs, F.col("doc_id") % 3 != 1, block_bytes=block, range_bytes=block).orderBy("doc_id").collect()
-    for r, want in zip(got, brute_lm(rows, lambda i: i % 3 != 1), strict=True):
-        assert (r["doc_id"], not r["train"], r["n_tokens"], r["n_known"], r["train_tokens"]) == want[:5]
-        assert np.allclose([r["base_score"], r["score"]], want[5:])
+@pytest.mark.parametrize(("block", "order"), [(200, 3), (1 << 20, 3), (200, 2), (1 << 20, 1), (50, 4)])
+def test_lm_equals_brute_force(spark, block, order):
+    texts = ["a b a c", "A B", None, "", "c c c c d", "q " * 3000, "a b a c", "é É e", "a b a d a b a c", "x y z " * 300 + "w"]
+    rows = [*enumerate(texts), (6, "a b a c"), (2, "b a"), (2, "b a")]
+    docs = spark.createDataFrame([*rows, (None, "a b")], "doc_id long, text string").withColumn("train", F.lit(7)).repartition(2)
+    got = lm.scored(docs, F.col("doc_id") % 3 != 1, order=order, strength=5.0, block_bytes=block, range_bytes=block)
+    key = lambda r: (r[0], r[2], r[6])
+    found = sorted(((r["doc_id"], not r["train"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in got.where("doc_id IS NOT NULL").collect()), key=key)
+    for r, want in zip(found, sorted(brute_lm(rows, lambda i: i % 3 != 1, order, 5.0), key=key), strict=True):
+        assert r[:5] == want[:5] and np.allclose(r[5:], want[5:])
+    assert got.where("doc_id IS NULL").count() == 1
     assert lm.scored(docs.limit(0), F.lit(True)).count() == 0
     assert all(r["n_known"] == 0 for r in lm.scored(docs, F.lit(False)).collect())
 
 
+def test_states_arcs_and_failure_arcs():
+    block = lm.Block.from_texts([b"a b c a b d", b"b d c", b"e a b e"], 3)
+    totals = block.counts(np.array([True, True, False]))
+    m = 2.0
+    automaton = lm.Automaton(block, totals, int(totals[0].sum()), int((totals[0] > 0).sum()), 2.0, m)
+    word = {w: int(np.searchsorted(block.words, lm.hashed_words([w])[0][0])) for w in (b"a", b"b", b"c", b"d", b"e")}
+    step = lambda state, w: tuple(x[0] for x in automaton.step(np.array([state]), np.array([word[w]])))
+    root_a, added = step(0, b"a")
+    assert root_a > 1 and automaton.fail[root_a] == 0 and np.isclose(added, math.log10(3 / (11 + 5 + 1)))
+    ab, added = step(root_a, b"b")
+    assert np.isclose(added, math.log10((2 + m * 4 / 17) / (2 + m)))  # the arc of a seen bigram
+    assert np.isclose(automaton.fail_weight[ab], math.log10(m / (2 + m)))  # "a b" occurs twice
+    after_b = automaton.fail[ab]
+    assert after_b == step(0, b"b")[0] and np.isclose(automaton.fail_weight[after_b], math.log10(m / (3 + m)))
+    state, added = step(ab, b"e")  # neither "a b e" nor "b e" nor "e" was learnt: two failure arcs, then the root's arc
+    assert state == 0 and np.isclose(added, math.log10(m / (2 + m)) + math.log10(m / (3 + m)) + math.log10(1 / 17))
+    state, added = step(ab, b"d")
+    p = (2 + m * 3 / 17) / (3 + m)
+    assert state == automaton.step(np.array([after_b]), np.array([word[b"d"]]))[0][0] and np.isclose(added, math.log10((1 + m * p) / (2 + m)))
+    long = lm.Block.from_texts([b" ".join([b"a b c d"] * 500)], 3)
+    learnt = long.counts(np.array([True]))
+    whole = lm.Automaton(long, learnt, int(learnt[0].sum()), 5, 1.0, m)
+    state, total = np.array([1]), 0.0
+    for w in long.at:  # word by word, in one lane
+        state, added = whole.step(state, np.array([w]))
+        total += added[0]
+    assert np.isclose(whole.walk(long.at, long.length)[0], total)
+
+
 def test_lm_helps_on_held_out_text(docs):
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
     r = lm.scored(docs, ~held).where("NOT train").agg(F.sum("score"), F.sum("base_score")).first()
