@@ -198,24 +198,27 @@ class Block:
     """The n-grams that end at each token of a block's texts, order by order."""
 
     def __init__(self, words: np.ndarray, at: np.ndarray, length: np.ndarray, order: int) -> None:
-        self.words, self.at, self.length = words, at.astype(np.int64), length
+        self.words, self.at, self.length, self.order = words, at.astype(np.int32), length, order
         self.first = np.cumsum(length) - length
-        self.place = np.arange(len(at)) - np.repeat(self.first, length)
-        #: grams[k][i]: the hash of token i with k words before it (the start mark filling in once), where place >= k - 1.
-        self.grams = [words[self.at]]
-        for k in range(1, order):
-            before = np.where(self.place == 0, extend(np.full(1, START), np.full(1, np.uint64(k)))[0], np.roll(self.grams[k - 1], 1))
-            self.grams.append(extend(before, self.grams[0]))
-        self.has = [self.place >= k - 1 for k in range(order)]
+        self.place = (np.arange(len(at)) - np.repeat(self.first, length)).astype(np.int32)
         self.keys: list[np.ndarray] = []
-        #: number[k][i]: the place of gram k at token i among the sorted keys[k]; -1 if there is none.
+        #: number[k][i]: the place among the sorted keys[k] of token i with k words before it (the start mark
+        #: filling in once, so place >= k - 1); -1 if there is no such n-gram.
         self.number: list[np.ndarray] = []
-        for gram, has in zip(self.grams, self.has, strict=True):
+        gram = words[self.at]
+        for k in range(order):
+            if k:
+                gram = np.where(self.place == 0, extend(np.full(1, START), np.full(1, np.uint64(k)))[0], np.roll(gram, 1))
+                gram = extend(gram, words[self.at])
+            has = self.has(k)
             keys, number = np.unique(gram[has], return_inverse=True)
             self.keys.append(keys)
-            self.number.append(np.full(len(at), -1, dtype=np.int64))
+            self.number.append(np.full(len(at), -1, dtype=np.int32))
             self.number[-1][has] = number
 
+    def has(self, k: int) -> np.ndarray:
+        return self.place >= k - 1
+
     @classmethod
     def of(cls, row: dict, order: int) -> Block:
         return cls(unpack_sorted(row["words"]), unpack(row["at"], "u4"), unpack(row["length"], "u4").astype(np.int64), order)
@@ -229,7 +232,7 @@ class Block:
     def counts(self, train: np.ndarray) -> list[np.ndarray]:
         """How often each key occurs in training texts."""
         use = np.repeat(train, self.length)
-        return [np.bincount(n[h & use], minlength=len(k)).astype(np.uint32) for k, n, h in zip(self.keys, self.number, self.has, strict=True)]
+        return [np.bincount(n[use & (n >= 0)], minlength=len(k)).astype(np.uint32) for k, n in zip(self.keys, self.number, strict=True)]
 
 
 def small(values: np.ndarray) -> bytes:
@@ -302,7 +305,7 @@ class Automaton:
     """
 
     def __init__(self, block: Block, totals: list[np.ndarray], n: int, v: int, ends: float, strength: float) -> None:
-        order, number, place = len(block.grams), block.number, block.place
+        order, number, place = block.order, block.number, block.place
         self.order, self.width = order, max(1, len(block.words))
         c = [t.astype(np.float64) for t in totals]
         unigram = (c[0] + 1) / (n + v + 1)
@@ -320,9 +323,9 @@ class Automaton:
         for k in range(order):
             if k:
                 context = np.where(place == 0, ends, np.roll(c[k - 1][number[k - 1]], 1)) if k == 1 else np.roll(c[k - 1][number[k - 1]], 1)
-                p = np.where(block.has[k], (c[k][number[k]] + strength * p) / (context + strength), p)
-            first = np.full(len(block.keys[k]), -1, dtype=np.int64)
-            at = np.flatnonzero(block.has[k])
+                p = np.where(block.has(k), (c[k][number[k]] + strength * p) / (context + strength), p)
+            first = np.full(len(block.keys[k]), -1, dtype=np.int32)
+            at = np.flatnonzero(block.has(k))
             first[number[k][at]] = at  # some place where the n-gram ends
             first = first[c[k] > 0]
             if k < order - 1:  # the n-gram is a state, whose failure arc drops its first word
@@ -334,12 +337,15 @@ class Automaton:
                 before = state[k - 1][number[k - 1][first - 1]]
                 if k == 1:
                     before = np.where(place[first] == 0, 1, before)
-                keys.append(before * self.width + block.at[first])
+                arc = before * self.width + block.at[first]
+                turn = np.argsort(arc)
+                first = first[turn]
+                keys.append(arc[turn])  # states of longer contexts have higher numbers, so the arcs of all orders are sorted
                 weights.append(np.log10(p[first]))
-                to.append(state[min(k, order - 2)][number[min(k, order - 2)][first]])
-        turn = np.argsort(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
-        join = lambda x, kind: np.concatenate(x)[turn] if x else np.zeros(0, kind)
-        self.arc_keys, self.arc_weight, self.arc_to = join(keys, np.int64), join(weights, np.float64), join(to, np.int64)
+                to.append(state[min(k, order - 2)][number[min(k, order - 2)][first]].astype(np.int32))
+                del arc, turn, before
+        join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
+        self.arc_keys, self.arc_weight, self.arc_to = join(keys, np.int64), join(weights, np.float64), join(to, np.int32)
 
     def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The states after one word each, and the log-probabilities added on the way."""
@@ -388,7 +394,7 @@ class Automaton:
         return np.bincount(text[turn], total, minlength=len(length))
 
 
-def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 3, strength: float = 100.0, block_bytes: int = 12 << 20, range_bytes: int = 48 << 20) -> DataFrame:
+def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 3, strength: float = 100.0, block_bytes: int = 10 << 20, range_bytes: int = 32 << 20) -> DataFrame:
     """``(doc_id, train, n_tokens, n_known, train_tokens, base_score, score)`` for every row.
 
     ``train`` marks the rows to learn from. Blocks and ranges are sized by bytes of text
