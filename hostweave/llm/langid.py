@@ -213,31 +213,37 @@ def fit(counts: dict[str, Counter], pieces: list[str], rounds: int = 4, smoothin
     return Model(languages, index, p)
 
 
-def sampled(rows: DataFrame, key: Column | None = None, per_language: int = 400) -> DataFrame:
-    """``(lang, text)``: of each language the ``per_language`` different texts whose keys' hashes are least."""
+#: Up to so many languages the sample's keys, a row for each text that is taken, are broadcast.
+FEW_LANGUAGES = 1000
+
+
+def sampled(rows: DataFrame, key: Column | None = None, per_language: int = 400, few: bool = False) -> DataFrame:
+    """``(lang, text)``: of each language the ``per_language`` different texts whose keys' hashes are least.
+
+    ``few`` tells that the languages are few, so that the keys of the sample have a bound.
+    """
     mark = F.xxhash64(F.col("text") if key is None else key, F.lit("language sample"))
     rows = rows.select("lang", "text", F.xxhash64("text").alias("h"), mark.alias("mark"))
     texts_of = rows.groupBy("lang", "h").agg(F.min("mark").alias("mark"))
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("mark", "h"))
     chosen = texts_of.withColumn("turn", turn).where(F.col("turn") <= per_language).select("lang", "h")
-    return rows.join(chosen, ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")
+    return rows.join(F.broadcast(chosen) if few else chosen, ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")
 
 
-def train(docs: DataFrame, pieces: list[str], use: Column, lang_col: str = "lang", text_col: str = "text", key: Column | None = None, per_language: int = 400, max_languages: int = 256) -> Model:
+def train(docs: DataFrame, pieces: list[str], use: Column, lang_col: str = "lang", text_col: str = "text", key: Column | None = None, per_language: int = 400) -> Model:
     """Learns from ``per_language`` different texts of each labelled language where ``use`` holds.
 
     The sample's bound is the documented limit of a classifier's training rows: of each
-    of the ``max_languages`` most frequent languages, those texts are taken whose hashes
-    of ``key`` (the text by default) are least, each once however many rows have it, and
-    all texts of a language that has fewer.
+    labelled language, those texts are taken whose hashes of ``key`` (the text by default)
+    are least, each once however many rows have it, and all texts of a language that has
+    fewer.
     """
     rows = docs.where(use & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = rows.groupBy(F.col(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    sizes = rows.groupBy(F.col(lang_col).alias("lang")).count().collect()  # a row for each language
     if not sizes:
         return fit({}, pieces)
-    rows = rows.where(F.col(lang_col).isin([r["lang"] for r in sizes]))
     named = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), *([] if key is None else [key.alias("key")]))
-    sample = sampled(named, None if key is None else F.col("key"), per_language)
+    sample = sampled(named, None if key is None else F.col("key"), per_language, len(sizes) <= FEW_LANGUAGES)
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         tally = Counter((lang, w) for lang, text in zip(batch.column(0).to_pylist(), texts(batch, "text"), strict=True) for w in WORD.findall(text.lower()))

@@ -394,30 +394,37 @@ def verified(members: DataFrame, width: int, seed: int, least: float) -> DataFra
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, seed: int = 42, least: float = 0.8, bands: int = 24, size: int = 5) -> DataFrame:
     """One row of each near-duplicate group, all columns as they are.
 
-    The row with the least id stays (null ids last; of rows with one id, the first in the
-    written table). Two texts are linked when the sets of their ``width``-word shingles
-    share ``least`` or more, which is always computed from the texts. Compared are texts
-    that agree in one of ``bands`` min-hash keys: with the defaults a pair at 0.8 meets
-    with probability 0.9999, and one at 0.5 in about half of all cases. Texts without a
-    word are alike.
+    The row with the least id stays (null ids last; of rows with one id and different texts, that of the
+    least text hash; of rows alike in both, any one). Two texts are linked when the sets
+    of their ``width``-word shingles share ``least`` or more, which is always computed from
+    the texts. Compared are texts that agree in one of ``bands`` min-hash keys: with the
+    defaults a pair at 0.8 meets with probability 0.9999, and one at 0.5 in about half of
+    all cases. Texts without a word are alike. Very long texts are compared whole.
+
+    Rows are known by id and text hash. Whole rows move twice: the candidates' texts to where they
+    are compared, and at the end to where the rows that stay are. Both are merge joins at
+    every size, as neither side has a bound.
     """
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         sets = [shingles(t, width, seed) for t in raw(batch, "text")]
         whole = np.array([divmod(xxhash.xxh3_128_intdigest(x.tobytes()), 2**64) for x in sets], dtype=np.uint64).reshape(-1, 2).view(np.int64)
         found = [band_keys(x, bands, size, seed).view(np.int64) if len(x) else [] for x in sets]
-        return pa.record_batch([*batch.columns[:2], *(pa.array(np.ascontiguousarray(whole[:, k])) for k in (0, 1)), pa.array(found, pa.list_(pa.int64()))], ["id", "row", "fp", "fp2", "bands"])
+        return pa.record_batch([*batch.columns[:2], *(pa.array(np.ascontiguousarray(whole[:, k])) for k in (0, 1)), pa.array(found, pa.list_(pa.int64()))], ["id", "hash", "fp", "fp2", "bands"])
 
-    rows = cut(docs.withColumn("_hw_row", F.monotonically_increasing_id()), "numbered")
-    hashed = map_batches(rows.select(F.col(id_col).alias("id"), F.col("_hw_row").alias("row"), F.col(text_col).alias("text")), one, f"id {docs.schema[id_col].dataType.simpleString()}, row long, fp long, fp2 long, bands array<long>")
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))
-    keys = cut(hashed.groupBy("fp", "fp2").agg(first.alias("first"), F.min("bands").alias("bands")).withColumn("node", F.col("first.row")), "shingled")
+    text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+    hashed = map_batches(docs.select(F.col(id_col).alias("id"), text_hash.alias("hash"), F.col(text_col).alias("text")), one, f"id {docs.schema[id_col].dataType.simpleString()}, hash long, fp long, fp2 long, bands array<long>")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash"))
+    keys = cut(hashed.groupBy("fp", "fp2").agg(first.alias("first"), F.min("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()), "shingled")
     groups = cut(candidates(keys), "candidates")
-    texts_of = rows.select(F.col("_hw_row").alias("node"), F.col(text_col).alias("text"))
-    links = verified(groups.join(texts_of, "node"), width, seed, least)
+    same = lambda other: F.col("_hw_id").eqNullSafe(other["first.id"]) & (F.col("_hw_hash") == other["first.hash"])
+    texts_of = docs.select(F.col(id_col).alias("_hw_id"), text_hash.alias("_hw_hash"), F.col(text_col).alias("text")).groupBy("_hw_id", "_hw_hash").agg(F.min("text").alias("text"))
+    asked = groups.join(keys.select("node", "first"), "node")
+    links = verified(texts_of.join(asked.hint("merge"), same(asked)).select("group", "node", "text"), width, seed, least)
     roots = components(links)
     best = keys.select("node", "first").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
-    return rows.join(best.select(F.col("first.row").alias("_hw_row")), "_hw_row", "left_semi").select(*docs.columns)
+    rows = docs.withColumns({"_hw_id": F.col(id_col), "_hw_hash": text_hash}).dropDuplicates(["_hw_id", "_hw_hash"])
+    return rows.join(best.hint("merge"), same(best), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
