@@ -21,8 +21,8 @@ what is moved grows with the corpus. Every distinct n-gram of a block is asked f
 however frequent. There is a row for each block and range, so their number grows faster
 than the corpus; their sizes are parameters.
 
-N-grams are told apart by 64-bit hashes; with ``k`` different ones the chance that any
-two are mixed up is about ``k * k / 2**59``.
+Words are told apart by 64-bit hashes and longer n-grams by 56 bits; with ``k`` different
+ones the chance that any two are mixed up is about ``k * k / 2**59`` and ``k * k / 2**57``.
 
 Defined results: null text is the empty text, one end token; an id may be null; repeated
 rows repeat; very long texts are read whole (a block holds one text at least); the score
@@ -50,6 +50,8 @@ MIX = np.uint64(0x9E3779B97F4A7C15)
 #: By byte: an odd random number of its own, and whether it is white space.
 _BYTES = np.random.default_rng(20240).integers(0, 2**64, 256, dtype=np.uint64) | np.uint64(1)
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+#: The part of a hash by which n-grams of two words and more are known; what is sent gets shorter by the rest.
+WHOLE = np.uint64(2**64 - 2**8)
 #: Bytes of text that are hashed at once.
 CHUNK = 1 << 16
 
@@ -211,7 +213,7 @@ class Block:
                 gram = np.where(self.place == 0, extend(np.full(1, START), np.full(1, np.uint64(k)))[0], np.roll(gram, 1))
                 gram = extend(gram, words[self.at])
             has = self.has(k)
-            keys, number = np.unique(gram[has], return_inverse=True)
+            keys, number = np.unique(gram[has] & WHOLE if k else gram[has], return_inverse=True)
             self.keys.append(keys)
             self.number.append(np.full(len(at), -1, dtype=np.int32))
             self.number[-1][has] = number
@@ -394,7 +396,7 @@ class Automaton:
         return np.bincount(text[turn], total, minlength=len(length))
 
 
-def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 3, strength: float = 100.0, block_bytes: int = 10 << 20, range_bytes: int = 32 << 20) -> DataFrame:
+def scored(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text", order: int = 3, strength: float = 100.0, block_bytes: int = 6 << 20, range_bytes: int = 32 << 20) -> DataFrame:
     """``(doc_id, train, n_tokens, n_known, train_tokens, base_score, score)`` for every row.
 
     ``train`` marks the rows to learn from. Blocks and ranges are sized by bytes of text
