@@ -8,8 +8,9 @@ pairs of each such peak with the next few. A pair is stored as an integer code (
 bin, second bin, time between) in one array and the frame of its first peak in another.
 
 Defined results: null text is the empty text (64 zero bytes, whose silent frames have no
-peaks); memory is proportional to one text's bytes, not to its transform; equal texts
-have equal values; repeated rows repeat; extra columns are not read.
+peaks); a very long text takes memory in proportion to its bytes, not to its transform;
+peaks of equal height in a frame go by band, lower first; equal texts have equal values;
+repeated rows repeat; an empty table gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -113,7 +114,8 @@ def peak_pairs(blocks: Iterator[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
     """``(doc_id, media binary, n_bytes, peak_codes array<int>, peak_times array<int>)``.
 
-    With ``digests``, columns that describe the stored bytes and the features instead.
+    With ``digests``, columns that describe the stored bytes instead of the bytes, and the
+    features' digest beside the arrays.
     """
 
     def full(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -129,17 +131,18 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     def digest(batch: pa.RecordBatch) -> pa.RecordBatch:
         rows = [_described(data) for data in raw(batch, "text")]
-        columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), DIGEST_KINDS, strict=True)]
+        columns = [pa.array(list(c), KINDS[k]) for c, k in zip(zip(*rows, strict=True), DIGEST_TYPES, strict=True)]
         return pa.record_batch([batch.column(0), *columns], ["doc_id", *DIGESTS])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     if digests:
-        return map_batches(rows, digest, "doc_id long, " + ", ".join(f"{n} {'string' if pa.types.is_string(k) else 'long'}" for n, k in zip(DIGESTS, DIGEST_KINDS, strict=True)))
+        return map_batches(rows, digest, "doc_id long, " + ", ".join(f"{n} {k}" for n, k in zip(DIGESTS, DIGEST_TYPES, strict=True)))
     return map_batches(rows, full, "doc_id long, media binary, n_bytes long, peak_codes array<int>, peak_times array<int>")
 
 
-DIGESTS = ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "n_pairs", "feature")
-DIGEST_KINDS = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string())
+DIGESTS = ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "n_pairs", "peak_codes", "peak_times")
+DIGEST_TYPES = ("long", "long", "string", "long", "long", "string", "string", "long", "array<int>", "array<int>")
+KINDS = {"long": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
 
 
 def _described(data: bytes) -> tuple:
@@ -151,7 +154,7 @@ def _described(data: bytes) -> tuple:
         tail = (tail + block)[-64:]
     codes, times = peak_pairs(read_wav(media))
     feature = hashlib.sha256(codes.astype("<i4").tobytes() + times.astype("<i4").tobytes()).hexdigest()
-    return len(data), size, payload.hexdigest(), zlib.crc32(tail), len(media), hashlib.sha256(media).hexdigest(), len(codes), feature
+    return len(data), size, payload.hexdigest(), zlib.crc32(tail), len(media), hashlib.sha256(media).hexdigest(), feature, len(codes), codes, times
 
 
 def op9_media(spark: SparkSession, sf_dir: str) -> DataFrame:
