@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import random
+import time
 import zlib
 from array import array
 
@@ -66,6 +67,40 @@ def test_media_round_trip(spark):
     assert rows[-1]["media"] == rows[-2]["media"] and digests[-1]["feature"] == digests[-2]["feature"]
 
 
+def plain_peak_pairs(payload):
+    """The features, frame by frame and peak by peak."""
+    x = [np.float32((b - 128) / 128) for b in payload]
+    n = max(0, -(-(len(x) - media.FRAME) // media.HOP)) + 1
+    x += [np.float32(0)] * ((n - 1) * media.HOP + media.FRAME - len(x))
+    frames = [np.abs(np.fft.rfft(np.array(x[k * media.HOP : k * media.HOP + media.FRAME], dtype=np.float32) * media.WINDOW)) for k in range(n)]
+    best = [[max(range(a, b), key=lambda k: (f[k], -k)) for a, b in media.BANDS] for f in frames]
+    peaks = []
+    for t, f in enumerate(frames):
+        own = []
+        for band, k in enumerate(best[t]):
+            before = frames[t - 1][best[t - 1][band]] if t else -1
+            after = frames[t + 1][best[t + 1][band]] if t + 1 < n else -1
+            if f[k] > 1e-6 and f[k] >= before and f[k] > after:
+                own.append((-f[k], band, k))
+        peaks += sorted((t, k) for _, _, k in sorted(own)[: media.PEAKS])
+    pairs = []
+    for i, (t, k) in enumerate(peaks):
+        for u, m in peaks[i + 1 : i + 1 + media.FAN]:
+            if 0 < u - t <= media.REACH:
+                pairs.append((k << 12 | m << 4 | u - t, t))
+    return pairs
+
+
+def test_peak_pairs_equal_plain_ones(spark):
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(12).collect()] + ["", "a", "x" * 300, "ab" * 130, "é" * 64]
+    for text in texts:
+        payload = media.pad(text.encode()[:20_000])
+        codes, times = media.peak_pairs(media.read_wav(media.write_wav(payload)))
+        assert list(zip(codes.tolist(), times.tolist(), strict=True)) == plain_peak_pairs(payload)
+    rows = media.media_columns(odd(spark), digests=True).collect()
+    assert all(list(zip(r["peak_codes"], r["peak_times"], strict=True)) == plain_peak_pairs(media.pad((ODD[r["doc_id"]] or "").encode())) for r in rows)
+
+
 def test_spectra_do_not_depend_on_blocks():
     rng = np.random.default_rng(0)
     data = bytes((128 + 60 * np.sin(np.arange(20000) * rng.random(20000).cumsum() / 9000) + rng.integers(0, 9, 20000)).astype(np.uint8))
@@ -193,6 +228,39 @@ def test_each_choice_is_the_tightest_fit():
         plain[b][2].append(s)
 
 
+@pytest.mark.parametrize("capacity", [100, 300_000])
+def test_choices_with_hot_clusters_and_sources(capacity):
+    rng = random.Random(1)
+    docs = sorted(((rng.choice([0, 1, 5, 5, 5, rng.randint(0, capacity // 3)]), rng.choice([None, 0, 0, 0, 1, 2]), rng.choice([None, 0, 0, 1, 1, rng.randint(2, 40)])) for _ in range(1500)), key=lambda x: -x[0])
+    bins, plain = packing.Bins(capacity, 2), []
+    for size, s, c in docs:
+        fits = [(x[0], i) for i, x in enumerate(plain) if x[0] >= size and (c is None or c not in x[1]) and (s is None or x[2].count(s) < 2)]
+        b, offset = bins.place(size, s, c)
+        assert b == (min(fits)[1] if fits else len(plain))
+        if not fits:
+            plain.append([capacity, [], []])
+        assert offset == capacity - plain[b][0]
+        plain[b][0] -= size
+        plain[b][1].append(c)
+        plain[b][2].append(s)
+
+
+def test_thousands_of_equal_texts_take_no_scan_each(spark):
+    started = time.monotonic()
+    n = 30_000
+    found = packing.pack_group([7] * n, [f"s{i % 3}" for i in range(n)], [1] * n, 1000, 4)
+    assert len({p[0][0] for p in found}) == n
+    found = packing.pack_group([7] * n, ["hot"] * n, list(range(n)), 1000, 4)
+    assert len({p[0][0] for p in found}) == n // 4
+    assert time.monotonic() - started < 20  # a scan of all bins for each takes minutes
+
+
+def test_packing_by_given_clusters(spark):
+    docs = spark.createDataFrame([(i, f"text {i}", "s", i % 2 if i < 4 else None) for i in range(8)], "doc_id long, text string, source string, near long")
+    got = {r["doc_id"]: r["bin"] for r in packing.packed(docs, 1000, 9, cluster_col="near").collect()}
+    assert got[0] != got[2] and got[1] != got[3] and len(set(got.values())) == 2
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string, source string")
     assert packing.packed(none).count() == 0 == media.media_columns(none).count()
