@@ -1,6 +1,7 @@
 """Uniform shuffle into shards of exact sizes by a hypergeometric communication matrix.
 
-Rows fall into source buckets by a hash of their content. How many rows each bucket
+Rows are numbered in a written table and fall into source buckets by a hash of their
+content and number, so that rows alike, however many, spread over all buckets. How many rows each bucket
 sends to each shard is drawn first: the matrix of a uniformly random arrangement, whose
 row sums are the bucket sizes and whose column sums the shard sizes (at most one apart).
 It is drawn top-down over a binary tree of buckets; a node splits its shard quotas by
@@ -8,10 +9,12 @@ hypergeometric draws, inverted from the exact distribution within twelve standar
 deviations. Then each bucket is permuted by itself, cut by its matrix row, exchanged, and
 each shard is permuted again (in ranges of hash values, so that no task holds a shard).
 
-All of it is DataFrame expressions. Random numbers are hashes of a seed, so lost tasks
-are recomputed alike. Defined results: null text counts no bytes and has CRC 0; null ids
-are placed like others; repeated rows are placed one by one; an empty table gives an
-empty result; extra columns are not read.
+All of it is DataFrame expressions. Random numbers are hashes of a seed and the written
+rows, so lost tasks are recomputed alike; files dealt otherwise are shuffled otherwise.
+Defined results: null text counts no bytes and has CRC 0; a very long text is a row like
+others, of which only size and CRC are moved; null ids are placed like others; repeated
+rows are placed one by one; an empty table gives an empty result; extra columns are not
+read.
 """
 
 from __future__ import annotations
@@ -25,8 +28,8 @@ from pyspark.sql.window import Window
 
 from hostweave.llm.common import cut, documents
 
-#: Bound of the number of source buckets; the tree's root holds a count for each.
-MAX_BUCKETS = 1 << 16
+#: Levels of the tree that are drawn from one array of counts; deeper trees take more rounds.
+ROUND = 12
 
 
 def _let(value: Column, then: Callable[[Column], Column]) -> Column:
@@ -82,25 +85,39 @@ def _split(quotas: Column, taken: Column, shards: int, seed: int, node: Column)
     return F.aggregate(F.sequence(F.lit(0), F.lit(shards - 1)), start, step, lambda s: s["out"])
 
 
-def communication_matrix(sizes: DataFrame, buckets: int, rows: int, shards: int, seed: int) -> DataFrame:
-    """``(bucket, counts array<long>)`` from ``(bucket, n)``; ``buckets`` is a power of two."""
+def communication_matrix(sizes: DataFrame, buckets: int, rows: int, shards: int, seed: int, levels: int = ROUND) -> DataFrame:
+    """``(bucket, counts array<long>)`` from ``(bucket, n)``; ``buckets`` is a power of two.
+
+    Each round draws so many levels of the tree: a node gets the counts of its descendants
+    at the round's end as an array (at most ``2 ** levels`` numbers) and is split in halves.
+    """
     spark = sizes.sparkSession
+    depth, total = 0, buckets.bit_length() - 1
     every = spark.range(buckets).withColumnRenamed("id", "bucket").join(sizes, "bucket", "left").select("bucket", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
     quotas = F.array(*[F.lit(rows // shards + (s < rows % shards)).cast("long") for s in range(shards)])
-    tree = every.agg(F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("x")).select(F.lit(1).cast("long").alias("node"), quotas.alias("quotas"), F.transform("x", lambda x: x["n"]).alias("sizes"))
-    width = buckets
-    while width > 1:
-        half = width // 2
-        total = F.aggregate(F.slice("sizes", 1, half), F.lit(0).cast("long"), lambda a, b: a + b)
-        tree = tree.select("node", "quotas", "sizes", _split(F.col("quotas"), total, shards, seed, F.col("node")).alias("left"))
-        children = F.array(
-            F.struct((F.col("node") * 2).alias("node"), F.col("left").alias("quotas"), F.slice("sizes", 1, half).alias("sizes")),
-            F.struct((F.col("node") * 2 + 1).alias("node"), F.zip_with("quotas", "left", lambda a, b: a - b).alias("quotas"), F.slice("sizes", half + 1, half).alias("sizes")),
-        )
-        tree = tree.select(F.explode(children).alias("c")).select("c.*")
-        if buckets // half == 64:
-            tree = tree.repartition("node")  # enough nodes to share the rest of the tree out
-        width = half
+    tree = spark.range(1).select(F.lit(1).cast("long").alias("node"), quotas.alias("quotas"))
+    while depth < total:
+        step = min(levels, total - depth)
+        ends = every.groupBy(F.shiftright("bucket", total - depth - step).alias("end")).agg(F.sum("n").alias("n"))
+        counts = ends.groupBy((F.shiftright("end", step) + (1 << depth)).alias("node")).agg(F.sort_array(F.collect_list(F.struct("end", "n"))).alias("x"))
+        tree = tree.join(counts, "node").select("node", "quotas", F.transform("x", lambda x: x["n"]).alias("sizes"))
+        width = 1 << step
+        while width > 1:
+            half = width // 2
+            left = F.aggregate(F.slice("sizes", 1, half), F.lit(0).cast("long"), lambda a, b: a + b)
+            tree = tree.select("node", "quotas", "sizes", _split(F.col("quotas"), left, shards, seed, F.col("node")).alias("left"))
+            children = F.array(
+                F.struct((F.col("node") * 2).alias("node"), F.col("left").alias("quotas"), F.slice("sizes", 1, half).alias("sizes")),
+                F.struct((F.col("node") * 2 + 1).alias("node"), F.zip_with("quotas", "left", lambda a, b: a - b).alias("quotas"), F.slice("sizes", half + 1, half).alias("sizes")),
+            )
+            tree = tree.select(F.explode(children).alias("c")).select("c.*")
+            if depth == 0 and (1 << step) // half in (8, 64):
+                tree = tree.repartition("node")  # the rest of the tree is shared out as soon as there are some nodes
+            width = half
+        tree = tree.select("node", "quotas")
+        depth += step
+        if depth < total:
+            tree = cut(tree, f"matrix-{depth}")
     return tree.select((F.col("node") - buckets).alias("bucket"), F.col("quotas").alias("counts"))
 
 
@@ -108,12 +125,13 @@ def shuffled(docs: DataFrame, shards: int = 40, seed: int = 20240, id_col: str =
     """``(doc_id, size, text_crc32, shard, slot)`` for every row."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    n = docs.select(id_col).count()
+    numbered = cut(rows.withColumn("row", F.monotonically_increasing_id()), "numbered")  # fixed once it is written
+    n = numbered.count()
     buckets = 8
-    while buckets < MAX_BUCKETS and buckets * rows_per_bucket < n:
+    while buckets * rows_per_bucket < n:
         buckets *= 2
-    content = [F.col(c) for c in ("doc_id", "size", "text_crc32")]
-    placed = cut(rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), *content), F.lit(buckets))), "bucketed")
+    content = [F.col(c) for c in ("doc_id", "size", "text_crc32", "row")]
+    placed = numbered.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), *content), F.lit(buckets)))
     sizes = placed.groupBy("bucket").agg(F.count("*").alias("n"))
     matrix = communication_matrix(sizes, buckets, n, shards, seed + 1)
     within = Window.partitionBy("bucket").orderBy(F.xxhash64(F.lit(seed + 2), *content), *content)

@@ -143,6 +143,32 @@ def test_matrix_keeps_both_sums(spark):
     assert [sum(got[b][s] for b in range(8)) for s in range(3)] == [34, 33, 33]
 
 
+def test_matrix_in_several_rounds(spark):
+    sizes = spark.createDataFrame([(b, b * b % 13) for b in range(32)], "bucket long, n long")
+    n = sum(b * b % 13 for b in range(32))
+    one, more = ({r["bucket"]: r["counts"] for r in shards.communication_matrix(sizes, 32, n, 5, 9, levels=k).collect()} for k in (12, 2))
+    assert one == more and [sum(one[b]) for b in range(32)] == [b * b % 13 for b in range(32)]
+
+
+def test_shuffle_of_rows_alike_is_uniform(spark):
+    n = 6000
+    docs = spark.range(n).select(F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.lit("t")).alias("text"))
+    got = shards.shuffled(docs, 10, rows_per_bucket=100).collect()
+    again = shards.shuffled(docs, 10, rows_per_bucket=100).collect()
+    assert sorted(got) == sorted(again) and len(got) == n
+    hot = collections.Counter(r["shard"] for r in got if r["size"] == 19)
+    assert sum(hot.values()) == 2000 and all(abs(hot[s] - 200) < 5 * 11.5 for s in range(10))  # hypergeometric: deviation 11.5
+    early = sum(r["slot"] < 300 for r in got if r["size"] == 19)
+    assert abs(early - 1000) < 5 * 18.3
+    neighbours = collections.defaultdict(list)
+    for r in got:
+        if r["size"] != 19:
+            neighbours[r["shard"]].append((r["slot"], r["doc_id"]))
+    for rows in neighbours.values():
+        ids = np.array([i for _, i in sorted(rows)], dtype=float)
+        assert abs(np.corrcoef(ids[:-1], ids[1:])[0, 1]) < 5 / len(ids) ** 0.5
+
+
 URLS = [
     ("HTTP://A.Example.NET/en/x?q", "a.example.net", "/en/x", "example.net/en/", "allow"),
     ("http://example.net", "example.net", "", None, "allow"),
