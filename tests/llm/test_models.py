@@ -1,6 +1,7 @@
 """Language ID, secrets, LM scoring and search against brute force."""
 
 import collections
+import dataclasses
 import hashlib
 import itertools
 import math
@@ -76,6 +77,37 @@ def test_pattern_findings(docs):
         assert secrets.base_spans(text) == brute_spans(text)
 
 
+def brute_net(text, net):
+    """Candidates by plain search, each judged alone by all its pieces of 40 characters' width."""
+    base, flat, out, end = brute_spans(text), secrets.narrow(text), [], -1
+    runs = {m.span() for m in secrets.TOKEN.finditer(flat) if re.search(rb"[0-9]", m[0])} | {m.span(1) for m in secrets.ASSIGNED.finditer(flat)}
+    for s, e in sorted(runs, key=lambda x: (x[0], -x[1])):
+        if s >= end and not any(a <= s and e <= b for a, b, _ in base):
+            end = e
+            pieces = [net.probability(np.array([w], dtype=np.int64))[0] for w in secrets.windows(flat, s, e)]
+            if max(pieces) >= net.threshold:
+                out.append((s, e, "net"))
+    return out
+
+
+def test_windows_cover_the_candidate():
+    for n in [*range(1, 130), 1000]:
+        flat = bytes(33 + i % 89 for i in range(n))
+        found = [bytes(w[secrets.SIDE : secrets.SIDE + secrets.INNER]) for w in secrets.windows(b"left " + flat + b" right", 5, 5 + n)]
+        codes = bytes(secrets.CODES[list(flat)].astype(np.uint8))
+        assert all(any(codes[k : k + 5] in w for w in found) for k in range(max(1, n - 4))) and all(w.rstrip(b"\0") in codes for w in found)
+
+
+def test_candidates_beside_findings():
+    rng = random.Random(4)
+    for _ in range(300):
+        flat = bytes(rng.choice(b"ab1=: -") for _ in range(120))
+        taken = sorted((a, a + rng.randint(1, 30), "hex") for a in rng.sample(range(110), 3))
+        for s, e, overlaps in secrets.other_candidates(flat, taken):
+            assert not any(a <= s and e <= b for a, b, _ in taken)
+            assert overlaps == any(a < e and b > s for a, b, _ in taken)
+
+
 def test_network_and_redaction(spark, docs):
     rng = random.Random(2)
     token = lambda kind, n: "".join(rng.choice(kind) for _ in range(n))
@@ -84,8 +116,20 @@ def test_network_and_redaction(spark, docs):
     net = secrets.train(examples)
     again = secrets.train(examples.repartition(3))
     unlabelled = [f"the value {token('0123456789abcdef', 20)}g1 stands", f"the number {token('0123456789', 16)} stands"]
-    assert [len(x) for x in secrets.scan(unlabelled, net)][1] == 0
-    assert net.threshold == again.threshold and 0.5 <= net.threshold <= 1
+    assert [len(x) for x in secrets.scan(unlabelled, net)] == [1, 0]
+    assert net.threshold == again.threshold and 0 < net.threshold <= 1
+    assert net.recall >= 0.9 and net.false_rate <= 0.2  # of few
+    middle = "word" * 30 + "/9/" + token("0123456789abcdef", 20) + "g" + token("0123456789abcdef", 20) + "/" + "word" * 30
+    texts = ["the value x" + token("0123456789abcdef", 30) + "z stands", f"a path {middle} that is long", "plain"]
+    spans = list(secrets.scan(texts, net))
+    assert spans[0][0] == (10, 42, "net") and spans[0][1:] == [(11, 41, "hex")]  # sticks out of a finding
+    assert spans[2] == []
+    scores = net.probability(np.array(list(secrets.windows(secrets.narrow(texts[1]), 7, 7 + len(middle))), dtype=np.int64))
+    assert 0 < scores.argmax() < len(scores) - 1
+    strict = dataclasses.replace(net, threshold=scores.max())
+    assert list(secrets.scan(texts, strict))[1] == [(7, 7 + len(middle), "net")]  # found by its middle alone
+    for text, own in zip([*texts, *unlabelled], secrets.scan([*texts, *unlabelled], net), strict=True):
+        assert [x for x in own if x[2] == "net"] == brute_net(text, net)
     rows = [(i, t, len(t)) for i, t in enumerate(TRICKY)] + [(8, None, None), (9, "plain words only", 16), (9, "plain words only", 16)]
     odd = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").withColumn("spans", F.lit("clash"))
     got = secrets.findings(odd, net).collect()
