@@ -115,6 +115,16 @@ def hashed_words(texts: list[bytes], strip: bytes = b"") -> tuple[np.ndarray, np
     return join(hashes, np.uint64), join(counts, np.int64)
 
 
+def numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values, sorted, and the place of each value among them."""
+    turn = np.argsort(values).astype(np.int32)
+    values = values[turn]
+    first = np.r_[True, values[1:] != values[:-1]][: len(values)]
+    place = np.empty(len(values), dtype=np.int32)
+    place[turn] = np.cumsum(first, dtype=np.int32) - 1
+    return values[first], place
+
+
 def extend(context: np.ndarray, token: np.ndarray) -> np.ndarray:
     """Hashes of n-grams from those of their contexts and last tokens."""
     x = context * MIX + token
@@ -156,7 +166,7 @@ BLOCK = "block long, ids binary, known binary, train binary, length binary, word
 
 def _block(name: int, ids: pa.Array, train: np.ndarray, texts: list[bytes]) -> pa.RecordBatch:
     found, length = tokens(texts)
-    words, at = np.unique(found, return_inverse=True)
+    words, at = numbered(found)
     cells = (name, ids.fill_null(0).to_numpy().astype("i8").tobytes(), ids.is_valid().to_numpy(zero_copy_only=False).tobytes(), train.tobytes(), pack(length.astype("u4")), pack_sorted(words), pack(at.astype("u4")))
     return pa.RecordBatch.from_pydict({f.split()[0]: [c] for f, c in zip(BLOCK.split(", "), cells, strict=True)})
 
@@ -213,7 +223,7 @@ class Block:
                 gram = np.where(self.place == 0, extend(np.full(1, START), np.full(1, np.uint64(k)))[0], np.roll(gram, 1))
                 gram = extend(gram, words[self.at])
             has = self.has(k)
-            keys, number = np.unique(gram[has] & WHOLE if k else gram[has], return_inverse=True)
+            keys, number = numbered(gram[has] & WHOLE if k else gram[has])
             self.keys.append(keys)
             self.number.append(np.full(len(at), -1, dtype=np.int32))
             self.number[-1][has] = number
@@ -228,7 +238,7 @@ class Block:
     @classmethod
     def from_texts(cls, texts: list[bytes], order: int) -> Block:
         found, length = tokens(texts)
-        words, at = np.unique(found, return_inverse=True)
+        words, at = numbered(found)
         return cls(words, at, length, order)
 
     def counts(self, train: np.ndarray) -> list[np.ndarray]:
@@ -273,13 +283,20 @@ def answers(asked: DataFrame) -> DataFrame:
     """
 
     def run(table: pa.Table) -> pa.Table:
-        keys = [unpack_sorted(x) for x in table.column("keys").to_pylist()]
-        counts = np.concatenate([unsmall(x).astype(np.uint32) for x in table.column("counts").to_pylist()])
-        sizes = np.cumsum([len(k) for k in keys])[:-1]
-        distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-        totals = np.bincount(at, weights=counts, minlength=len(distinct)).astype(np.uint64)
-        packed = [small(totals[p]) for p in np.split(at, sizes)]
-        r, k, many = table.column("range")[0].as_py(), table.column("order")[0].as_py(), len(keys)
+        counts = [unsmall(x.as_py()) for x in table.column("counts")]
+        ends = np.cumsum([len(c) for c in counts])
+        keys = np.empty(ends[-1], dtype=np.uint64)
+        for x, end, c in zip(table.column("keys"), ends.tolist(), counts, strict=True):
+            keys[end - len(c) : end] = unpack_sorted(x.as_py())
+        turn = np.argsort(keys, kind="stable").astype(np.int32 if len(keys) < 1 << 31 else np.int64)  # merges the sorted requests
+        keys = keys[turn]
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+        del keys
+        totals = np.add.reduceat(np.concatenate(counts, dtype=np.uint32, casting="unsafe")[turn], first, dtype=np.uint64) if len(first) else np.zeros(0, np.uint64)
+        told = np.empty(len(turn), dtype=np.uint32 if totals.max(initial=0) < 1 << 32 else np.uint64)
+        told[turn] = np.repeat(totals.astype(told.dtype), np.diff(first, append=len(turn)))
+        packed = [small(part) for part in np.split(told, ends[:-1])]
+        r, k, many = table.column("range")[0].as_py(), table.column("order")[0].as_py(), len(packed)
         single = k == 0
         return pa.table(
             {
