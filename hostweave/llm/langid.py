@@ -215,6 +215,8 @@ def fit(counts: dict[str, Counter], pieces: list[str], rounds: int = 4, smoothin
 
 #: Up to so many languages the sample's keys, a row for each text that is taken, are broadcast.
 FEW_LANGUAGES = 1000
+#: Parts that a language's different texts are dealt to, so that a frequent language is not ranked in one task.
+PARTS = 64
 
 
 def sampled(rows: DataFrame, key: Column | None = None, per_language: int = 400, few: bool = False) -> DataFrame:
@@ -225,8 +227,11 @@ def sampled(rows: DataFrame, key: Column | None = None, per_language: int = 400,
     mark = F.xxhash64(F.col("text") if key is None else key, F.lit("language sample"))
     rows = rows.select("lang", "text", F.xxhash64("text").alias("h"), mark.alias("mark"))
     texts_of = rows.groupBy("lang", "h").agg(F.min("mark").alias("mark"))
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy("mark", "h"))
-    chosen = texts_of.withColumn("turn", turn).where(F.col("turn") <= per_language).select("lang", "h")
+    texts_of = texts_of.withColumn("part", F.pmod("h", F.lit(PARTS)))
+    for within in (["lang", "part"], ["lang"]):  # the least of a language are among the least of its parts
+        turn = F.row_number().over(Window.partitionBy(*within).orderBy("mark", "h"))
+        texts_of = texts_of.withColumn("turn", turn).where(F.col("turn") <= per_language).drop("turn")
+    chosen = texts_of.select("lang", "h")
     return rows.join(F.broadcast(chosen) if few else chosen, ["lang", "h"], "left_semi").groupBy("lang", "h").agg(F.min("text").alias("text")).select("lang", "text")
 
 
