@@ -1,7 +1,10 @@
 """Registered queries of the corpus operators."""
 
+from hostweave.llm.audit import OP13_SQL, op13_audit
 from hostweave.llm.bpe import op4_bpe
+from hostweave.llm.codebooks import OP11_SQL, op11_codes
 from hostweave.llm.langid import op6_langid
+from hostweave.llm.lines import OP12_SQL, op12_lines
 from hostweave.llm.lm import op10_lm
 from hostweave.llm.media import op9_media
 from hostweave.llm.packing import op5_packing
@@ -22,8 +25,11 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_media": op9_media,
     "op10_lm": op10_lm,
+    "op11_codes": op11_codes,
+    "op12_lines": op12_lines,
+    "op13_audit": op13_audit,
 }
 
-#: None of these is expressible in the oracle's SQL (XXH64, learned models, codecs); tests
+#: The others aren't expressible in the oracle's SQL (XXH64, learned models, codecs); tests
 #: hold each against a brute-force version.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_codes": OP11_SQL, "op12_lines": OP12_SQL, "op13_audit": OP13_SQL}

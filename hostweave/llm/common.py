@@ -14,10 +14,11 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hostweave.sources.scratch import cut, shared_dir
 
-__all__ = ["cut", "documents", "map_batches", "raw", "shared_dir", "texts"]
+__all__ = ["cut", "documents", "map_batches", "met", "raw", "shared_dir", "sides", "texts"]
 
 
 def texts(batch: pa.RecordBatch, column: str) -> list[str]:
@@ -43,3 +44,20 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], s
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+
+def sides(rows: DataFrame, classes: DataFrame, keys: list[str], heavy: int, how: str, hint: str = "merge") -> tuple[DataFrame, DataFrame]:
+    """Joins rows with ``classes(*keys, size)``: those of ``heavy`` rows or more, and the others.
+
+    A class that large would be one task's load. There are at most rows / ``heavy`` of
+    them, so they are broadcast; the others are dealt out by their keys.
+    """
+    large = F.broadcast(classes.where(F.col("size") >= heavy))
+    small = classes.where(F.col("size") < heavy)
+    return rows.join(large, keys, how), rows.join(large, keys, "left_anti").join(small.hint(hint), keys, how)
+
+
+def met(rows: DataFrame, classes: DataFrame, keys: list[str], heavy: int, how: str) -> DataFrame:
+    """Both sides of that join together."""
+    large, small = sides(rows, classes, keys, heavy, how)
+    return large.unionByName(small)
