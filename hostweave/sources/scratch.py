@@ -30,6 +30,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/hostweave/{name}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a table that nothing reads any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and reread it: ends the lineage there.
 
