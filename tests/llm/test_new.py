@@ -167,4 +167,4 @@ def test_audit_of_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert audit.audit(frame(spark, []), none).count() == 0
     assert lines.deduplicated(frame(spark, [])).count() == 0
-    assert audit.audit(frame(spark), none).count() == 600 * 5
+    assert audit.audit(frame(spark), none).count() == 600 * 4
