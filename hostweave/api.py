@@ -9,6 +9,7 @@ import pyspark
 from pyspark.sql import DataFrame, SparkSession
 
 import hostweave
+from hostweave.functions import suffixes
 from hostweave.operators import contract, graph, releases, split, training
 from hostweave.sources import export, npy, shards, store
 
@@ -53,13 +54,13 @@ def split_cache(spark: SparkSession, folder: str, out: str, seed: int = 42, eval
     return store.save_split(split.split_edges(found.edges, found.num_nodes, seed, eval_edges, max_edges), out)
 
 
-def release_manifest(spark: SparkSession, folder: str, out: str, release_id: str, source_crawls: list[str] | str, reversed_host: bool = True) -> DataFrame:
-    """Host records of a stored graph, stored as a release manifest."""
+def release_manifest(spark: SparkSession, folder: str, out: str, release_id: str, source_crawls: list[str] | str, reversed_host: bool = True, suffix_list: str | None = None) -> DataFrame:
+    """Host records of a stored graph, stored as a release manifest; ``suffix_list`` names a file of suffix rules."""
     crawls = releases.check_crawls(source_crawls)
     found = store.load_graph(spark, folder)
     if found.nodes is None:
         raise ValueError("the graph has no names")
-    rows = releases.records(found.nodes, found.degrees(), reversed_host)
+    rows = releases.records(found.nodes, found.degrees(), reversed_host, rules=suffixes.suffix_rules(spark, suffix_list))
     store.save_manifest(rows, out, release_id, crawls, num_hosts=found.num_nodes)
     return store.load_manifest(spark, out)[1]
 
@@ -83,7 +84,7 @@ def train(spark: SparkSession, split_folder: str, out: str, config: training.Con
     return spark.read.parquet(f"{out}/table"), history
 
 
-def shard_export(vectors: DataFrame | str, names: DataFrame | Spec, out: str, release_id: str, source_crawls: list[str] | str, model_space_version: str, **options) -> dict:
+def shard_export(vectors: DataFrame | str, names: DataFrame | Spec, out: str, release_id: str, source_crawls: list[str] | str, model_space_version: str, suffix_list: str | None = None, **options) -> dict:
     """Vectors ``(row_id, embedding)`` and names ``(row_id, name)`` as checksummed shards.
 
     Vectors may also be the path of an ``.npy`` matrix and names that of a text file (or
@@ -95,4 +96,4 @@ def shard_export(vectors: DataFrame | str, names: DataFrame | Spec, out: str, re
         vectors = spark.read.format("npy").option("path", vectors).load().withColumnRenamed("id", "row_id")
     if not isinstance(names, DataFrame):
         names = shards.read_vertices(spark, names, check=False).withColumnRenamed("id", "row_id")
-    return export.export_shards(vectors, names, out, release_id, source_crawls, model_space_version, **options)
+    return export.export_shards(vectors, names, out, release_id, source_crawls, model_space_version, rules=suffixes.suffix_rules(spark, suffix_list), **options)

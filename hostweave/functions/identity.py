@@ -1,29 +1,18 @@
-"""Host and registrable-domain keys, evidence classes and the suffix rules."""
+"""Host keys and evidence classes; the SQL names of the engine's functions."""
 
 from __future__ import annotations
 
-import re
-
-import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from hostweave.functions import hashing
+from hostweave.functions import hashing, suffixes
+from hostweave.functions.suffixes import SuffixRules
 
 COHORTS = ("bidirectional", "in_only", "out_only", "isolated")
 CONFIDENCES = ("high", "medium", "low")
 STATES = ("active", "new", "reappeared", "missing")
 OUTER_SPACE, OUTER_DOTS = r"^[\s\p{Z}]+|[\s\p{Z}]+$", r"^[.]+|[.]+$"
 
-# Labels that national registries register names below, and two-letter domains
-# that register directly below themselves only.
-REGISTRY_LABELS = tuple("ac asn co com edu gob gop gouv gov govt go gub gv id info law lg ltd me mil mod ne net nhs nic nom ngo or org plc police press pro sch school web".split())
-FLAT_DOMAINS = tuple("ai be bg ca ch cz de dk ee eu fi gl io is la li lt lu lv md me nl nu sk su tk tv va ws".split())
-
-
-ADDRESS = r"^[0-9.]+$|:"
-
-
 def forward_host(name: Column, reverse: bool = True) -> Column:
     """Trimmed, without outer dots, lower case; dot labels reversed if asked for."""
     bare = F.lower(F.regexp_replace(F.regexp_replace(name, OUTER_SPACE, ""), OUTER_DOTS, ""))
@@ -33,58 +22,6 @@ def forward_host(name: Column, reverse: bool = True) -> Column:
 host_key = forward_host
 
 
-def suffix_rules(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """The ICANN rules of a file in the public suffix list's format, in any store that Spark reads."""
-    text = "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
-    icann = text.split("===BEGIN ICANN DOMAINS===")[-1].split("===END ICANN DOMAINS===")[0]
-    rules = tuple(line.split()[0] for line in icann.splitlines() if line.strip() and not line.startswith("//"))
-    if not rules:
-        raise ValueError(f"no suffix rule in {path}")
-    return rules
-
-
-def registrable(host: str, rules: frozenset[str]) -> str:
-    """The label above the longest public suffix and that suffix, or the host itself."""
-    labels = host.split(".")
-    if not host or re.search(ADDRESS, host):
-        return host
-    for i in range(len(labels)):
-        rest = ".".join(labels[i:])
-        if "!" + rest in rules:
-            return rest
-        if rest in rules or "*." + ".".join(labels[i + 1 :]) in rules and i + 1 < len(labels):
-            return ".".join(labels[i - 1 :]) if i else host
-    return host
-
-
-def domain_key(host: Column, rules: tuple[str, ...] | None = None) -> Column:
-    """The registrable domain of forward hosts: the label above the public suffix, and that suffix.
-
-    By default the suffix follows a rule, in generated code: the last label, or the last
-    two where a registry label (``REGISTRY_LABELS``) stands below a two-letter domain. With ``rules`` (see
-    ``suffix_rules``; about 10,000 are a bounded list) the whole list decides, by an Arrow
-    function that looks each distinct host of a batch up once. A bare suffix, an address
-    and the empty host are their own domain.
-    """
-    if rules is not None:
-        return _domain_udf(frozenset(rules))(host)
-    labels = F.split(host, "[.]")
-    last, above = F.try_element_at(labels, F.lit(-1)), F.try_element_at(labels, F.lit(-2))
-    national = F.coalesce((F.length(last) == 2) & ~last.isin(*FLAT_DOMAINS) & above.isin(*REGISTRY_LABELS), F.lit(False))
-    keep = F.when(national, 3).otherwise(2)
-    short = (F.size(labels) <= keep) | host.rlike(ADDRESS)
-    return F.when(short, host).otherwise(F.array_join(F.slice(labels, -keep, keep), "."))
-
-
-def _domain_udf(rules: frozenset[str]):
-    @F.pandas_udf("string")
-    def domain(hosts: pd.Series) -> pd.Series:
-        known = {h: registrable(h, rules) for h in hosts.dropna().unique()}
-        return hosts.map(known)
-
-    return domain
-
-
 def evidence_cohort(in_degree: Column, out_degree: Column) -> Column:
     has_in, has_out = in_degree > 0, out_degree > 0
     return F.when(has_in & has_out, "bidirectional").when(has_in, "in_only").when(has_out, "out_only").otherwise("isolated")
@@ -99,16 +36,14 @@ def is_dangling(out_degree: Column) -> Column:
     return out_degree == 0
 
 
-def register(spark: SparkSession) -> None:
+def register(spark: SparkSession, rules: SuffixRules | None = None) -> None:
     """SQL names: ``host_key(name)``, ``domain_key(host)``, ``split_bucket(eid, seed)``, ``evidence_cohort(i, o)``.
 
-    They are the column functions above, written in SQL over the same fixed values.
+    They are the functions above in SQL; ``domain_key`` looks the suffixes up in the view
+    ``hw_suffix_rules`` by one scalar subquery for each depth, which are planned as joins.
     """
-    quoted = lambda labels: ", ".join(f"'{x}'" for x in labels)
     host = f"array_join(reverse(split(lower(regexp_replace(regexp_replace(name, r'{OUTER_SPACE}', ''), r'{OUTER_DOTS}', '')), '[.]')), '.')"
-    national = f"coalesce(length(try_element_at(split(host, '[.]'), -1)) = 2 AND try_element_at(split(host, '[.]'), -1) NOT IN ({quoted(FLAT_DOMAINS)}) AND try_element_at(split(host, '[.]'), -2) IN ({quoted(REGISTRY_LABELS)}), false)"
-    keep = f"if({national}, 3, 2)"
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION host_key(name STRING) RETURNS STRING RETURN {host}")
-    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION domain_key(host STRING) RETURNS STRING RETURN if(size(split(host, '[.]')) <= {keep} OR host RLIKE r'{ADDRESS}', host, array_join(slice(split(host, '[.]'), -{keep}, {keep}), '.'))")
+    suffixes.register(spark, rules)
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION split_bucket(eid BIGINT, seed BIGINT) RETURNS INT RETURN CAST({hashing.sql_mod('(eid + seed)', hashing.BUCKETS)} AS INT)")
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION evidence_cohort(i BIGINT, o BIGINT) RETURNS STRING RETURN CASE WHEN i > 0 AND o > 0 THEN 'bidirectional' WHEN i > 0 THEN 'in_only' WHEN o > 0 THEN 'out_only' ELSE 'isolated' END")

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hostweave.functions.identity import confidence_bucket, domain_key, evidence_cohort, forward_host, is_dangling
+from hostweave.functions.identity import confidence_bucket, evidence_cohort, forward_host, is_dangling
+from hostweave.functions.suffixes import SuffixRules, with_domain
 
 RECORD = ("host_key", "domain_key", "local_node_id", "in_degree", "out_degree", "is_dangling", "cohort", "confidence")
 
@@ -17,12 +18,15 @@ def duplicate_keys(records: DataFrame, key: str = "host_key") -> DataFrame:
     return records.groupBy(key).agg(F.count("*").alias("n"), F.min("local_node_id").alias("first_id"), F.max("local_node_id").alias("last_id")).where("n > 1")
 
 
-def records(nodes: DataFrame, degree: DataFrame, reverse: bool = True, check: bool = True, domain: Column | None = None) -> DataFrame:
-    """Host records from ``nodes(id, name)`` and degrees; a repeated key is an error."""
+def records(nodes: DataFrame, degree: DataFrame, reverse: bool = True, check: bool = True, rules: SuffixRules | None = None) -> DataFrame:
+    """Host records from ``nodes(id, name)`` and degrees; a repeated key is an error.
+
+    Domain keys follow ``rules``, or else the list that Spark's libraries carry.
+    """
     named = nodes.select("id", forward_host(F.col("name"), reverse).alias("host_key"))
-    out = named.join(degree, "id").select(
+    out = with_domain(named, rules).join(degree, "id").select(
         "host_key",
-        (domain_key(F.col("host_key")) if domain is None else domain).alias("domain_key"),
+        "domain_key",
         F.col("id").alias("local_node_id"),
         "in_degree",
         "out_degree",

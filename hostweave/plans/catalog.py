@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hostweave.functions import hashing, identity
+from hostweave.functions import hashing, identity, suffixes
 from hostweave.operators import contract, releases, split, training, vectors
 from hostweave.operators import graph as g
 from hostweave.plans import derived
@@ -131,8 +131,26 @@ def host_keys(spark: SparkSession, d: str) -> DataFrame:
 
 
 def domain_keys(spark: SparkSession, d: str) -> DataFrame:
-    hosts = host_keys(spark, d).select("host_key").distinct()
-    return hosts.select("host_key", identity.domain_key(F.col("host_key")).alias("domain_key"))
+    return suffixes.with_domain(host_keys(spark, d).select("host_key").distinct())
+
+
+def domain_keys_by_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Domains of hosts under suffixes of several labels, wildcards, exceptions, addresses and what no rule knows."""
+    return suffixes.with_domain(derived.suffixed_hosts(spark, d))
+
+
+def domain_key_sql(spark: SparkSession, d: str) -> DataFrame:
+    """The same hosts by the SQL function."""
+    identity.register(spark)
+    derived.suffixed_hosts(spark, d).createOrReplaceTempView("hw_hosts")
+    return spark.sql("SELECT domain_key(host_key) AS domain_key, count(*) AS n, min(page_id) AS first_id FROM hw_hosts GROUP BY 1")
+
+
+def suffix_records(spark: SparkSession, d: str) -> DataFrame:
+    """Host records whose names lie under suffixes of several labels."""
+    ending = F.element_at(F.array(*[F.lit(".".join(reversed(e.split(".")))) for e in ("co.uk", "k12.ca.us", "ck", "city.kawasaki.jp", "com")]), (F.col("id") % 5 + 1).cast("int"))
+    names = spark.range(derived.num_nodes(spark, d)).select("id", F.concat(ending, F.lit(".Shop"), (F.col("id") % 97).cast("string"), F.lit(".h"), F.col("id").cast("string")).alias("name"))
+    return releases.records(names, degree_vector(spark, d)).select("host_key", "domain_key", "local_node_id", "cohort")
 
 
 def host_records(spark: SparkSession, d: str) -> DataFrame:
@@ -235,7 +253,7 @@ def export_shards(spark: SparkSession, d: str) -> DataFrame:
     names = emb.select("row_id", F.concat(F.lit("com.h"), F.col("row_id").cast("string")).alias("name"))
     folder = scratch.new_path(spark, "export")
     made = export.export_shards(emb, names, folder, "rel-1", "crawl-1", "space-1", rows_per_shard=200)
-    entries = spark.createDataFrame([tuple(e.values()) for e in made["shards"]], export.ENTRY)
+    entries = spark.createDataFrame([tuple(e[f.split()[0]] for f in export.ENTRY.split(", ")) for e in made["shards"]], export.ENTRY)
     files = spark.read.format("binaryFile").load([f"{folder}/{kind}" for kind in made["precisions"]])
     stored = files.select(F.substring_index("path", "/", -2).alias("filename"), F.sha2("content", 256).alias("digest"), F.col("length").alias("size"))
     told = entries.join(stored, "filename").select("kind", "shard", "filename", "row_start", "row_end", "n_rows", ((F.col("digest") == F.col("sha256")) & (F.col("size") == F.col("bytes"))).alias("intact"))
@@ -263,7 +281,7 @@ QUERIES = {
         degree_vector, degree_totals, retention_ladder, induced_edges, degree_histogram, min_degree_slice_edges, min_degree_slice_nodes,
         endpoint_integrity, unique_endpoints, to_undirected, undirected_degrees, adjacency_lists, neighbors_of, edge_mask_subgraph,
         induced_prefix, split_assignment, split_counts, split_eval_subsample, subsample_exact, permutation_split, train_stripes, train_slices,
-        minibatch_local_index, uniform_negatives, host_keys, domain_keys, host_records, cohort_counts, duplicate_keys, cross_release_index,
+        minibatch_local_index, uniform_negatives, host_keys, domain_keys, domain_keys_by_rules, domain_key_sql, suffix_records, host_records, cohort_counts, duplicate_keys, cross_release_index,
         state_counts, keys_reappeared, normalize_vectors, input_norms, cosine_topk, eval_ranks, eval_mrr, shard_ranges, size_table,
         graph_round_trip, split_round_trip, schema_fields, lr_schedule, split_bucket_sql, hash_top_bits, train_embeddings, export_shards,
     )

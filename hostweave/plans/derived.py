@@ -48,6 +48,20 @@ def node_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(num_nodes(spark, sf_dir)).select("id", label.alias("name"))
 
 
+#: Ends of host names, by which rules of every kind come up; ``#`` stands for the row's number.
+ENDINGS = (
+    "com", "co.uk", "k12.ca.us", "ck", "www.ck", "nsw.edu.au", "kawasaki.jp", "city.kawasaki.jp", "xn--55qx5d.cn", "nosuchdomain", "10.0.#", "=co.uk", "=ck", "=jp", "=www.ck",
+)
+
+
+def suffixed_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(page_id, host_key)``: each page as a host under one of the endings; after ``=`` it stands for the whole host."""
+    n = F.col("page_id").cast("string")
+    ending = F.element_at(F.array(*map(F.lit, ENDINGS)), (F.col("page_id") % len(ENDINGS) + 1).cast("int"))
+    whole = F.when(ending.startswith("="), F.substring(ending, 2, 99)).when(ending.endswith("#"), F.concat(F.lit("10.0."), n, F.lit(".7"))).otherwise(F.concat(F.lit("www.h"), n, F.lit("."), ending))
+    return table(spark, sf_dir, "pages").select("page_id", whole.alias("host_key"))
+
+
 def second_level(host: Column) -> Column:
     return F.array_join(F.slice(F.split(host, "[.]"), -2, 2), ".")
 

@@ -31,6 +31,13 @@ _REL = """r AS (SELECT 'c' || c_custkey || '.com' AS host_key, 1 AS seq, row_num
  idx AS (SELECT host_key, 'rel-' || min(seq) AS first_release, 'rel-' || max(seq) AS last_seen_release,
  CASE WHEN max(seq) < 3 THEN 'missing' WHEN bool_or(seq = 2) THEN 'active' WHEN bool_or(seq < 3) THEN 'reappeared' ELSE 'new' END AS state,
  string_agg('rel-' || seq || ':' || local, ',' ORDER BY seq) AS local_ids FROM r GROUP BY 1)"""
+_SUFFIXED = """x AS (SELECT page_id, page_id % 15 AS e, page_id::VARCHAR AS p FROM pages), suffixed AS (SELECT page_id,
+ CASE e WHEN 0 THEN 'www.h' || p || '.com' WHEN 1 THEN 'www.h' || p || '.co.uk' WHEN 2 THEN 'www.h' || p || '.k12.ca.us' WHEN 3 THEN 'www.h' || p || '.ck' WHEN 4 THEN 'www.h' || p || '.www.ck'
+  WHEN 5 THEN 'www.h' || p || '.nsw.edu.au' WHEN 6 THEN 'www.h' || p || '.kawasaki.jp' WHEN 7 THEN 'www.h' || p || '.city.kawasaki.jp' WHEN 8 THEN 'www.h' || p || '.xn--55qx5d.cn' WHEN 9 THEN 'www.h' || p || '.nosuchdomain'
+  WHEN 10 THEN '10.0.' || p || '.7' WHEN 11 THEN 'co.uk' WHEN 12 THEN 'ck' WHEN 13 THEN 'jp' ELSE 'www.ck' END AS host_key,
+ CASE e WHEN 0 THEN 'h' || p || '.com' WHEN 1 THEN 'h' || p || '.co.uk' WHEN 2 THEN 'h' || p || '.k12.ca.us' WHEN 3 THEN 'www.h' || p || '.ck' WHEN 4 THEN 'www.ck'
+  WHEN 5 THEN 'h' || p || '.nsw.edu.au' WHEN 6 THEN 'www.h' || p || '.kawasaki.jp' WHEN 7 THEN 'city.kawasaki.jp' WHEN 8 THEN 'h' || p || '.xn--55qx5d.cn' WHEN 9 THEN 'www.h' || p || '.nosuchdomain'
+  WHEN 10 THEN '10.0.' || p || '.7' WHEN 11 THEN 'co.uk' WHEN 12 THEN 'ck' WHEN 13 THEN 'jp' ELSE 'www.ck' END AS domain_key FROM x)"""
 _VEC = "vec AS (SELECT vec_id AS id, list_transform(embedding, lambda x: (x::DOUBLE * CASE WHEN vec_id % 50 = 49 THEN 0.0 ELSE 1.0 + vec_id % 7 END)::FLOAT::DOUBLE) AS v FROM embeddings)"
 _UNIT = f"{_VEC}, norms AS (SELECT id, v, sqrt(list_sum(list_transform(v, lambda x: x * x))) AS n FROM vec)"
 _E = "e AS (SELECT vec_id AS id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings)"
@@ -71,6 +78,10 @@ ORACLES = {
     "uniform_negatives": f"WITH k AS (SELECT unnest(range(0, 5)) AS k), e AS (SELECT unnest(range(0, (SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey))) AS eid) SELECT eid, k::INTEGER AS k, ({_hash('eid * 5 + k')} % ({_N}))::BIGINT AS neg_id FROM e, k",
     "host_keys": f"WITH {_HOSTS} SELECT page_id, host_key FROM hosts",
     "domain_keys": f"WITH {_HOSTS} SELECT DISTINCT host_key, array_to_string(list_slice(string_split(host_key, '.'), -2, -1), '.') AS domain_key FROM hosts",
+    "domain_keys_by_rules": f"WITH {_SUFFIXED} SELECT page_id, host_key, domain_key FROM suffixed",
+    "domain_key_sql": f"WITH {_SUFFIXED} SELECT domain_key, count(*) AS n, min(page_id) AS first_id FROM suffixed GROUP BY 1",
+    "suffix_records": f"""WITH {_REC}, s AS (SELECT *, CASE local_node_id % 5 WHEN 0 THEN 'co.uk' WHEN 1 THEN 'k12.ca.us' WHEN 2 THEN 'ck' WHEN 3 THEN 'city.kawasaki.jp' ELSE 'com' END AS e, 'shop' || (local_node_id % 97) AS shop FROM rec)
+ SELECT 'h' || local_node_id || '.' || shop || '.' || e AS host_key, CASE e WHEN 'ck' THEN 'h' || local_node_id || '.' || shop || '.ck' WHEN 'city.kawasaki.jp' THEN e ELSE shop || '.' || e END AS domain_key, local_node_id, cohort FROM s""",
     "host_records": f"WITH {_REC} SELECT * FROM rec",
     "cohort_counts": f"WITH {_REC} SELECT cohort, confidence, is_dangling, count(*) AS n FROM rec GROUP BY 1, 2, 3",
     "duplicate_keys": f"WITH {_HOSTS} SELECT host_key, count(*) AS n, min(page_id) AS first_id, max(page_id) AS last_id FROM hosts GROUP BY 1 HAVING count(*) > 1",

@@ -2,37 +2,31 @@
 
 from __future__ import annotations
 
-import hashlib
-import os
-import uuid
-from collections.abc import Iterator
+import json
 from typing import Any
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.parquet as pq
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hostweave.functions.identity import domain_key, forward_host
+from hostweave.functions.identity import forward_host
+from hostweave.functions.suffixes import SuffixRules, with_domain
 from hostweave.operators.releases import check_crawls
 from hostweave.operators.vectors import input_norms, normalized
-from hostweave.sources.store import write_document
+from hostweave.sources import shardfiles
+from hostweave.sources.store import jsonable, read_document
 
+# The tiers' folders and types, the manifest's version and keys, and the metrics that it takes over.
 TIERS = {"fp32": {"vectors": "float32"}, "fp16": {"vectors": "float16"}, "both": {"vectors": "float32", "vectors_fp16": "float16"}}
-# The manifest's version, its keys in order, what it says of the columns, and the metrics it takes over.
 FORMAT = 1
-MANIFEST = (
-    "schema_version", "model_space_version", "release_id", "source_crawls", "encoder", "dim", "num_rows", "rows_per_shard", "num_shards", "distance",
-    "normalized", "input_norm_min_mean_max", "columns", "canonical_precision", "precisions", "metrics", "shards",
-)
+METRICS = frozenset(("best_val_mrr", "test_mrr", "test_hits@1", "test_hits@10"))
+#: What the manifest says of each column.
 COLUMNS = {
-    "row_id": "int64 (global row index; shard = row_id // rows_per_shard)",
-    "host_key": "str (forward host, contract identity key)",
-    "domain_key": "str (registrable domain / PLD)",
-    "embedding": "fixed_size_list<the set's dtype>[dim]",
+    "row_id": "64-bit integer; counts the release's rows from 0, a shard holds the next rows_per_shard of them",
+    "host_key": "text; the host name, most general label last, by which releases are joined",
+    "domain_key": "text; the public suffix of the host and the label before it",
+    "embedding": "list of dim values of the type named under precisions",
 }
-METRICS = frozenset(("best_val_mrr", "test_mrr", "test_hits@1", "test_hits@10"))
 ENTRY = "kind string, shard long, filename string, row_start long, row_end long, n_rows long, bytes long, sha256 string"
 
 
@@ -44,124 +38,64 @@ def check_aligned(vectors: DataFrame, names: DataFrame) -> None:
         raise ValueError(f"names and vectors are misaligned: {what}, first row {odd['row_id']}")
 
 
-def rows_of(vectors: DataFrame, names: DataFrame, normalize: bool = True, reverse: bool = True) -> DataFrame:
+def rows_of(vectors: DataFrame, names: DataFrame, normalize: bool = True, reverse: bool = True, rules: SuffixRules | None = None) -> DataFrame:
     """``(row_id, host_key, domain_key, embedding)`` from ``(row_id, embedding)`` and ``(row_id, name)``."""
-    host = forward_host(F.col("name"), reverse)
     vector = normalized(F.col("embedding")) if normalize else F.col("embedding")
-    keyed = names.select("row_id", host.alias("host_key"))
-    return vectors.join(keyed, "row_id").select("row_id", "host_key", domain_key(F.col("host_key")).alias("domain_key"), vector.alias("embedding"))
-
-
-def shard_table(rows: pa.Table, kind: str) -> pa.Table:
-    """The shard's columns, vectors as fixed-size lists of the tier's type."""
-    flat = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in rows.column("embedding").chunks])
-    values = pa.array(flat.astype(kind))
-    dim = len(flat) // rows.num_rows
-    return pa.table({**{n: rows.column(n) for n in ("row_id", "host_key", "domain_key")}, "embedding": pa.FixedSizeListArray.from_arrays(values, dim)})
-
-
-class _Hashed:
-    """A binary file that counts and digests what is written to it."""
-
-    def __init__(self, path: str) -> None:
-        self.file, self.digest, self.size, self.closed = open(path, "wb"), hashlib.sha256(), 0, False
-
-    def write(self, data: bytes) -> int:
-        self.digest.update(data)
-        self.size += len(data)
-        return self.file.write(data)
-
-    def flush(self) -> None:
-        self.file.flush()
-
-    def tell(self) -> int:
-        return self.size
+    keyed = with_domain(names.select("row_id", forward_host(F.col("name"), reverse).alias("host_key")), rules)
+    return vectors.join(keyed, "row_id").select("row_id", "host_key", "domain_key", vector.alias("embedding"))
 
-    def close(self) -> None:
-        self.closed = True
-        self.file.close()
 
+def _register(spark: SparkSession) -> None:
+    """Makes the sink known; sent by value, as the processes that plan a write may not import this package."""
+    cloudpickle.register_pickle_by_value(shardfiles)
+    try:
+        spark.dataSource.register(shardfiles.ShardSink)
+    finally:
+        cloudpickle.unregister_pickle_by_value(shardfiles)
 
-class _ShardFile:
-    """One shard's file of one tier, written row group by row group beside its name and then renamed."""
 
-    def __init__(self, root: str, kind: str, dtype: str, name: str) -> None:
-        os.makedirs(f"{root}/{kind}", exist_ok=True)
-        self.path, self.part, self.dtype, self.kind, self.name = f"{root}/{kind}/{name}", f"{root}/{kind}/.{uuid.uuid4().hex}", dtype, kind, name
-        self.out, self.writer = _Hashed(self.part), None
-
-    def add(self, rows: pa.Table) -> None:
-        table = shard_table(rows, self.dtype)
-        self.writer = self.writer or pq.ParquetWriter(self.out, table.schema, compression="zstd")
-        self.writer.write_table(table, row_group_size=len(table))
-
-    def done(self) -> tuple[str, int, str]:
-        self.writer.close()
-        self.out.close()
-        os.replace(self.part, self.path)
-        return f"{self.kind}/{self.name}", self.out.size, self.out.digest.hexdigest()
-
-
-def _write_shards(batches: Iterator[pa.RecordBatch], root: str, tiers: dict[str, str], shards: int) -> Iterator[pa.RecordBatch]:
-    """Writes batches sorted by shard and row; yields an entry per file."""
-    files: list[_ShardFile] = []
-    now = first = count = None
-
-    def ended() -> pa.RecordBatch:
-        told = [f.done() for f in files]
-        n = len(told)
-        return pa.RecordBatch.from_pydict({"kind": [f.kind for f in files], "shard": [now] * n, "filename": [x for x, _, _ in told], "row_start": [first] * n, "row_end": [first + count] * n, "n_rows": [count] * n, "bytes": [x for _, x, _ in told], "sha256": [x for _, _, x in told]})
-
-    for batch in batches:
-        shard = batch.column("shard").to_numpy()
-        edges = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
-        for i, j in zip(edges[:-1], edges[1:], strict=True):
-            if j == i:
-                continue
-            if now != int(shard[i]):
-                if files:
-                    yield ended()
-                now, first, count = int(shard[i]), batch.column("row_id")[i].as_py(), 0
-                files = [_ShardFile(root, kind, dtype, f"emb-{now:05d}-of-{shards:05d}.parquet") for kind, dtype in tiers.items()]
-            rows = pa.Table.from_batches([batch.slice(i, j - i)])
-            count += j - i
-            for f in files:
-                f.add(rows)
-    if files:
-        yield ended()
-
-
-def export_shards(vectors: DataFrame, names: DataFrame, folder: str, release_id: str, crawls: list[str] | str, space: str, rows_per_shard: int = 4_000_000, precision: str = "both", normalize: bool = True, reverse: bool = True, limit: int = 0, meta: dict[str, Any] | None = None) -> dict:
+def export_shards(vectors: DataFrame, names: DataFrame, folder: str, release_id: str, crawls: list[str] | str, space: str, rows_per_shard: int = 4_000_000, precision: str = "both", normalize: bool = True, reverse: bool = True, limit: int = 0, meta: dict[str, Any] | None = None, rules: SuffixRules | None = None) -> dict:
     """Writes shards and ``manifest.json``; returns the manifest.
 
-    Rows are sorted by shard and streamed: a task writes a shard row group by row group and
-    holds one batch (a retried task writes the same names again). Only the entries, a row
-    per file, come to the driver. ``folder`` is a file system
-    path that all executors see.
+    Rows are dealt and sorted by shard and streamed: a task writes a shard row group by row
+    group and holds one batch. Files get their names, and the manifest is written, when all
+    tasks are done (see ``shardfiles``). ``folder`` may be in any store that Arrow opens.
+    ``limit`` exports the rows below it.
     """
     if precision not in TIERS:
         raise ValueError(f"unknown precision {precision!r}; one of {sorted(TIERS)}")
     crawls = check_crawls(crawls)
-    spark = vectors.sparkSession
+    spark, tiers = vectors.sparkSession, TIERS[precision]
     if limit > 0:
         vectors, names = vectors.where(F.col("row_id") < limit), names.where(F.col("row_id") < limit)
     check_aligned(vectors, names)
-    sizes = vectors.agg(F.count("*"), F.min(F.size("embedding")), F.max(F.size("embedding"))).first()
-    n, low, high = sizes
+    n, low, high = vectors.agg(F.count("*"), F.min(F.size("embedding")), F.max(F.size("embedding"))).first()
     if low != high:
         raise ValueError(f"vectors of different lengths: {low} to {high}")
     shards = -(-n // rows_per_shard)
-    norms = input_norms(vectors).first()
-    root, tiers = folder.removeprefix("file://"), TIERS[precision]
-    rows = rows_of(vectors, names, normalize, reverse).withColumn("shard", F.floor(F.col("row_id") / rows_per_shard).cast("long"))
-    dealt = rows.repartition(max(1, shards), "shard").sortWithinPartitions("shard", "row_id")
-    entries = dealt.mapInArrow(lambda batches: _write_shards(batches, root, tiers, shards), ENTRY).collect()
-    written = sorted((r.asDict() for r in entries), key=lambda e: (e["kind"], e["shard"]))
-    if sum(e["n_rows"] for e in written if e["kind"] == "vectors") != n:
-        raise ValueError("the shards don't hold every row")
     told = dict(meta or {})
-    values = (FORMAT, space, release_id, crawls, told.get("encoder"), low, n, rows_per_shard, shards, "cosine", normalize, [*norms], COLUMNS, next(iter(TIERS[precision].values())), TIERS[precision], told.keys() & METRICS, written)
-    manifest = dict(zip(MANIFEST, values, strict=True))
-    manifest["metrics"] = {name: told[name] for name in sorted(manifest["metrics"])}
-    write_document(spark, f"{folder}/manifest.json" if "://" in folder else f"file://{folder}/manifest.json", manifest)
-    return manifest
+    manifest = {
+        "schema_version": FORMAT,
+        "model_space_version": space,
+        "release_id": release_id,
+        "source_crawls": crawls,
+        "encoder": told.get("encoder"),
+        "dim": low,
+        "num_rows": n,
+        "rows_per_shard": rows_per_shard,
+        "num_shards": shards,
+        "distance": "cosine",
+        "normalized": normalize,
+        "input_norm_min_mean_max": [*input_norms(vectors).first()],
+        "columns": COLUMNS,
+        "canonical_precision": next(iter(tiers.values())),
+        "precisions": tiers,
+        "metrics": {name: told[name] for name in sorted(told.keys() & METRICS)},
+        "shards": [],
+    }
+    rows = rows_of(vectors, names, normalize, reverse, rules).select(F.floor(F.col("row_id") / rows_per_shard).cast("long").alias("shard"), "row_id", "host_key", "domain_key", "embedding")
+    dealt = rows.repartition(max(1, shards), "shard").sortWithinPartitions("shard", "row_id")
+    _register(spark)
+    options = {"path": folder, "tiers": json.dumps(tiers), "shards": str(shards), "rows": str(n), "manifest": json.dumps(jsonable(manifest))}
+    dealt.write.format(shardfiles.FORMAT_NAME).mode("append").options(**options).save()
+    return read_document(spark, f"{folder}/manifest.json" if "://" in folder else f"file://{folder}/manifest.json")

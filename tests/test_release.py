@@ -1,29 +1,71 @@
 import hashlib
-from pathlib import Path
+import json
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from hostweave.functions import identity
+from hostweave.functions import identity, suffixes
 from hostweave.operators import contract, releases, vectors
 from hostweave.operators import graph as g
-from hostweave.sources import export, store
+from hostweave.sources import export, shardfiles, store
+
+
+def domains(spark, hosts, rules=None):
+    out = suffixes.with_domain(spark.createDataFrame([(h,) for h in hosts], "host_key string"), rules)
+    return {r["host_key"]: r["domain_key"] for r in out.collect()}
 
 
 def test_host_and_domain_keys(spark):
     rows = [("com.example.www", "www.example.com", "example.com"), ("  COM.Example.WWW. ", "www.example.com", "example.com"), ("uk.co.bbc.www", "www.bbc.co.uk", "bbc.co.uk"), ("com", "com", "com"), ("uk.co", "co.uk", "co.uk"), ("", "", "")]
     df = spark.createDataFrame([(r[0],) for r in rows], "name string").select("name", identity.host_key(F.col("name")).alias("h"))
-    got = {r["name"]: (r["h"], r["d"]) for r in df.withColumn("d", identity.domain_key(F.col("h"))).collect()}
+    got = {r["name"]: (r["h"], r["d"]) for r in suffixes.with_domain(df, host="h", name="d").collect()}
     assert got == {n: (h, d) for n, h, d in rows}
     plain = spark.createDataFrame([("WWW.Example.com.",)], "name string").select(identity.host_key(F.col("name"), reverse=False)).first()[0]
     assert plain == "www.example.com"
 
 
-def test_wildcards_exceptions_and_addresses():
-    rules = frozenset(("com", "*.ck", "!www.ck"))
-    assert [identity.registrable(h, rules) for h in ("a.b.com", "x.y.ck", "www.ck", "q.www.ck", "127.0.0.1", "y.ck")] == ["b.com", "x.y.ck", "www.ck", "www.ck", "127.0.0.1", "y.ck"]
+def plain_domain(host, rules):
+    """The list's algorithm, label by label."""
+    labels = host.split(".")
+    length = 0
+    for n in range(1, len(labels) + 1):
+        kind = rules.get(".".join(labels[-n:]), 0)
+        wild = rules.get(".".join(labels[-n + 1 :]), 0) & 2 if n > 1 else 0
+        if kind & 4:
+            return ".".join(labels[-n:])
+        length = n if kind & 1 or wild else length
+    return host if not length or length >= len(labels) or not labels[-length - 1] else ".".join(labels[-length - 1 :])
+
+
+def test_every_rule_of_the_list(spark):
+    rules = suffixes.parsed(suffixes.listed_text(spark))
+    assert len(rules) > 6000 and {"ck": 2, "www.ck": 4, "co.uk": 1, "k12.ca.us": 1, "kawasaki.jp": 2, "city.kawasaki.jp": 4}.items() <= rules.items()
+    hosts = {f"{head}{suffix}" for suffix in rules for head in ("", "a.", "x.y.")} | {"127.0.0.1", "a.b.nosuch", "nosuch", "..com", "a..com", "COM", "::1", "a.公司.cn", "a.xn--55qx5d.cn"}
+    got = domains(spark, sorted(hosts))
+    assert got == {h: plain_domain(h, rules) for h in hosts}
+    assert got["a.b.nosuch"] == "a.b.nosuch" and got["a..com"] == "a..com" and got["a.公司.cn"] == "a.公司.cn" and got["a.xn--55qx5d.cn"] == "a.xn--55qx5d.cn"
+    assert domains(spark, [None, "x.com"]) == {None: None, "x.com": "x.com"}
+
+
+def test_rules_of_a_file(spark, tmp_path):
+    (tmp_path / "rules").write_text("// a comment\ncom\n*.ck\n!www.ck\n")
+    rules = suffixes.suffix_rules(spark, f"file://{tmp_path}/rules")
+    want = {"a.b.com": "b.com", "x.y.ck": "x.y.ck", "www.ck": "www.ck", "q.www.ck": "www.ck", "127.0.0.1": "127.0.0.1", "y.ck": "y.ck", "a.b.co.uk": "a.b.co.uk"}
+    assert domains(spark, list(want), rules) == want and (rules.count, rules.depth) == (3, 2)
+    (tmp_path / "none").write_text("// nothing\n")
+    with pytest.raises(ValueError, match="no suffix rule"):
+        suffixes.suffix_rules(spark, f"file://{tmp_path}/none")
+
+
+def test_domains_move_no_host(spark):
+    hosts = spark.range(10).select(F.concat(F.lit("a.h"), F.col("id").cast("string"), F.lit(".co.uk")).alias("host_key"))
+    out = suffixes.with_domain(hosts)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Python" not in plan and "BroadcastHashJoin" in plan
+    assert out.where("domain_key = concat('h', split(host_key, '[.]')[1])").count() == 0 and out.select("domain_key").distinct().count() == 10
 
 
 def test_evidence(spark):
@@ -80,7 +122,10 @@ def test_export(spark, tmp_path):
         want = matrix[e["row_start"] : e["row_end"]]
         want = want / np.maximum(np.linalg.norm(want, axis=1, keepdims=True), 1e-30)
         assert np.allclose(values, want, atol=1e-6 if e["kind"] == "vectors" else 1e-3)
-    assert Path(tmp_path / "manifest.json").exists()
+    stored = json.loads((tmp_path / "manifest.json").read_text())
+    assert stored == made and list(stored["columns"]) == ["row_id", "host_key", "domain_key", "embedding"] and (stored["num_shards"], stored["dim"], stored["canonical_precision"]) == (3, 4, "float32")
+    files = {str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*") if p.is_file()}
+    assert files == {e["filename"] for e in made["shards"]} | {"manifest.json"}
     extra = names.unionByName(spark.createDataFrame([(5, "com.x")], "row_id long, name string"))
     with pytest.raises(ValueError, match="misaligned"):
         export.export_shards(vec, extra, str(tmp_path), "r", ["c"], "v")
@@ -90,6 +135,56 @@ def test_export(spark, tmp_path):
         export.export_shards(vec, names, str(tmp_path), "r", ["c"], "v", precision="bf16")
 
 
+def five(spark):
+    vec = spark.createDataFrame([(i, [float(i), 2.0]) for i in range(5)], "row_id long, embedding array<float>")
+    return vec, spark.createDataFrame([(i, f"com.h{i}") for i in range(5)], "row_id long, name string")
+
+
+def test_export_of_some_rows_as_they_are(spark, tmp_path):
+    vec, names = five(spark)
+    made = export.export_shards(vec, names, f"file://{tmp_path}", "r", "c1, c2", "v", rows_per_shard=2, precision="fp16", normalize=False, limit=3, meta={"encoder": "x", "best_val_mrr": 0.5, "loss": 1})
+    assert [(e["kind"], e["row_start"], e["row_end"]) for e in made["shards"]] == [("vectors", 0, 2), ("vectors", 2, 3)]
+    assert (made["num_rows"], made["normalized"], made["canonical_precision"], made["metrics"], made["source_crawls"]) == (3, False, "float16", {"best_val_mrr": 0.5}, ["c1", "c2"])
+    table = pq.read_table(tmp_path / "vectors")
+    assert table.schema.field("embedding").type == pa.list_(pa.float16(), 2) and sorted(table.column("embedding").to_pylist()) == [[0, 2], [1, 2], [2, 2]]
+
+
+def test_failed_and_repeated_tasks_leave_no_file(spark, tmp_path):
+    options = {"path": str(tmp_path), "tiers": json.dumps({"vectors": "float32"}), "shards": "2", "rows": "4", "manifest": "{}"}
+    writer = shardfiles.ShardWriter(options)
+    rows = lambda shard: pa.record_batch([pa.array([shard] * 2), pa.array([2 * shard, 2 * shard + 1]), pa.array(["h"] * 2), pa.array(["d"] * 2), pa.array([[1.0], [2.0]], pa.list_(pa.float32()))], ["shard", "row_id", "host_key", "domain_key", "embedding"])
+
+    def broken():
+        yield rows(0)
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        writer.write(broken())
+    writer.write(iter([rows(1)]))  # an attempt whose message doesn't count
+    writer.commit([writer.write(iter([rows(0)])), None, writer.write(iter([rows(1)])), writer.write(iter([]))])
+    assert {str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*")} == {"manifest.json", "vectors", "vectors/emb-00000-of-00002.parquet", "vectors/emb-00001-of-00002.parquet"}
+    again = shardfiles.ShardWriter(options)
+    with pytest.raises(ValueError, match="holds 2 rows"):
+        again.commit([again.write(iter([rows(0)]))])
+    again.abort([])
+    assert not (tmp_path / "_staging").exists()
+
+
+def test_failed_export_leaves_nothing(spark, tmp_path, monkeypatch):
+    vec, names = five(spark)
+    whole = shardfiles.shard_table
+
+    def breaks(rows, kind):
+        if 4 in rows.column("row_id").to_pylist():
+            raise RuntimeError("a task fails")
+        return whole(rows, kind)
+
+    monkeypatch.setattr(shardfiles, "shard_table", breaks)
+    with pytest.raises(Exception, match="a task fails"):
+        export.export_shards(vec, names, str(tmp_path), "r", "c", "v", rows_per_shard=2)
+    assert not list(tmp_path.rglob("*.parquet")) and not (tmp_path / "manifest.json").exists()
+
+
 def test_size_model(spark):
     assert {r["place"]: (r["n"], r["bytes"]) for r in contract.widths(spark).collect()} == {"header": (3, 0), "row_default": (11, 24), "row_sidecar": (4, 8)}
     assert contract.fields(spark, "header").count() == 3 and contract.fields(spark).count() == 18
