@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from hostweave.operators import packed
 from hostweave.operators.ordinals import with_ordinal
+from hostweave.sources.scratch import cut
 
 #: The retention ladder's thresholds and the histogram's bin edges.
 THRESHOLDS = (1, 2, 3, 4, 8, 16, 32, 64, 128, 256, 512, 1024)
@@ -56,12 +58,31 @@ class HostGraph:
     def in_neighbors(self, node: int) -> DataFrame:
         return self.edges.where(F.col("dst") == node).select("eid", F.col("src").alias("neighbor")).orderBy("eid")
 
+    def adjacency_offsets(self, outgoing: bool = True) -> DataFrame:
+        """``(id, offset, n)`` of every node: where its neighbours begin in the array of all, and how many there are."""
+        counts = self.edges.groupBy(F.col("src" if outgoing else "dst").alias("id")).agg(F.count("*").alias("n"))
+        full = cut(self.ids().join(counts, "id", "left").select("id", F.coalesce("n", F.lit(0)).alias("n")), "list-sizes")
+        return offsets(full).join(full, "id").select("id", "offset", "n")
+
+    def adjacency_chunks(self, outgoing: bool = True, bound: int = 1 << 16) -> DataFrame:
+        """``(id, cell, offset, neighbors)``: the neighbours in edge order, in rows of at most ``bound``.
+
+        The array of all neighbours, in order of node and edge, is cut into cells of
+        ``bound`` places, and a node's list where it crosses into the next cell. A hub is
+        many rows, which any tasks gather; ``offset`` is where a row begins in that array.
+        """
+        a, b = ("src", "dst") if outgoing else ("dst", "src")
+        placed = with_ordinal(self.edges.select(F.col(a).alias("id"), F.col(b).alias("n"), "eid"), ["id", "eid"], "place")
+        inside = F.array_sort(F.collect_list(F.struct("place", "n")))
+        rows = placed.groupBy("id", F.expr(f"place div {int(bound)}").alias("cell")).agg(F.min("place").alias("offset"), inside.alias("x"))
+        return rows.select("id", "cell", "offset", F.transform("x", lambda x: x["n"]).alias("neighbors"))
+
     def adjacency(self, outgoing: bool = True) -> DataFrame:
-        """``(id, offset, neighbors)``: neighbours in edge order and the running offset of each list."""
+        """``(id, offset, neighbors)``: whole lists in edge order, for graphs without hubs too large for a row."""
         a, b = ("src", "dst") if outgoing else ("dst", "src")
         lists = self.edges.groupBy(F.col(a).alias("id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("eid", F.col(b).alias("n")))), lambda x: x["n"]).alias("neighbors"))
-        full = self.ids().join(lists, "id", "left").select("id", F.coalesce("neighbors", F.array().cast("array<bigint>")).alias("neighbors"))
-        return full.join(offsets(full.select("id", F.size("neighbors").cast("long").alias("n"))), "id").select("id", "offset", "neighbors")
+        none = F.array().cast("array<bigint>")
+        return self.adjacency_offsets(outgoing).join(lists, "id", "left").select("id", "offset", F.coalesce("neighbors", none).alias("neighbors"))
 
     def to_undirected(self) -> HostGraph:
         """Edges in both directions, each once; nodes and their columns stay."""
@@ -132,19 +153,40 @@ def edge_min_degree(edges: DataFrame, degree: DataFrame) -> DataFrame:
     return edges.join(a, "src").join(b, "dst").select(F.least("ds", "dd").alias("low"))
 
 
+def edge_classes(edges: DataFrame, degree: DataFrame, thresholds: tuple[int, ...] = THRESHOLDS) -> DataFrame:
+    """``(at)`` for each edge: how many of the ascending thresholds its ends' lesser degree reaches.
+
+    Degrees are sent to the edges as packed classes while these fit; else the edges meet
+    the degrees of both ends by two joins.
+    """
+    reached = lambda d: F.size(F.filter(F.array(*map(F.lit, thresholds)), lambda t: t <= d))
+    nodes = (degree.agg(F.max("id")).first()[0] or 0) + 1
+    if len(thresholds) < 16 and packed.fits(nodes, packed.CLASS_BITS):
+        return packed.lesser_class(edges, packed.packed_classes(degree.select("id", reached(F.col("degree")).alias("at"))))
+    return edge_min_degree(edges, degree).select(reached(F.col("low")).alias("at"))
+
+
+def induced_edge_counts(edges: DataFrame, degree: DataFrame, thresholds: tuple[int, ...] = THRESHOLDS) -> DataFrame:
+    """``(min_degree, induced_edges)`` by classes and a suffix sum over them."""
+    counts = edge_classes(edges, degree, thresholds).groupBy("at").agg(F.count("*").alias("n"))
+    steps = edges.sparkSession.createDataFrame([(i + 1, t) for i, t in enumerate(thresholds)], "at int, min_degree int")
+    suffix = Window.orderBy(F.desc("at"))  # one row per threshold
+    return steps.join(counts, "at", "left").select("min_degree", F.sum(F.coalesce("n", F.lit(0))).over(suffix).alias("induced_edges"))
+
+
 def retention_ladder(degree: DataFrame, edges: DataFrame | None = None, thresholds: tuple[int, ...] = THRESHOLDS) -> DataFrame:
     """What is left at each minimum degree; with ``edges`` also of the edges.
 
-    All thresholds are conditional sums of one aggregation per input; the one-row results
-    are then unfolded.
+    All thresholds are conditional sums of one aggregation, a row that is then unfolded.
+    With ``edges``, the degrees are written once, as several steps read them.
     """
-    unfold = lambda one, keep, **cells: one.select(*keep, F.explode(F.array(*[F.struct(F.lit(t).alias("t"), *[F.coalesce(F.col(f"{p}{t}"), F.lit(0)).alias(c) for c, p in cells.items()]) for t in thresholds])).alias("r")).select(*keep, "r.*")
+    if edges is not None:
+        degree = cut(degree.select("id", "degree"), "degrees")
     kept = [F.sum((F.col("degree") >= t).cast("long")).alias(f"n{t}") for t in thresholds]
     ends = [F.sum(F.when(F.col("degree") >= t, F.col("degree")).otherwise(0)).alias(f"e{t}") for t in thresholds]
-    flat = unfold(degree.agg(F.count("*").alias("n"), F.sum("degree").alias("all"), *kept, *ends), ["n", "all"], k="n", e="e")
-    if edges is not None:
-        low = edge_min_degree(edges, degree).agg(F.count("*").alias("m"), *[F.sum((F.col("low") >= t).cast("long")).alias(f"m{t}") for t in thresholds])
-        flat = flat.join(unfold(low, ["m"], i="m"), "t")  # a row for each threshold on either side
+    one = degree.agg(F.count("*").alias("n"), F.sum("degree").alias("all"), *kept, *ends)
+    cells = [F.struct(F.lit(t).alias("t"), *[F.coalesce(F.col(f"{p}{t}"), F.lit(0)).alias(c) for c, p in (("k", "n"), ("e", "e"))]) for t in thresholds]
+    flat = one.select("n", "all", F.explode(F.array(*cells)).alias("r")).select("n", "all", "r.*")
     frac = F.col("k") / F.greatest(F.col("n"), F.lit(1))
     out = [
         F.col("t").alias("min_degree"),
@@ -154,21 +196,12 @@ def retention_ladder(degree: DataFrame, edges: DataFrame | None = None, threshol
         F.round(F.col("e") / F.greatest(F.col("all"), F.lit(1)), 5).alias("endpoint_incidence"),
     ]
     if edges is not None:
-        out += [F.col("i").alias("induced_edges"), F.round(F.col("i") / F.greatest(F.col("m"), F.lit(1)), 5).alias("frac_edges")]
+        flat = flat.join(induced_edge_counts(edges, degree, thresholds).withColumnRenamed("min_degree", "t"), "t")  # a row for each threshold
+        half = F.coalesce(F.col("all"), F.lit(0)) / 2  # an edge is two ends
+        out += ["induced_edges", F.round(F.col("induced_edges") / F.greatest(half, F.lit(1)), 5).alias("frac_edges")]
     return flat.select(*out)
 
 
-def induced_edge_counts(edges: DataFrame, degree: DataFrame, thresholds: tuple[int, ...] = THRESHOLDS) -> DataFrame:
-    """``(min_degree, induced_edges)`` by buckets and a suffix sum over them."""
-    ladder = F.array(*map(F.lit, thresholds))
-    at = F.size(F.filter(ladder, lambda t: t <= F.col("low")))
-    counts = edge_min_degree(edges, degree).groupBy(at.alias("at")).agg(F.count("*").alias("n"))
-    spark = edges.sparkSession
-    steps = spark.createDataFrame([(i + 1, t) for i, t in enumerate(thresholds)], "at int, min_degree int")
-    suffix = Window.orderBy(F.desc("at"))  # one row per threshold
-    return steps.join(counts, "at", "left").select("min_degree", F.sum(F.coalesce("n", F.lit(0))).over(suffix).alias("induced_edges"))
-
-
 def degree_histogram(degree: DataFrame, edges: tuple[int, ...] = BIN_EDGES) -> DataFrame:
     """``(deg_lo, deg_hi, n_nodes)`` of right-open bins, empty ones included."""
     lower = F.array(*[F.lit(e).cast("long") for e in edges[:-1]])
@@ -206,18 +239,30 @@ def _named(nodes: DataFrame | None, ids: DataFrame) -> DataFrame | None:
 def min_degree_slice(graph: HostGraph, min_degree: int, degree: DataFrame | None = None) -> tuple[HostGraph, DataFrame]:
     """The subgraph induced by nodes of at least that total degree, and the id map.
 
-    The degree is that of the full graph, so a kept node may have fewer edges left.
+    The degree is that of the full graph, so a kept node may have fewer edges left. The kept
+    set goes to the edges as bits with ranks while it fits: then no edge is exchanged, and
+    none is joined that isn't kept. Else the edges meet the id map by two joins.
     """
+    if min_degree < 1:
+        raise ValueError("min_degree must be at least 1")
     degree = graph.degrees() if degree is None else degree
-    ids = keep_map(degree, min_degree)
-    n = ids.count()
+    small = packed.fits(graph.num_nodes, packed.SET_BITS)
+    if small:
+        kept = cut(degree.where(F.col("degree") >= min_degree).select(F.col("id").alias("orig_id")), "kept")
+        bits = cut(packed.packed_set(kept, "orig_id"), "kept-bits")
+        side = F.broadcast(bits)
+        ids = kept.join(side, packed.bucket_of(F.col("orig_id")) == side["bucket"]).select("orig_id", packed.rank_in(F.col("orig_id"), side["start"], side["words"], side["ranks"]).alias("compact_id"))
+    else:
+        kept = ids = keep_map(degree, min_degree)
+    n = kept.count()
     if not n:
         top = degree.agg(F.max("degree")).first()[0]
         raise ValueError(f"no node has degree {min_degree} or more; the largest is {top}")
     nodes = _named(graph.nodes, ids)
     if graph.nodes is not None and (lost := missing_nodes(ids, graph.nodes).count()):
         raise ValueError(f"{lost} kept ids have no vertex row")
-    return HostGraph(rekeyed(graph.edges, ids), n, nodes), ids
+    edges = packed.ranked_ends(graph.edges.select("eid", "src", "dst"), bits) if small else rekeyed(graph.edges, ids)
+    return HostGraph(edges, n, nodes), ids
 
 
 def missing_nodes(ids: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -65,11 +65,36 @@ def worker_slices(split: Split, world: int, train_total: int | None = None) -> D
     return split.part("train").withColumn("rank", slice_of(F.col("train_ordinal"), total, world))
 
 
+#: Bits of a hash by which one pass of a selection tells groups apart, and bits of the hash.
+STEP, MARK = 13, 39
+
+
 def subsample(edges: DataFrame, cap: int, seed: int = 42) -> DataFrame:
-    """Exactly ``cap`` edges by least hash (all if there are no more or ``cap`` is 0)."""
+    """Exactly ``cap`` edges by least hash (all if there are no more or ``cap`` is 0).
+
+    No task sorts or holds the sample: counts by the hash's upper bits, at most ``2 ** STEP``
+    rows, show in which group the last one is, and further passes refine that group until
+    the bound is known; then a filter takes all up to it. Of equal hashes, which only ids
+    ``2 ** MARK`` apart can have, the least ids count.
+    """
     if cap <= 0:
         return edges
-    return edges.orderBy(hash_mod(F.col("eid"), seed, 1 << 39), "eid").limit(cap)
+    marked = edges.withColumn("_hw_mark", hash_mod(F.col("eid"), seed, 1 << MARK))
+    mark, prefix, left = F.col("_hw_mark"), 0, cap
+    for bits in range(MARK - STEP, -1, -STEP):
+        inside = marked.where(F.shiftright(mark, bits + STEP) == prefix)
+        counts = sorted((r["at"], r["n"]) for r in inside.groupBy(F.shiftright(mark, bits).alias("at")).agg(F.count("*").alias("n")).collect())
+        for at, n in counts:
+            if left <= n:
+                prefix = at
+                break
+            left -= n
+        else:
+            return edges  # there are no more
+        if left == n:
+            return marked.where(F.shiftright(mark, bits) <= prefix).drop("_hw_mark")
+    last = marked.where(mark == prefix).select("eid").orderBy("eid").limit(left).agg(F.max("eid")).first()[0]
+    return marked.where((mark < prefix) | ((mark == prefix) & (F.col("eid") <= last))).drop("_hw_mark")
 
 
 def permutation_split(edges: DataFrame, seed: int = 42) -> DataFrame:
@@ -84,14 +109,16 @@ def permutation_split(edges: DataFrame, seed: int = 42) -> DataFrame:
 def minibatches(edges: DataFrame, batch_size: int, epoch: int = 0, seed: int = 42) -> DataFrame:
     """Edges of full batches in a hash order of the epoch, with batch-local endpoint numbers.
 
-    ``local_src`` and ``local_dst`` are places among the batch's sorted, distinct ends.
+    ``local_src`` and ``local_dst`` are places among the batch's sorted, distinct ends. Both
+    ends are rows of one set, ranked within the batch and folded back where they are, so
+    after the edges' placing there is one exchange, by batch.
     """
     order = hash_mod(F.col("eid"), seed + epoch, 1 << 39)
     placed = with_ordinal(edges.select("eid", "src", "dst", order.alias("mark")), ["mark", "eid"], "place")
     n = placed.count()
     batched = placed.withColumn("batch", F.floor(F.col("place") / batch_size)).where(F.col("batch") < n // batch_size).drop("mark", "place")
-    ends = batched.select("batch", F.explode(F.array("src", "dst")).alias("id")).distinct()
-    local = ends.withColumn("local", F.row_number().over(Window.partitionBy("batch").orderBy("id")) - 1)
-    a = local.select("batch", F.col("id").alias("src"), F.col("local").alias("local_src"))
-    b = local.select("batch", F.col("id").alias("dst"), F.col("local").alias("local_dst"))
-    return batched.join(a, ["batch", "src"]).join(b, ["batch", "dst"]).select("batch", "eid", "src", "dst", "local_src", "local_dst")
+    sides = F.array(F.struct(F.lit(0).alias("end"), F.col("src").alias("id")), F.struct(F.lit(1).alias("end"), F.col("dst").alias("id")))
+    ends = batched.select("batch", "eid", "src", "dst", F.explode(sides).alias("x")).select("batch", "eid", "src", "dst", "x.*")
+    numbered = ends.withColumn("local", F.dense_rank().over(Window.partitionBy("batch").orderBy("id")) - 1)
+    local = lambda end: F.max(F.when(F.col("end") == end, F.col("local")))
+    return numbered.groupBy("batch", "eid", "src", "dst").agg(local(0).alias("local_src"), local(1).alias("local_dst"))

@@ -10,7 +10,7 @@ from hostweave.operators import contract, releases, split, training, vectors
 from hostweave.operators import graph as g
 from hostweave.plans import derived
 from hostweave.plans.oracles import ORACLES
-from hostweave.sources import export, scratch, store
+from hostweave.sources import export, scratch, shards, store
 
 FLAGSHIP = "retention_ladder"
 SLICE, SEED, CAP, WORLD, BATCH = 64, 42, 1000, 4, 512
@@ -73,6 +73,16 @@ def adjacency_lists(spark: SparkSession, d: str) -> DataFrame:
     return lists.select("id", F.col("offset").cast("long").alias("offset"), F.array_join(F.transform("neighbors", lambda x: x.cast("string")), ",").alias("neighbors"))
 
 
+def adjacency_chunks(spark: SparkSession, d: str) -> DataFrame:
+    """Neighbour lists in rows of at most 16, so that most nodes have several."""
+    rows = derived.graph(spark, d).adjacency_chunks(bound=16)
+    return rows.select("id", "cell", "offset", F.size("neighbors").alias("n"), F.array_join(F.transform("neighbors", lambda x: x.cast("string")), ",").alias("neighbors"))
+
+
+def adjacency_offsets(spark: SparkSession, d: str) -> DataFrame:
+    return derived.graph(spark, d, ordered=False).adjacency_offsets(outgoing=False)
+
+
 def neighbors_of(spark: SparkSession, d: str) -> DataFrame:
     graph = derived.graph(spark, d)
     out = graph.out_neighbors(7).select(F.lit("out").alias("direction"), "eid", "neighbor")
@@ -275,15 +285,41 @@ def split_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return store.load_split(spark, folder).edges.select("eid", "split", "train_ordinal")
 
 
+def _edge_shards(spark: SparkSession, d: str, sep: str = "\t", compression: str = "gzip") -> str:
+    """The derived edges as two text shards in order of their ordinals."""
+    folder = scratch.new_path(spark, "edge-shards")
+    shards.write_lines(derived.edges(spark, d), folder, "eid", F.concat_ws(sep, "src", "dst"), 2, compression)
+    return folder
+
+
+def shard_edges(spark: SparkSession, d: str) -> DataFrame:
+    """Edges as they are read, with their ordinals, from two compressed shards."""
+    return shards.read_edges(spark, _edge_shards(spark, d))
+
+
+def shard_edges_lenient(spark: SparkSession, d: str) -> DataFrame:
+    """The first 1000 edges of two plain shards with any white space between fields."""
+    return shards.read_edges(spark, _edge_shards(spark, d, " \t ", "none"), lenient=True, max_edges=1000)
+
+
+def shard_slice_names(spark: SparkSession, d: str) -> DataFrame:
+    """The kept nodes' names, edges and names alike read from shards."""
+    folder = scratch.new_path(spark, "vertex-shards")
+    shards.write_lines(derived.node_names(spark, d), folder, "id", F.concat_ws("\t", "id", "name"))
+    full = g.HostGraph(shards.read_edges(spark, _edge_shards(spark, d)), shards.count_lines(spark, folder), shards.read_vertices(spark, folder))
+    return g.min_degree_slice(full, SLICE)[0].nodes.select("orig_id", "id", "name")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         degree_vector, degree_totals, retention_ladder, induced_edges, degree_histogram, min_degree_slice_edges, min_degree_slice_nodes,
-        endpoint_integrity, unique_endpoints, to_undirected, undirected_degrees, adjacency_lists, neighbors_of, edge_mask_subgraph,
+        endpoint_integrity, unique_endpoints, to_undirected, undirected_degrees, adjacency_lists, adjacency_chunks, adjacency_offsets, neighbors_of, edge_mask_subgraph,
         induced_prefix, split_assignment, split_counts, split_eval_subsample, subsample_exact, permutation_split, train_stripes, train_slices,
         minibatch_local_index, uniform_negatives, host_keys, domain_keys, domain_keys_by_rules, domain_key_sql, suffix_records, host_records, cohort_counts, duplicate_keys, cross_release_index,
         state_counts, keys_reappeared, normalize_vectors, input_norms, cosine_topk, eval_ranks, eval_mrr, shard_ranges, size_table,
         graph_round_trip, split_round_trip, schema_fields, lr_schedule, split_bucket_sql, hash_top_bits, train_embeddings, export_shards,
+        shard_edges, shard_edges_lenient, shard_slice_names,
     )
 }
 #: Earlier names of queries over whole tables.

@@ -62,6 +62,8 @@ ORACLES = {
     "to_undirected": f"WITH {_UND} SELECT row_number() OVER (ORDER BY src, dst) - 1 AS eid, src, dst FROM und",
     "undirected_degrees": f"WITH {_UND}, {_NODES} SELECT id, count(dst) AS out_degree FROM nodes LEFT JOIN und ON id = src GROUP BY 1",
     "adjacency_lists": f"WITH {_DEG}, l AS (SELECT src, string_agg(dst::VARCHAR, ',' ORDER BY eid) AS x FROM edges GROUP BY 1) SELECT id, coalesce(sum(out_degree) OVER (ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS \"offset\", coalesce(x, '') AS neighbors FROM deg LEFT JOIN l ON id = src",
+    "adjacency_chunks": f"WITH {_EDGES}, p AS (SELECT src, dst, row_number() OVER (ORDER BY src, eid) - 1 AS place FROM edges) SELECT src AS id, place // 16 AS cell, min(place) AS \"offset\", count(*)::INTEGER AS n, string_agg(dst::VARCHAR, ',' ORDER BY place) AS neighbors FROM p GROUP BY 1, 2",
+    "adjacency_offsets": f"WITH {_DEG} SELECT id, coalesce(sum(in_degree) OVER (ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS \"offset\", in_degree AS n FROM deg",
     "neighbors_of": f"WITH {_EDGES} SELECT 'out' AS direction, eid, dst AS neighbor FROM edges WHERE src = 7 UNION ALL SELECT 'in', eid, src FROM edges WHERE dst = 7",
     "edge_mask_subgraph": f"WITH {_EDGES} SELECT eid, src, dst FROM edges WHERE (src + dst) % 3 = 0",
     "induced_prefix": f"WITH {_EDGES}, p AS (SELECT * FROM edges WHERE eid < 1000), ids AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS c FROM (SELECT src AS id FROM p UNION SELECT dst FROM p)) SELECT eid, a.c AS src, b.c AS dst FROM p JOIN ids a ON src = a.id JOIN ids b ON dst = b.id",
@@ -72,9 +74,10 @@ ORACLES = {
     "permutation_split": f"WITH {_EDGES}, o AS (SELECT eid, row_number() OVER (ORDER BY {_ORDER}, eid) - 1 AS p, count(*) OVER () // 10 AS t FROM edges) SELECT eid, CASE WHEN p < t THEN 'test' WHEN p < 2 * t THEN 'val' ELSE 'train' END AS split FROM o",
     "train_stripes": f"WITH {_TRAIN} SELECT o % 4 AS rank, count(*) AS n, min(eid) AS first_eid, max(eid) AS last_eid FROM train GROUP BY 1",
     "train_slices": f"WITH {_TRAIN}, r AS (SELECT unnest(range(0, 4)) AS r) SELECT r AS rank, count(*) AS n, min(eid) AS first_eid, max(eid) AS last_eid FROM train JOIN r ON o >= n * r // 4 AND o < n * (r + 1) // 4 GROUP BY 1",
-    "minibatch_local_index": f"""WITH {_EDGES.replace('edges AS (', 'edges AS MATERIALIZED (', 1)}, m AS MATERIALIZED (SELECT *, ({_hash('eid', 43)} % {1 << 39})::BIGINT AS mark FROM edges), p AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY mark, eid) - 1 AS p FROM m), b AS MATERIALIZED (SELECT p // 512 AS batch, eid, src, dst FROM p WHERE p // 512 < (SELECT count(*) // 512 FROM m)),
- l AS MATERIALIZED (SELECT batch, id, row_number() OVER (PARTITION BY batch ORDER BY id) - 1 AS l FROM (SELECT batch, src AS id FROM b UNION SELECT batch, dst FROM b))
- SELECT b.batch, eid, src, dst, x.l::INTEGER AS local_src, y.l::INTEGER AS local_dst FROM b JOIN l x ON b.batch = x.batch AND src = x.id JOIN l y ON b.batch = y.batch AND dst = y.id""",
+    "minibatch_local_index": f"""WITH {_EDGES}, p AS (SELECT eid, src, dst, row_number() OVER (ORDER BY {_hash('eid', 43)} % {1 << 39}, eid) - 1 AS p, count(*) OVER () AS n FROM edges),
+ x AS (SELECT p // 512 AS batch, eid, src, dst, unnest([0, 1]) AS side, unnest([src, dst]) AS id FROM p WHERE p // 512 < n // 512),
+ l AS (SELECT batch, eid, src, dst, side, dense_rank() OVER (PARTITION BY batch ORDER BY id) - 1 AS l FROM x)
+ SELECT batch, eid, src, dst, max(l) FILTER (side = 0)::INTEGER AS local_src, max(l) FILTER (side = 1)::INTEGER AS local_dst FROM l GROUP BY 1, 2, 3, 4""",
     "uniform_negatives": f"WITH k AS (SELECT unnest(range(0, 5)) AS k), e AS (SELECT unnest(range(0, (SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey))) AS eid) SELECT eid, k::INTEGER AS k, ({_hash('eid * 5 + k')} % ({_N}))::BIGINT AS neg_id FROM e, k",
     "host_keys": f"WITH {_HOSTS} SELECT page_id, host_key FROM hosts",
     "domain_keys": f"WITH {_HOSTS} SELECT DISTINCT host_key, array_to_string(list_slice(string_split(host_key, '.'), -2, -1), '.') AS domain_key FROM hosts",
@@ -96,6 +99,9 @@ ORACLES = {
     "shard_ranges": "SELECT vec_id // 200 AS shard, min(vec_id) AS row_start, max(vec_id) + 1 AS row_end, count(*) AS n_rows FROM embeddings GROUP BY 1",
     "export_shards": f"""WITH {_UNIT}, s AS (SELECT id // 200 AS shard, min(id) AS row_start, max(id) + 1 AS row_end, count(*) AS n_rows, min('h' || id || '.com') AS least_host, count(DISTINCT id) AS domains, round(sum((n > 0)::INTEGER::DOUBLE), 3) AS norms FROM norms GROUP BY 1), t AS (SELECT unnest(['vectors', 'vectors_fp16']) AS kind), m AS (SELECT max(shard) + 1 AS shards FROM s)
  SELECT kind, shard, kind || '/emb-' || lpad(shard::VARCHAR, 5, '0') || '-of-' || lpad(shards::VARCHAR, 5, '0') || '.parquet' AS filename, row_start, row_end, n_rows, true AS intact, least_host, domains, norms FROM s, t, m""",
+    "shard_edges": f"WITH {_EDGES} SELECT eid, src, dst FROM edges",
+    "shard_edges_lenient": f"WITH {_EDGES} SELECT eid, src, dst FROM edges WHERE eid < 1000",
+    "shard_slice_names": f"WITH {_KEEP} SELECT orig_id, compact_id AS id, 'com.site' || (orig_id % 97) || '.H' || orig_id AS name FROM keep",
     "graph_round_trip": f"WITH {_EDGES} SELECT eid, src, dst FROM edges",
     "split_round_trip": f"WITH {_SPLIT}, k AS (SELECT eid, split FROM parts WHERE split = 'train' OR (split = 'test' AND ({_hash('eid', 49)} // 1099511627776)::DOUBLE / 16777216 < {_FRAC}) OR (split = 'val' AND ({_hash('eid', 53)} // 1099511627776)::DOUBLE / 16777216 < {_FRAC})) SELECT eid, split, CASE WHEN split = 'train' THEN row_number() OVER (PARTITION BY split ORDER BY eid) - 1 END AS train_ordinal FROM k",
     "size_table": "WITH d AS (SELECT unnest([64, 128, 256]) AS dim), p AS (SELECT unnest(['fp32', 'fp16', 'int8']) AS precision, unnest([4, 2, 1]) AS b, unnest([0.95, 0.95, 0.7]::DOUBLE[]) AS c), s AS (SELECT 262351908::BIGINT AS n, dim, precision, 262351908::BIGINT * dim * b AS v, 262351908::BIGINT * 48 AS m, c FROM d, p) SELECT n AS num_nodes, dim::INTEGER AS dim, precision, v AS vector_bytes, m AS metadata_bytes, v + m AS total_uncompressed, round(v * c + m * 0.45::DOUBLE)::BIGINT AS total_compressed FROM s",

@@ -1,13 +1,16 @@
-"""Text shards: resolving, reading with global ordinals, vertices and edges."""
+"""Text shards: resolving, reading with global ordinals, vertices and edges; writing links as shards."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from hostweave.sources.scratch import cut
+
 
 def _glob(spark: SparkSession, pattern: str) -> list[str]:
     """Paths by Hadoop's file systems, so that any store Spark reads will do."""
@@ -16,6 +19,12 @@ def _glob(spark: SparkSession, pattern: str) -> list[str]:
     return [f.getPath().toString() for f in found] if found else []
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme and from its root on."""
+    plain = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return plain.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(plain).toString()
+
+
 def resolve(spark: SparkSession, spec: str | Sequence[str]) -> list[str]:
     """Files of a path, glob, folder (its ``.gz`` files, else all), or list of these.
 
@@ -30,40 +39,61 @@ def resolve(spark: SparkSession, spec: str | Sequence[str]) -> list[str]:
         if inside:
             out += sorted([p for p in inside if p.endswith(".gz")] or inside)
         else:
-            out.append(item)
+            out.append(_qualified(spark, item))
     if not out:
         raise FileNotFoundError(f"no shard matches {spec!r}")
     return out
 
 
+def _kept(spark: SparkSession, files: list[str]) -> DataFrame:
+    """``(value, file, block, mark)`` of the non-blank lines; marks count up within a task."""
+    meta = F.col("_metadata")
+    raw = spark.read.text(files).select("value", meta["file_path"].alias("file"), meta["file_block_start"].alias("block"))
+    return raw.where(F.col("value").rlike(r"\S")).withColumn("mark", F.monotonically_increasing_id())
+
+
+def _name(path: str) -> str:
+    """A path without its scheme, which the list and the scan may write differently."""
+    return "/" + path.split(":", 1)[-1].lstrip("/")
+
+
+def block_index(spark: SparkSession, files: list[str]) -> DataFrame:
+    """``(file, block, n, first, start)``, stored: each file block's lines, its first mark, and the lines before it.
+
+    One row per file block is all that is brought into one order.
+    """
+    counted = cut(_kept(spark, files).groupBy("file", "block").agg(F.count("*").alias("n"), F.min("mark").alias("first")), "line-counts")
+    place = {_name(f): i for i, f in enumerate(files)}
+    names = [r[0] for r in counted.select("file").distinct().collect()]  # some of the files listed above
+    order = spark.createDataFrame([(f, place[_name(unquote(f))]) for f in names], "file string, place int")
+    before = Window.orderBy("place", "block").rowsBetween(Window.unboundedPreceding, -1)
+    return cut(counted.join(order, "file").select("file", "block", "n", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start")), "line-index")
+
+
+#: A line index of more file blocks than this is left to the optimiser instead of broadcast.
+BROADCAST_BLOCKS = 1 << 20
+
+
 def lines(spark: SparkSession, spec: str | Sequence[str]) -> DataFrame:
     """``(ordinal, value)`` of the non-blank lines, counted over the files in order.
 
-    Lines get their place in the file's block from the scan itself; the counts of all
-    blocks (one row each) give the blocks' starts. Nothing is sorted or shuffled by line.
+    A first scan counts the lines of each file block; in the second a line's number is its
+    block's start and its place since the block's first mark, so no line is exchanged or
+    sorted. Compressed files are one block each and are read by as many tasks as there are
+    files. Marks are alike in both scans as long as the files and the settings by which they
+    are dealt to tasks are; a mark outside its block is an error.
     """
     files = resolve(spark, spec)
-    meta = F.col("_metadata")
-    raw = spark.read.text(files).select("value", meta["file_path"].alias("file"), meta["file_block_start"].alias("block"), F.monotonically_increasing_id().alias("mark"))
-    kept = raw.where(F.trim(F.regexp_replace("value", r"\s+", " ")) != "")
-    order = {f: i for i, f in enumerate(files)}
-    blocks = kept.groupBy("file", "block", F.shiftright("mark", 33).alias("task")).agg(F.count("*").alias("n"), F.min("mark").alias("first"))
-    local = blocks.collect()  # one row per block of a file
-    name = lambda path: path.split(":", 1)[-1].replace("//", "/").replace("//", "/")
-    place = {name(f): i for f, i in order.items()}
-    local.sort(key=lambda r: (place.get(name(r["file"]), len(place)), r["block"]))
-    starts, at = [], 0
-    for r in local:
-        starts.append((r["file"], r["block"], at))
-        at += r["n"]
-    table = spark.createDataFrame(starts, "file string, block long, start long")
-    within = Window.partitionBy("file", "block").orderBy("mark")
-    return kept.withColumn("row", F.row_number().over(within) - 1).join(table, ["file", "block"]).select((F.col("start") + F.col("row")).alias("ordinal"), "value")
+    index = block_index(spark, files)
+    index = F.broadcast(index) if index.count() <= BROADCAST_BLOCKS else index
+    at = F.col("mark") - F.col("first")
+    wrong = F.raise_error(F.concat(F.lit("lines aren't where they were counted: "), F.col("file"))).cast("long")
+    return _kept(spark, files).join(index, ["file", "block"]).select(F.when((at < 0) | (at >= F.col("n")), wrong).otherwise(F.col("start") + at).alias("ordinal"), "value")
 
 
 def count_lines(spark: SparkSession, spec: str | Sequence[str]) -> int:
     """Non-blank lines: the bound of vertex ids."""
-    return spark.read.text(resolve(spark, spec)).where(F.trim(F.regexp_replace("value", r"\s+", " ")) != "").count()
+    return spark.read.text(resolve(spark, spec)).where(F.col("value").rlike(r"\S")).count()
 
 
 def read_vertices(spark: SparkSession, spec: str | Sequence[str], check: bool = True) -> DataFrame:
@@ -92,3 +122,8 @@ def read_edges(spark: SparkSession, spec: str | Sequence[str], lenient: bool = F
 def read_edges_unordered(spark: SparkSession, spec: str | Sequence[str]) -> DataFrame:
     """``(src, dst)`` by the CSV reader, failing on malformed lines; for order-free work."""
     return spark.read.schema("src long, dst long").option("sep", "\t").option("mode", "FAILFAST").csv(resolve(spark, spec))
+
+
+def write_lines(rows: DataFrame, folder: str, order: str, line: Column, files: int = 2, compression: str = "gzip") -> None:
+    """A line for each row, in the order of a column over all files."""
+    rows.repartitionByRange(files, order).sortWithinPartitions(order).select(line.alias("value")).write.mode("overwrite").option("compression", compression).text(folder)

@@ -57,6 +57,29 @@ def test_slice_guards(spark, folder):
         g.HostGraph.from_edges(graph.edges, 3)
 
 
+@pytest.mark.parametrize("packed", [False, True])
+def test_lines_are_numbered_where_they_are_read(spark, tmp_path, packed):
+    names = ["b 1.txt", "a%41.txt", "c.txt"]
+    want = []
+    for i, name in enumerate(sorted(names)):
+        text = "".join(f"{i} {k} {'x' * (k % 50)}\n" + "\n \t\n" * (k % 3 == 0) for k in range(700))
+        want += [x for x in text.split("\n") if x.strip()]
+        if packed:
+            with gzip.open(tmp_path / f"{name}.gz", "wt") as f:
+                f.write(text)
+        else:
+            (tmp_path / name).write_text(text)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        out = shards.lines(spark, str(tmp_path))
+        assert [tuple(r) for r in out.orderBy("ordinal").collect()] == list(enumerate(want))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange hashpartitioning" not in plan and "Window" not in plan and "Sort" not in plan and out.rdd.getNumPartitions() > 2
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
 def test_toy_graph_views(spark, tmp_path):
     rows = spark.createDataFrame([(0, 0, 1), (1, 0, 2), (2, 1, 2), (3, 3, 0)], "eid long, src long, dst long")
     features = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(4)], "id long, features array<float>")
