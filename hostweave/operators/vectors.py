@@ -1,14 +1,15 @@
-"""Vector columns: norms, cosine neighbours, negatives and ranking metrics."""
+"""Vector columns: norms, ranking against random nodes, ranking metrics."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from hostweave.functions.hashing import hash_mod
+from hostweave.functions.hashing import MULTIPLIER, hash_mod
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -30,57 +31,64 @@ def input_norms(vectors: DataFrame, rows: int = 4096, id_col: str = "row_id") ->
     return vectors.where(F.col(id_col) < rows).agg(F.min(n).alias("norm_min"), F.avg(n).alias("norm_mean"), F.max(n).alias("norm_max"))
 
 
-#: Queries and vectors that one task of a nearest-neighbour search compares.
-QUERY_BLOCK, VECTOR_BLOCK = 512, 8192
+#: Positives of one batch of a ranking; its task holds the vectors of their ends and negatives.
+RANK_BATCH = 512
 
 
-def cosine_topk(vectors: DataFrame, queries: DataFrame | list[int], k: int, id_col: str = "id", query_block: int = QUERY_BLOCK, vector_block: int = VECTOR_BLOCK) -> DataFrame:
-    """``(query_id, rank, neighbor_id, cosine)``: the ``k`` nearest others of each query.
+def hashed_below(x: np.ndarray, seed: int, n: int) -> np.ndarray:
+    """``hash_mod`` of non-negative integers, in numpy."""
+    with np.errstate(over="ignore"):
+        return (((x.astype(np.uint64) + np.uint64(seed)) * np.uint64(MULTIPLIER)) % np.uint64(n)).astype(np.int64)
 
-    ``queries`` are rows with an id and an embedding, or a few ids of ``vectors``. Blocks
-    of queries meet blocks of vectors, both of bounded size, and only each task's best
-    ``k`` per query are shuffled. Rows without a vector neither ask nor are found.
-    """
-    if isinstance(queries, list):
-        queries = vectors.where(F.col(id_col).isin(queries))
-    rows = lambda df: df.where(F.col("embedding").isNotNull()).select(F.col(id_col).cast("long").alias("id"), normalized(F.col("embedding")).alias("v"))
-    asked, held = rows(queries), rows(vectors)
-    blocks, shards = -(-asked.count() // query_block) or 1, -(-held.count() // vector_block) or 1
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
-    asked = asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks))).withColumn("shard", every(shards))
-    held = held.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards))).withColumn("block", every(blocks))
-
-    def run(query: pa.Table, some: pa.Table) -> pa.Table:
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        if query.num_rows and some.num_rows:
-            stack = lambda t: np.stack(t.column("v").to_numpy()).astype(np.float64)
-            ids = some.column("id").to_numpy()
-            near = np.round(stack(query) @ stack(some).T, 6)
-            for i, row in zip(query.column("id").to_pylist(), near, strict=True):
-                use = np.flatnonzero(ids != i)
-                if len(use) > k:
-                    use = use[row[use] >= np.partition(row[use], -k)[-k]]  # with all ties of the last
-                use = use[np.lexsort((ids[use], -row[use]))[:k]]
-                out.append((np.full(len(use), i), ids[use], row[use]))
-        a, b, c = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
-        return pa.table({"query_id": pa.array(a, pa.int64()), "neighbor_id": pa.array(b, pa.int64()), "cosine": pa.array(c, pa.float64())})
-
-    pairs = asked.groupBy("block", "shard").cogroup(held.groupBy("block", "shard")).applyInArrow(run, "query_id long, neighbor_id long, cosine double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("cosine"), "neighbor_id")
-    return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "neighbor_id", "cosine")
-
-
-def ranked(positives: DataFrame, vectors: DataFrame, num_nodes: int, negatives: int = 100, seed: int = 42, digits: int = 6) -> DataFrame:
+
+def ranked(positives: DataFrame, vectors: DataFrame, num_nodes: int, negatives: int = 100, seed: int = 42, digits: int = 6, batch: int = RANK_BATCH) -> DataFrame:
     """``(eid, rank)``: 1 and the number of uniform random nodes that score above the true one.
 
     Negatives are drawn with replacement by a hash, unfiltered; ties favour the true one.
+    Positives fall into batches. A batch asks once for each node that it needs, by id; the
+    vectors come to the batch once, before its positives in one sorted stream, and all
+    scores are taken there. Positives whose ends lack a vector, and negatives that do, go.
     """
-    emb = lambda name, at: vectors.select(F.col("id").alias(name), F.col("embedding").alias(at))
-    draw = F.explode(F.sequence(F.lit(0), F.lit(negatives - 1))).alias("k")
-    pos = positives.join(emb("src", "u"), "src").join(emb("dst", "v"), "dst").select("eid", "src", F.round(dot(F.col("u"), F.col("v")), digits).alias("pos"))
-    drawn = pos.select("*", draw).withColumn("neg_id", hash_mod(F.col("eid") * negatives + F.col("k"), seed, num_nodes))
-    neg = drawn.join(emb("src", "u"), "src").join(emb("neg_id", "w"), "neg_id")
-    return neg.groupBy("eid").agg((F.lit(1) + F.sum((F.round(dot(F.col("u"), F.col("w")), digits) > F.col("pos")).cast("long"))).alias("rank"))
+    batches = max(1, -(-positives.count() // batch))
+    edges = positives.select(F.pmod(F.xxhash64("eid"), F.lit(batches)).alias("batch"), "eid", F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"))
+    drawn = F.transform(F.sequence(F.lit(0), F.lit(negatives - 1)), lambda k: hash_mod(F.col("eid") * negatives + k, seed, num_nodes))
+    asked = edges.select("batch", F.explode(F.concat(F.array("src", "dst"), drawn)).alias("id")).distinct()
+    sent = asked.join(vectors.select(F.col("id").cast("long").alias("id"), F.transform("embedding", lambda x: x.cast("double")).alias("v")).where("v IS NOT NULL"), "id")
+    none = F.lit(None).cast("long")
+    rows = sent.select("batch", F.lit(0).alias("side"), "id", none.alias("src"), none.alias("dst"), "v").unionByName(edges.select("batch", F.lit(1).alias("side"), F.col("eid").alias("id"), "src", "dst", F.lit(None).cast("array<double>").alias("v")))
+
+    def score(ids: np.ndarray, table: np.ndarray, eid: np.ndarray, src: np.ndarray, dst: np.ndarray) -> pa.RecordBatch:
+        place = lambda x: np.minimum(np.searchsorted(ids, x), len(ids) - 1)
+        here = (ids[place(src)] == src) & (ids[place(dst)] == dst)
+        eid, src, dst = eid[here], src[here], dst[here]
+        neg = hashed_below(eid[:, None] * negatives + np.arange(negatives), seed, num_nodes)
+        at = place(neg)
+        u = table[place(src)]
+        pos = np.round(np.einsum("ij,ij->i", u, table[place(dst)]), digits)
+        above = (np.round(np.einsum("ij,ikj->ik", u, table[at]), digits) > pos[:, None]) & (ids[at] == neg)
+        return pa.record_batch([pa.array(eid), pa.array(1 + above.sum(axis=1))], ["eid", "rank"])
+
+    def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ids, table = None, [], []
+        for part in stream:
+            key = np.stack([part.column("batch").to_numpy(), part.column("side").to_numpy()], axis=1)
+            cuts = [0, *(np.flatnonzero((np.diff(key, axis=0) != 0).any(axis=1)) + 1).tolist(), len(key)]
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                if i == j:
+                    continue
+                some = part.slice(i, j - i)
+                if key[i, 0] != now:
+                    now, ids, table = key[i, 0], [], []
+                if key[i, 1] == 0:
+                    ids.append(some.column("id").to_numpy())
+                    table.append(some.column("v").flatten().to_numpy().reshape(j - i, -1))
+                elif ids:
+                    ids, table = [np.concatenate(ids)], [np.concatenate(table)]
+                    for a in range(0, j - i, 64):
+                        eid, src, dst = (some.column(c).slice(a, 64).to_numpy() for c in ("id", "src", "dst"))
+                        yield score(ids[0], table[0], eid, src, dst)
+
+    return rows.repartition("batch").sortWithinPartitions("batch", "side", "id").mapInArrow(run, "eid long, rank long")
 
 
 def ranking_metrics(ranks: DataFrame) -> DataFrame:

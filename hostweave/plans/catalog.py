@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hostweave.functions import hashing, identity, suffixes
-from hostweave.operators import contract, releases, split, training, vectors
+from hostweave.operators import contract, neighbors, releases, split, training, vectors
 from hostweave.operators import graph as g
 from hostweave.plans import derived
 from hostweave.plans.oracles import ORACLES
@@ -204,7 +204,7 @@ def input_norms(spark: SparkSession, d: str) -> DataFrame:
 def cosine_topk(spark: SparkSession, d: str) -> DataFrame:
     """The nearest of every row whose id 50 divides, among all rows."""
     emb = derived.table(spark, d, "embeddings").withColumnRenamed("vec_id", "id")
-    out = vectors.cosine_topk(emb, emb.where("id % 50 = 0"), 5)
+    out = neighbors.cosine_topk(emb, emb.where("id % 50 = 0"), 5)
     return out.select("query_id", "rank", "neighbor_id", F.round("cosine", 4).alias("cosine"))
 
 

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from hostweave.operators import vectors
+from hostweave.operators import neighbors
 from hostweave.plans import catalog
 from tests.oracle import compare, connect
 
@@ -55,5 +55,5 @@ def test_nearest_of_every_due_query(spark, small):
     for q in (i for i in unit if i % 50 == 0):
         near = sorted((-round(float(unit[q] @ v), 6), i) for i, v in unit.items() if i != q)[:5]
         want |= {(q, rank): i for rank, (_, i) in enumerate(near, 1)}
-    out = vectors.cosine_topk(emb, emb.where("id % 50 = 0"), 5, query_block=3, vector_block=100) if small else catalog.QUERIES["cosine_topk_all"](spark, SF)
+    out = neighbors.cosine_topk(emb, emb.where("id % 50 = 0"), 5, centres=9, block=20) if small else catalog.QUERIES["cosine_topk_all"](spark, SF)
     assert {(r["query_id"], r["rank"]): r["neighbor_id"] for r in out.collect()} == want and len(want) > 5 * 5

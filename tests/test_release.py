@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hostweave.functions import identity, suffixes
-from hostweave.operators import contract, releases, vectors
+from hostweave.operators import contract, neighbors, releases, vectors
 from hostweave.operators import graph as g
 from hostweave.sources import export, shardfiles, store
 
@@ -205,10 +205,50 @@ def test_ranking(spark):
     assert top["mrr"] == 1.0 == top["hits_1"]
     low = vectors.ranked(spark.createDataFrame([(0, 9, 0)], "eid long, src long, dst long"), emb, 10, 50).first()["rank"]
     assert low > 30
-    near = vectors.cosine_topk(emb, [3], 2).orderBy("rank").collect()
+    near = neighbors.cosine_topk(emb, [3], 2).orderBy("rank").collect()
     assert [r["neighbor_id"] for r in near] == [4, 5] or [r["neighbor_id"] for r in near] == [4, 2]
 
 
+def test_cells_are_skipped_and_nothing_is_missed(spark):
+    rng = np.random.default_rng(1)
+    centre = rng.normal(size=(20, 8))
+    x = centre[rng.integers(0, 20, 3000)] + rng.normal(size=(3000, 8)) * 0.05
+    x[:700] = x[0]  # copies, more than a block
+    x[700:703] = 0
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(x)] + [(5000, None)]
+    emb = spark.createDataFrame(rows, "id long, embedding array<float>")
+    found, told = neighbors.search(emb, emb.where("id % 50 = 0"), 4, block=128)
+    unit = np.array([np.array(v, dtype=np.float32) / np.float32(max(np.linalg.norm(np.array(v, dtype=np.float64)), 1e-30)) for _, v in rows[:-1]]).astype(np.float64)
+    got = {(r["query_id"], r["rank"]): (r["neighbor_id"], r["cosine"]) for r in found.collect()}
+    for q in range(0, 3000, 50):
+        score = np.round(unit @ unit[q], 6)
+        for rank in range(1, 5):
+            n, c = got.pop((q, rank))
+            assert n != q and abs(score[n] - c) < 2e-6
+            assert sorted(np.delete(score, q))[-rank] == pytest.approx(c, abs=2e-6)
+    assert not got
+    n = told.first()
+    assert (n["queries"], n["vectors"]) == (60, 3000) and n["compared"] < 0.4 * 60 * 2999
+    none = spark.createDataFrame([], "id long, embedding array<float>")
+    assert neighbors.cosine_topk(none, none, 3).count() == 0 and neighbors.cosine_topk(emb, none, 3).count() == 0
+
+
+def test_ranks_with_missing_vectors(spark):
+    rng = np.random.default_rng(2)
+    table = {i: rng.normal(size=6).astype(np.float32) for i in range(50) if i % 7}
+    emb = spark.createDataFrame([(i, v.tolist()) for i, v in table.items()], "id long, embedding array<float>")
+    edges = [(100 + i, i % 50, (i * 3 + 1) % 50) for i in range(80)]
+    want = {}
+    for eid, a, b in edges:
+        if a in table and b in table:
+            dot = lambda x: round(float(table[a].astype(float) @ table[x].astype(float)), 6)  # noqa: B023, E731
+            drawn = [((eid * 9 + k + 42) * 0x9E3779B97F4A7C15 % 2**64) % 50 for k in range(9)]
+            want[eid] = 1 + sum(x in table and dot(x) > dot(b) for x in drawn)
+    for batch in (7, 512):
+        out = vectors.ranked(spark.createDataFrame(edges, "eid long, src long, dst long"), emb, 50, 9, 42, batch=batch)
+        assert {r["eid"]: r["rank"] for r in out.collect()} == want
+
+
 def test_run_directory(spark, tmp_path):
     run = store.RunDirectory(str(tmp_path), "x")
     run.log_metrics(1, loss=np.float32(0.5))
