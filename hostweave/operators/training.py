@@ -2,17 +2,18 @@
 
 Ids fall into blocks by modulus; edges into buckets by the blocks of their two ends.
 An epoch goes through rounds of disjoint buckets (no block occurs twice in a round), and
-a round is one grouped Arrow job: a task gets a bucket's edges and its one or two blocks
-of vectors with Adam moments, takes sparse steps over mini-batches, and returns the
-blocks. State between rounds is a written table, so a lost executor costs one round and
-a stopped run resumes at the last epoch.
+a round is one Arrow job: a task gets a bucket's one or two blocks of vectors with Adam
+moments, takes sparse steps over mini-batches of the bucket's edges as they stream by, and
+returns the blocks. How many blocks there are follows from the table's size, unless it is
+configured. State between rounds is a written table, so a lost executor costs one round
+and a stopped run resumes at the last epoch.
 """
 
 from __future__ import annotations
 
 import json
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass
 from functools import reduce
 
@@ -22,7 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hostweave.functions.hashing import hash_mod
+from hostweave.operators.losses import initial_vectors
 from hostweave.operators.vectors import eval_mrr
+from hostweave.sources.scratch import remove
 
 
 @dataclass(frozen=True)
@@ -35,7 +38,7 @@ class Config:
     train_neg: int = 10
     neg_mode: str = "inbatch"
     eval_neg: int = 100
-    blocks: int = 4
+    blocks: int = 0
     seed: int = 42
     patience: int = 0
     max_edges: int = 0
@@ -62,22 +65,20 @@ def binary_loss(scores: np.ndarray, labels: np.ndarray) -> float:
     return float((softplus(scores) - labels * scores).mean())
 
 
-def initial(spark: SparkSession, num_nodes: int, config: Config) -> DataFrame:
-    """``(id, embedding, m, v)`` with normal entries of deviation 0.1, drawn by id."""
-    dim, seed = config.dim, config.seed
+STATE = "id long, embedding array<float>, m array<float>, v array<float>"
+#: Bytes of a vector's entry with both moments, and of the vectors that a task holds at most.
+ENTRY_BYTES, TASK_BYTES = 12, 512 << 20
 
-    def run(batches):
-        for b in batches:
-            ids = b.column(0).to_numpy()
-            rows = np.stack([np.random.default_rng((seed, int(i))).normal(0, 0.1, dim) for i in ids]).astype(np.float32)
-            zero = np.zeros_like(rows)
-            kind = pa.list_(pa.float32())
-            yield pa.record_batch([b.column(0), *(pa.array(list(x), kind) for x in (rows, zero, zero))], ["id", "embedding", "m", "v"])
 
-    return spark.range(num_nodes).mapInArrow(run, STATE)
+def block_count(num_nodes: int, config: Config) -> int:
+    """The configured number of blocks, or else as many as keep two of them within a task's bytes."""
+    return config.blocks or max(1, -(-2 * num_nodes * config.dim * ENTRY_BYTES // TASK_BYTES))
 
 
-STATE = "id long, embedding array<float>, m array<float>, v array<float>"
+def initial(spark: SparkSession, num_nodes: int, config: Config) -> DataFrame:
+    """``(id, embedding, m, v)``: the starting vectors, moments at zero."""
+    zero = F.array_repeat(F.lit(0.0).cast("float"), config.dim)
+    return initial_vectors(spark, num_nodes, config.dim, config.seed).select("id", "embedding", zero.alias("m"), zero.alias("v"))
 
 
 def rounds(blocks: int) -> list[list[tuple[int, int]]]:
@@ -96,99 +97,155 @@ def rounds(blocks: int) -> list[list[tuple[int, int]]]:
     return out
 
 
-def train_block(src: np.ndarray, dst: np.ndarray, table: np.ndarray, m: np.ndarray, v: np.ndarray, step: int, lr: float, config: Config, seed: int) -> tuple[int, float, int]:
-    """Sparse Adam over one bucket; changes the arrays and returns steps, loss and edges."""
-    rng = np.random.default_rng(seed)
-    order = rng.permutation(len(src))
-    total, seen = 0.0, 0
-    for at in range(0, len(order), config.batch):
-        rows = order[at : at + config.batch]
-        ends, local = np.unique(np.concatenate([src[rows], dst[rows]]), return_inverse=True)
-        a, b = local[: len(rows)], local[len(rows) :]
-        x = table[ends]
-        pool = len(ends) if config.neg_mode == "inbatch" else len(table)
-        drawn = rng.integers(0, pool, (len(rows), config.train_neg))
+class Block:
+    """The vectors of one bucket's blocks with Adam's moments, and the steps taken on them."""
+
+    def __init__(self, ids: np.ndarray, table: np.ndarray, m: np.ndarray, v: np.ndarray, step: int, lr: float, config: Config, seed: int) -> None:
+        self.ids, self.table, self.m, self.v, self.step, self.lr, self.config = ids, table, m, v, step, lr, config
+        self.rng, self.loss, self.seen = np.random.default_rng(seed), 0.0, 0
+
+    def take(self, src: np.ndarray, dst: np.ndarray) -> None:
+        """One sparse step over a mini-batch of edges."""
+        config, n = self.config, len(src)
+        ends, local = np.unique(np.searchsorted(self.ids, np.concatenate([src, dst])), return_inverse=True)
+        pool = len(ends) if config.neg_mode == "inbatch" else len(self.table)
+        drawn = self.rng.integers(0, pool, (n, config.train_neg))
+        a, b = local[:n], local[n:]
         if config.neg_mode != "inbatch":  # uniform over the task's nodes
             ends, back = np.unique(np.concatenate([ends, drawn.ravel()]), return_inverse=True)
             a, b, drawn = back[a], back[b], back[len(back) - drawn.size :].reshape(drawn.shape)
-            x = table[ends]
-        pos = np.einsum("ij,ij->i", x[a], x[b])
-        neg = np.einsum("ij,ikj->ik", x[a], x[drawn])
-        total += inbatch_loss(pos, neg) * len(rows)
-        seen += len(rows)
-        gp = -1 / (1 + np.exp(np.clip(pos, -30, 30))) / len(rows)
+        x = self.table[ends]
+        pos, neg = np.einsum("ij,ij->i", x[a], x[b]), np.einsum("ij,ikj->ik", x[a], x[drawn])
+        self.loss, self.seen, self.step = self.loss + inbatch_loss(pos, neg) * n, self.seen + n, self.step + 1
+        gp = -1 / (1 + np.exp(np.clip(pos, -30, 30))) / n
         gn = 1 / (1 + np.exp(-np.clip(neg, -30, 30))) / neg.size
         grad = np.zeros_like(x)
         np.add.at(grad, a, gp[:, None] * x[b] + np.einsum("ik,ikj->ij", gn, x[drawn]))
         np.add.at(grad, b, gp[:, None] * x[a])
         np.add.at(grad, drawn.ravel(), (gn[..., None] * x[a][:, None]).reshape(-1, x.shape[1]))
-        step += 1
-        m[ends] = 0.9 * m[ends] + 0.1 * grad
-        v[ends] = 0.999 * v[ends] + 0.001 * grad**2
-        table[ends] -= lr * (m[ends] / (1 - 0.9**step)) / (np.sqrt(v[ends] / (1 - 0.999**step)) + 1e-8)
-    return step, total, seen
+        self.m[ends] = 0.9 * self.m[ends] + 0.1 * grad
+        self.v[ends] = 0.999 * self.v[ends] + 0.001 * grad**2
+        self.table[ends] -= self.lr * (self.m[ends] / (1 - 0.9**self.step)) / (np.sqrt(self.v[ends] / (1 - 0.999**self.step)) + 1e-8)
+
 
+def _round(edges: DataFrame, state: DataFrame, pairs: list[tuple[int, int]], blocks: int, config: Config, lr: float, seed: int, step: int) -> DataFrame:
+    """The vectors of the given buckets' blocks after training on the buckets' edges.
 
-def _round(edges: DataFrame, state: DataFrame, pairs: list[tuple[int, int]], config: Config, lr: float, seed: int, step: int) -> DataFrame:
-    """The whole state after training the given buckets; other blocks pass through."""
-    blocks = config.blocks
+    A bucket's vectors come first in one sorted stream, and its edges, in a hashed order,
+    are taken batch by batch as they come; so a task holds two blocks of bounded size and
+    never a bucket's edges, however many a hub has.
+    """
     bucket_of = {b: i for i, pair in enumerate(pairs) for b in pair}
     named = F.create_map(*[F.lit(x) for kv in bucket_of.items() for x in kv])
     low, high = F.least(F.col("src") % blocks, F.col("dst") % blocks).cast("int"), F.greatest(F.col("src") % blocks, F.col("dst") % blocks).cast("int")
-    chosen = reduce(lambda a, b: a | b, [(low == a) & (high == b) for a, b in pairs])
-    use = edges.where(chosen).select("src", "dst", named[low].alias("bucket"))
-    tagged = state.withColumn("bucket", F.coalesce(F.try_element_at(named, (F.col("id") % blocks).cast("int")), -1 - (F.col("id") % blocks).cast("int")))
-
-    def run(edge: pa.Table, rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("id")
-        ids = rows.column("id").to_numpy()
-        stack = lambda n: np.stack(rows.column(n).to_numpy()).astype(np.float32) if len(ids) else np.zeros((0, config.dim), np.float32)
-        table, m, v = stack("embedding"), stack("m"), stack("v")
-        loss, seen, taken = 0.0, 0, step
-        if edge.num_rows and len(ids):
-            edge = edge.sort_by([("src", "ascending"), ("dst", "ascending")])
-            a, b = (np.searchsorted(ids, edge.column(c).to_numpy()) for c in ("src", "dst"))
-            taken, loss, seen = train_block(a, b, table, m, v, step, lr, config, seed)
-        kind = pa.list_(pa.float32())
-        extra = np.zeros(len(ids))
-        count = np.zeros(len(ids), dtype=np.int64)
-        if len(ids):
-            extra[0], count[0] = loss, seen
-        return pa.table({"id": ids, **{n: pa.array(list(x), kind) for n, x in (("embedding", table), ("m", m), ("v", v))}, "loss": extra, "n": count, "step": np.full(len(ids), taken, dtype=np.int64)})
-
-    return use.groupBy("bucket").cogroup(tagged.groupBy("bucket")).applyInArrow(run, STATE + ", loss double, n long, step long")
+    there = F.try_element_at(named, low)
+    chosen = (there == F.try_element_at(named, high)) & (F.element_at(F.array(*[F.lit(a != b) for a, b in pairs]), there + 1) == (low != high))
+    none, order = F.lit(None).cast("array<float>"), F.xxhash64(F.lit(seed), "src", "dst", "eid")
+    use = edges.where(chosen).select(there.alias("bucket"), F.lit(1).alias("side"), order.alias("mark"), F.col("src").alias("id"), "dst", none.alias("embedding"), none.alias("m"), none.alias("v"))
+    held = state.select(F.try_element_at(named, (F.col("id") % blocks).cast("int")).alias("bucket"), F.lit(0).alias("side"), F.col("id").alias("mark"), "id", F.lit(0).cast("long").alias("dst"), "embedding", "m", "v").where("bucket IS NOT NULL")
+    kind = pa.list_(pa.float32())
+
+    def out(block: Block) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(block.ids), 8192):
+            n = len(block.ids[i : i + 8192])
+            told = lambda x: pa.array(np.where(np.arange(n) == 0, x if i == 0 else 0, 0))  # noqa: B023, E731
+            rows = [pa.array(list(x[i : i + 8192]), kind) for x in (block.table, block.m, block.v)]
+            yield pa.record_batch([pa.array(block.ids[i : i + 8192]), *rows, told(float(block.loss)).cast(pa.float64()), told(block.seen).cast(pa.int64()), pa.array(np.full(n, block.step, dtype=np.int64))], ["id", "embedding", "m", "v", "loss", "n", "step"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts, block = None, [], None
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def whole() -> Block:
+            ids = np.concatenate([p.column("id").to_numpy() for p in parts])
+            stack = lambda c: np.concatenate([p.column(c).flatten().to_numpy() for p in parts]).reshape(len(ids), -1).astype(np.float32)
+            return Block(ids, stack("embedding"), stack("m"), stack("v"), step, lr, config, seed + int(now))
+
+        def steps(least: int) -> None:
+            src, dst = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            at = 0
+            while len(src) - at >= least and at < len(src):
+                block.take(src[at : at + config.batch], dst[at : at + config.batch])
+                at += config.batch
+            waiting[:] = [(src[at:], dst[at:])] if at < len(src) else []
+
+        def ended() -> Iterator[pa.RecordBatch]:
+            if now is not None and (block is not None or parts):
+                if waiting:
+                    steps(1)
+                yield from out(block if block is not None else whole())
+
+        for batch in batches:
+            key = np.stack([batch.column("bucket").to_numpy(), batch.column("side").to_numpy()], axis=1)
+            cuts = [0, *(np.flatnonzero((np.diff(key, axis=0) != 0).any(axis=1)) + 1).tolist(), len(key)]
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                if i == j:
+                    continue
+                some = batch.slice(i, j - i)
+                if key[i, 0] != now:
+                    yield from ended()
+                    now, parts, block, waiting = int(key[i, 0]), [], None, []
+                if key[i, 1] == 0:
+                    parts.append(some)
+                else:
+                    block = block or whole()
+                    parts = []
+                    waiting.append((some.column("id").to_numpy(), some.column("dst").to_numpy()))
+                    if sum(len(x) for x, _ in waiting) >= config.batch:
+                        steps(config.batch)
+        yield from ended()
+
+    rows = held.unionByName(use)
+    return rows.repartition("bucket").sortWithinPartitions("bucket", "side", "mark").mapInArrow(run, STATE + ", loss double, n long, step long")
 
 
 def train_embeddings(edges: DataFrame, num_nodes: int, config: Config, folder: str, validation: DataFrame | None = None, stop: Callable[[], bool] | None = None) -> tuple[DataFrame, list[dict]]:
     """Trains, keeps the best epoch by validation MRR, and returns it with the history.
 
     ``folder`` is a shared place; each epoch's table is written there before the pointer
-    file names it, and a call with the same folder goes on after the last one named.
+    file names it, and a call with the same folder goes on after the last one named. Rounds'
+    tables, each of the blocks that it trained, go once nothing reads them.
     """
-    spark = edges.sparkSession
+    spark, blocks = edges.sparkSession, block_count(num_nodes, config)
     used = edges if config.max_edges <= 0 else edges.where(F.col("eid") < config.max_edges)
     history = read_pointer(spark, folder)
     if history and history[-1]["config"] != asdict(config):
         raise ValueError("the folder holds a run of another configuration")
     if history:
-        state = spark.read.parquet(f"{folder}/epoch-{len(history)}")
+        state = spark.read.schema(STATE).parquet(f"{folder}/epoch-{len(history)}")
     else:
         initial(spark, num_nodes, config).write.mode("overwrite").parquet(f"{folder}/epoch-0")
-        state = spark.read.parquet(f"{folder}/epoch-0")
+        state = spark.read.schema(STATE).parquet(f"{folder}/epoch-0")
+    latest = dict.fromkeys(range(blocks), f"{folder}/epoch-{len(history)}")
+
+    def stored(where: dict[int, str]) -> DataFrame:
+        """Each block from the last table that a round wrote it to; a round writes its own blocks only."""
+        by_path: dict[str, list[int]] = {}
+        for block, path in where.items():
+            by_path.setdefault(path, []).append(block)
+        return reduce(DataFrame.unionByName, [spark.read.schema(STATE).parquet(path).where((F.col("id") % blocks).isin(own)) for path, own in by_path.items()])
+
     for epoch in range(len(history) + 1, config.epochs + 1):
         lr, loss, seen = learning_rate(config, epoch), 0.0, 0
         step = history[-1]["step"] if history else 0
-        for k, pairs in enumerate(rounds(config.blocks)):
-            out = _round(used, state, pairs, config, lr, config.seed + 1000 * epoch + k, step)
+        written: dict[str, None] = {}
+        for k, pairs in enumerate(rounds(blocks)):
             path = f"{folder}/epoch-{epoch}-round-{k}"
-            out.write.mode("overwrite").parquet(path)
-            done = spark.read.parquet(path)
+            _round(used, state, pairs, blocks, config, lr, config.seed + 1000 * epoch + k, step).write.mode("overwrite").parquet(path)
+            done = spark.read.schema(STATE + ", loss double, n long, step long").parquet(path)
             got = done.agg(F.sum("loss"), F.sum("n"), F.max("step")).first()
             step = max(step, got[2] or 0)  # Adam's bias correction goes on from the steps that were taken
             loss, seen = loss + (got[0] or 0.0), seen + (got[1] or 0)
-            state = done.select("id", "embedding", "m", "v")
+            latest |= {b: path for pair in pairs for b in pair}
+            written[path] = None
+            state = stored(latest)
+            for old in [p for p in written if p not in latest.values()]:
+                remove(spark, old)
+                del written[old]
         state.write.mode("overwrite").parquet(f"{folder}/epoch-{epoch}")
-        state = spark.read.parquet(f"{folder}/epoch-{epoch}")
+        state, latest = spark.read.schema(STATE).parquet(f"{folder}/epoch-{epoch}"), dict.fromkeys(range(blocks), f"{folder}/epoch-{epoch}")
+        for old in written:
+            remove(spark, old)
         entry = {"epoch": epoch, "lr": lr, "loss": loss / max(seen, 1), "step": step, "config": asdict(config)}
         if validation is not None:
             entry |= eval_mrr(validation, state.select("id", "embedding"), num_nodes, config.eval_neg, config.seed + epoch).first().asDict()

@@ -99,8 +99,3 @@ def ranking_metrics(ranks: DataFrame) -> DataFrame:
 def eval_mrr(positives: DataFrame, vectors: DataFrame, num_nodes: int, negatives: int = 100, seed: int = 42) -> DataFrame:
     """Mean reciprocal rank and hits at 1 and 10, one row."""
     return ranking_metrics(ranked(positives, vectors, num_nodes, negatives, seed))
-
-
-def weighted_loss(losses: DataFrame) -> DataFrame:
-    """Mean of ``loss`` weighted by ``n``."""
-    return losses.agg((F.sum(F.col("loss") * F.col("n")) / F.greatest(F.sum("n"), F.lit(1))).alias("loss"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hostweave.functions import hashing, identity, suffixes
-from hostweave.operators import contract, neighbors, releases, split, training, vectors
+from hostweave.operators import contract, losses, neighbors, releases, split, training, vectors
 from hostweave.operators import graph as g
 from hostweave.plans import derived
 from hostweave.plans.oracles import ORACLES
@@ -224,16 +224,44 @@ def shard_ranges(spark: SparkSession, d: str) -> DataFrame:
 
 
 def size_table(spark: SparkSession, d: str) -> DataFrame:
-    return contract.size_table(spark, contract.HOST_NODES).drop("vector_gib", "total_uncompressed_gib")
+    """Sizes of the derived graph's release."""
+    return contract.size_table(spark, derived.num_nodes(spark, d)).drop("vector_gib", "total_uncompressed_gib")
 
 
 def schema_fields(spark: SparkSession, d: str) -> DataFrame:
-    return contract.widths(spark).withColumnRenamed("place", "location")
+    """The contract's places with the bytes that the derived graph's nodes take in each."""
+    nodes = derived.num_nodes(spark, d)
+    return contract.widths(spark).withColumnRenamed("place", "location").withColumn("all_nodes", F.col("bytes") * nodes)
 
 
 def lr_schedule(spark: SparkSession, d: str) -> DataFrame:
-    config = training.Config(epochs=10)
-    return spark.createDataFrame([(e, round(training.learning_rate(config, e), 9)) for e in range(1, 11)], "epoch int, lr double")
+    """Learning rates of ten epochs over the derived training split, with the steps taken by the end of each."""
+    config, edges = training.Config(epochs=10), split.assigned(derived.edges(spark, d), SEED)
+    steps = edges.where("split = 'train'").agg(F.ceil(F.count("*") / BATCH).alias("steps"))
+    rates = [F.struct(F.lit(e).alias("epoch"), F.lit(round(training.learning_rate(config, e), 9)).alias("lr")) for e in range(1, 11)]
+    return steps.select("steps", F.explode(F.array(*rates)).alias("r")).select("r.epoch", "r.lr", (F.col("r.epoch") * F.col("steps")).alias("steps"))
+
+
+def _batch_losses(spark: SparkSession, d: str) -> DataFrame:
+    train = split.assigned(derived.edges(spark, d), SEED).where("split = 'train'")
+    table = losses.initial_vectors(spark, derived.num_nodes(spark, d), 8, SEED)
+    return losses.batch_losses(split.minibatches(train, BATCH, 1, SEED), table, 3, SEED)
+
+
+def batch_losses(spark: SparkSession, d: str) -> DataFrame:
+    """Losses of the starting vectors over the training split's mini-batches."""
+    return _batch_losses(spark, d).withColumn("loss", F.round("loss", 6))
+
+
+def epoch_loss(spark: SparkSession, d: str) -> DataFrame:
+    """The mean of those, weighted by edges."""
+    return losses.weighted_loss(_batch_losses(spark, d)).select(F.round("loss", 6).alias("loss"))
+
+
+def initial_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Every node's starting vector."""
+    rows = losses.initial_vectors(spark, derived.num_nodes(spark, d), 8, SEED)
+    return rows.select("id", F.posexplode("embedding").alias("place", "x")).select("id", "place", F.round(F.col("x").cast("double"), 5).alias("x"))
 
 
 def split_bucket_sql(spark: SparkSession, d: str) -> DataFrame:
@@ -251,7 +279,7 @@ def hash_top_bits(spark: SparkSession, d: str) -> DataFrame:
 def train_embeddings(spark: SparkSession, d: str) -> DataFrame:
     """Trains on the derived graph's training split; the final table's shape and its history."""
     parts = split.split_edges(derived.edges(spark, d), derived.num_nodes(spark, d), SEED, CAP)
-    config = training.Config(dim=16, epochs=2, blocks=2, batch=1024, eval_neg=20)
+    config = training.Config(dim=16, epochs=2, batch=1024, eval_neg=20)
     table, history = training.train_embeddings(parts.part("train"), parts.num_nodes, config, scratch.new_path(spark, "train"), parts.part("val"))
     rows = table.agg(F.count("*").alias("n_nodes"), F.max(F.size("embedding")).alias("dim"))
     return rows.withColumn("loss_fell", F.lit(history[-1]["loss"] < history[0]["loss"]))
@@ -319,7 +347,7 @@ QUERIES = {
         minibatch_local_index, uniform_negatives, host_keys, domain_keys, domain_keys_by_rules, domain_key_sql, suffix_records, host_records, cohort_counts, duplicate_keys, cross_release_index,
         state_counts, keys_reappeared, normalize_vectors, input_norms, cosine_topk, eval_ranks, eval_mrr, shard_ranges, size_table,
         graph_round_trip, split_round_trip, schema_fields, lr_schedule, split_bucket_sql, hash_top_bits, train_embeddings, export_shards,
-        shard_edges, shard_edges_lenient, shard_slice_names,
+        shard_edges, shard_edges_lenient, shard_slice_names, batch_losses, epoch_loss, initial_vectors,
     )
 }
 #: Earlier names of queries over whole tables.

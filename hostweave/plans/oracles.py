@@ -46,6 +46,18 @@ _RANKS = f"""{_E}, n AS (SELECT count(*) AS n FROM embeddings), pos AS (SELECT i
  scored AS (SELECT eid, u.v AS u, round({_DOT.format(a="u.v", b="w.v")}, 6) AS pos FROM pos JOIN e u ON src = u.id JOIN e w ON dst = w.id),
  neg AS (SELECT eid, u, pos, ({_hash("eid * 100 + k")} % (SELECT n FROM n))::BIGINT AS neg_id FROM scored, (SELECT unnest(range(0, 100)) AS k)),
  ranks AS (SELECT eid, (1 + sum((round({_DOT.format(a="u", b="w.v")}, 6) > pos)::BIGINT))::BIGINT AS rank FROM neg JOIN e w ON neg_id = w.id GROUP BY 1)"""
+_UNIFORM = "(('0x' || substr(md5('42:' || id || ':' || (j - 1)), {at}, 8))::BIGINT::DOUBLE + 0.5) / 4294967296"
+_START = f"""{_NODES}, j AS (SELECT unnest(range(1, 9)) AS j), entries AS (SELECT id, j, (sqrt(-2 * ln({_UNIFORM.format(at=1)})) * cos(2 * pi() * ({_UNIFORM.format(at=9)})) * 0.1::DOUBLE)::FLOAT AS x FROM nodes, j),
+ start AS (SELECT id, list(x::DOUBLE ORDER BY j) AS v FROM entries GROUP BY 1)"""
+_DOT8 = "list_sum(list_transform(range(1, 9), lambda i: {a}[i] * {b}[i]))"
+_SOFT = "greatest({x}, 0.0) + ln(1 + exp(-abs({x})))"
+_LOSSES = f"""{_SPLIT}, {_START}, q AS (SELECT eid, src, dst, row_number() OVER (ORDER BY {_hash('eid', 43)} % {1 << 39}, eid) - 1 AS p, count(*) OVER () AS m FROM parts WHERE split = 'train'),
+ b AS (SELECT p // 512 AS batch, eid, src, dst FROM q WHERE p // 512 < m // 512),
+ u AS (SELECT batch, id, row_number() OVER (PARTITION BY batch ORDER BY id) - 1 AS l, count(*) OVER (PARTITION BY batch) AS nodes FROM (SELECT batch, src AS id FROM b UNION SELECT batch, dst FROM b)),
+ w AS (SELECT b.batch, eid, s.v AS sv, {_DOT8.format(a='s.v', b='t.v')} AS pos FROM b JOIN start s ON src = s.id JOIN start t ON dst = t.id),
+ z AS (SELECT batch, eid, sv, ({_hash('eid * 3 + k')} % (SELECT any_value(nodes) FROM u WHERE u.batch = w.batch))::BIGINT AS l FROM w, (SELECT unnest(range(0, 3)) AS k)),
+ g AS (SELECT z.batch, {_DOT8.format(a='sv', b='v')} AS neg FROM z JOIN u ON z.batch = u.batch AND z.l = u.l JOIN start ON u.id = start.id),
+ losses AS (SELECT batch, count(*) AS n, avg({_SOFT.format(x='-pos')}) + (SELECT avg({_SOFT.format(x='neg')}) FROM g WHERE g.batch = w.batch) AS loss FROM w GROUP BY batch)"""
 
 ORACLES = {
     "degree_vector": f"WITH {_DEG} SELECT id, in_degree, out_degree, degree FROM deg",
@@ -104,9 +116,13 @@ ORACLES = {
     "shard_slice_names": f"WITH {_KEEP} SELECT orig_id, compact_id AS id, 'com.site' || (orig_id % 97) || '.H' || orig_id AS name FROM keep",
     "graph_round_trip": f"WITH {_EDGES} SELECT eid, src, dst FROM edges",
     "split_round_trip": f"WITH {_SPLIT}, k AS (SELECT eid, split FROM parts WHERE split = 'train' OR (split = 'test' AND ({_hash('eid', 49)} // 1099511627776)::DOUBLE / 16777216 < {_FRAC}) OR (split = 'val' AND ({_hash('eid', 53)} // 1099511627776)::DOUBLE / 16777216 < {_FRAC})) SELECT eid, split, CASE WHEN split = 'train' THEN row_number() OVER (PARTITION BY split ORDER BY eid) - 1 END AS train_ordinal FROM k",
-    "size_table": "WITH d AS (SELECT unnest([64, 128, 256]) AS dim), p AS (SELECT unnest(['fp32', 'fp16', 'int8']) AS precision, unnest([4, 2, 1]) AS b, unnest([0.95, 0.95, 0.7]::DOUBLE[]) AS c), s AS (SELECT 262351908::BIGINT AS n, dim, precision, 262351908::BIGINT * dim * b AS v, 262351908::BIGINT * 48 AS m, c FROM d, p) SELECT n AS num_nodes, dim::INTEGER AS dim, precision, v AS vector_bytes, m AS metadata_bytes, v + m AS total_uncompressed, round(v * c + m * 0.45::DOUBLE)::BIGINT AS total_compressed FROM s",
-    "schema_fields": "SELECT * FROM (VALUES ('header', 3::BIGINT, 0::BIGINT), ('row_default', 11, 24), ('row_sidecar', 4, 8)) x(location, n, bytes)",
-    "lr_schedule": "SELECT e::INTEGER AS epoch, round(0.0001 + (0.01 - 0.0001)::DOUBLE * (1 + cos(pi() * (e - 1) / 10)) / 2, 9) AS lr FROM (SELECT unnest(range(1, 11)) AS e)",
+    "size_table": f"WITH n AS (SELECT {_N} AS n), d AS (SELECT unnest([64, 128, 256]) AS dim), p AS (SELECT unnest(['fp32', 'fp16', 'int8']) AS precision, unnest([4, 2, 1]) AS b, unnest([0.95, 0.95, 0.7]::DOUBLE[]) AS c), s AS (SELECT n::BIGINT AS n, dim, precision, n::BIGINT * dim * b AS v, n::BIGINT * 48 AS m, c FROM n, d, p) SELECT n AS num_nodes, dim::INTEGER AS dim, precision, v AS vector_bytes, m AS metadata_bytes, v + m AS total_uncompressed, round(v * c + m * 0.45::DOUBLE)::BIGINT AS total_compressed FROM s",
+    "schema_fields": f"SELECT location, n, bytes, (bytes * ({_N}))::BIGINT AS all_nodes FROM (VALUES ('header', 3::BIGINT, 0::BIGINT), ('row_default', 11, 24), ('row_sidecar', 4, 8)) x(location, n, bytes)",
+    "lr_schedule": f"WITH {_SPLIT} SELECT e::INTEGER AS epoch, round(0.0001 + (0.01 - 0.0001)::DOUBLE * (1 + cos(pi() * (e - 1) / 10)) / 2, 9) AS lr, (e * ceil((SELECT count(*) FROM parts WHERE split = 'train') / 512))::BIGINT AS steps FROM (SELECT unnest(range(1, 11)) AS e)",
+    "batch_losses": f"WITH {_LOSSES} SELECT batch, n, round(loss, 6) AS loss FROM losses",
+    "epoch_loss": f"WITH {_LOSSES} SELECT round(sum(loss * n) / greatest(sum(n), 1), 6) AS loss FROM losses",
+    "initial_vectors": f"WITH {_EDGES}, {_START} SELECT id, (j - 1)::INTEGER AS place, round(x::DOUBLE, 5) AS x FROM entries",
+    "train_embeddings": f"SELECT {_N} AS n_nodes, 16 AS dim, true AS loss_fell",
     "split_bucket_sql": f"WITH {_SPLIT} SELECT bucket, count(*) AS n FROM parts GROUP BY 1",
     "hash_top_bits": f"SELECT eid, ({_hash('eid')} // 1099511627776)::BIGINT AS top24, ({_hash('eid')} % 10)::INTEGER AS bucket FROM (SELECT 13070000000 + unnest(range(0, (SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey))) AS eid)",
 }

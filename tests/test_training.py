@@ -1,6 +1,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from hostweave.operators import losses
 from hostweave.operators import training as t
 from hostweave.streaming import degrees as streaming
 
@@ -18,6 +19,41 @@ def test_losses_and_schedule():
     assert t.learning_rate(config, 1) == 0.1 and t.learning_rate(config, 4) < 0.03
 
 
+def test_blocks_follow_from_the_size():
+    assert t.block_count(1000, t.Config(dim=16)) == 1 and t.block_count(1000, t.Config(blocks=3)) == 3
+    n = t.block_count(279_000_000, t.Config(dim=128))
+    assert n > 500 and 2 * 279_000_000 * 128 * 12 / n <= t.TASK_BYTES
+
+
+def test_weighted_loss(spark):
+    rows = spark.createDataFrame([(1, 0.5), (3, 1.5), (0, 9.0)], "n long, loss double")
+    assert losses.weighted_loss(rows).first()["loss"] == 1.25
+    assert losses.weighted_loss(rows.where("n = 0")).first()["loss"] == 0.0
+
+
+def test_starting_vectors_are_normal(spark):
+    x = np.array([r["embedding"] for r in losses.initial_vectors(spark, 4000, 8).collect()]) / 0.1
+    assert abs(x.mean()) < 0.03 and abs(x.std() - 1) < 0.02 and 0.64 < (np.abs(x) < 1).mean() < 0.72
+    assert np.abs(np.corrcoef(x.T) - np.eye(8)).max() < 0.08
+
+
+def test_a_task_streams_its_edges(spark):
+    """All edges of a bucket are seen once, in batches, whatever way they come in."""
+    rng = np.random.default_rng(3)
+    edges = spark.createDataFrame([(i, int(a), int(b)) for i, (a, b) in enumerate(rng.integers(0, 40, (500, 2)))], "eid long, src long, dst long")
+    config = t.Config(dim=4, batch=64, train_neg=2)
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    seen = {}
+    for records in (7, 10_000):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+        out = t._round(edges, t.initial(spark, 40, config), [(0, 2), (1, 1)], 3, config, 0.1, 1, 0).collect()
+        seen[records] = sorted((r["id"], tuple(r["embedding"])) for r in out)
+        inside = edges.where("(src % 3 <> 1 AND dst % 3 <> 1 AND src % 3 <> dst % 3) OR (src % 3 = 1 AND dst % 3 = 1)").count()
+        assert sum(r["n"] for r in out) == inside and len(out) == 40 and 0 < inside < 500
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+    assert seen[7] == seen[10_000]
+
+
 def test_planted_communities_are_learnt_and_resumed(spark, tmp_path):
     rng = np.random.default_rng(0)
     pairs = [(int(a), int(b)) for c in range(8) for a, b in rng.integers(0, 25, (150, 2)) + 25 * c]
