@@ -23,11 +23,14 @@ class HostGraph:
 
     ``nodes(id, name, ...)`` is optional and may carry further columns (features), which
     every operator that keeps the node set hands on. Duplicate edges and self-loops count.
+    ``by_dst`` is optional too: the same edges stored by target, where ``edges`` are stored by
+    source, so that what is counted by node is counted where it lies.
     """
 
     edges: DataFrame
     num_nodes: int
     nodes: DataFrame | None = None
+    by_dst: DataFrame | None = None
 
     @classmethod
     def from_edges(cls, edges: DataFrame, num_nodes: int | None = None, nodes: DataFrame | None = None) -> HostGraph:
@@ -50,7 +53,7 @@ class HostGraph:
         return self.edges.count()
 
     def degrees(self) -> DataFrame:
-        return degrees(self.edges, self.ids())
+        return degrees(self.edges, self.ids()) if self.by_dst is None else stored_degrees(self.edges, self.by_dst, self.ids())
 
     def out_neighbors(self, node: int) -> DataFrame:
         return self.edges.where(F.col("src") == node).select("eid", F.col("dst").alias("neighbor")).orderBy("eid")
@@ -133,6 +136,15 @@ def degrees(edges: DataFrame, ids: DataFrame) -> DataFrame:
     return out.select("id", (F.col("degree") - F.col("out_degree")).alias("in_degree"), "out_degree", "degree")
 
 
+def stored_degrees(by_src: DataFrame, by_dst: DataFrame, ids: DataFrame) -> DataFrame:
+    """The same from edges stored by either end: each is counted in its bucket, and only ids are exchanged."""
+    out = by_src.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("out_degree"))
+    into = by_dst.groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("in_degree"))
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    both = ids.join(out, "id", "left").join(into, "id", "left").select("id", zero("in_degree").alias("in_degree"), zero("out_degree").alias("out_degree"))
+    return both.withColumn("degree", F.col("in_degree") + F.col("out_degree"))
+
+
 def totals(degree: DataFrame) -> DataFrame:
     """One row: nodes, edges, dangling nodes (isolated ones included), mean degree."""
     dangling = F.sum((F.col("out_degree") == 0).cast("long"))

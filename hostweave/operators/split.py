@@ -65,6 +65,12 @@ def worker_slices(split: Split, world: int, train_total: int | None = None) -> D
     return split.part("train").withColumn("rank", slice_of(F.col("train_ordinal"), total, world))
 
 
+def worker_slice(split: Split, world: int, rank: int, train_total: int | None = None) -> DataFrame:
+    """One worker's contiguous slice, as a range of ordinals that the scan of a stored split prunes by."""
+    total = split.part("train").count() if train_total is None else train_total
+    return split.part("train").where((F.col("train_ordinal") >= total * rank // world) & (F.col("train_ordinal") < total * (rank + 1) // world))
+
+
 #: Bits of a hash by which one pass of a selection tells groups apart, and bits of the hash.
 STEP, MARK = 13, 39
 

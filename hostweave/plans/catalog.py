@@ -306,6 +306,20 @@ def graph_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return store.load_graph(spark, folder).edges
 
 
+def stored_degrees(spark: SparkSession, d: str) -> DataFrame:
+    """Degrees over the derived graph as it is stored by both ends."""
+    folder = scratch.new_path(spark, "buckets")
+    store.save_graph(derived.graph(spark, d), folder, buckets=8)
+    return store.load_graph(spark, folder).degrees()
+
+
+def worker_slice(spark: SparkSession, d: str) -> DataFrame:
+    """The third of four workers' edges, by a range of ordinals of the stored split."""
+    folder = scratch.new_path(spark, "split")
+    store.save_split(split.split_edges(derived.edges(spark, d), derived.num_nodes(spark, d), SEED, CAP), folder)
+    return split.worker_slice(store.load_split(spark, folder), WORLD, 2).select("eid", "train_ordinal")
+
+
 def split_round_trip(spark: SparkSession, d: str) -> DataFrame:
     """Splits and training ordinals as they are read from where they were stored."""
     folder = scratch.new_path(spark, "split")
@@ -346,7 +360,7 @@ QUERIES = {
         induced_prefix, split_assignment, split_counts, split_eval_subsample, subsample_exact, permutation_split, train_stripes, train_slices,
         minibatch_local_index, uniform_negatives, host_keys, domain_keys, domain_keys_by_rules, domain_key_sql, suffix_records, host_records, cohort_counts, duplicate_keys, cross_release_index,
         state_counts, keys_reappeared, normalize_vectors, input_norms, cosine_topk, eval_ranks, eval_mrr, shard_ranges, size_table,
-        graph_round_trip, split_round_trip, schema_fields, lr_schedule, split_bucket_sql, hash_top_bits, train_embeddings, export_shards,
+        graph_round_trip, split_round_trip, stored_degrees, worker_slice, schema_fields, lr_schedule, split_bucket_sql, hash_top_bits, train_embeddings, export_shards,
         shard_edges, shard_edges_lenient, shard_slice_names, batch_losses, epoch_loss, initial_vectors,
     )
 }

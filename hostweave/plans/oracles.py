@@ -115,6 +115,8 @@ ORACLES = {
     "shard_edges_lenient": f"WITH {_EDGES} SELECT eid, src, dst FROM edges WHERE eid < 1000",
     "shard_slice_names": f"WITH {_KEEP} SELECT orig_id, compact_id AS id, 'com.site' || (orig_id % 97) || '.H' || orig_id AS name FROM keep",
     "graph_round_trip": f"WITH {_EDGES} SELECT eid, src, dst FROM edges",
+    "stored_degrees": f"WITH {_DEG} SELECT id, in_degree, out_degree, degree FROM deg",
+    "worker_slice": f"WITH {_TRAIN} SELECT eid, o AS train_ordinal FROM train WHERE o >= n * 2 // 4 AND o < n * 3 // 4",
     "split_round_trip": f"WITH {_SPLIT}, k AS (SELECT eid, split FROM parts WHERE split = 'train' OR (split = 'test' AND ({_hash('eid', 49)} // 1099511627776)::DOUBLE / 16777216 < {_FRAC}) OR (split = 'val' AND ({_hash('eid', 53)} // 1099511627776)::DOUBLE / 16777216 < {_FRAC})) SELECT eid, split, CASE WHEN split = 'train' THEN row_number() OVER (PARTITION BY split ORDER BY eid) - 1 END AS train_ordinal FROM k",
     "size_table": f"WITH n AS (SELECT {_N} AS n), d AS (SELECT unnest([64, 128, 256]) AS dim), p AS (SELECT unnest(['fp32', 'fp16', 'int8']) AS precision, unnest([4, 2, 1]) AS b, unnest([0.95, 0.95, 0.7]::DOUBLE[]) AS c), s AS (SELECT n::BIGINT AS n, dim, precision, n::BIGINT * dim * b AS v, n::BIGINT * 48 AS m, c FROM n, d, p) SELECT n AS num_nodes, dim::INTEGER AS dim, precision, v AS vector_bytes, m AS metadata_bytes, v + m AS total_uncompressed, round(v * c + m * 0.45::DOUBLE)::BIGINT AS total_compressed FROM s",
     "schema_fields": f"SELECT location, n, bytes, (bytes * ({_N}))::BIGINT AS all_nodes FROM (VALUES ('header', 3::BIGINT, 0::BIGINT), ('row_default', 11, 24), ('row_sidecar', 4, 8)) x(location, n, bytes)",

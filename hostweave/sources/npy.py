@@ -1,32 +1,41 @@
-"""Matrices in ``.npy`` files as a Spark data source, read in ranges of rows."""
+"""Matrices in ``.npy`` files as a Spark data source, read in ranges of rows from any store that Arrow opens."""
 
 from __future__ import annotations
 
 import ast
 import struct
 from collections.abc import Iterator
+from dataclasses import dataclass
 
+import pyarrow.fs as pafs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
 
-def header(path: str) -> tuple[str, tuple[int, ...], int]:
-    """Type, shape and the data's offset."""
-    with open(path, "rb") as f:
+@dataclass(frozen=True)
+class Header:
+    kind: str
+    shape: tuple[int, ...]
+    by_column: bool
+    start: int
+
+
+def header(path: str) -> Header:
+    """Type, shape and order of the matrix, and where its data begins."""
+    store, place = pafs.FileSystem.from_uri(path)
+    with store.open_input_file(place) as f:
         if f.read(6) != b"\x93NUMPY":
             raise ValueError(f"{path} is no .npy file")
         major = f.read(2)[0]
         size = struct.unpack("<H" if major == 1 else "<I", f.read(2 if major == 1 else 4))[0]
         found = ast.literal_eval(f.read(size).decode("latin1"))
-        if found["fortran_order"]:
-            raise ValueError(f"{path} is in column order")
-        return found["descr"], tuple(found["shape"]), f.tell()
+        return Header(found["descr"], tuple(found["shape"]), found["fortran_order"], f.tell())
 
 
 class NpySource(DataSource):
-    """``format("npy")``: ``(id, embedding)`` of a two-dimensional matrix.
+    """``format("npy")``: ``(id, embedding)`` of a two-dimensional matrix, stored by row or by column.
 
-    Options: ``path`` (a file that all executors see), ``rows`` a partition.
+    Options: ``path`` (in a store that all executors reach), ``rows`` a partition.
     """
 
     @classmethod
@@ -48,7 +57,7 @@ class Rows(InputPartition):
 class NpyReader(DataSourceReader):
     def __init__(self, path: str, rows: int) -> None:
         self.path, self.rows = path, rows
-        _, shape, _ = header(path)
+        shape = header(path).shape
         if len(shape) != 2:
             raise ValueError(f"a two-dimensional matrix is needed, not {len(shape)} dimensions")
         self.n = shape[0]
@@ -60,10 +69,18 @@ class NpyReader(DataSourceReader):
         import numpy as np
         import pyarrow as pa
 
-        kind, shape, at = header(self.path)
-        matrix = np.memmap(self.path, dtype=kind, mode="r", offset=at, shape=shape)
-        for a in range(partition.start, partition.end, 8192):
-            b = min(partition.end, a + 8192)
-            flat = pa.array(np.asarray(matrix[a:b], dtype=np.float32).ravel())
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (b - a) * shape[1] + 1, shape[1], dtype=np.int32)), flat)
-            yield pa.record_batch([pa.array(np.arange(a, b)), lists], ["id", "embedding"])
+        told = header(self.path)
+        (n, dim), kind = told.shape, np.dtype(told.kind)
+        store, place = pafs.FileSystem.from_uri(self.path)
+        with store.open_input_file(place) as f:
+
+            def values(first: int, count: int) -> np.ndarray:
+                f.seek(told.start + first * kind.itemsize)
+                return np.frombuffer(f.read(count * kind.itemsize), dtype=kind)
+
+            for a in range(partition.start, partition.end, 8192):
+                b = min(partition.end, a + 8192)
+                rows = np.stack([values(j * n + a, b - a) for j in range(dim)], axis=1) if told.by_column else values(a * dim, (b - a) * dim)
+                flat = pa.array(np.ascontiguousarray(rows, dtype=np.float32).ravel())
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(0, (b - a) * dim + 1, dim, dtype=np.int32)), flat)
+                yield pa.record_batch([pa.array(np.arange(a, b)), lists], ["id", "embedding"])

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import time
+import uuid
 from collections.abc import Callable
-from pathlib import Path
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,13 +51,38 @@ def cached_table(spark: SparkSession, path: str, make: Callable[[], DataFrame])
     return spark.read.parquet(path)
 
 
-def save_graph(graph: HostGraph, folder: str, **provenance: Any) -> dict:
-    """``edges``, ``nodes`` (where there are any) and ``meta.json``; edges stay in ordinal order within files."""
+#: The columns by which a bucketed graph's two tables of edges are dealt.
+ENDS = ("src", "dst")
+
+
+def _bucketed(spark: SparkSession, folder: str, key: str, buckets: int) -> DataFrame:
+    """The stored edges by one end, as a table whose buckets the planner knows."""
+    name = f"hw_graph_{hashlib.md5(folder.encode()).hexdigest()}_{key}"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} (eid BIGINT, src BIGINT, dst BIGINT) USING parquet CLUSTERED BY ({key}) SORTED BY (eid) INTO {buckets} BUCKETS LOCATION '{folder}/edges-by-{key}'")
+    return spark.table(name)
+
+
+def save_graph(graph: HostGraph, folder: str, buckets: int = 0, **provenance: Any) -> dict:
+    """Edges, ``nodes`` (where there are any) and ``meta.json``.
+
+    Edges are one table in ranges of ordinals; or, with ``buckets``, two tables dealt by
+    source and by target, each sorted by ordinal, over which degrees and neighbour lists
+    need no exchange of edges.
+    """
     spark = graph.edges.sparkSession
-    graph.edges.repartitionByRange("eid").sortWithinPartitions("eid").write.mode("overwrite").parquet(f"{folder}/edges")
+    if buckets:
+        for key in ENDS:
+            name = f"hw_save_{uuid.uuid4().hex}"
+            rows = graph.edges.select("eid", "src", "dst").repartition(buckets, key)  # a task writes one bucket
+            rows.write.format("parquet").mode("overwrite").bucketBy(buckets, key).sortBy("eid").option("path", f"{folder}/edges-by-{key}").saveAsTable(name)
+            spark.sql(f"DROP TABLE {name}")  # its files stay
+    else:
+        graph.edges.repartitionByRange("eid").sortWithinPartitions("eid").write.mode("overwrite").parquet(f"{folder}/edges")
     if graph.nodes is not None:
         graph.nodes.repartitionByRange("id").sortWithinPartitions("id").write.mode("overwrite").parquet(f"{folder}/nodes")
-    meta = {"num_nodes": graph.num_nodes, "num_edges": spark.read.parquet(f"{folder}/edges").count(), "has_nodes": graph.nodes is not None, **provenance}
+    stored = spark.read.parquet(f"{folder}/edges-by-src" if buckets else f"{folder}/edges")
+    meta = {"num_nodes": graph.num_nodes, "num_edges": stored.count(), "has_nodes": graph.nodes is not None, "buckets": buckets, **provenance}
     write_document(spark, f"{folder}/meta.json", meta)
     return meta
 
@@ -64,13 +90,21 @@ def save_graph(graph: HostGraph, folder: str, **provenance: Any) -> dict:
 def load_graph(spark: SparkSession, folder: str) -> HostGraph:
     meta = read_document(spark, f"{folder}/meta.json")
     nodes = spark.read.parquet(f"{folder}/nodes") if meta["has_nodes"] else None
+    if meta.get("buckets"):
+        by_src, by_dst = (_bucketed(spark, folder, key, meta["buckets"]) for key in ENDS)
+        return HostGraph(by_src, meta["num_nodes"], nodes, by_dst)
     return HostGraph(spark.read.parquet(f"{folder}/edges"), meta["num_nodes"], nodes)
 
 
 def save_split(split: Split, folder: str) -> dict:
-    """Edges in one folder per split, so that readers prune, and ``split_meta.json``."""
+    """Edges in one folder per split, so that readers prune, and ``split_meta.json``.
+
+    Training edges lie in order of their ordinals, over files and within them, so a worker
+    that asks for its slice reads the row groups that hold it.
+    """
     spark = split.edges.sparkSession
-    split.edges.write.mode("overwrite").partitionBy("split").parquet(f"{folder}/edges")
+    order = ["split", "train_ordinal", "eid"]
+    split.edges.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("split").parquet(f"{folder}/edges")
     stored = Split(spark.read.parquet(f"{folder}/edges"), split.num_nodes, split.num_edges, split.seed, split.eval_edges)
     meta = stored.meta()
     write_document(spark, f"{folder}/split_meta.json", meta)
@@ -100,19 +134,23 @@ def write_embeddings(vectors: DataFrame, folder: str) -> None:
 
 
 class RunDirectory:
-    """A dated folder on the driver with a metric log and a pointer to the last run."""
+    """A dated folder, in any store that Spark writes to, with a log of metrics and a pointer to the last run.
+
+    An entry of the log is a document of its own, so nothing is ever appended to.
+    """
 
     def __init__(self, root: str, name: str) -> None:
-        self.root = Path(root)
-        self.path = self.root / f"{time.strftime('%Y%m%d-%H%M%S')}-{name}"
-        self.path.mkdir(parents=True, exist_ok=True)
+        self.spark = SparkSession.active()
+        self.root = root.rstrip("/") if ":" in root else f"file://{root.rstrip('/')}"
+        self.name = f"{time.strftime('%Y%m%d-%H%M%S')}-{name}"
+        self.path, self.entries = f"{self.root}/{self.name}", 0
 
     def log_metrics(self, step: int, **values: Any) -> None:
-        with (self.path / "metrics.jsonl").open("a") as f:
-            f.write(json.dumps(jsonable({"step": step, "wall_time": time.time(), **values})) + "\n")
+        self.entries += 1
+        write_document(self.spark, f"{self.path}/metrics/{self.entries:06d}.json", {"step": step, "wall_time": time.time(), **values})
 
     def read_metrics(self, spark: SparkSession) -> DataFrame:
-        return spark.read.json(f"file://{self.path.resolve()}/metrics.jsonl").orderBy(F.col("step"))
+        return spark.read.option("multiLine", True).json(f"{self.path}/metrics").orderBy(F.col("step"))
 
     def mark_last(self) -> None:
-        (self.root / "LAST").write_text(self.path.name + "\n")
+        write_document(self.spark, f"{self.root}/LAST", {"run": self.name})

@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hostweave.operators import graph as g
+from hostweave.operators import packed
 from hostweave.operators.ordinals import with_ordinal
 from hostweave.sources import npy, shards, store
 
@@ -121,5 +122,71 @@ def test_npy_source(spark, tmp_path):
     spark.dataSource.register(npy.NpySource)
     got = spark.read.format("npy").option("path", str(tmp_path / "m.npy")).option("rows", 2).load().orderBy("id").collect()
     assert [list(r["embedding"]) for r in got] == matrix.tolist()
+    np.save(tmp_path / "f.npy", np.asfortranarray(matrix))
+    got = spark.read.format("npy").option("path", f"file://{tmp_path}/f.npy").option("rows", 2).load().orderBy("id").collect()
+    assert [list(r["embedding"]) for r in got] == matrix.tolist()
     with pytest.raises(Exception, match="two-dimensional"):
         spark.read.format("npy").option("path", str(tmp_path / "v.npy")).load().collect()
+
+
+def test_buckets_spare_the_edges_exchange(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    rows = spark.createDataFrame([(i, int(a), int(b)) for i, (a, b) in enumerate(rng.integers(0, 60, (900, 2)))], "eid long, src long, dst long")
+    graph = g.HostGraph(rows, 61)
+    store.save_graph(graph, f"file://{tmp_path}/g", buckets=5)
+    again = store.load_graph(spark, f"file://{tmp_path}/g")
+    out = again.degrees()
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, graph.degrees().collect()))
+    assert again.edges.exceptAll(rows).count() == 0 == rows.exceptAll(again.edges).count()
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = again.degrees()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+    assert plan.count("Exchange") == 1 and plan.count("Bucketed: true") == 2 and plan.split("Exchange")[1].split("+- ")[1].startswith("Range"), plan
+
+
+@pytest.mark.parametrize("bound", [3, 7, 10_000])
+def test_a_hub_is_many_rows(spark, bound):
+    rng = np.random.default_rng(6)
+    pairs = [(4, int(x)) for x in rng.integers(0, 50, 400)] + [(int(a), int(b)) for a, b in rng.integers(0, 50, (100, 2))]
+    order = rng.permutation(len(pairs))
+    graph = g.HostGraph(spark.createDataFrame([(i, *pairs[k]) for i, k in enumerate(order.tolist())], "eid long, src long, dst long"), 52)
+    for outgoing in (True, False):
+        whole = {r["id"]: (r["offset"], r["neighbors"]) for r in graph.adjacency(outgoing).collect()}
+        rows = sorted(graph.adjacency_chunks(outgoing, bound).collect(), key=lambda r: r["offset"])
+        assert max(len(r["neighbors"]) for r in rows) <= bound
+        joined = {}
+        for r in rows:
+            at, so_far = joined.setdefault(r["id"], (r["offset"], []))
+            assert at + len(so_far) == r["offset"]
+            so_far += r["neighbors"]
+        assert joined == {i: (at, x) for i, (at, x) in whole.items() if x}
+        assert {r["id"]: (r["offset"], r["n"]) for r in graph.adjacency_offsets(outgoing).collect()} == {i: (at, len(x)) for i, (at, x) in whole.items()}
+
+
+def test_packed_sets_and_classes(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    ids = sorted({0, 1, 63, 64, 32767, 32768, 99_999, *rng.integers(0, 100_000, 3000).tolist()})
+    bits = packed.packed_set(spark.createDataFrame([(i,) for i in ids], "id long"))
+    every = spark.range(100_000).join(bits, packed.bucket_of(F.col("id")) == bits["bucket"]).select("id", packed.rank_in(F.col("id"), bits["start"], bits["words"], bits["ranks"]).alias("rank")).where("rank IS NOT NULL")
+    assert sorted(map(tuple, every.collect())) == [(i, k) for k, i in enumerate(ids)]
+    classes = packed.packed_classes(spark.range(70_000).select("id", (F.col("id") * 7 % 16).cast("int").alias("at")))
+    got = spark.range(70_000).join(classes, packed.bucket_of(F.col("id")) == classes["bucket"]).select("id", packed.class_in(F.col("id"), classes["words"]).alias("at"))
+    assert got.count() == 70_000 and got.where("at <> id * 7 % 16").count() == 0
+
+
+def test_slices_and_ladders_are_the_same_beyond_what_fits(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    pairs = [(0, int(x)) for x in rng.integers(0, 200, 300)] + [(int(a), int(b)) for a, b in rng.integers(0, 200, (600, 2))]  # a hub
+    graph = g.HostGraph(spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "eid long, src long, dst long"), 40_000)
+    out = {}
+    for limit in (packed.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(packed, "BROADCAST_BYTES", limit)
+        part, ids = g.min_degree_slice(graph, 8)
+        out[limit] = [sorted(map(tuple, x.collect())) for x in (part.edges, ids, g.retention_ladder(graph.degrees(), graph.edges))]
+        if limit:
+            plan = part.edges._jdf.queryExecution().executedPlan().toString()
+            assert "Exchange hashpartitioning" not in plan and plan.split("Initial Plan")[0].count("BroadcastHashJoin") == 2
+    assert out[0] == out[256 << 20] and len(out[0][0]) > 50

@@ -255,3 +255,4 @@ def test_run_directory(spark, tmp_path):
     run.log_metrics(2, loss=0.25, rows=np.arange(2))
     run.mark_last()
     assert [r["loss"] for r in run.read_metrics(spark).collect()] == [0.5, 0.25]
+    assert store.read_document(spark, f"file://{tmp_path}/LAST") == {"run": run.name}

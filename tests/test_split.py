@@ -39,6 +39,30 @@ def test_stripes_slices_and_store(spark, tmp_path):
     assert store.load_split(spark, f"file://{tmp_path}/split").part("val").count() == meta["val_count"]
 
 
+def test_a_worker_reads_its_slice(spark, tmp_path):
+    store.save_split(split.split_edges(identity(spark, 5000), 5000, eval_edges=0), f"file://{tmp_path}/s")
+    stored = store.load_split(spark, f"file://{tmp_path}/s")
+    total, got = stored.part("train").count(), []
+    for rank in range(3):
+        rows = split.worker_slice(stored, 3, rank)
+        assert "GreaterThanOrEqual(train_ordinal" in rows._jdf.queryExecution().executedPlan().toString()
+        got.append([r["train_ordinal"] for r in rows.collect()])
+    assert sorted(sum(got, [])) == list(range(total)) and [min(x) for x in got] == [0, total // 3, total * 2 // 3]
+
+
+@pytest.mark.parametrize("step", [1, 3, 13])
+def test_selection_by_refined_counts(spark, monkeypatch, step):
+    """Ids that share a hash (they lie 2 ** 39 apart) are taken by id; no exchange gathers the sample."""
+    monkeypatch.setattr(split, "STEP", step)
+    ids = [i + (k << 39) for i in range(60) for k in range(i % 4 + 1)]
+    edges = spark.createDataFrame([(i, i, i) for i in ids], "eid long, src long, dst long")
+    order = sorted(ids, key=lambda i: ((i + 42) * hashing.MULTIPLIER % 2**39, i))
+    for cap in (1, 2, 3, 50, 51, 52, len(ids) - 1, len(ids), len(ids) + 5):
+        out = split.subsample(edges, cap)
+        assert sorted(r["eid"] for r in out.collect()) == sorted(order[:cap])
+        assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_bounded_and_subsampled(spark):
     edges = identity(spark, 20_000)
     kept = split.bounded(split.assigned(edges), 20_000, cap=200)
