@@ -147,6 +147,20 @@ def test_network_and_redaction(spark, docs):
     assert secrets.findings(odd.limit(0), secrets.train(odd.limit(0))).count() == 0
 
 
+def test_numbers_and_prose_are_no_secrets_and_bare_tokens_are(spark, docs):
+    """At two sizes: nothing is added where there is only prose and numbers; random tokens without a key word are found."""
+    for size in ("0.001", "0.01"):
+        some = spark.read.parquet(f"/root/testdata/sf{size}/documents.parquet")
+        net = secrets.train(some)
+        added = [(r["doc_id"], x) for r in secrets.findings(some, net).collect() for x in r["spans"] if x["kind"] == "net"]
+        assert not added, added[:5]
+        rng = random.Random(5)
+        token = lambda n: "".join(rng.choice("ABCDEFGHabcdefgh0123456789") for _ in range(n))  # noqa: B023, E731
+        texts = [f"so we sent {token(32)} to them" for _ in range(100)] + [f"so we sent {rng.randrange(10**15, 10**16)} and {rng.randrange(1000, 9999)}-{rng.randrange(1000, 9999)}-{rng.randrange(1000, 9999)}-{rng.randrange(1000, 9999)} to them" for _ in range(100)]
+        found = [len(x) for x in secrets.scan(texts, net)]
+        assert sum(found[:100]) >= 95 and sum(found[100:]) <= 2, (sum(found[:100]), sum(found[100:]))
+
+
 def test_gradients_of_the_network():
     rng = np.random.default_rng(1)
     net = secrets.Net.fresh(1, dim=3, filters=4)
