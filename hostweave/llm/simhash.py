@@ -17,7 +17,8 @@ only pairs whose shingle sets are similar enough, computed exactly.
 
 Defined results: null or wordless text has fingerprint zero, which links like any other;
 repeated rows get the same component; null ids are kept (a component whose ids are all
-null has a null component_id); an empty table gives an empty result.
+null has a null component_id); very long texts are hashed whole, in blocks; an empty table
+gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ from hostweave.llm.common import cut, documents, map_batches, raw
 
 #: A group of one table value with more members is linked by a frontier search.
 SMALL_GROUP = 64
-#: Texts of one group that are compared in one task (twice as many where a group is in parts).
-CHUNK = 4096
+#: Texts of one group that are compared in one task, and their bytes (twice as many where a group is in parts).
+CHUNK, CHUNK_BYTES = 4096, 16 << 20
 
 
 def _majority(hashes: np.ndarray) -> int:
@@ -344,34 +345,50 @@ def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, pa.
         yield np.flatnonzero(np.diff(whole.column(0).to_numpy(), prepend=~whole.column(0)[0].as_py(), append=~whole.column(0)[-1].as_py())), whole
 
 
-def candidates(keys: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """``(group, node)`` of the groups of nodes to compare, from ``(node, bands)``.
+def parts_of(sizes: np.ndarray, chunk: int, most: int) -> np.ndarray:
+    """The part of each node: as many nodes in order as stay within ``chunk`` and ``most`` bytes, one at least."""
+    part, count, held = np.zeros(len(sizes), dtype=np.int64), 0, 0
+    if len(sizes) <= chunk and int(sizes.sum()) <= most:
+        return part
+    for i, size in enumerate(sizes.tolist()):
+        if count and (count >= chunk or held + size > most):
+            part[i:] += 1
+            count = held = 0
+        count, held = count + 1, held + size
+    return part
+
+
+def candidates(keys: DataFrame, chunk: int = CHUNK, most: int = CHUNK_BYTES) -> DataFrame:
+    """``(group, node)`` of the groups of nodes to compare, from ``(node, bands, size)``.
 
     Nodes with a band key in common are a group; a group that several bands make is
-    returned once. One of over ``chunk`` nodes is dealt into parts, and each two parts
-    are a group, so a task's memory is bounded and still every pair meets.
+    returned once. One of over ``chunk`` nodes, or ``most`` bytes of text, is dealt into
+    parts, and each two parts are a group, so a task's memory is bounded (by two texts, if
+    they are larger) and still every pair meets.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for bound, table in _by_key(batches):
-            nodes = table.column(1).to_numpy()
+            nodes, sizes = table.column(1).to_numpy(), table.column(2).to_numpy()
             group: list[np.ndarray] = []
             member: list[np.ndarray] = []
             for i, j in zip(bound[:-1].tolist(), bound[1:].tolist(), strict=True):
                 if j - i < 2:
                     continue
-                some = np.sort(nodes[i:j])
+                turn = np.argsort(nodes[i:j], kind="stable")
+                some = nodes[i:j][turn]
                 name = xxhash.xxh64_intdigest(some.tobytes())
-                parts = -(-len(some) // chunk)
+                part = parts_of(sizes[i:j][turn], chunk, most)
+                parts = int(part[-1]) + 1
                 for x in range(parts):
                     for y in range(x, parts) if parts == 1 else range(x + 1, parts):
-                        held = some if parts == 1 else np.r_[some[x::parts], some[y::parts]]
+                        held = some[(part == x) | (part == y)]
                         group.append(np.full(len(held), xxhash.xxh64_intdigest(f"{x} {y}".encode(), name), dtype=np.uint64))
                         member.append(held)
             if group:
                 yield pa.record_batch([pa.array(np.concatenate(group).view(np.int64)), pa.array(np.concatenate(member))], ["group", "node"])
 
-    rows = keys.select(F.explode("bands").alias("key"), "node")
+    rows = keys.select(F.explode("bands").alias("key"), "node", "size")
     return rows.repartition("key").sortWithinPartitions("key").mapInArrow(run, "group long, node long").distinct()
 
 
@@ -399,7 +416,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     of their ``width``-word shingles share ``least`` or more, which is always computed from
     the texts. Compared are texts that agree in one of ``bands`` min-hash keys: with the
     defaults a pair at 0.8 meets with probability 0.9999, and one at 0.5 in about half of
-    all cases. Texts without a word are alike. Very long texts are compared whole.
+    all cases. Texts without a word are alike. Very long texts are compared whole. An empty
+    table stays one; columns of any name pass through.
 
     Rows are known by id and text hash. Whole rows move twice: the candidates' texts to where they
     are compared, and at the end to where the rows that stay are. Both are merge joins at
@@ -410,21 +428,24 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         sets = [shingles(t, width, seed) for t in raw(batch, "text")]
         whole = np.array([divmod(xxhash.xxh3_128_intdigest(x.tobytes()), 2**64) for x in sets], dtype=np.uint64).reshape(-1, 2).view(np.int64)
         found = [band_keys(x, bands, size, seed).view(np.int64) if len(x) else [] for x in sets]
-        return pa.record_batch([*batch.columns[:2], *(pa.array(np.ascontiguousarray(whole[:, k])) for k in (0, 1)), pa.array(found, pa.list_(pa.int64()))], ["id", "hash", "fp", "fp2", "bands"])
+        octets = pa.array([len(t) for t in raw(batch, "text")], pa.int64())
+        return pa.record_batch([*batch.columns[:2], *(pa.array(np.ascontiguousarray(whole[:, k])) for k in (0, 1)), pa.array(found, pa.list_(pa.int64())), octets], ["id", "hash", "fp", "fp2", "bands", "size"])
 
     text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    hashed = map_batches(docs.select(F.col(id_col).alias("id"), text_hash.alias("hash"), F.col(text_col).alias("text")), one, f"id {docs.schema[id_col].dataType.simpleString()}, hash long, fp long, fp2 long, bands array<long>")
+    hashed = map_batches(docs.select(F.col(id_col).alias("id"), text_hash.alias("hash"), F.col(text_col).alias("text")), one, f"id {docs.schema[id_col].dataType.simpleString()}, hash long, fp long, fp2 long, bands array<long>, size long")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash"))
-    keys = cut(hashed.groupBy("fp", "fp2").agg(first.alias("first"), F.min("bands").alias("bands")).withColumn("node", F.monotonically_increasing_id()), "shingled")
+    keys = cut(hashed.groupBy("fp", "fp2").agg(first.alias("first"), F.min("bands").alias("bands"), F.max("size").alias("size")).withColumn("node", F.monotonically_increasing_id()), "shingled")
     groups = cut(candidates(keys), "candidates")
     same = lambda other: F.col("_hw_id").eqNullSafe(other["first.id"]) & (F.col("_hw_hash") == other["first.hash"])
-    texts_of = docs.select(F.col(id_col).alias("_hw_id"), text_hash.alias("_hw_hash"), F.col(text_col).alias("text")).groupBy("_hw_id", "_hw_hash").agg(F.min("text").alias("text"))
     asked = groups.join(keys.select("node", "first"), "node")
+    wanted = asked.select("first").distinct()
+    own = docs.select(F.col(id_col).alias("_hw_id"), text_hash.alias("_hw_hash"), F.col(text_col).alias("text"))
+    texts_of = own.join(wanted.hint("shuffle_hash"), same(wanted), "left_semi").groupBy("_hw_id", "_hw_hash").agg(F.min("text").alias("text"))
     links = verified(texts_of.join(asked.hint("merge"), same(asked)).select("group", "node", "text"), width, seed, least)
     roots = components(links)
     best = keys.select("node", "first").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
-    rows = docs.withColumns({"_hw_id": F.col(id_col), "_hw_hash": text_hash}).dropDuplicates(["_hw_id", "_hw_hash"])
-    return rows.join(best.hint("merge"), same(best), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_hw_row"), F.col(id_col).alias("_hw_id"), text_hash.alias("_hw_hash")).dropDuplicates(["_hw_id", "_hw_hash"])
+    return rows.join(best.hint("merge"), same(best), "left_semi").select("_hw_row.*")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -94,6 +94,15 @@ def test_deduplicated_keeps_one_of_each_group(spark):
     assert sorted(r["doc_id"] for r in out.collect()) == [3, 4, 12, 13, 14, 15]
 
 
+def test_deduplicated_whatever_columns_are_called(spark):
+    rows = [(1, "one two three four five six", 5), (1, "one two three four five six", 5), (2, "one two three four five six", 6), (None, None, 7), (3, None, 8), (4, "long " * 30_000, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _hw_id long").withColumns({"first": F.lit("a"), "node": F.lit("b"), "root": F.lit("c"), "_hw_hash": F.lit("d"), "a.b": F.lit("e")})
+    out = s.deduplicated(docs)
+    assert out.columns == docs.columns
+    assert sorted((r["doc_id"], r["_hw_id"]) for r in out.collect()) == [(1, 5), (3, 8), (4, 9)]
+    assert s.deduplicated(docs.limit(0)).count() == 0
+
+
 def brute_pairs(texts, least):
     sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in (t.split() for t in texts)]
     return {(i, j) for j in range(len(sets)) for i in range(j) if len(sets[i] & sets[j]) >= least * len(sets[i] | sets[j]) - 1e-9}
@@ -115,8 +124,8 @@ def test_deduplicated_equals_brute_force_around_the_limit(spark):
     assert set(range(len(texts))) - kept == {j for _, j in pairs}
 
 
-@pytest.mark.parametrize("chunk", [7, 4096])
-def test_large_groups_link_as_all_pairs_do(spark, chunk):
+@pytest.mark.parametrize(("chunk", "most"), [(7, 1 << 20), (4096, 1 << 20), (4096, 20)])
+def test_large_groups_link_as_all_pairs_do(spark, chunk, most):
     rng = np.random.default_rng(9)
     base = [f"w{x}" for x in range(120)]
     texts = []
@@ -130,8 +139,11 @@ def test_large_groups_link_as_all_pairs_do(spark, chunk):
     for _ in root:
         for i, j in pairs:
             root[i] = root[j] = min(root[i], root[j])
-    keys = spark.createDataFrame([(i, [1, 2]) for i in range(40)], "node long, bands array<long>")
-    groups = s.candidates(keys, chunk)
+    keys = spark.createDataFrame([(i, [1, 2], 1 + (i == 5) * 100) for i in range(40)], "node long, bands array<long>, size long")
+    groups = s.candidates(keys, chunk, most)
+    if most == 20:  # the text that is larger than a part is one
+        parts = groups.groupBy("group").agg(F.count("*").alias("n"), F.max((F.col("node") == 5).cast("int")).alias("large")).collect()
+        assert max(r["n"] for r in parts) <= 40 and any(r["large"] for r in parts) and max(r["n"] for r in parts if r["large"]) <= 21
     assert groups.groupBy("group").count().agg(F.max("count")).first()[0] <= (40 if chunk > 40 else 2 * chunk)
     members = groups.join(spark.createDataFrame(list(enumerate(texts)), "node long, text string"), "node")
     found = {r["node"]: r["root"] for r in s.components(s.verified(members, 5, 42, 0.8)).collect()}
