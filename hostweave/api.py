@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import platform
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pyspark
 from pyspark.sql import DataFrame, SparkSession
@@ -11,16 +12,28 @@ from pyspark.sql import DataFrame, SparkSession
 import hostweave
 from hostweave.functions import suffixes
 from hostweave.operators import contract, graph, releases, split, training
-from hostweave.sources import export, npy, shards, store
+from hostweave.sources import export, npy, scratch, shards, store
 
 Spec = str | Sequence[str]
 
 
+def _stores(verb: Callable) -> Callable:
+    """A verb whose result is stored when it returns: its own intermediate tables go then."""
+
+    @functools.wraps(verb)
+    def run(*args, **named):
+        with scratch.run_folder(SparkSession.active()):
+            return verb(*args, **named)
+
+    return run
+
+
 def info() -> dict[str, str]:
     """Versions of the engine and what it runs on."""
     return {"hostweave": hostweave.__version__, "pyspark": pyspark.__version__, "python": platform.python_version()}
 
 
+@_stores
 def min_degree_slice(spark: SparkSession, vertices: Spec, edges: Spec, out: str, min_degree: int = 8, num_nodes: int = 0, degree_cache: str | None = None) -> dict:
     """Shards to the stored subgraph of nodes of at least that degree; returns its metadata.
 
@@ -38,6 +51,7 @@ def min_degree_slice(spark: SparkSession, vertices: Spec, edges: Spec, out: str,
     return store.save_graph(part, out, min_degree=min_degree, source_num_nodes=n, source_vertices=str(vertices), source_edges=str(edges))
 
 
+@_stores
 def degree_distribution(spark: SparkSession, edges: Spec, num_nodes: int, out: str | None = None, edge_coverage: bool = False) -> dict:
     """Totals, retention ladder and histogram as one document, written where asked for."""
     found = graph.degree_report(shards.read_edges_unordered(spark, edges), num_nodes, edge_coverage)
@@ -48,12 +62,14 @@ def degree_distribution(spark: SparkSession, edges: Spec, num_nodes: int, out: s
     return report
 
 
+@_stores
 def split_cache(spark: SparkSession, folder: str, out: str, seed: int = 42, eval_edges: int = 2_000_000, max_edges: int = 0) -> dict:
     """A stored graph's edges as a stored split; returns its metadata."""
     found = store.load_graph(spark, folder)
     return store.save_split(split.split_edges(found.edges, found.num_nodes, seed, eval_edges, max_edges), out)
 
 
+@_stores
 def release_manifest(spark: SparkSession, folder: str, out: str, release_id: str, source_crawls: list[str] | str, reversed_host: bool = True, suffix_list: str | None = None) -> DataFrame:
     """Host records of a stored graph, stored as a release manifest; ``suffix_list`` names a file of suffix rules."""
     crawls = releases.check_crawls(source_crawls)
@@ -75,6 +91,7 @@ def release_sizing(spark: SparkSession, host_nodes: int = contract.HOST_NODES, d
     return {"host": contract.size_table(spark, host_nodes, dims, precisions), "domain": contract.size_table(spark, domain_nodes, dims, precisions)}
 
 
+@_stores
 def train(spark: SparkSession, split_folder: str, out: str, config: training.Config = training.Config()) -> tuple[DataFrame, list[dict]]:
     """Embeddings from a stored split, the best epoch by validation; stored as ``out/table``."""
     found = store.load_split(spark, split_folder)
@@ -84,6 +101,7 @@ def train(spark: SparkSession, split_folder: str, out: str, config: training.Con
     return spark.read.parquet(f"{out}/table"), history
 
 
+@_stores
 def shard_export(vectors: DataFrame | str, names: DataFrame | Spec, out: str, release_id: str, source_crawls: list[str] | str, model_space_version: str, suffix_list: str | None = None, **options) -> dict:
     """Vectors ``(row_id, embedding)`` and names ``(row_id, name)`` as checksummed shards.
 

@@ -11,6 +11,8 @@ from hostweave.operators import graph as g
 from hostweave.plans import derived
 from hostweave.plans.oracles import ORACLES
 from hostweave.sources import export, scratch, shards, store
+from hostweave.streaming import degrees as degree_stream
+from hostweave.streaming import releases as release_stream
 
 FLAGSHIP = "retention_ladder"
 SLICE, SEED, CAP, WORLD, BATCH = 64, 42, 1000, 4, 512
@@ -176,12 +178,38 @@ def duplicate_keys(spark: SparkSession, d: str) -> DataFrame:
     return releases.duplicate_keys(rows)
 
 
-def cross_release_index(spark: SparkSession, d: str) -> DataFrame:
-    index = releases.release_index(derived.releases(spark, d))
+def _flat_index(index: DataFrame) -> DataFrame:
     entries = F.array_sort(F.transform(F.map_entries("local_node_ids"), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string"))))
     return index.select("host_key", "first_release", "last_seen_release", "state", F.array_join(entries, ",").alias("local_ids"))
 
 
+def cross_release_index(spark: SparkSession, d: str) -> DataFrame:
+    return _flat_index(releases.release_index(derived.releases(spark, d)))
+
+
+def streamed_release_index(spark: SparkSession, d: str) -> DataFrame:
+    """The same index from releases that arrive one after the other, the second one last."""
+    folder = scratch.new_path(spark, "arriving")
+    found = derived.releases(spark, d)
+    for i in (0, 2, 1):
+        name, rows = found[i]
+        rows.select("host_key", F.lit(i).alias("seq"), F.lit(name).alias("release"), F.col("local_node_id").cast("long").alias("local_node_id")).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    updates = release_stream.sightings(release_stream.release_stream(spark, f"{folder}/in"))
+    release_stream.stored_updates(updates, f"{folder}/updates", f"{folder}/checkpoint")
+    return _flat_index(release_stream.as_of(spark.read.parquet(f"{folder}/updates"), 2))
+
+
+def streamed_degrees(spark: SparkSession, d: str) -> DataFrame:
+    """Degrees of the nodes in edges, from edge files that arrive one after the other."""
+    folder = scratch.new_path(spark, "edge-stream")
+    derived.links(spark, d).select("src", "dst").repartition(3, "src").write.parquet(f"{folder}/in")
+    running = degree_stream.running_degrees(degree_stream.edge_stream(spark, f"{folder}/in"))
+    release_stream.stored_updates(running, f"{folder}/updates", f"{folder}/checkpoint")
+    updates = spark.read.parquet(f"{folder}/updates")
+    last = updates.groupBy("id").agg(F.max_by(F.struct("in_degree", "out_degree", "degree"), "batch").alias("x"))
+    return last.select("id", "x.*")
+
+
 def state_counts(spark: SparkSession, d: str) -> DataFrame:
     return releases.state_counts(releases.release_index(derived.releases(spark, d)))
 
@@ -359,6 +387,7 @@ QUERIES = {
         endpoint_integrity, unique_endpoints, to_undirected, undirected_degrees, adjacency_lists, adjacency_chunks, adjacency_offsets, neighbors_of, edge_mask_subgraph,
         induced_prefix, split_assignment, split_counts, split_eval_subsample, subsample_exact, permutation_split, train_stripes, train_slices,
         minibatch_local_index, uniform_negatives, host_keys, domain_keys, domain_keys_by_rules, domain_key_sql, suffix_records, host_records, cohort_counts, duplicate_keys, cross_release_index,
+        streamed_release_index, streamed_degrees,
         state_counts, keys_reappeared, normalize_vectors, input_norms, cosine_topk, eval_ranks, eval_mrr, shard_ranges, size_table,
         graph_round_trip, split_round_trip, stored_degrees, worker_slice, schema_fields, lr_schedule, split_bucket_sql, hash_top_bits, train_embeddings, export_shards,
         shard_edges, shard_edges_lenient, shard_slice_names, batch_losses, epoch_loss, initial_vectors,

@@ -101,6 +101,8 @@ ORACLES = {
     "cohort_counts": f"WITH {_REC} SELECT cohort, confidence, is_dangling, count(*) AS n FROM rec GROUP BY 1, 2, 3",
     "duplicate_keys": f"WITH {_HOSTS} SELECT host_key, count(*) AS n, min(page_id) AS first_id, max(page_id) AS last_id FROM hosts GROUP BY 1 HAVING count(*) > 1",
     "cross_release_index": f"WITH {_REL} SELECT host_key, first_release, last_seen_release, state, local_ids FROM idx",
+    "streamed_release_index": f"WITH {_REL} SELECT host_key, first_release, last_seen_release, state, local_ids FROM idx",
+    "streamed_degrees": f"WITH {_DEG} SELECT id, in_degree, out_degree, degree FROM deg WHERE degree > 0",
     "state_counts": f"WITH {_REL} SELECT state, count(*) AS n FROM idx GROUP BY 1",
     "keys_reappeared": f"WITH {_REL} SELECT host_key FROM idx WHERE state = 'reappeared'",
     "normalize_vectors": f"WITH {_UNIT}, u AS (SELECT id, CASE WHEN n > 0 THEN list_transform(v, lambda x: (x / n)::FLOAT::DOUBLE) ELSE v END AS v FROM norms) SELECT id, round(sqrt(list_sum(list_transform(v, lambda x: x * x))), 4) AS norm, round(v[1], 4) AS x1, round(v[64], 4) AS x64 FROM u",

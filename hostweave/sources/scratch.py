@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,8 +29,31 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: The folder of the run that is going on in this thread, if what it writes here goes with it.
+_RUN: ContextVar[str | None] = ContextVar("hostweave_run", default=None)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/hostweave/{name}-{uuid.uuid4().hex}"
+    return f"{_RUN.get() or f'{shared_dir(spark)}/hostweave'}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """What is written here within the block goes when it ends; a block within it shares its folder.
+
+    For work whose result is stored elsewhere by then. A DataFrame that is handed out still
+    reads its tables, so queries don't use it.
+    """
+    if held := _RUN.get():
+        yield held
+        return
+    path = f"{shared_dir(spark)}/hostweave/run-{uuid.uuid4().hex}"
+    token = _RUN.set(path)
+    try:
+        yield path
+    finally:
+        _RUN.reset(token)
+        remove(spark, path)
 
 
 def remove(spark: SparkSession, path: str) -> None:

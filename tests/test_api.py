@@ -1,5 +1,11 @@
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
 from hostweave import api
 from hostweave.operators.training import Config
+from hostweave.sources import scratch
 
 
 def test_from_shards_to_release(spark, tmp_path):
@@ -21,4 +27,17 @@ def test_from_shards_to_release(spark, tmp_path):
     assert {r["state"] for r in api.cross_release_index(spark, [f"{root}/m1"]).collect()} == {"new"}
     table, history = api.train(spark, f"{root}/split", f"{root}/t", Config(dim=4, epochs=1, blocks=2, eval_neg=5))
     assert table.count() == 60 and len(history) == 1
+    kept = Path(scratch.shared_dir(spark).removeprefix("file://")) / "hostweave"
+    assert not list(kept.glob("run-*")) and table.agg(F.count("embedding")).first()[0] == 60  # results don't read what went
     assert set(api.release_sizing(spark, 10, 5)) == {"host", "domain"} and "pyspark" in api.info()
+
+
+def test_a_run_removes_what_it_wrote(spark):
+    outside = scratch.cut(spark.range(3), "outside")
+    with pytest.raises(RuntimeError), scratch.run_folder(spark) as folder:
+        inside = scratch.cut(spark.range(3), "inside")
+        with scratch.run_folder(spark) as same:
+            assert same == folder
+        assert inside.count() == 3 and Path(folder.removeprefix("file://")).exists()
+        raise RuntimeError
+    assert not Path(folder.removeprefix("file://")).exists() and outside.count() == 3
