@@ -168,14 +168,17 @@ def edge_min_degree(edges: DataFrame, degree: DataFrame) -> DataFrame:
 def edge_classes(edges: DataFrame, degree: DataFrame, thresholds: tuple[int, ...] = THRESHOLDS) -> DataFrame:
     """``(at)`` for each edge: how many of the ascending thresholds its ends' lesser degree reaches.
 
-    Degrees are sent to the edges as packed classes while these fit; else the edges meet
-    the degrees of both ends by two joins.
+    Degrees go to the edges as packed classes, whole while they fit and else by blocks; more
+    thresholds than a class has room for take two joins with the degrees.
     """
     reached = lambda d: F.size(F.filter(F.array(*map(F.lit, thresholds)), lambda t: t <= d))
+    if len(thresholds) > 15:
+        return edge_min_degree(edges, degree).select(reached(F.col("low")).alias("at"))
     nodes = (degree.agg(F.max("id")).first()[0] or 0) + 1
-    if len(thresholds) < 16 and packed.fits(nodes, packed.CLASS_BITS):
-        return packed.lesser_class(edges, packed.packed_classes(degree.select("id", reached(F.col("degree")).alias("at"))))
-    return edge_min_degree(edges, degree).select(reached(F.col("low")).alias("at"))
+    classes = packed.packed_classes(degree.select("id", reached(F.col("degree")).alias("at")))
+    if packed.fits(nodes, packed.CLASS_BITS):
+        return packed.lesser_class(edges, classes)
+    return packed.gridded_class(edges, cut(classes, "classes"), nodes)
 
 
 def induced_edge_counts(edges: DataFrame, degree: DataFrame, thresholds: tuple[int, ...] = THRESHOLDS) -> DataFrame:

@@ -4,11 +4,18 @@ Ids are cut into buckets of ``2 ** 15``; a bucket is one row with an array of 64
 A set takes one bit an id and a running count for each word, so that a kept id's rank among
 the kept ids is read from the same row; classes take four bits an id. At 279 million nodes
 that is 52 MB and 140 MB. Edges meet such a table by a map-side join and aren't moved.
-``fits`` says whether it may be sent; whoever asks has another way beyond that.
+``fits`` says whether it may be sent. Beyond that, classes meet edges in a grid: nodes are cut
+into blocks, an edge goes once to the cell of its ends' blocks, and the packed classes of
+both blocks go there before it; a cell is split further, by a hash of the edge, until its
+share is bounded, so a hub's edges are spread over a whole row of cells and their parts.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -19,6 +26,8 @@ WORDS = 1 << BUCKET - 6
 #: A packed table is sent up to so many bytes.
 BROADCAST_BYTES = 256 << 20
 SET_BITS, CLASS_BITS = 1 + 32 / 64, 4
+#: Ids of a block of the grid, as a power of two (its classes take 64 MB), and edges of a cell's part.
+BLOCK, PART_EDGES = 27, 1 << 24
 
 
 def fits(num_nodes: int, bits: float) -> bool:
@@ -92,3 +101,43 @@ def lesser_class(edges: DataFrame, classes: DataFrame) -> DataFrame:
         rest = [c for c in ("src", "dst", "src_at") if c in out.columns and c != end]
         out = out.join(side, bucket_of(F.col(end)) == F.col("_hw_bucket")).select(*rest, class_in(F.col(end), F.col("_hw_words")).alias(f"{end}_at"))
     return out.select(F.least("src_at", "dst_at").alias("at"))
+
+
+def gridded_class(edges: DataFrame, classes: DataFrame, nodes: int, block: int | None = None, part_edges: int | None = None) -> DataFrame:
+    """``(at)`` like ``lesser_class``, by one exchange of edges to the cells of a grid of blocks."""
+    block, part_edges = BLOCK if block is None else block, PART_EDGES if part_edges is None else part_edges
+    blocks = max(1, -(-nodes // (1 << block)))
+    parts = max(1, -(-edges.count() // (part_edges * blocks)))  # as if one row of cells had all edges
+    cell = lambda a, b, r: ((a * blocks + b) * parts + r).cast("long")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    none = F.lit(None).cast("long")
+    own = F.shiftright("bucket", block - BUCKET)
+    spread = classes.select("bucket", "words", own.alias("own"), every(blocks).alias("other")).select("*", every(parts).alias("part"))
+    held = [spread.select(cell(*at, F.col("part")).alias("cell"), F.lit(side).alias("side"), "bucket", "words", none.alias("src"), none.alias("dst")) for side, at in ((0, (F.col("own"), F.col("other"))), (1, (F.col("other"), F.col("own"))))]
+    salt = F.pmod(F.xxhash64("src", "dst", "eid"), F.lit(parts))
+    sent = edges.select(cell(F.shiftright("src", block), F.shiftright("dst", block), salt).alias("cell"), F.lit(2).alias("side"), F.lit(0).cast("long").alias("bucket"), F.lit(None).cast("array<long>").alias("words"), "src", "dst")
+    size = 1 << block - 4
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, sides = None, [np.zeros(0, np.uint64)] * 2
+        for batch in batches:
+            key = np.stack([batch.column("cell").to_numpy(), batch.column("side").to_numpy()], axis=1)
+            cuts = [0, *(np.flatnonzero((np.diff(key, axis=0) != 0).any(axis=1)) + 1).tolist(), len(key)]
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                if i == j:
+                    continue
+                some = batch.slice(i, j - i)
+                if key[i, 0] != now:
+                    now, sides = key[i, 0], [np.zeros(size, np.uint64) for _ in range(2)]
+                if key[i, 1] < 2:
+                    for bucket, words in zip(some.column("bucket").to_pylist(), some.column("words"), strict=True):
+                        at = (bucket << BUCKET - 4) % size
+                        values = words.values.to_numpy()
+                        sides[key[i, 1]][at : at + len(values)] = values.view(np.uint64)
+                else:
+                    ends = [some.column(c).to_numpy().astype(np.uint64) for c in ("src", "dst")]
+                    at = [(x[(e >> np.uint64(4)) % np.uint64(size)] >> (e % np.uint64(16) * np.uint64(4))) & np.uint64(15) for x, e in zip(sides, ends, strict=True)]
+                    yield pa.record_batch([pa.array(np.minimum(*at).astype(np.int32))], ["at"])
+
+    rows = held[0].unionByName(held[1]).unionByName(sent)
+    return rows.repartition("cell").sortWithinPartitions("cell", "side").mapInArrow(run, "at int")

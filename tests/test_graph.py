@@ -182,6 +182,8 @@ def test_slices_and_ladders_are_the_same_beyond_what_fits(spark, monkeypatch):
     pairs = [(0, int(x)) for x in rng.integers(0, 200, 300)] + [(int(a), int(b)) for a, b in rng.integers(0, 200, (600, 2))]  # a hub
     graph = g.HostGraph(spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "eid long, src long, dst long"), 40_000)
     out = {}
+    monkeypatch.setattr(packed, "BLOCK", 15)  # two blocks
+    monkeypatch.setattr(packed, "PART_EDGES", 100)
     for limit in (packed.BROADCAST_BYTES, 0):
         monkeypatch.setattr(packed, "BROADCAST_BYTES", limit)
         part, ids = g.min_degree_slice(graph, 8)
@@ -190,3 +192,24 @@ def test_slices_and_ladders_are_the_same_beyond_what_fits(spark, monkeypatch):
             plan = part.edges._jdf.queryExecution().executedPlan().toString()
             assert "Exchange hashpartitioning" not in plan and plan.split("Initial Plan")[0].count("BroadcastHashJoin") == 2
     assert out[0] == out[256 << 20] and len(out[0][0]) > 50
+
+
+@pytest.mark.parametrize(("block", "part_edges"), [(15, 10), (16, 1000), (20, 7)])
+def test_a_grid_of_blocks_is_one_exchange(spark, block, part_edges):
+    rng = np.random.default_rng(9)
+    n = 150_000
+    pairs = [(70_000, int(x)) for x in rng.integers(0, n, 400)] + [(int(a), int(b)) for a, b in rng.integers(0, n, (300, 2))]  # a hub
+    edges = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "eid long, src long, dst long")
+    classes = packed.packed_classes(spark.range(n).select("id", (F.col("id") * 13 % 16).cast("int").alias("at")))
+    out = packed.gridded_class(edges, classes, n, block, part_edges)
+    assert sorted(r["at"] for r in out.collect()) == sorted(min(a * 13 % 16, b * 13 % 16) for a, b in pairs)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1
+
+
+def test_many_thresholds(spark):
+    edges = spark.createDataFrame([(i, i % 5, i % 7) for i in range(200)], "eid long, src long, dst long")
+    degree = g.degrees(edges, spark.range(7))
+    many = tuple(range(1, 41, 2))
+    few = {r["min_degree"]: r["induced_edges"] for r in g.induced_edge_counts(edges, degree, many[:12]).collect()}
+    got = {r["min_degree"]: r["induced_edges"] for r in g.induced_edge_counts(edges, degree, many).collect()}
+    assert len(got) == 20 and few.items() <= got.items()
