@@ -13,7 +13,8 @@ Decoding maps ids to bytes and feeds them to an incremental UTF-8 state machine,
 holds back an unfinished character at a chunk's end.
 
 Defined results: null text is the empty text and has no tokens; whole texts are encoded,
-in memory proportional to one text; repeated rows repeat; extra columns are not read.
+in memory proportional to one text; repeated rows repeat; an empty table gives an empty
+result; extra columns are not read.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ a bounded sample of labelled rows.
 Defined results: ``und`` with score 0 for a null text and for one without a letter;
 letters of scripts that the vocabulary lacks count as one unknown piece each; words over
 ``PART`` characters are scored in parts; ties go to the alphabetically first language;
-with no labelled row everything is ``und``. Whole texts are read. Extra columns are kept
+with no labelled row everything is ``und``; repeated rows repeat, and texts alike are one
+when the sample is taken; an empty table gives an empty result. Whole texts are read. Extra columns are kept
 by ``identified`` and not read by ``predictions``.
 """
 

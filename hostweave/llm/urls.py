@@ -12,8 +12,11 @@ with the rule's path; the longest rule wins. Where none fits, a mined rule block
 everything else is allowed.
 
 Defined results: a null URL or one without ``://`` has an empty host and path and no
-token, fits no rule and is allowed; repeated rows repeat; without labelled URLs nothing is
-mined. Token sets are judged once each, however many pages share one.
+token, fits no rule and is allowed; a null page_id is kept; repeated rows repeat, and count
+as often when rules are mined; very long URLs are read whole; of mined rules that fit, the
+one of highest confidence, then support, then name is told; without labelled URLs nothing
+is mined; an empty table gives an empty result; extra columns are not read. Token sets are
+judged once each, however many pages share one.
 """
 
 from __future__ import annotations

@@ -209,6 +209,18 @@ def test_mined_rules_equal_brute_force(spark):
     assert rules and all((got[i]["verdict"] == "block") == any(set(c) <= s for c in rules) for i, s in sets.items())
 
 
+def test_mined_rules_with_repeats_ties_and_long_urls(spark):
+    rows = [(None if i % 9 == 0 else i % 40, f"https://{'bad' if i % 2 else 'good'}.x.com/{'a' if i % 4 < 2 else 'b'}/{i % 40}") for i in range(120)] + [(500, "https://bad.y.org/" + "z" * 200_000), (501, "https://bad.y.org/"), (501, "https://bad.y.org/")]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumns({"tokens": F.lit("clash"), "block": F.lit(1), "r": F.lit(2)})
+    labels = spark.createDataFrame([(i, 1 - i % 2, None) for i in range(40)] + [(None, 0, 1), (3, None, None)], "doc_id long, quality int, toxic int")
+    got = [(r["page_id"], r["verdict"], r["mined"]) for r in urls.judged(pages, labels, rules=()).collect()]
+    assert len(got) == len(rows) and sum(i is None for i, _, _ in got) == 14
+    assert all((v == "block") == (m is not None) for _, v, m in got)
+    assert {m for i, _, m in got if i in (500, 501)} == {"h:bad"} and sum(i == 501 for i, _, _ in got) == 2
+    assert {v for i, v, _ in got if i is not None and i < 40 and i % 2 == 0} == {"allow"} and {v for i, v, _ in got if i is not None and i < 40 and i % 2} == {"block"}
+    assert urls.judged(pages.limit(0), labels.limit(0)).count() == 0
+
+
 def test_packing_is_best_fit_under_constraints(spark):
     rng = np.random.default_rng(0)
     rows = [(i, "x" * int(rng.integers(0, 60)) + f"{i % 23}", f"s{min(i % 7, 3)}" if i % 11 else None) for i in range(600)] + [(700, None, "s1"), (701, "y" * 345, "s1"), (702, "", None), (702, "", None)]
