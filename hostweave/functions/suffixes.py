@@ -9,6 +9,7 @@ Rules are few, so their side is broadcast, once for all depths, and hosts aren't
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,6 +48,7 @@ def listed_text(spark: SparkSession) -> str:
     return max(texts, key=len)
 
 
+@functools.lru_cache(4)
 def parsed(text: str) -> dict[str, int]:
     """Suffix to kind, of the ICANN part; labels beyond ASCII also as hosts spell them."""
     if BEGIN in text:
@@ -56,7 +58,7 @@ def parsed(text: str) -> dict[str, int]:
         word = line.split()[0] if line.strip() and not line.startswith("//") else ""
         kind = EXCEPTION if word.startswith("!") else WILDCARD if word.startswith("*.") else PUBLIC
         name = word.removeprefix("!").removeprefix("*.").lower()
-        for form in {name, name.encode("idna").decode()} if name else ():
+        for form in {name, name if name.isascii() else name.encode("idna").decode()} if name else ():
             rules[form] = rules.get(form, 0) | kind
     return rules
 
