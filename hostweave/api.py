@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 import hostweave
 from hostweave.functions import suffixes
 from hostweave.operators import contract, graph, releases, split, training
-from hostweave.sources import export, npy, scratch, shards, store
+from hostweave.sources import export, npy, registry, scratch, shards, store
 
 Spec = str | Sequence[str]
 
@@ -110,7 +110,7 @@ def shard_export(vectors: DataFrame | str, names: DataFrame | Spec, out: str, re
     """
     spark = SparkSession.active()
     if isinstance(vectors, str):
-        spark.dataSource.register(npy.NpySource)
+        registry.register(spark, npy, npy.NpySource)
         vectors = spark.read.format("npy").option("path", vectors).load().withColumnRenamed("id", "row_id")
     if not isinstance(names, DataFrame):
         names = shards.read_vertices(spark, names, check=False).withColumnRenamed("id", "row_id")

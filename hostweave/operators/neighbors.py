@@ -24,8 +24,8 @@ from hostweave.sources.scratch import cut
 
 #: At most so many centres, and about so many vectors for each where there are fewer.
 CENTRES, PER_CENTRE = 1024, 64
-#: Vectors of a block.
-BLOCK = 8192
+#: Vectors of a block, and rows of a batch that are compared with them, or with the centres, at once.
+BLOCK, ROWS = 1 << 15, 256
 #: Scores are compared to so many digits; a cell is skipped only if it misses by more than rounding can be.
 DIGITS, SLACK = 6, 2e-6
 
@@ -44,10 +44,11 @@ def cells(vectors: DataFrame, centres: np.ndarray) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                d = _distances(_matrix(batch.column("v")), centres)
+            for i in range(0, batch.num_rows, ROWS):
+                some = batch.slice(i, ROWS)
+                d = _distances(_matrix(some.column("v")), centres)
                 at = d.argmin(axis=1)
-                yield pa.record_batch([*batch.columns, pa.array(at.astype(np.int32)), pa.array(d[np.arange(len(at)), at])], ["id", "v", "cell", "far"])
+                yield pa.record_batch([*some.columns, pa.array(at.astype(np.int32)), pa.array(d[np.arange(len(at)), at])], ["id", "v", "cell", "far"])
 
     return vectors.mapInArrow(run, "id long, v array<float>, cell int, far double")
 
@@ -80,7 +81,8 @@ def _searched(held: DataFrame, asked: DataFrame, k: int) -> DataFrame:
                 if not ids:
                     continue
                 stack = stack or (np.concatenate(ids), np.concatenate(rows))
-                yield best(part, *stack)
+                for a in range(0, part.num_rows, ROWS):
+                    yield best(part.slice(a, ROWS), *stack)
 
     def best(asking: pa.RecordBatch, ids: np.ndarray, held_rows: np.ndarray) -> pa.RecordBatch:
         near = np.round(_matrix(asking.column("v")) @ held_rows.T, DIGITS)
@@ -129,9 +131,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "id", c
     asked = cut(cells(rows(queries), centre), "queries")  # here cells are places in ``names``
 
     def sent(batches: Iterator[pa.RecordBatch], own: bool) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
             v = _matrix(batch.column("v"))
             mine = np.arange(len(centre)) == batch.column("cell").to_numpy()[:, None]
             if own:

@@ -5,8 +5,7 @@ from __future__ import annotations
 import json
 from typing import Any
 
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hostweave.functions.identity import forward_host
@@ -14,6 +13,7 @@ from hostweave.functions.suffixes import SuffixRules, with_domain
 from hostweave.operators.releases import check_crawls
 from hostweave.operators.vectors import input_norms, normalized
 from hostweave.sources import shardfiles
+from hostweave.sources.registry import register
 from hostweave.sources.store import jsonable, read_document
 
 # The tiers' folders and types, the manifest's version and keys, and the metrics that it takes over.
@@ -45,15 +45,6 @@ def rows_of(vectors: DataFrame, names: DataFrame, normalize: bool = True, revers
     return vectors.join(keyed, "row_id").select("row_id", "host_key", "domain_key", vector.alias("embedding"))
 
 
-def _register(spark: SparkSession) -> None:
-    """Makes the sink known; sent by value, as the processes that plan a write may not import this package."""
-    cloudpickle.register_pickle_by_value(shardfiles)
-    try:
-        spark.dataSource.register(shardfiles.ShardSink)
-    finally:
-        cloudpickle.unregister_pickle_by_value(shardfiles)
-
-
 def export_shards(vectors: DataFrame, names: DataFrame, folder: str, release_id: str, crawls: list[str] | str, space: str, rows_per_shard: int = 4_000_000, precision: str = "both", normalize: bool = True, reverse: bool = True, limit: int = 0, meta: dict[str, Any] | None = None, rules: SuffixRules | None = None) -> dict:
     """Writes shards and ``manifest.json``; returns the manifest.
 
@@ -95,7 +86,7 @@ def export_shards(vectors: DataFrame, names: DataFrame, folder: str, release_id:
     }
     rows = rows_of(vectors, names, normalize, reverse, rules).select(F.floor(F.col("row_id") / rows_per_shard).cast("long").alias("shard"), "row_id", "host_key", "domain_key", "embedding")
     dealt = rows.repartition(max(1, shards), "shard").sortWithinPartitions("shard", "row_id")
-    _register(spark)
+    register(spark, shardfiles, shardfiles.ShardSink)
     options = {"path": folder, "tiers": json.dumps(tiers), "shards": str(shards), "rows": str(n), "manifest": json.dumps(jsonable(manifest))}
     dealt.write.format(shardfiles.FORMAT_NAME).mode("append").options(**options).save()
     return read_document(spark, f"{folder}/manifest.json" if "://" in folder else f"file://{folder}/manifest.json")

@@ -7,6 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from hostweave import api
 from hostweave.functions import identity, suffixes
 from hostweave.operators import contract, neighbors, releases, vectors
 from hostweave.operators import graph as g
@@ -185,6 +186,16 @@ def test_failed_export_leaves_nothing(spark, tmp_path, monkeypatch):
     assert not list(tmp_path.rglob("*.parquet")) and not (tmp_path / "manifest.json").exists()
 
 
+def test_export_of_a_matrix_and_a_list_of_names(spark, tmp_path):
+    matrix = np.random.default_rng(1).normal(size=(7, 3)).astype(np.float32)
+    np.save(tmp_path / "m.npy", np.asfortranarray(matrix))
+    (tmp_path / "names.txt").write_text("".join(f"uk.co.shop{i % 2}.h{i}\n" for i in range(7)))
+    made = api.shard_export(f"file://{tmp_path}/m.npy", str(tmp_path / "names.txt"), f"file://{tmp_path}/out", "r", "c", "v", rows_per_shard=4, precision="fp32", normalize=False)
+    rows = pq.read_table(tmp_path / "out/vectors").sort_by("row_id")
+    assert rows.column("host_key").to_pylist() == [f"h{i}.shop{i % 2}.co.uk" for i in range(7)] and set(rows.column("domain_key").to_pylist()) == {"shop0.co.uk", "shop1.co.uk"}
+    assert np.array_equal(np.array(rows.column("embedding").to_pylist(), dtype=np.float32), matrix) and made["num_shards"] == 2
+
+
 def test_size_model(spark):
     assert {r["place"]: (r["n"], r["bytes"]) for r in contract.widths(spark).collect()} == {"header": (3, 0), "row_default": (11, 24), "row_sidecar": (4, 8)}
     assert contract.fields(spark, "header").count() == 3 and contract.fields(spark).count() == 18
