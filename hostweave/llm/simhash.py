@@ -436,16 +436,17 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash"))
     keys = cut(hashed.groupBy("fp", "fp2").agg(first.alias("first"), F.min("bands").alias("bands"), F.max("size").alias("size")).withColumn("node", F.monotonically_increasing_id()), "shingled")
     groups = cut(candidates(keys), "candidates")
-    same = lambda other: F.col("_hw_id").eqNullSafe(other["first.id"]) & (F.col("_hw_hash") == other["first.hash"])
-    asked = groups.join(keys.select("node", "first"), "node")
-    wanted = asked.select("first").distinct()
-    own = docs.select(F.col(id_col).alias("_hw_id"), text_hash.alias("_hw_hash"), F.col(text_col).alias("text"))
-    texts_of = own.join(wanted.hint("shuffle_hash"), same(wanted), "left_semi").groupBy("_hw_id", "_hw_hash").agg(F.min("text").alias("text"))
-    links = verified(texts_of.join(asked.hint("merge"), same(asked)).select("group", "node", "text"), width, seed, least)
+    kind = f"struct<id: {docs.schema[id_col].dataType.simpleString()}, hash: bigint>"  # both sides' fields may be null, else Spark deals the sides out by a cast of one
+    key = lambda i, h: F.struct(i.alias("id"), h.alias("hash")).cast(kind).alias("_hw_key")  # noqa: E731  a null within a struct equals another
+    mine, of_first = key(F.col(id_col), text_hash), key(F.col("first.id"), F.col("first.hash"))
+    asked = groups.join(keys.select("node", of_first), "node")
+    own = docs.select(mine, F.col(text_col).alias("text"))
+    texts_of = own.join(asked.select("_hw_key").distinct().hint("shuffle_hash"), "_hw_key", "left_semi").groupBy("_hw_key").agg(F.min("text").alias("text"))
+    links = verified(texts_of.join(asked.hint("merge"), "_hw_key").select("group", "node", "text"), width, seed, least)
     roots = components(links)
-    best = keys.select("node", "first").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_hw_row"), F.col(id_col).alias("_hw_id"), text_hash.alias("_hw_hash")).dropDuplicates(["_hw_id", "_hw_hash"])
-    return rows.join(best.hint("merge"), same(best), "left_semi").select("_hw_row.*")
+    best = keys.select("node", "first").join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("first").alias("first")).select(of_first)
+    rows = docs.select(mine, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_hw_row")).dropDuplicates(["_hw_key"])
+    return rows.join(best.hint("merge"), "_hw_key", "left_semi").select("_hw_row.*")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
