@@ -270,11 +270,11 @@ def brute_search(rows, queries, k):
     return out
 
 
-@pytest.mark.parametrize(("postings", "size"), [(4000, 20_000), (6_000_000, 8 << 20)])
-def test_search_equals_brute_force(spark, docs, postings, size):
+@pytest.mark.parametrize(("postings", "size", "slices"), [(4000, 20_000, 2), (8_000_000, 8 << 20, 4096)])
+def test_search_equals_brute_force(spark, docs, postings, size, slices):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()] + [(1000, None), (1050, ""), (1001, "the of"), (1002, "the of"), (1100, "-- ... !"), (1150, "the of " * 40_000 + "end"), (1003, "end"), (1004, "the of")]
     table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("rank", F.lit(1)).repartition(3)
-    got = search.top_k(table, F.col("doc_id") % 50 == 0, 5, shard_postings=postings, part_bytes=size, slice_bytes=size, pack_rows=3).collect()
+    got = search.top_k(table, F.col("doc_id") % 50 == 0, 5, shard_postings=postings, part_bytes=size, slice_packs=slices, pack_rows=3).collect()
     want = brute_search(rows, [i for i, _ in rows if i % 50 == 0], 5)
     found = collections.defaultdict(dict)
     for r in got:
