@@ -284,6 +284,30 @@ def test_search_equals_brute_force(spark, docs, postings, size, slices):
     assert search.top_k(table.limit(0), F.lit(True)).count() == 0
 
 
+def test_blocks_are_passed_over_for_each_query():
+    """A query alone scores few blocks, queries together the same documents as each alone, and both what a plain sum gives."""
+    rng = np.random.default_rng(5)
+    common, rare = [b"c%d" % i for i in range(200)], [b"r%d" % i for i in range(4000)]
+    topics = [rng.choice(len(common), 12, replace=False) for _ in range(40)]
+    texts = [b" ".join([common[t] for t in rng.choice(topics[i % 40], 30)] + [rare[r] for r in rng.integers(0, len(rare), 6)]) for i in range(4000)]
+    parts = [search._part(n, np.arange(n * 1000, n * 1000 + 1000), texts[n * 1000 : n * 1000 + 1000]).to_pylist()[0] for n in range(4)]
+    shard = search.Index(parts, 36.0)
+    asked = texts[::50]
+    bag = search.Bag(asked)
+    df = np.diff(shard.first)[np.searchsorted(shard.keys, bag.keys)]
+    idf = np.log(1 + (len(texts) - df + 0.5) / (df + 0.5))
+    queries = [(bag.term[bag.doc == q], (bag.tf * idf[bag.term])[bag.doc == q]) for q in range(len(asked))]
+    got = shard.search(bag.keys, queries, 10, [-1.0] * len(queries))
+    assert shard.scored < 0.5 * len(asked) * len(texts)
+    assert all(np.array_equal(a[0], b[0]) for q, b in zip(queries, got) for a in shard.search(bag.keys, [q], 10, [-1.0]))
+    for (place, weight), (ids, scores) in zip(queries, got):
+        shard.weight[np.searchsorted(shard.keys, bag.keys[place])] = weight
+        plain = shard._exact(np.arange(len(texts)))
+        shard.weight[:] = 0
+        best = np.lexsort((shard.ids, -plain))[:10]
+        assert np.array_equal(ids, shard.ids[best]) and np.allclose(scores, plain[best])
+
+
 def test_queries_that_share_an_id(spark):
     rows = [(50, "red fox"), (50, "blue whale"), (50, "red fox"), (1, "a red hen"), (2, "the whale"), (None, "red fox")]
     got = search.top_k(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") == 50, 9).collect()
