@@ -54,6 +54,8 @@ _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 WHOLE = np.uint64(2**64 - 2**8)
 #: Bytes of text that are hashed at once.
 CHUNK = 1 << 16
+#: Keys of a range that are summed at once.
+PIECE = 1 << 19
 
 
 def _powers(n: int) -> np.ndarray:
@@ -288,13 +290,32 @@ def answers(asked: DataFrame) -> DataFrame:
         keys = np.empty(ends[-1], dtype=np.uint64)
         for x, end, c in zip(table.column("keys"), ends.tolist(), counts, strict=True):
             keys[end - len(c) : end] = unpack_sorted(x.as_py())
-        turn = np.argsort(keys, kind="stable").astype(np.int32 if len(keys) < 1 << 31 else np.int64)  # merges the sorted requests
-        keys = keys[turn]
-        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]][: len(keys)])
+        most = sum(int(c.sum(dtype=np.uint64)) for c in counts)
+        told = np.empty(len(keys), dtype=np.uint32 if most < 1 << 32 else np.uint64)
+        n = v = 0
+        pieces = len(keys) // PIECE + 1
+        low, high = (int(keys.min()), int(keys.max())) if len(keys) else (0, 0)
+        bounds = np.array([low + (high - low) * i // pieces for i in range(1, pieces)], dtype=np.uint64)
+        starts = ends - np.array([len(c) for c in counts])
+        cuts = [np.r_[0, np.searchsorted(keys[a:b], bounds), b - a] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        for i in range(pieces):  # a key lies in the same piece of all requests
+            spans = [(a, int(c[i]), int(c[i + 1])) for a, c in zip(starts.tolist(), cuts, strict=True)]
+            part = np.concatenate([keys[a + x : a + y] for a, x, y in spans])
+            if not len(part):
+                continue
+            turn = np.argsort(part, kind="stable")  # merges the sorted requests
+            part = part[turn]
+            first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+            own = np.concatenate([c[x:y] for c, (_, x, y) in zip(counts, spans, strict=True)], dtype=np.uint64, casting="unsafe")
+            totals = np.add.reduceat(own[turn], first)
+            n, v = n + int(totals.sum()), v + int((totals > 0).sum())
+            back = np.empty(len(part), dtype=told.dtype)
+            back[turn] = np.repeat(totals.astype(told.dtype), np.diff(first, append=len(part)))
+            at = 0
+            for a, x, y in spans:
+                told[a + x : a + y] = back[at : at + y - x]
+                at += y - x
         del keys
-        totals = np.add.reduceat(np.concatenate(counts, dtype=np.uint32, casting="unsafe")[turn], first, dtype=np.uint64) if len(first) else np.zeros(0, np.uint64)
-        told = np.empty(len(turn), dtype=np.uint32 if totals.max(initial=0) < 1 << 32 else np.uint64)
-        told[turn] = np.repeat(totals.astype(told.dtype), np.diff(first, append=len(turn)))
         packed = [small(part) for part in np.split(told, ends[:-1])]
         r, k, many = table.column("range")[0].as_py(), table.column("order")[0].as_py(), len(packed)
         single = k == 0
@@ -304,8 +325,8 @@ def answers(asked: DataFrame) -> DataFrame:
                 "range": pa.array([r] * (many + 1), pa.int64()),
                 "order": pa.array([k] * (many + 1), pa.int32()),
                 "totals": pa.array([*packed, None], pa.binary()),
-                "n": pa.array([0] * many + [int(totals.sum()) if single else 0], pa.int64()),
-                "v": pa.array([0] * many + [int((totals > 0).sum()) if single else 0], pa.int64()),
+                "n": pa.array([0] * many + [n if single else 0], pa.int64()),
+                "v": pa.array([0] * many + [v if single else 0], pa.int64()),
             }
         )
 
