@@ -24,13 +24,15 @@ class HostGraph:
     ``nodes(id, name, ...)`` is optional and may carry further columns (features), which
     every operator that keeps the node set hands on. Duplicate edges and self-loops count.
     ``by_dst`` is optional too: the same edges stored by target, where ``edges`` are stored by
-    source, so that what is counted by node is counted where it lies.
+    source, so that what is counted by node is counted where it lies. ``about`` is a bound of
+    the number of edges by which work is dealt out; where there is none, they are counted.
     """
 
     edges: DataFrame
     num_nodes: int
     nodes: DataFrame | None = None
     by_dst: DataFrame | None = None
+    about: int | None = None
 
     @classmethod
     def from_edges(cls, edges: DataFrame, num_nodes: int | None = None, nodes: DataFrame | None = None) -> HostGraph:
@@ -89,8 +91,9 @@ class HostGraph:
 
     def to_undirected(self) -> HostGraph:
         """Edges in both directions, each once; nodes and their columns stay."""
-        pairs = self.edges.select("src", "dst").unionByName(self.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-        return HostGraph(with_ordinal(pairs, ["src", "dst"], "eid"), self.num_nodes, self.nodes)
+        pairs = self.edges.select("src", "dst").unionByName(self.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+        rows = 2 * (self.num_edges() if self.about is None else self.about)
+        return HostGraph(with_ordinal(pairs, ["src", "dst"], "eid", rows=rows, distinct=True), self.num_nodes, self.nodes)
 
     def where_edges(self, keep: Column) -> HostGraph:
         """The kept edges over the same nodes."""
@@ -102,7 +105,7 @@ class HostGraph:
 
     def compacted(self) -> tuple[HostGraph, DataFrame]:
         """Only nodes that occur in edges, renumbered in order; also ``(orig_id, compact_id)``."""
-        ids = with_ordinal(endpoints(self.edges), ["id"], "compact_id").select(F.col("id").alias("orig_id"), "compact_id")
+        ids = with_ordinal(endpoints(self.edges), ["id"], "compact_id", rows=self.num_nodes).select(F.col("id").alias("orig_id"), "compact_id")
         return HostGraph(rekeyed(self.edges, ids), ids.count(), _named(self.nodes, ids)), ids
 
 
@@ -230,7 +233,7 @@ def keep_map(degree: DataFrame, min_degree: int) -> DataFrame:
     """``(orig_id, compact_id)`` of nodes of at least that degree in the full graph, in order of id."""
     if min_degree < 1:
         raise ValueError("min_degree must be at least 1")
-    kept = degree.where(F.col("degree") >= min_degree).select(F.col("id").alias("orig_id"))
+    kept = cut(degree.where(F.col("degree") >= min_degree).select(F.col("id").alias("orig_id")), "kept")
     return with_ordinal(kept, ["orig_id"], "compact_id").select("orig_id", "compact_id")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hostweave.functions.identity import host_key
 from hostweave.operators.graph import HostGraph
-from hostweave.operators.ordinals import with_ordinal
+from hostweave.operators.ordinals import tasks_for, with_ordinal
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,21 +19,24 @@ def num_nodes(spark: SparkSession, sf_dir: str) -> int:
 
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer to part, one link for each line item; no ordinals."""
+    """Customer to part, one link for each line item; no ordinals. Large tables are joined in more tasks."""
     items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    tasks = tasks_for(spark, items.count())
+    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        items, orders = (rows.repartition(tasks, "l_orderkey") for rows in (items, orders))
     return items.join(orders, "l_orderkey").select("l_orderkey", "l_linenumber", F.col("o_custkey").alias("src"), F.col("l_partkey").alias("dst"))
 
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(eid, src, dst)`` with ordinals by order, part and line."""
-    return with_ordinal(links(spark, sf_dir), ["l_orderkey", "dst", "l_linenumber"], "eid").select("eid", "src", "dst")
+    return with_ordinal(links(spark, sf_dir), ["l_orderkey", "dst", "l_linenumber"], "eid", rows=table(spark, sf_dir, "lineitem").count()).select("eid", "src", "dst")
 
 
 def graph(spark: SparkSession, sf_dir: str, ordered: bool = True) -> HostGraph:
     """``ordered=False`` for work in which edge ordinals play no part."""
     found = edges(spark, sf_dir) if ordered else links(spark, sf_dir).select(F.lit(0).cast("long").alias("eid"), "src", "dst")
-    return HostGraph(found, num_nodes(spark, sf_dir))
+    return HostGraph(found, num_nodes(spark, sf_dir), about=table(spark, sf_dir, "lineitem").count())
 
 
 def reversed_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
