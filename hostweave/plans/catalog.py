@@ -356,19 +356,19 @@ def split_round_trip(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _edge_shards(spark: SparkSession, d: str, sep: str = "\t", compression: str = "gzip") -> str:
-    """The derived edges as two text shards in order of their ordinals."""
+    """The derived edges as two text shards, or more if there are many, in order of their ordinals."""
     folder = scratch.new_path(spark, "edge-shards")
     shards.write_lines(derived.edges(spark, d), folder, "eid", F.concat_ws(sep, "src", "dst"), 2, compression)
     return folder
 
 
 def shard_edges(spark: SparkSession, d: str) -> DataFrame:
-    """Edges as they are read, with their ordinals, from two compressed shards."""
+    """Edges as they are read, with their ordinals, from compressed shards."""
     return shards.read_edges(spark, _edge_shards(spark, d))
 
 
 def shard_edges_lenient(spark: SparkSession, d: str) -> DataFrame:
-    """The first 1000 edges of two plain shards with any white space between fields."""
+    """The first 1000 edges of plain shards with any white space between fields."""
     return shards.read_edges(spark, _edge_shards(spark, d, " \t ", "none"), lenient=True, max_edges=1000)
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from hostweave.operators.ordinals import TASK_ROWS
 from hostweave.sources.scratch import cut
 
 
@@ -125,5 +126,10 @@ def read_edges_unordered(spark: SparkSession, spec: str | Sequence[str]) -> Data
 
 
 def write_lines(rows: DataFrame, folder: str, order: str, line: Column, files: int = 2, compression: str = "gzip") -> None:
-    """A line for each row, in the order of a column over all files."""
+    """A line for each row, in the order of a column over all files.
+
+    There are ``files`` of them, or as many more as leave ``TASK_ROWS`` to each: a file is one
+    task's sort, and if it is compressed also one task's read.
+    """
+    files = max(files, -(-rows.count() // TASK_ROWS))
     rows.repartitionByRange(files, order).sortWithinPartitions(order).select(line.alias("value")).write.mode("overwrite").option("compression", compression).text(folder)

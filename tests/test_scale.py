@@ -22,3 +22,12 @@ def test_ranges_follow_the_rows(spark, monkeypatch):
     assert rows == [(i, *p) for i, p in enumerate(want)]
     files = both.inputFiles()
     assert len(files) > 20 and ordinals.tasks_for(spark, 1000) == 20 and ordinals.tasks_for(spark, 10) == 4
+
+
+def test_shards_follow_the_rows(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(shards, "TASK_ROWS", 50)
+    folder = f"file://{tmp_path}/shards"
+    shards.write_lines(edges_of(spark, 500), folder, "eid", F.concat_ws("\t", "src", "dst"))
+    assert len(shards.resolve(spark, folder)) == 10
+    got = shards.read_edges(spark, folder).orderBy("eid").collect()
+    assert got == edges_of(spark, 500).orderBy("eid").collect()
