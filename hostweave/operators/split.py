@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hostweave.functions.hashing import SEED_STEP, eval_keep, hash_mod, keep_fraction, split_bucket, split_name
 from hostweave.operators.ordinals import slice_of, with_ordinal
+from hostweave.sources.scratch import cut
 
 
 @dataclass(frozen=True)
@@ -35,21 +36,30 @@ def assigned(edges: DataFrame, seed: int = 42) -> DataFrame:
     return edges.withColumn("bucket", split_bucket(F.col("eid"), seed)).withColumn("split", split_name(F.col("eid"), seed))
 
 
-def bounded(split_edges: DataFrame, total: int, seed: int = 42, cap: int = 2_000_000) -> DataFrame:
-    """Drops held-out edges beyond the sample of about 1.5 times the cap; training edges stay."""
+def _kept(total: int, seed: int, cap: int) -> Column:
     share = keep_fraction(total, cap)
     keep = F.col("split") == "train"
     for name, step in SEED_STEP.items():
         keep = keep | (F.col("split") == name) & eval_keep(F.col("eid"), share, seed + step)
-    return split_edges.where(keep)
+    return keep
+
+
+def bounded(split_edges: DataFrame, total: int, seed: int = 42, cap: int = 2_000_000) -> DataFrame:
+    """Drops held-out edges beyond the sample of about 1.5 times the cap; training edges stay."""
+    return split_edges.where(_kept(total, seed, cap))
 
 
 def split_edges(edges: DataFrame, num_nodes: int, seed: int = 42, eval_edges: int = 2_000_000, max_edges: int = 0) -> Split:
-    """Hash split, held-out sample and training ordinals."""
+    """Hash split, held-out sample and training ordinals.
+
+    Hashes are taken once, as the marked edges are written: filters over hashes, which each
+    reader would repeat, become methods too long to be compiled.
+    """
     used = edges if max_edges <= 0 else edges.where(F.col("eid") < max_edges)
     n = used.count()
-    parts = bounded(assigned(used, seed), n, seed, eval_edges)
-    train = with_ordinal(parts.where("split = 'train'"), ["eid"], "train_ordinal")
+    marked = cut(assigned(used, seed).withColumn("_hw_kept", _kept(n, seed, eval_edges)), "marked")
+    parts = marked.where("_hw_kept").drop("_hw_kept")
+    train = with_ordinal(parts.where("split = 'train'"), ["eid"], "train_ordinal", rows=n)
     rest = parts.where("split <> 'train'").withColumn("train_ordinal", F.lit(None).cast("long"))
     return Split(train.unionByName(rest), num_nodes, n, seed, eval_edges)
 
@@ -112,19 +122,23 @@ def permutation_split(edges: DataFrame, seed: int = 42) -> DataFrame:
     return marked.withColumn("split", name).drop("_hw_mark", "place")
 
 
+def batched(edges: DataFrame, batch_size: int, epoch: int = 0, seed: int = 42) -> DataFrame:
+    """``(batch, eid, src, dst)``: edges of full batches in a hash order of the epoch."""
+    order = hash_mod(F.col("eid"), seed + epoch, 1 << 39)
+    placed = with_ordinal(edges.select("eid", "src", "dst", order.alias("mark")), ["mark", "eid"], "place")
+    n = placed.count()
+    return placed.withColumn("batch", F.floor(F.col("place") / batch_size)).where(F.col("batch") < n // batch_size).select("batch", "eid", "src", "dst")
+
+
 def minibatches(edges: DataFrame, batch_size: int, epoch: int = 0, seed: int = 42) -> DataFrame:
-    """Edges of full batches in a hash order of the epoch, with batch-local endpoint numbers.
+    """Those edges with batch-local endpoint numbers.
 
     ``local_src`` and ``local_dst`` are places among the batch's sorted, distinct ends. Both
     ends are rows of one set, ranked within the batch and folded back where they are, so
     after the edges' placing there is one exchange, by batch.
     """
-    order = hash_mod(F.col("eid"), seed + epoch, 1 << 39)
-    placed = with_ordinal(edges.select("eid", "src", "dst", order.alias("mark")), ["mark", "eid"], "place")
-    n = placed.count()
-    batched = placed.withColumn("batch", F.floor(F.col("place") / batch_size)).where(F.col("batch") < n // batch_size).drop("mark", "place")
     sides = F.array(F.struct(F.lit(0).alias("end"), F.col("src").alias("id")), F.struct(F.lit(1).alias("end"), F.col("dst").alias("id")))
-    ends = batched.select("batch", "eid", "src", "dst", F.explode(sides).alias("x")).select("batch", "eid", "src", "dst", "x.*")
+    ends = batched(edges, batch_size, epoch, seed).select("batch", "eid", "src", "dst", F.explode(sides).alias("x")).select("batch", "eid", "src", "dst", "x.*")
     numbered = ends.withColumn("local", F.dense_rank().over(Window.partitionBy("batch").orderBy("id")) - 1)
     local = lambda end: F.max(F.when(F.col("end") == end, F.col("local")))
     return numbered.groupBy("batch", "eid", "src", "dst").agg(local(0).alias("local_src"), local(1).alias("local_dst"))

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hostweave.operators.graph import HostGraph
+from hostweave.operators.ordinals import tasks_for
 from hostweave.operators.releases import RECORD, check_crawls
 from hostweave.operators.split import Split
 
@@ -78,9 +79,9 @@ def save_graph(graph: HostGraph, folder: str, buckets: int = 0, **provenance: An
             rows.write.format("parquet").mode("overwrite").bucketBy(buckets, key).sortBy("eid").option("path", f"{folder}/edges-by-{key}").saveAsTable(name)
             spark.sql(f"DROP TABLE {name}")  # its files stay
     else:
-        graph.edges.repartitionByRange("eid").sortWithinPartitions("eid").write.mode("overwrite").parquet(f"{folder}/edges")
+        graph.edges.repartitionByRange(tasks_for(spark, graph.num_edges() if graph.about is None else graph.about), "eid").sortWithinPartitions("eid").write.mode("overwrite").parquet(f"{folder}/edges")
     if graph.nodes is not None:
-        graph.nodes.repartitionByRange("id").sortWithinPartitions("id").write.mode("overwrite").parquet(f"{folder}/nodes")
+        graph.nodes.repartitionByRange(tasks_for(spark, graph.num_nodes), "id").sortWithinPartitions("id").write.mode("overwrite").parquet(f"{folder}/nodes")
     stored = spark.read.parquet(f"{folder}/edges-by-src" if buckets else f"{folder}/edges")
     meta = {"num_nodes": graph.num_nodes, "num_edges": stored.count(), "has_nodes": graph.nodes is not None, "buckets": buckets, **provenance}
     write_document(spark, f"{folder}/meta.json", meta)
@@ -104,7 +105,7 @@ def save_split(split: Split, folder: str) -> dict:
     """
     spark = split.edges.sparkSession
     order = ["split", "train_ordinal", "eid"]
-    split.edges.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("split").parquet(f"{folder}/edges")
+    split.edges.repartitionByRange(tasks_for(spark, split.num_edges), *order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("split").parquet(f"{folder}/edges")
     stored = Split(spark.read.parquet(f"{folder}/edges"), split.num_nodes, split.num_edges, split.seed, split.eval_edges)
     meta = stored.meta()
     write_document(spark, f"{folder}/split_meta.json", meta)
