@@ -273,7 +273,7 @@ def lr_schedule(spark: SparkSession, d: str) -> DataFrame:
 def _batch_losses(spark: SparkSession, d: str) -> DataFrame:
     train = split.assigned(derived.edges(spark, d), SEED).where("split = 'train'")
     table = losses.initial_vectors(spark, derived.num_nodes(spark, d), 8, SEED)
-    return losses.batch_losses(split.minibatches(train, BATCH, 1, SEED), table, 3, SEED)
+    return losses.batch_losses(split.batched(train, BATCH, 1, SEED), table, 3, SEED)
 
 
 def batch_losses(spark: SparkSession, d: str) -> DataFrame:

@@ -41,3 +41,24 @@ def test_split_hashes_are_taken_once(spark):
         assert "shiftright" not in plan and parts.part(name).count()
     want = split.bounded(split.assigned(edges_of(spark, 3000)), 3000, 42, 20)
     assert sorted(r["eid"] for r in parts.edges.collect()) == sorted(r["eid"] for r in want.collect())
+
+
+@pytest.mark.parametrize("rows", [10, 1 << 20])
+def test_batch_losses_move_each_end_once(spark, monkeypatch, rows):
+    monkeypatch.setattr(ordinals, "TASK_ROWS", rows)
+    batches = split.batched(edges_of(spark, 200), 64)
+    table = losses.initial_vectors(spark, 40, 4)
+    out = losses.batch_losses(batches, table, 3)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") <= 3
+    vectors = {r["id"]: np.array(r["embedding"], dtype=float) for r in table.collect()}
+    own = {}
+    for r in batches.collect():
+        own.setdefault(r["batch"], []).append(r)
+    for r in out.collect():
+        some = own.pop(r["batch"])
+        ids = sorted({x for e in some for x in (e["src"], e["dst"])})
+        draws = [(e, ids[(e["eid"] * 3 + k + 42) * 0x9E3779B97F4A7C15 % 2**64 % len(ids)]) for e in some for k in range(3)]
+        pos = np.mean([np.logaddexp(0, -vectors[e["src"]] @ vectors[e["dst"]]) for e in some])
+        neg = np.mean([np.logaddexp(0, vectors[e["src"]] @ vectors[i]) for e, i in draws])
+        assert r["n"] == len(some) == 64 and abs(r["loss"] - pos - neg) < 1e-9
+    assert not own
