@@ -193,9 +193,9 @@ def streamed_release_index(spark: SparkSession, d: str) -> DataFrame:
     found = derived.releases(spark, d)
     for i in (0, 2, 1):
         name, rows = found[i]
-        rows.select("host_key", F.lit(i).alias("seq"), F.lit(name).alias("release"), F.col("local_node_id").cast("long").alias("local_node_id")).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    updates = release_stream.sightings(release_stream.release_stream(spark, f"{folder}/in"))
-    release_stream.stored_updates(updates, f"{folder}/updates", f"{folder}/checkpoint")
+        rows.select("host_key", F.lit(i).alias("seq"), F.lit(name).alias("release"), F.col("local_node_id").cast("long").alias("local_node_id")).write.mode("append").parquet(f"{folder}/in")
+        updates = release_stream.sightings(release_stream.release_stream(spark, f"{folder}/in", files=1 << 16))
+        release_stream.stored_updates(updates, f"{folder}/updates", f"{folder}/checkpoint")  # goes on where it stopped
     return _flat_index(release_stream.as_of(spark.read.parquet(f"{folder}/updates"), 2))
 
 

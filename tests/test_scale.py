@@ -62,3 +62,14 @@ def test_batch_losses_move_each_end_once(spark, monkeypatch, rows):
         neg = np.mean([np.logaddexp(0, vectors[e["src"]] @ vectors[i]) for e, i in draws])
         assert r["n"] == len(some) == 64 and abs(r["loss"] - pos - neg) < 1e-9
     assert not own
+
+
+def test_lifecycles_call_no_python_a_host(spark, tmp_path):
+    """A release of several files arrives in one micro-batch; one that comes again replaces itself."""
+    for rows in ([("a", 0, "r0", 9), ("b", 0, "r0", 2)], [("a", 2, "r2", 4)], [("a", 0, "r0", 1)]):
+        spark.createDataFrame(rows, releases.ARRIVAL).repartition(2).write.mode("append").parquet(f"{tmp_path}/in")
+        found = releases.sightings(releases.release_stream(spark, f"{tmp_path}/in", files=100))
+        assert "Pandas" not in found._jdf.queryExecution().logical().toString()
+        releases.stored_updates(found, f"{tmp_path}/updates", f"{tmp_path}/checkpoint")
+    got = {r["host_key"]: (r["local_node_ids"], r["state"]) for r in releases.as_of(spark.read.parquet(f"{tmp_path}/updates"), 2).collect()}
+    assert got["a"] == ({"r0": 1, "r2": 4}, "reappeared") and got["b"][0] == {"r0": 2}
