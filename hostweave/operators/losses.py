@@ -46,7 +46,7 @@ def batch_losses(batches: DataFrame, vectors: DataFrame, train_neg: int, seed: i
         asked, held = asked.repartition(tasks, "id"), held.repartition(tasks, "id")
     none = F.lit(None).cast("long")
     sent = asked.join(held, "id").select("batch", F.lit(0).alias("side"), "id", none.alias("src"), none.alias("dst"), "embedding")
-    edges = batches.select("batch", F.lit(1).alias("side"), F.col("eid").alias("id"), "src", "dst", F.lit(None).cast(held.schema["embedding"].dataType).alias("embedding"))
+    edges = batches.select("batch", F.lit(1).alias("side"), F.col("eid").alias("id"), "src", "dst", F.array().cast(held.schema["embedding"].dataType).alias("embedding"))
 
     def loss(key: int, nodes: list[pa.RecordBatch], rows: list[pa.RecordBatch]) -> pa.RecordBatch:
         column = lambda parts, name: np.concatenate([p.column(name).to_numpy(zero_copy_only=False) for p in parts])

@@ -1,11 +1,12 @@
 """Shallow link-prediction embeddings by block training.
 
 Ids fall into blocks by modulus; edges into buckets by the blocks of their two ends.
-An epoch goes through rounds of disjoint buckets (no block occurs twice in a round), and
+An epoch goes through rounds of disjoint buckets (each block occurs once in a round), and
 a round is one Arrow job: a task gets a bucket's one or two blocks of vectors with Adam
 moments, takes sparse steps over mini-batches of the bucket's edges as they stream by, and
-returns the blocks. How many blocks there are follows from the table's size, unless it is
-configured. State between rounds is a written table, so a lost executor costs one round
+returns the blocks. How many blocks there are follows from the numbers of nodes and edges,
+unless it is configured: a bucket's vectors and edges are both bounded, so larger graphs keep
+more tasks busy. Edges are written once, by round, and a round reads its own. State between rounds is a written table, so a lost executor costs one round
 and a stopped run resumes at the last epoch.
 """
 
@@ -68,11 +69,15 @@ def binary_loss(scores: np.ndarray, labels: np.ndarray) -> float:
 STATE = "id long, embedding array<float>, m array<float>, v array<float>"
 #: Bytes of a vector's entry with both moments, and of the vectors that a task holds at most.
 ENTRY_BYTES, TASK_BYTES = 12, 512 << 20
+#: Bits of a row's place within its bucket's vectors or edges: an id, or an edge's hash.
+PLACE_BITS = 47
+#: Edges of a bucket, which one task takes after the other, on average at most.
+BUCKET_EDGES = 1 << 21
 
 
-def block_count(num_nodes: int, config: Config) -> int:
-    """The configured number of blocks, or else as many as keep two of them within a task's bytes."""
-    return config.blocks or max(1, -(-2 * num_nodes * config.dim * ENTRY_BYTES // TASK_BYTES))
+def block_count(num_nodes: int, config: Config, edges: int = 0) -> int:
+    """The configured number of blocks, or else as many as keep two of them within a task's bytes, and a bucket's edges within their bound."""
+    return config.blocks or max(1, -(-2 * num_nodes * config.dim * ENTRY_BYTES // TASK_BYTES), math.ceil(math.sqrt(2 * edges / BUCKET_EDGES)) if edges > BUCKET_EDGES else 1)
 
 
 def initial(spark: SparkSession, num_nodes: int, config: Config) -> DataFrame:
@@ -82,19 +87,15 @@ def initial(spark: SparkSession, num_nodes: int, config: Config) -> DataFrame:
 
 
 def rounds(blocks: int) -> list[list[tuple[int, int]]]:
-    """Unordered block pairs in rounds that use no block twice."""
-    left = [(a, b) for a in range(blocks) for b in range(a, blocks)]
-    out = []
-    while left:
-        used: set[int] = set()
-        now = []
-        for pair in left:
-            if not used & set(pair):
-                now.append(pair)
-                used |= set(pair)
-        left = [p for p in left if p not in now]
-        out.append(now)
-    return out
+    """Unordered block pairs in as many rounds as blocks: those of one sum modulo that number, so a block has one partner in each."""
+    return [[(a, (k - a) % blocks) for a in range(blocks) if a <= (k - a) % blocks] for k in range(blocks)]
+
+
+def summed(index: np.ndarray, rows: np.ndarray, size: int, room: np.ndarray | None = None) -> np.ndarray:
+    """Sums of the rows of each index from 0 to ``size`` - 1, each of which occurs; ``room`` is overwritten."""
+    order = np.argsort(index.astype(np.uint16 if size <= 1 << 16 else np.int64), kind="stable")
+    turned = np.take(rows, order, axis=0, out=room, mode="clip")
+    return np.add.reduceat(turned, np.searchsorted(index[order], np.arange(size)), axis=0)
 
 
 class Block:
@@ -103,6 +104,9 @@ class Block:
     def __init__(self, ids: np.ndarray, table: np.ndarray, m: np.ndarray, v: np.ndarray, step: int, lr: float, config: Config, seed: int) -> None:
         self.ids, self.table, self.m, self.v, self.step, self.lr, self.config = ids, table, m, v, step, lr, config
         self.rng, self.loss, self.seen = np.random.default_rng(seed), 0.0, 0
+        # every step's large arrays, allocated once
+        k, dim = config.train_neg, table.shape[1]
+        self.far, self.rows, self.room = (np.empty(s, table.dtype) for s in ((config.batch, k, dim), (config.batch * (k + 2), dim), (config.batch * (k + 2), dim)))
 
     def take(self, src: np.ndarray, dst: np.ndarray) -> None:
         """One sparse step over a mini-batch of edges."""
@@ -115,14 +119,15 @@ class Block:
             ends, back = np.unique(np.concatenate([ends, drawn.ravel()]), return_inverse=True)
             a, b, drawn = back[a], back[b], back[len(back) - drawn.size :].reshape(drawn.shape)
         x = self.table[ends]
-        pos, neg = np.einsum("ij,ij->i", x[a], x[b]), np.einsum("ij,ikj->ik", x[a], x[drawn])
+        far = np.take(x, drawn, axis=0, out=self.far[:n], mode="clip")
+        pos, neg = np.einsum("ij,ij->i", x[a], x[b]), np.einsum("ij,ikj->ik", x[a], far)
         self.loss, self.seen, self.step = self.loss + inbatch_loss(pos, neg) * n, self.seen + n, self.step + 1
         gp = -1 / (1 + np.exp(np.clip(pos, -30, 30))) / n
         gn = 1 / (1 + np.exp(-np.clip(neg, -30, 30))) / neg.size
-        grad = np.zeros_like(x)
-        np.add.at(grad, a, gp[:, None] * x[b] + np.einsum("ik,ikj->ij", gn, x[drawn]))
-        np.add.at(grad, b, gp[:, None] * x[a])
-        np.add.at(grad, drawn.ravel(), (gn[..., None] * x[a][:, None]).reshape(-1, x.shape[1]))
+        rows = self.rows[: n * (config.train_neg + 2)]
+        rows[:n], rows[n : 2 * n] = gp[:, None] * x[b] + np.einsum("ik,ikj->ij", gn, far), gp[:, None] * x[a]
+        np.multiply(gn[..., None], x[a][:, None], out=rows[2 * n :].reshape(far.shape), casting="same_kind")
+        grad = summed(np.concatenate([a, b, drawn.ravel()]), rows, len(x), self.room[: len(rows)])
         self.m[ends] = 0.9 * self.m[ends] + 0.1 * grad
         self.v[ends] = 0.999 * self.v[ends] + 0.001 * grad**2
         self.table[ends] -= self.lr * (self.m[ends] / (1 - 0.9**self.step)) / (np.sqrt(self.v[ends] / (1 - 0.999**self.step)) + 1e-8)
@@ -140,7 +145,8 @@ def _round(edges: DataFrame, state: DataFrame, pairs: list[tuple[int, int]], blo
     low, high = F.least(F.col("src") % blocks, F.col("dst") % blocks).cast("int"), F.greatest(F.col("src") % blocks, F.col("dst") % blocks).cast("int")
     there = F.try_element_at(named, low)
     chosen = (there == F.try_element_at(named, high)) & (F.element_at(F.array(*[F.lit(a != b) for a, b in pairs]), there + 1) == (low != high))
-    none, order = F.lit(None).cast("array<float>"), F.xxhash64(F.lit(seed), "src", "dst", "eid")
+    # empty, not null: of null lists, Arrow's writer fills all places again for each row that it sizes up
+    none, order = F.array().cast("array<float>"), F.xxhash64(F.lit(seed), "src", "dst", "eid").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
     use = edges.where(chosen).select(there.alias("bucket"), F.lit(1).alias("side"), order.alias("mark"), F.col("src").alias("id"), "dst", none.alias("embedding"), none.alias("m"), none.alias("v"))
     held = state.select(F.try_element_at(named, (F.col("id") % blocks).cast("int")).alias("bucket"), F.lit(0).alias("side"), F.col("id").alias("mark"), "id", F.lit(0).cast("long").alias("dst"), "embedding", "m", "v").where("bucket IS NOT NULL")
     kind = pa.list_(pa.float32())
@@ -196,7 +202,9 @@ def _round(edges: DataFrame, state: DataFrame, pairs: list[tuple[int, int]], blo
         yield from ended()
 
     rows = held.unionByName(use)
-    return rows.repartition("bucket").sortWithinPartitions("bucket", "side", "mark").mapInArrow(run, STATE + ", loss double, n long, step long")
+    turn = ((F.col("bucket") * 2 + F.col("side")).cast("long") * (1 << PLACE_BITS) + F.col("mark")).alias("turn")  # one number, which Spark sorts by its digits
+    dealt = rows.repartitionById(len(pairs), F.col("bucket")).select("*", turn).sortWithinPartitions("turn")
+    return dealt.mapInArrow(run, STATE + ", loss double, n long, step long")
 
 
 def train_embeddings(edges: DataFrame, num_nodes: int, config: Config, folder: str, validation: DataFrame | None = None, stop: Callable[[], bool] | None = None) -> tuple[DataFrame, list[dict]]:
@@ -206,8 +214,12 @@ def train_embeddings(edges: DataFrame, num_nodes: int, config: Config, folder: s
     file names it, and a call with the same folder goes on after the last one named. Rounds'
     tables, each of the blocks that it trained, go once nothing reads them.
     """
-    spark, blocks = edges.sparkSession, block_count(num_nodes, config)
+    spark = edges.sparkSession
     used = edges if config.max_edges <= 0 else edges.where(F.col("eid") < config.max_edges)
+    blocks = block_count(num_nodes, config, used.count())
+    meets = (F.pmod("src", F.lit(blocks)) + F.pmod("dst", F.lit(blocks))) % blocks
+    used.select("eid", "src", "dst", meets.cast("int").alias("round")).write.mode("overwrite").partitionBy("round").parquet(f"{folder}/edges")
+    used = spark.read.schema("eid long, src long, dst long, round int").parquet(f"{folder}/edges")
     history = read_pointer(spark, folder)
     if history and history[-1]["config"] != asdict(config):
         raise ValueError("the folder holds a run of another configuration")
@@ -231,7 +243,7 @@ def train_embeddings(edges: DataFrame, num_nodes: int, config: Config, folder: s
         written: dict[str, None] = {}
         for k, pairs in enumerate(rounds(blocks)):
             path = f"{folder}/epoch-{epoch}-round-{k}"
-            _round(used, state, pairs, blocks, config, lr, config.seed + 1000 * epoch + k, step).write.mode("overwrite").parquet(path)
+            _round(used.where(F.col("round") == k), state, pairs, blocks, config, lr, config.seed + 1000 * epoch + k, step).write.mode("overwrite").parquet(path)
             done = spark.read.schema(STATE + ", loss double, n long, step long").parquet(path)
             got = done.agg(F.sum("loss"), F.sum("n"), F.max("step")).first()
             step = max(step, got[2] or 0)  # Adam's bias correction goes on from the steps that were taken

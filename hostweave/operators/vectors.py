@@ -55,7 +55,7 @@ def ranked(positives: DataFrame, vectors: DataFrame, num_nodes: int, negatives:
     asked = edges.select("batch", F.explode(F.concat(F.array("src", "dst"), drawn)).alias("id")).distinct()
     sent = asked.join(vectors.select(F.col("id").cast("long").alias("id"), F.transform("embedding", lambda x: x.cast("double")).alias("v")).where("v IS NOT NULL"), "id")
     none = F.lit(None).cast("long")
-    rows = sent.select("batch", F.lit(0).alias("side"), "id", none.alias("src"), none.alias("dst"), "v").unionByName(edges.select("batch", F.lit(1).alias("side"), F.col("eid").alias("id"), "src", "dst", F.lit(None).cast("array<double>").alias("v")))
+    rows = sent.select("batch", F.lit(0).alias("side"), "id", none.alias("src"), none.alias("dst"), "v").unionByName(edges.select("batch", F.lit(1).alias("side"), F.col("eid").alias("id"), "src", "dst", F.array().cast("array<double>").alias("v")))
 
     def score(ids: np.ndarray, table: np.ndarray, eid: np.ndarray, src: np.ndarray, dst: np.ndarray) -> pa.RecordBatch:
         place = lambda x: np.minimum(np.searchsorted(ids, x), len(ids) - 1)

@@ -75,3 +75,34 @@ def test_running_degrees(spark, tmp_path):
     query.stop()
     got = {r["id"]: (r["in_degree"], r["out_degree"], r["degree"]) for r in spark.sql("SELECT * FROM deg").collect()}
     assert got == {0: (0, 2, 2), 1: (2, 1, 3), 2: (1, 0, 1)}
+
+
+def test_many_edges_make_many_buckets(spark, tmp_path, monkeypatch):
+    """Buckets are bounded by edges too; each round keeps every block busy; each edge is seen once an epoch."""
+    assert t.block_count(1000, t.Config(dim=16), 173_000_000) >= 9
+    assert [len(r) for r in t.rounds(8)] == [5, 4] * 4 and [len(r) for r in t.rounds(7)] == [4] * 7
+    monkeypatch.setattr(t, "BUCKET_EDGES", 100)
+    rng = np.random.default_rng(5)
+    edges = spark.createDataFrame([(i, int(a), int(b)) for i, (a, b) in enumerate(rng.integers(0, 60, (600, 2)))], "eid long, src long, dst long")
+    seen = []
+    real = t._round
+    monkeypatch.setattr(t, "_round", lambda e, s, pairs, *rest: (seen.append((e.count(), len(pairs))), real(e, s, pairs, *rest))[1])
+    table, _ = t.train_embeddings(edges, 60, t.Config(dim=4, epochs=1, batch=32, train_neg=2), f"file://{tmp_path}/run")
+    assert len(seen) == 4 and sum(n for n, _ in seen) == 600 and table.count() == 60
+
+
+def test_sums_by_index():
+    rng = np.random.default_rng(6)
+    index, rows = np.concatenate([np.arange(50), rng.integers(0, 50, 300)]), rng.normal(size=(350, 3))
+    want = np.zeros((50, 3))
+    np.add.at(want, index, rows)
+    assert np.abs(t.summed(index, rows, 50) - want).max() < 1e-12
+
+
+def test_a_round_sends_no_null_lists(spark, monkeypatch):
+    """Sizing up null lists row by row took five times as long as the training itself."""
+    sent = []
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", lambda self, f, schema: sent.append(self) or self)
+    edges = spark.range(50).selectExpr("id AS eid", "id AS src", "id + 1 AS dst")
+    t._round(edges, t.initial(spark, 60, t.Config(dim=4)), [(0, 0)], 1, t.Config(dim=4), 0.1, 1, 0)
+    assert sent[0].where("embedding IS NULL OR m IS NULL OR v IS NULL").count() == 0 and sent[0].count() == 110
