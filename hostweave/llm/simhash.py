@@ -12,8 +12,9 @@ Exact copies collapse to one fingerprint before any lookup. Within a table value
 spanning forest of the verified links is emitted (never all pairs of a group), and the
 forests are merged by distributed star contraction.
 
-``deduplicated``, the pipeline's stage, finds candidates by min-hash keys instead and links
-only pairs whose shingle sets are similar enough, computed exactly.
+``deduplicated``, the pipeline's stage, takes the components of these links as groups of
+candidates, adds groups by min-hash keys, and links only pairs whose shingle sets are similar
+enough, computed exactly.
 
 Defined results: null or wordless text has fingerprint zero, which links like any other;
 repeated rows get the same component; null ids are kept (a component whose ids are all
@@ -414,7 +415,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     The row with the least id stays (null ids last; of rows with one id and different texts, that of the
     least text hash; of rows alike in both, any one). Two texts are linked when the sets
     of their ``width``-word shingles share ``least`` or more, which is always computed from
-    the texts. Compared are texts that agree in one of ``bands`` min-hash keys: with the
+    the texts. Compared are texts whose SimHash fingerprints are linked, directly or through others (by
+    multi-index hashing, as in ``near_duplicates``), and texts that agree in one of ``bands`` min-hash keys: with the
     defaults a pair at 0.8 meets with probability 0.9999, and one at 0.5 in about half of
     all cases. Texts without a word are alike. Very long texts are compared whole. An empty
     table stays one; columns of any name pass through.
@@ -428,14 +430,18 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         sets = [shingles(t, width, seed) for t in raw(batch, "text")]
         whole = np.array([divmod(xxhash.xxh3_128_intdigest(x.tobytes()), 2**64) for x in sets], dtype=np.uint64).reshape(-1, 2).view(np.int64)
         found = [band_keys(x, bands, size, seed).view(np.int64) if len(x) else [] for x in sets]
+        marks = _columns([simhash(t, seed=seed) for t in raw(batch, "text")], 1)
         octets = pa.array([len(t) for t in raw(batch, "text")], pa.int64())
-        return pa.record_batch([*batch.columns[:2], *(pa.array(np.ascontiguousarray(whole[:, k])) for k in (0, 1)), pa.array(found, pa.list_(pa.int64())), octets], ["id", "hash", "fp", "fp2", "bands", "size"])
+        return pa.record_batch([*batch.columns[:2], *(pa.array(np.ascontiguousarray(whole[:, k])) for k in (0, 1)), pa.array(found, pa.list_(pa.int64())), octets, *marks], ["id", "hash", "fp", "fp2", "bands", "size", "mark"])
 
     text_hash = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    hashed = map_batches(docs.select(F.col(id_col).alias("id"), text_hash.alias("hash"), F.col(text_col).alias("text")), one, f"id {docs.schema[id_col].dataType.simpleString()}, hash long, fp long, fp2 long, bands array<long>, size long")
+    hashed = map_batches(docs.select(F.col(id_col).alias("id"), text_hash.alias("hash"), F.col(text_col).alias("text")), one, f"id {docs.schema[id_col].dataType.simpleString()}, hash long, fp long, fp2 long, bands array<long>, size long, mark long")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "hash"))
-    keys = cut(hashed.groupBy("fp", "fp2").agg(first.alias("first"), F.min("bands").alias("bands"), F.max("size").alias("size")).withColumn("node", F.monotonically_increasing_id()), "shingled")
-    groups = cut(candidates(keys), "candidates")
+    keys = cut(hashed.groupBy("fp", "fp2").agg(first.alias("first"), F.min("bands").alias("bands"), F.max("size").alias("size"), F.min("mark").alias("mark")).withColumn("node", F.monotonically_increasing_id()), "shingled")
+    marked = keys.where(F.size("bands") > 0)  # texts with a word
+    linked = components(find_links(marked.select(F.col("mark").alias("fp")).distinct())).withColumnsRenamed({"node": "mark"})
+    met_by = F.concat("bands", F.array(F.coalesce("root", "mark")))
+    groups = cut(candidates(marked.join(linked, "mark", "left").select("node", met_by.alias("bands"), "size")), "candidates")
     kind = f"struct<id: {docs.schema[id_col].dataType.simpleString()}, hash: bigint>"  # both sides' fields may be null, else Spark deals the sides out by a cast of one
     key = lambda i, h: F.struct(i.alias("id"), h.alias("hash")).cast(kind).alias("_hw_key")  # noqa: E731  a null within a struct equals another
     mine, of_first = key(F.col(id_col), text_hash), key(F.col("first.id"), F.col("first.hash"))

@@ -148,3 +148,16 @@ def test_large_groups_link_as_all_pairs_do(spark, chunk, most):
     members = groups.join(spark.createDataFrame(list(enumerate(texts)), "node long, text string"), "node")
     found = {r["node"]: r["root"] for r in s.components(s.verified(members, 5, 42, 0.8)).collect()}
     assert [found.get(i, i) for i in range(40)] == root
+
+
+def test_linked_fingerprints_are_candidates(spark, monkeypatch):
+    """Near copies are found by their fingerprints where no min-hash key brings them together."""
+    seen = []
+    real = s.find_links
+    monkeypatch.setattr(s, "find_links", lambda *a, **k: (seen.append(1), real(*a, **k))[1])
+    apart = iter(range(1 << 40))
+    monkeypatch.setattr(s, "band_keys", lambda found, bands, size, seed=42: np.array([next(apart)], dtype=np.uint64))
+    long = " ".join(f"word{i * 7919 % 1009}" for i in range(3000))
+    rows = [(1, long), (2, long + " end"), (3, " ".join(f"other{i * 31 % 997}" for i in range(900))), (4, None), (5, "")]
+    out = s.deduplicated(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1))
+    assert sorted(r["doc_id"] for r in out.collect()) == [1, 3, 4] and seen
