@@ -9,8 +9,8 @@ windows between the same contexts, and counts by its highest. The network is tra
 the values of findings, labelled by the patterns (candidates that only overlap one have no label); half
 of the positive examples have the key word in their context overwritten, so that the
 shape of a value counts and not just the word before it. To these come examples that are
-made: random tokens as secrets and runs of digits, grouped or not, as none, each in the
-context of a candidate that was found; so what patterns can't label is learnt too, and
+made: random tokens as secrets and runs of digits, grouped or not, as none, in the
+context of every candidate that is no finding; so what patterns can't label is learnt too, and
 there are enough positives to set a threshold by. On a calibration part, a
 temperature is fitted and the threshold is the highest that still finds the wanted share
 of positives (or, where no negative comes near it, halfway to the highest negative).
@@ -18,6 +18,13 @@ Recall and false findings are measured on a third part, which nothing is fitted
 parts show positives without their key word, as the network has to find them.
 Pattern findings always stay; the network adds other candidates above the threshold.
 
+Every different window of the table is in one of the three parts, whatever their number.
+They lie in blocks of a bounded size; in a round each block passes once over its own
+examples from the network of the round before, and the blocks' networks (with the moments
+of their steps) are averaged. The sums are of whole numbers, so the result doesn't depend
+on how Spark deals the rows. Temperature, threshold and the measured shares come from
+counts of all held-out logits by steps of 1 / ``GRID``.
+
 Defined results: null text is the empty text without findings; spans are in code points,
 end exclusive, over whole texts, very long ones too (windows are judged in blocks of a
 bounded number); spans of one start are in the order of ``KINDS``; repeated rows repeat;
@@ -29,17 +36,18 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import random
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from hostweave.llm.common import documents, map_batches, texts
+from hostweave.llm.common import cut, documents, map_batches, texts
+from hostweave.sources.scratch import run_folder
 
 # The patterns of the base findings, the least length, and the group it is of.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -55,13 +63,21 @@ DIGIT = re.compile(rb"[0-9]")
 HEXMAP = bytes(49 if chr(i) in "0123456789abcdef" else 48 for i in range(256))
 
 SIDE, INNER = 16, 40
-#: Made examples of either label, the alphabets of made secrets, and their lengths.
+#: Least made examples of either label, the alphabets of made secrets, and their lengths.
 MADE, LENGTHS = 600, (20, 40)
 ALPHABETS = (b"0123456789abcdef", b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", b"abcdefghijklmnopqrstuvwxyz0123456789", b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")
-#: Width of the convolution.
+#: Width of the convolution, and the network's arrays that are learnt.
 SPAN = 5
+LEARNT = ("embed", "kernel", "bias", "out", "offset")
 #: Windows that are judged at once.
 BLOCK = 2048
+#: Parts of the examples, of fifths: three to learn from, one to measure on, one to calibrate on.
+LEARN, MEASURE, CALIBRATE = range(3)
+FIFTHS = (LEARN, LEARN, LEARN, MEASURE, CALIBRATE)
+#: Steps of a logit in counts of held-out logits, and the largest logit told apart there.
+GRID, LARGEST = 1024, 64
+#: What a network's numbers are multiplied by where they are summed as whole numbers.
+FIXED = 2.0**40
 WIDTH = SIDE + INNER + SIDE
 #: Characters by number: printable ASCII, a class for the rest, and 0 for outside the text.
 CODES = np.array([i - 30 if 32 <= i < 127 else 1 for i in range(256)], dtype=np.int64)
@@ -168,10 +184,10 @@ class Net:
     def probability(self, x: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.logits(x) / self.temperature, -30, 30)))
 
-    def step(self, x: np.ndarray, y: np.ndarray, state: dict, rate: float) -> None:
-        """One Adam step on the logistic loss of a batch."""
+    def step(self, x: np.ndarray, y: np.ndarray, state: dict, rate: float, weight: np.ndarray | float = 1.0) -> None:
+        """One Adam step on the (weighted) logistic loss of a batch."""
         cols, h, pick, pooled = self._pool(x)
-        g = (1 / (1 + np.exp(-np.clip(pooled @ self.out + self.offset, -30, 30))) - y) / len(y)
+        g = weight * (1 / (1 + np.exp(-np.clip(pooled @ self.out + self.offset, -30, 30))) - y) / len(y)
         back = g[:, None] * self.out
         dh = np.zeros_like(h)
         n = h.shape[2]
@@ -194,62 +210,54 @@ class Net:
             state[name] = m, v
             setattr(self, name, getattr(self, name) - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8))
 
+    def vector(self, state: dict) -> np.ndarray:
+        """Weights, their moments (the second's roots) and the number of steps in one row, for averaging."""
+        moments = [state.get(name, (0.0, 0.0)) for name in LEARNT]
+        parts = [(getattr(self, name), m, np.sqrt(v)) for name, (m, v) in zip(LEARNT, moments, strict=True)]
+        return np.concatenate([*(np.broadcast_to(x, np.shape(own[0])).ravel() for own in parts for x in own), [state.get("t", 0)]])
+
+    def restored(self, vector: np.ndarray) -> tuple[Net, dict]:
+        """A network of this one's shape and the state of its steps, from such a row."""
+        net, state, at = replace(self), {"t": float(vector[-1])}, 0
+        for name in LEARNT:
+            shape, size = np.shape(getattr(self, name)), np.size(getattr(self, name))
+            own, m, root = (vector[at + k * size : at + (k + 1) * size].reshape(shape) for k in range(3))
+            setattr(net, name, own)
+            state[name] = m, root**2
+            at += 3 * size
+        return net, state
+
+
+def blinded(window: bytes) -> bytes:
+    """The window with random lower-case letters before the candidate, so without its key word."""
+    rng = random.Random(window)
+    return bytes(rng.randrange(67, 93) if c else 0 for c in window[:SIDE]) + window[SIDE:]
 
-def fit(x: np.ndarray, y: np.ndarray, seed: int = 7, epochs: int = 16, recall: float = 0.95) -> Net:
-    """Trains on three fifths, calibrates and sets the threshold on one, measures on the last."""
-    net = Net.fresh(seed)
-    rng = np.random.default_rng(seed)
-    part, last, learnt = (np.isin(np.arange(len(x)) % 5, k) for k in ((4,), (3,), (0, 1, 2)))
-    if not (y[part] == 1).any() or not (y[learnt] == 1).any() or not (y[learnt] == 0).any():
-        return net  # threshold 2: nothing is added
-    blind = x.copy()
-    blind[:, :SIDE] = np.where(blind[:, :SIDE] > 0, rng.integers(67, 93, (len(x), SIDE)), 0)  # lower-case letters
-    train_x, train_y = np.concatenate([x[learnt], blind[learnt & (y == 1)]]), np.concatenate([y[learnt], y[learnt & (y == 1)]])
-    weight = np.where(train_y == 1, 0.5 / (train_y == 1).mean(), 0.5 / (train_y == 0).mean())
-    state: dict = {}
-    for _ in range(epochs):
-        for rows in np.array_split(rng.choice(len(train_x), len(train_x), p=weight / weight.sum()), max(1, len(train_x) // 64)):
-            net.step(train_x[rows], train_y[rows], state, 0.004)
-    shown = np.where(y[:, None] == 1, blind, x)  # what the patterns miss has no key word before it
-    logits, truth = net.logits(shown[part]), y[part]
-    loss = {t: np.logaddexp(0, np.where(truth == 1, -1, 1) * logits / t).mean() for t in np.geomspace(0.25, 8, 21)}
-    net.temperature = float(min(loss, key=loss.get))
-    scaled = logits / net.temperature
-    highest = np.sort(scaled[truth == 1])[int((1 - recall) * (truth == 1).sum())]
-    if (truth == 0).any() and (rest := scaled[truth == 0].max()) < highest:
-        highest = (highest + rest) / 2  # the classes are apart: halfway keeps recall and spares what is like neither
-    net.threshold = float(1 / (1 + np.exp(-np.clip(highest, -30, 30))))
-    over = net.probability(shown[last]) >= net.threshold
-    net.recall, net.false_rate = (float(over[y[last] == k].mean()) if (y[last] == k).any() else 0.0 for k in (1, 0))
-    return net
-
-
-def made(contexts: np.ndarray, n: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
-    """``n`` windows with a random token and ``n`` with a number, in contexts that were found, and their labels."""
+
+def made(window: bytes, copies: int) -> Iterator[tuple[int, bytes]]:
+    """``(label, window)``: the context of a window around ``copies`` random tokens and as many numbers."""
+    rng = random.Random(window)
 
     def token() -> bytes:
-        letters = np.frombuffer(ALPHABETS[rng.integers(len(ALPHABETS))], dtype=np.uint8)
-        return rng.choice(letters, rng.integers(LENGTHS[0], LENGTHS[1] + 1)).tobytes()
+        return bytes(rng.choices(rng.choice(ALPHABETS), k=rng.randint(*LENGTHS)))
 
     def number() -> bytes:
-        digits = "".join(map(str, rng.integers(0, 10, rng.integers(8, 25))))
-        every, mark = int(rng.integers(2, 6)), "-./_"[rng.integers(4)]
+        digits = "".join(rng.choices("0123456789", k=rng.randint(8, 24)))
+        every, mark = rng.randint(2, 5), rng.choice("-./_")
         grouped = mark.join(digits[i : i + every] for i in range(0, len(digits), every))
         return (grouped if rng.random() < 0.5 else digits).encode()[:INNER]
 
-    x = contexts[rng.integers(0, len(contexts), 2 * n)].copy()
-    x[:, SIDE : SIDE + INNER] = 0
-    for i in range(2 * n):
-        inside = CODES[np.frombuffer(token() if i < n else number(), dtype=np.uint8)]
-        x[i, SIDE : SIDE + len(inside)] = inside
-    return x, np.repeat([1.0, 0.0], n)
+    for _ in range(copies):
+        for label, inside in ((1, token()), (0, number())):
+            codes = CODES[np.frombuffer(inside, dtype=np.uint8)].astype(np.uint8).tobytes()
+            yield label, window[:SIDE] + codes.ljust(INNER, b"\0") + window[SIDE + INNER :]
 
 
 def _windows(docs: DataFrame, text_col: str) -> DataFrame:
-    """A row for every window of a labelled candidate: label, window and a hash that orders samples."""
+    """Label and window of every labelled candidate; each different one once."""
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        labels, rows, marks = [], [], []
+        labels, rows = [], []
         for text in texts(batch, "text"):
             flat = narrow(text)
             base = base_spans(text, flat)
@@ -257,31 +265,123 @@ def _windows(docs: DataFrame, text_col: str) -> DataFrame:
                 for found in map(bytes, windows(flat, s, e)):
                     labels.append(y)
                     rows.append(found)
-                    marks.append(hashlib.sha256(found).hexdigest()[:16])
-        return pa.record_batch([pa.array(labels, pa.int32()), pa.array(rows, pa.binary()), pa.array(marks, pa.string())], ["label", "window", "mark"])
+        return pa.record_batch([pa.array(labels, pa.int32()), pa.array(rows, pa.binary())], ["label", "window"])
+
+    return map_batches(docs.select(F.col(text_col).alias("text")), one, "label int, window binary").distinct()
+
+
+def _blocks(found: DataFrame, copies: int, parts: int) -> DataFrame:
+    """``(use, part, rows)``: all examples of the windows, as ``parts`` blocks for each use.
+
+    An example's use and part are decided by its hash. Positives are learnt with and
+    without their key word, and shown without it elsewhere.
+    """
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out: list[tuple[int, int, int, bytes]] = []
+        for label, window in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for y, x in [(label, window), *(made(window, copies) if label == 0 else ())]:
+                mark = int.from_bytes(hashlib.sha256(x).digest()[:8])
+                use, part = FIFTHS[mark % 5], mark // 5 % parts
+                shown = [x] if y == 0 else [x, blinded(x)] if use == LEARN else [blinded(x)]
+                out += [(use, part, y, w) for w in shown]
+        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary())
+        columns = zip(*out, strict=True) if out else ((),) * 4
+        return pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["use", "part", "label", "window"])
+
+    rows = map_batches(found.select("label", "window"), one, "use int, part int, label int, window binary")
+    dealt = rows.repartition(min(3 * parts, 1024), "use", "part")
+    return dealt.groupBy("use", "part").agg(F.array_sort(F.collect_list(F.struct("label", "window"))).alias("rows"))
+
+
+def _examples(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Use, part, windows and labels of each block."""
+    for use, part, rows in zip(*(batch.column(k) for k in range(3)), strict=True):
+        labels, found = rows.values.flatten()
+        x = np.frombuffer(b"".join(found.to_pylist()), dtype=np.uint8).reshape(-1, WIDTH)
+        yield use.as_py(), part.as_py(), x.astype(np.int64), labels.to_numpy()
+
+
+def _round(blocks: DataFrame, net: Net, vector: np.ndarray, number: int, weights: np.ndarray, rate: float = 0.004) -> np.ndarray:
+    """The average of the blocks' networks after each has passed once over its examples."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = np.zeros(len(vector), dtype=np.int64), 0
+        for _, part, x, y in itertools.chain.from_iterable(map(_examples, batches)):
+            own, state = net.restored(vector)
+            for rows in np.array_split(np.random.default_rng((number, part)).permutation(len(x)), max(1, len(x) // 64)):
+                own.step(x[rows], y[rows], state, rate, weights[y[rows]])
+            total += np.round(own.vector(state) * FIXED).astype(np.int64)
+            n += 1
+        if n:
+            yield pa.record_batch([pa.array(np.arange(len(total))), pa.array(total), pa.array(np.full(len(total), n))], ["place", "total", "n"])
+
+    sums = blocks.mapInArrow(run, "place long, total long, n long").groupBy("place").agg(F.sum(F.col("total").cast("decimal(20,0)")).alias("total"), F.sum("n").alias("n"))
+    out = np.empty(len(vector))
+    for r in sums.collect():
+        out[r["place"]] = int(r["total"]) / (FIXED * r["n"])
+    return out
+
+
+def _held_out(blocks: DataFrame, net: Net) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
+    """Of each use and label: the logits of its examples, rounded down to the grid, and their counts."""
 
-    return map_batches(docs.select(F.col(text_col).alias("text")), one, "label int, window binary, mark string")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for use, _, x, y in _examples(batch):
+                steps = np.floor(np.clip(net.logits(x), -LARGEST, LARGEST) * GRID).astype(np.int64)
+                for label in (0, 1):
+                    step, n = np.unique(steps[y == label], return_counts=True)
+                    columns = [pa.array(np.full(len(step), k), pa.int32()) for k in (use, label)]
+                    yield pa.record_batch([*columns, pa.array(step), pa.array(n)], ["use", "label", "step", "n"])
 
+    counts = blocks.mapInArrow(run, "use int, label int, step long, n long").groupBy("use", "label", "step").agg(F.sum("n").alias("n"))
+    found = sorted(tuple(r) for r in counts.collect())
+    pick = lambda *key: np.array([r[2:] for r in found if r[:2] == key], dtype=np.int64).reshape(-1, 2)
+    return {key: (x[:, 0] / GRID, x[:, 1]) for key in itertools.product((MEASURE, CALIBRATE), (0, 1)) for x in [pick(*key)]}
 
-def train(docs: DataFrame, text_col: str = "text", examples: int = 3000) -> Net:
-    """Learns from at most ``examples`` different windows of candidates of either label.
 
-    The bound is the documented limit of a classifier's training rows; which windows are
-    taken is decided by their hashes. All texts are looked through, once; each task sends
-    no more rows of a label than the bound, and they are ranked in parts first.
+def calibrated(net: Net, held: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]], recall: float = 0.95) -> Net:
+    """Fits temperature and threshold to one part's logits, and measures on the other's."""
+    (bad, many), (good, n) = held[CALIBRATE, 0], held[CALIBRATE, 1]
+    if not n.sum():
+        return net  # threshold 2: nothing is added
+    loss = {t: (np.logaddexp(0, -good / t) @ n + np.logaddexp(0, bad / t) @ many) / (n.sum() + many.sum()) for t in np.geomspace(0.25, 8, 21)}
+    lowest = good[np.searchsorted(np.cumsum(n), int((1 - recall) * n.sum()), side="right")]
+    if len(bad) and bad[-1] < lowest:
+        lowest = np.ceil((lowest + bad[-1]) / 2 * GRID) / GRID  # the classes are apart: halfway keeps recall and spares what is like neither
+    temperature = float(min(loss, key=loss.get))
+    threshold = float(1 / (1 + np.exp(-np.clip(lowest / temperature, -30, 30))))
+    shares = [float(c[x >= lowest].sum() / c.sum()) if len(c) else 0.0 for x, c in (held[MEASURE, 1], held[MEASURE, 0])]
+    return replace(net, temperature=temperature, threshold=threshold, recall=shares[0], false_rate=shares[1])
+
+
+def train(docs: DataFrame, text_col: str = "text", block: int = 2048, rounds: int = 16, seed: int = 7) -> Net:
+    """Learns from all different windows of labelled candidates, in blocks of about ``block`` examples.
+
+    All texts are looked through, once. A task holds a block, the driver a network and
+    counts; so neither grows with the table.
     """
-    least = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy("mark", "window")) <= examples
-    some = _windows(docs, text_col).distinct().withColumn("part", F.pmod(F.xxhash64("mark"), F.lit(64))).withColumn("use", least("label", "part")).where("use")
-    rows = some.withColumn("use", least("label")).where("use").select("label", "window", "mark").collect()
-    rows.sort(key=lambda r: (r["mark"], bytes(r["window"])))
-    x = np.array([np.frombuffer(r["window"], dtype=np.uint8) for r in rows], dtype=np.int64).reshape(-1, WIDTH)
-    y = np.array([r["label"] for r in rows], dtype=float)
-    if (y == 0).any():
-        rng = np.random.default_rng(11)
-        more_x, more_y = made(x[y == 0], MADE, rng)
-        turn = rng.permutation(len(x) + len(more_x))
-        x, y = np.concatenate([x, more_x])[turn], np.concatenate([y, more_y])[turn]
-    return fit(x, y)
+    net = Net.fresh(seed)
+    with run_folder(docs.sparkSession):
+        found = cut(_windows(docs, text_col), "secret-windows")
+        size = {r["label"]: r["count"] for r in found.groupBy("label").count().collect()}
+        others, own = size.get(0, 0), size.get(1, 0)
+        if not others:
+            return net  # no context to learn in
+        copies = -(-MADE // others)
+        learnt = 0.6 * (others * (1 + copies) + 2 * (own + others * copies))
+        blocks = cut(_blocks(found, copies, max(1, round(learnt / block))), "secret-examples")
+        learn, rest = blocks.where(F.col("use") == LEARN), blocks.where(F.col("use") != LEARN)
+        good, n = learn.agg(F.sum(F.size(F.filter("rows", lambda r: r["label"] == 1))), F.sum(F.size("rows"))).first()
+        if not good or good == n:
+            return net
+        weights = np.array([0.5 * n / (n - good), 0.5 * n / good])
+        vector = net.vector({})
+        for number in range(rounds):
+            vector = _round(learn, net, vector, number, weights)
+        net, _ = net.restored(vector)
+        return calibrated(net, _held_out(rest, net))
 
 
 def scan(docs: list[str], net: Net) -> Iterator[list[tuple[int, int, str]]]:

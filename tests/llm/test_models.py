@@ -161,6 +161,56 @@ def test_numbers_and_prose_are_no_secrets_and_bare_tokens_are(spark, docs):
         assert sum(found[:100]) >= 95 and sum(found[100:]) <= 2, (sum(found[:100]), sum(found[100:]))
 
 
+def test_network_learns_from_every_window(spark):
+    """More different windows than the 3000 of least hash, which alone were learnt from once."""
+    rng = random.Random(8)
+    rows = [f"the number {rng.randrange(10**15, 10**16)} stands" for _ in range(3300)]
+    only = lambda t: next(bytes(w) for s, e, _ in secrets.other_candidates(secrets.narrow(t), []) for w in secrets.windows(secrets.narrow(t), s, e))
+    rows.sort(key=lambda t: hashlib.sha256(only(t)).hexdigest()[:16])
+    table = lambda texts: spark.createDataFrame([(t,) for t in texts], "text string")
+    part, whole = secrets.train(table(rows[:3000])), secrets.train(table(rows))
+    assert not np.array_equal(part.embed, whole.embed)
+    assert whole.recall >= 0.9 and whole.false_rate <= 0.01
+
+
+def test_examples_are_whole_and_blocks_are_averaged(spark, docs):
+    rng = random.Random(3)
+    token = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    some = [f"it was token = {token(40)} and on, not {rng.randrange(10**15, 10**16)}" for _ in range(100)]
+    examples = docs.select("text").unionByName(spark.createDataFrame([(t,) for t in some + some[:50]], "text string"))
+    want = set()
+    for text in {r["text"] for r in examples.collect()}:
+        flat, base = secrets.narrow(text), brute_spans(text)
+        spans = [*((*secrets.value(text, *x), 1) for x in base), *((s, e, 0) for s, e, overlaps in secrets.other_candidates(flat, base) if not overlaps)]
+        want |= {(y, bytes(w)) for s, e, y in spans for w in secrets.windows(flat, s, e)}
+    found = secrets._windows(examples, "text").collect()
+    assert len(found) == len(want) and {(r["label"], bytes(r["window"])) for r in found} == want
+    blocks = secrets._blocks(spark.createDataFrame(found), 2, 5).collect()
+    assert len(blocks) == 15
+    got = collections.Counter((x["label"], bytes(x["window"])) for b in blocks for x in b["rows"])
+    plain, others = {secrets.blinded(w) for y, w in want if y == 1}, [w for y, w in want if y == 0]
+    tails = lambda seen: {w[secrets.SIDE :] for y, w in seen if y == 1}
+    assert {w for y, w in want if y == 0} <= {w for y, w in got if y == 0} and plain <= {w for y, w in got if y == 1}
+    assert tails(want) <= tails(got) and sum(n for (y, _), n in got.items() if y == 0) == 3 * len(others)
+    net, again = secrets.train(examples, block=128), secrets.train(examples.repartition(5), block=128)  # some eight blocks
+    assert all(np.array_equal(getattr(net, k), getattr(again, k)) for k in secrets.LEARNT) and net.threshold == again.threshold
+    assert net.recall >= 0.9 and net.false_rate <= 0.05
+    back, state = net.restored(net.vector({}))
+    assert all(np.array_equal(getattr(net, k), getattr(back, k)) for k in secrets.LEARNT) and state["t"] == 0
+
+
+def test_threshold_is_a_rank_among_all_held_out_logits(spark):
+    rng = np.random.default_rng(6)
+    net = secrets.Net.fresh(3)
+    rows = [(use, part, [(y, rng.integers(0, 98, secrets.WIDTH, dtype=np.uint8).tobytes()) for y in rng.integers(0, 2, 90).tolist()]) for use in (1, 2) for part in range(4)]
+    blocks = spark.createDataFrame(rows, "use int, part int, rows array<struct<label: int, window: binary>>")
+    got = secrets.calibrated(net, secrets._held_out(blocks.repartition(3), net), recall=0.8)
+    logits = {(use, y): np.sort(net.logits(np.array([list(w) for u, _, x in rows if u == use for k, w in x if k == y]))) for use in (1, 2) for y in (0, 1)}
+    lowest = np.floor(logits[2, 1][int((1 - 0.8) * len(logits[2, 1]))] * secrets.GRID) / secrets.GRID
+    assert np.isclose(got.threshold, 1 / (1 + np.exp(-lowest / got.temperature)))
+    assert np.isclose(got.recall, (logits[1, 1] >= lowest).mean()) and np.isclose(got.false_rate, (logits[1, 0] >= lowest).mean())
+
+
 def test_gradients_of_the_network():
     rng = np.random.default_rng(1)
     net = secrets.Net.fresh(1, dim=3, filters=4)
