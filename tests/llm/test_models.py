@@ -367,6 +367,17 @@ def test_queries_that_share_an_id(spark):
     assert sorted(by.values()) == [[50, 2], [50, 50, 1]]
 
 
+def test_search_broadcasts_nothing_by_query_or_term(spark, docs, monkeypatch):
+    """What has a row for each term or query of the corpus is merged, however small Spark takes it for."""
+    plans, cut = {}, search.cut
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(search, "cut", lambda df, name: (plans.setdefault(name, plan(df)), cut(df, name))[1])
+    plans["best"] = plan(search.top_k(docs, F.col("doc_id") % 50 == 0, 5, shard_postings=4000, part_bytes=20_000, pack_rows=3))
+    joins = {name: re.findall(r"\w+Join (?:.*?)\[(\w+?)#", p) for name, p in plans.items() if name in ("weighted", "best")}
+    assert "term" in joins["weighted"] and "pack" in joins["weighted"] and "pack" in joins["best"]
+    assert not [x for p in plans.values() for x in re.findall(r"Broadcast\w*Join (?:.*?)\[(\w+?)#", p) if x != "part"]
+
+
 def test_hashed_words_tell_words_apart():
     rng = random.Random(5)
     texts = [bytes(rng.choice(b"aB .,\t\n-\xc3\xa9") for _ in range(rng.randrange(200))) for _ in range(300)] + [b"", b"...", b"x" * 300_000]
