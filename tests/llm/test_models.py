@@ -378,6 +378,22 @@ def test_search_broadcasts_nothing_by_query_or_term(spark, docs, monkeypatch):
     assert not [x for p in plans.values() for x in re.findall(r"Broadcast\w*Join (?:.*?)\[(\w+?)#", p) if x != "part"]
 
 
+def test_the_index_is_not_exchanged_to_be_dealt(spark, docs, monkeypatch):
+    """Parts' shards go to the index; with too many parts for that, the results are the same."""
+    ask = lambda: search.top_k(docs, F.col("doc_id") % 50 == 0, 5, shard_postings=4000, part_bytes=20_000, pack_rows=3)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got, rows = [], []
+        for most in (1 << 18, -1):
+            monkeypatch.setattr(search, "NAMED", most, raising=False)
+            found = ask()
+            got.append("hashpartitioning(part" in found._jdf.queryExecution().executedPlan().toString())
+            rows.append(sorted((r["query_id"], r["rank"], r["doc_id"]) for r in found.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == [False, True] and rows[0] == rows[1] and rows[0]
+
+
 def test_hashed_words_tell_words_apart():
     rng = random.Random(5)
     texts = [bytes(rng.choice(b"aB .,\t\n-\xc3\xa9") for _ in range(rng.randrange(200))) for _ in range(300)] + [b"", b"...", b"x" * 300_000]
